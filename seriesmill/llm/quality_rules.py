@@ -26,11 +26,16 @@ def repeated_words(words: Column, window: int = 8) -> Column:
     cover ``window`` words each less what the next one covers again.
     """
     n = F.size(words)
+
+    def joined(step: int):
+        last = lambda h: F.greatest(F.size(h) - step, F.lit(1))
+        return lambda h: F.transform(F.sequence(F.lit(1), last(h)), lambda i: F.xxhash64(F.get(h, i - 1), F.get(h, i - 1 + step)))
+
     one = F.transform(words, lambda w: F.xxhash64(w))
     hashes, step = one, 1
     while step < window:
         # Twice as many words in each hash: a window's is that of its halves.
-        hashes = let(hashes, lambda h, step=step: F.transform(F.sequence(F.lit(1), F.greatest(F.size(h) - step, F.lit(1))), lambda i: F.xxhash64(F.get(h, i - 1), F.get(h, i - 1 + step))))
+        hashes = let(hashes, joined(step))
         step *= 2
 
     def covered(h: Column) -> Column:
