@@ -2,6 +2,14 @@
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+EXACT_DEDUP = f"""
+with d as (select doc_id, {LOWER} as t from documents)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(t) as text_sha256
+from d window w as (partition by t)
+"""
+
 QUALITY_RULES = rf"""
 with w as (select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{WORD}') as words from documents),
 windows as (select doc_id, i, array_to_string(words[i:i + 7], ' ') as t from (select doc_id, words, unnest(range(1, len(words) - 6)) as i from w where len(words) > 8)),
