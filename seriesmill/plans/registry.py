@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import feature_queries, panel_queries
+from . import check_queries, feature_queries, forecast_queries, panel_queries
 
-QUERIES = {**panel_queries.QUERIES, **feature_queries.QUERIES}
-ORACLE_SQL = {**panel_queries.ORACLE_SQL, **feature_queries.ORACLE_SQL}
+PARTS = (panel_queries, feature_queries, check_queries, forecast_queries)
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
+ORACLE_SQL = {name: statement for part in PARTS for name, statement in part.ORACLE_SQL.items()}
