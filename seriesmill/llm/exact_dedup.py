@@ -55,8 +55,8 @@ def directory(fills: dict[int, int], most_bits: int, capacity: int) -> tuple[int
 
 def index(docs: DataFrame, key: str, text: str, most_bits: int, capacity: int) -> DataFrame:
     """The index on shared files: row number, the row, its id, hash and bucket, in the order of bucket and hash."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), ascii_lower(text_of(text)).alias("norm"))
-    rows = rows.withColumn("hash", F.xxhash64("norm")).withColumn("at", F.monotonically_increasing_id())
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), F.xxhash64(ascii_lower(text_of(text))).alias("hash"))
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
     cell = F.shiftrightunsigned("hash", 64 - most_bits)
     fills = rows.groupBy(cell.alias("cell")).count().collect()  # 2^most_bits rows at most
     bits, cells = directory({r["cell"]: r["count"] for r in fills}, most_bits, capacity)
@@ -65,7 +65,8 @@ def index(docs: DataFrame, key: str, text: str, most_bits: int, capacity: int) -
     placed = rows.withColumn("cell", of_cell).join(F.broadcast(buckets), "cell")
     # Ranges of (bucket, hash, row): owners have ranges of buckets, and one key's rows may fill several.
     dealt = placed.repartitionByRange("bucket", "hash", "at").sortWithinPartitions("bucket", "hash", "at")
-    return staged(dealt.select("at", "row", "id", "norm", "hash", "bucket"), "hash-index")
+    # Texts are kept once, as they came; their normal form is made again where it is compared.
+    return staged(dealt.select("at", "row", "id", "hash", "bucket"), "hash-index").withColumn("norm", ascii_lower(text_of(F.col("row")[text])))
 
 
 class Chain:
