@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,14 +120,9 @@ def unpivot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.unpivot_days(wide, "product")
 
 
-def _scratch(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seriesmill-")
-    return f"{root.rstrip('/')}/seriesmill/io-{uuid.uuid4().hex}"
-
-
 def files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sales through CSV, Parquet and JSON files, read back by suffix or format."""
-    path = _scratch(spark)
+    path = tables.scratch_path(spark, "files")
     daily = X.lines(spark, sf_dir).select(F.col("part").alias("item_id"), F.col("d").alias("OrderDate"), F.col("q").alias("Quantity"))
     tables.write_csv(daily, f"{path}/a.csv")
     tables.write_parquet(daily, f"{path}/b.parquet")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +13,19 @@ from pyspark.sql import types as T
 DAILY = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("OrderDate", T.DateType()), T.StructField("Quantity", T.DoubleType())])
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share (spark.checkpoint.dir; a temporary one where it is unset)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seriesmill-")
+    return f"{root.rstrip('/')}/seriesmill/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, for what is read again and again: fits reread files, and lost executors lose nothing."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = DAILY) -> DataFrame:
     """CSV with a header, read as strings by the schema's names and cast; what can't be cast is null."""
     raw = spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])).option("header", True).csv(path)
