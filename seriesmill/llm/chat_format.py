@@ -150,14 +150,22 @@ class Digest:
 def round_trip_digests(rows: DataFrame, file: str, part_chars: int = 1_000_000) -> DataFrame:
     """Per conversation, read back from its formatted parts: digests of all turns and of the text under the loss mask."""
 
+    kinds = {"conv_id": pa.int64(), "n_turns": pa.int64(), "turns_sha256": pa.string(), "loss_chars": pa.int64(), "loss_sha256": pa.string(), "formatted_chars": pa.int64()}
+
     def work(batches: Iterator[pa.RecordBatch]):
-        t, now = tokenizer(file), Digest()
+        t, now, done = tokenizer(file), Digest(), []
         for b in formatted(batches, file, part_chars):
             r = b.to_pylist()[0]
             now.add(r["formatted"], r["ids"], r["loss"], t)
             if r["last"]:
-                row = {"conv_id": r["conv_id"], "n_turns": now.turns, "turns_sha256": now.turns_hash.hexdigest(), "loss_chars": now.loss_chars, "loss_sha256": now.loss_hash.hexdigest(), "formatted_chars": now.chars}
-                yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if isinstance(v, int) or k == "conv_id" else pa.string()) for k, v in row.items()], names=list(row))
+                done.append((r["conv_id"], now.turns, now.turns_hash.hexdigest(), now.loss_chars, now.loss_hash.hexdigest(), now.chars))
                 now = Digest()
+            if len(done) >= 1_000:
+                yield listed(done)
+                done = []
+        yield listed(done)
+
+    def listed(done: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], k) for i, k in enumerate(kinds.values())], names=list(kinds))
 
     return by_conversation(rows).mapInArrow(work, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

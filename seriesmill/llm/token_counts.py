@@ -8,7 +8,7 @@ a character without a piece of its own costs the least score of the vocabulary l
 bytes where the vocabulary has byte pieces (else as one, with its neighbours of the same kind).
 
 No piece reaches over a white-space marker, so a text's best path is the joined best paths of its chunks (a run of
-markers and what follows it). A task keeps the counts of a bounded number of distinct chunks.
+markers and what follows it). A Python worker keeps the counts of a bounded number of distinct chunks.
 
 Null and empty texts count 0. Rows are independent; ties and repeated rows need no rule.
 """
@@ -16,6 +16,7 @@ Null and empty texts count 0. Rows are independent; ties and repeated rows need
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,12 +95,17 @@ class PieceCounter:
         return chunk.replace(" ", MARK)
 
 
+@lru_cache(maxsize=2)
+def piece_counter(model: str) -> PieceCounter:
+    """The counter of this Python worker: later tasks of the worker find the chunks of earlier ones."""
+    return PieceCounter(*vocabulary(model))
+
+
 def count_tokens(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: ``key`` and n_tokens."""
-    pieces, has_bytes = vocabulary(model)
 
     def counts(batches: Iterator[pa.RecordBatch]):
-        counter = PieceCounter(vocabulary(model)[0], has_bytes)
+        counter = piece_counter(model)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 b = whole.slice(at, SLICE)
