@@ -98,22 +98,38 @@ def seasonality(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
 
 
 def report(panel: DataFrame, spec: PanelSpec = PanelSpec(), limits: Limits = Limits()) -> DataFrame:
-    """All checks as rows (check, metric, value, status); checks without a verdict of their own have a null status."""
-    n = F.lit(None).cast("string")
-    parts = [
-        ("missing", missing(panel, spec, limits), "missing_rate", F.col("status")),
-        ("outliers", z_outliers(panel, spec, limits), "outlier_rate", F.col("status")),
-        ("iqr", iqr_outliers(panel, spec), "iqr_rate", n),
-        ("gaps", time_gaps(panel, spec, limits), "gap_rate", F.col("status")),
-        ("zeros", zero_pattern(panel, spec), "zero_rate", n),
-        ("statistics", statistics(panel, spec.value), "cv", n),
-        ("seasonality", seasonality(panel, spec), "strength", n),
+    """All checks as rows (check, metric, value, status); checks without a verdict of their own have a null status.
+
+    One pass with a window gives all sums; outliers take a second one, with the mean, deviation and quartiles at hand.
+    """
+    v, low, high = spec.v, *limits.gap_days
+    rows = panel.select(spec.value, is_missing(panel, spec.value).alias("_missing"), F.month(spec.d).alias("_month"), F.lag(spec.value).over(spec.w).alias("_before"), F.datediff(spec.d, F.lag(spec.date).over(spec.w)).alias("_days"))
+    sums = rows.agg(
+        F.count("*").alias("n"), F.count_if("_missing").alias("missing"), F.count(v).alias("known"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.var_samp(v).alias("variance"),
+        F.count_if(v == 0).alias("zeros"), F.count("_days").alias("steps"), F.count_if((F.col("_days") > high) | (F.col("_days") < low)).alias("gaps"),
+        F.array_compact(F.array(*[F.var_samp(F.when(F.col("_month") == m, v)) for m in range(1, 13)])).alias("within"),
+    )
+    known = sums.crossJoin(F.broadcast(cuts(panel, spec.value, (0.25, 0.75))))
+    iqr = F.col("q1") - F.col("q0")
+    outer = panel.select(spec.value).crossJoin(F.broadcast(known)).agg(
+        F.count_if(F.abs(F.try_divide(v - F.col("mean"), F.col("sd"))) > limits.outlier_z).alias("far"),
+        F.count_if((v < F.col("q0") - 1.5 * iqr) | (v > F.col("q1") + 1.5 * iqr)).alias("outside"),
+    )
+    within = F.aggregate("within", F.lit(0.0), lambda s, x: s + x)
+    rate = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    none = F.lit(None).cast("string")
+    missing_, far, gaps = F.try_divide("missing", "n"), rate("far", "known"), rate("gaps", "steps")
+    checks = [
+        ("missing", "missing_rate", missing_, status(missing_ > limits.missing_rate)),
+        ("outliers", "outlier_rate", far, status(far >= limits.outlier_rate)),
+        ("iqr", "iqr_rate", rate("outside", "known"), none),
+        ("gaps", "gap_rate", gaps, status(F.col("gaps") > 0)),
+        ("zeros", "zero_rate", F.try_divide("zeros", "n"), none),
+        ("statistics", "cv", F.try_divide("sd", "mean"), none),
+        ("seasonality", "strength", F.greatest(F.lit(0.0), 1 - F.try_divide(F.try_divide(within, F.size("within")), F.col("variance"))), none),
     ]
-    rows = None
-    for name, df, metric, verdict in parts:
-        row = df.select(F.lit(name).alias("check"), F.lit(metric).alias("metric"), F.col(metric).cast("double").alias("value"), verdict.alias("status"))
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+    found = F.array(*[F.struct(F.lit(c).alias("check"), F.lit(m).alias("metric"), x.cast("double").alias("value"), st.alias("status")) for c, m, x, st in checks])
+    return sums.crossJoin(F.broadcast(outer)).select(F.inline(found))
 
 
 def overall(report: DataFrame) -> DataFrame:
