@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: A word is a run of anything but ASCII white space; lines are cut at \n.
 WORD = r"[^\x20\x09-\x0D]+"
 _own_dir: list[str] = []
+#: Paths that have been staged and not removed, in order.
+STAGED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,6 +38,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -43,6 +46,17 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a staged path that no plan reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in STAGED:
+        STAGED.remove(path)
+
+
+def without(rows: DataFrame, dropped: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` less those whose ``key`` is in ``dropped``.
+
+    The dropped keys are written first, so that Spark knows their size: it broadcasts them below its own threshold, and
+    only above it are the rows shuffled.
+    """
+    return rows.join(staged(dropped.select(key), name), key, "left_anti")
 
 
 def text_of(column: str | Column) -> Column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, staged, text_of
+from .common import ascii_lower, staged, text_of, without
 
 
 def directory(fills: dict[int, int], most_bits: int, capacity: int) -> tuple[int, list[int]]:
@@ -155,4 +155,4 @@ def report(docs: DataFrame) -> DataFrame:
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class of equal texts."""
     pages, found = deduplicate(docs, key, text)
-    return pages.join(found.where("kept").select("at"), "at", "left_semi").select("row.*")
+    return without(pages, found.where("not kept"), "at", "duplicates").select("row.*")
