@@ -40,18 +40,32 @@ TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
 NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""\bhidden\b(?!\s*=)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 WORDS = re.compile("[a-z]+")
+COMMENT = re.compile("(comment|reply)(?![a-z])")
+TITLED = ("article", "content", "entry", "post", "story")
 
 WINDOW, SHARE, LINKED = 3, 0.1, 0.5
 
 
+def says_beside(token: str, in_main: bool) -> bool:
+    """Whether a class, id or role names something beside main text: by its first or last word ("ad-slot", "left-sidebar")."""
+    words = WORDS.findall(token)
+    if not words or words[0] in ("has", "no", "with", "without"):
+        return False
+    if words[-1] == "header" and (in_main or words[0] in TITLED):
+        return False
+    return words[0] in NOT_MAIN or words[-1] in NOT_MAIN
+
+
 def beside(name: str, attributes: str, in_main: bool) -> bool:
     """Whether an element's name or attributes say that it holds no main text."""
     if name in SKIPPED or (name == "header" and not in_main):
         return True
-    if not attributes or name in ("html", "body", "main", "article"):
-        return name == "article" and any(w in ("comment", "comments", "reply") for m in NAMED.finditer(attributes) for w in WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
-    said = " ".join(m[1] or m[2] or m[3] or "" for m in NAMED.finditer(attributes)).lower()
-    return any(w in NOT_MAIN for w in WORDS.findall(said)) or bool(HIDDEN.search(attributes))
+    if not attributes or name in ("html", "body", "main"):
+        return False
+    tokens = " ".join(m[1] or m[2] or m[3] or "" for m in NAMED.finditer(attributes)).lower().split()
+    if name == "article":
+        return any(COMMENT.match(t) for t in tokens)
+    return any(says_beside(t, in_main) for t in tokens) or bool(HIDDEN.search(attributes))
 
 
 class Lines:

@@ -55,6 +55,8 @@ PAGES = {
     "<article><p>Body text.</p><div class=comments><p>first!</p></div></article><article class=comment><p>second!</p></article>": "Body text.",
     "<article><form><label>Mail</label><input></form><p class=ad>Buy<p>Sold words</article>": "Sold words",
     "<p>a b&nbsp;c</p>": "a b c",
+    "<div class='page has-sidebar'><div class='entry-header'><h1>Head</h1></div><div class=entry><p>Words of the text.</p></div></div><div id=left-sidebar><p>no</p></div>": "Head\nWords of the text.",
+    "<article class='post comments-open'><p>Open text.</p></article><article class='comment comment-7'><p>no</p></article>": "Open text.",
 }
 
 
