@@ -24,6 +24,21 @@ def test_no_python_in_plans(spark, name):
     assert not any(x in text.getvalue() for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
 
 
+@pytest.mark.parametrize("name", ["complete_months", "trend_features", "detrended", "lifecycle", "class_statistics_as_of", "interaction_all", "ewma_recursive"])
+def test_series_are_shuffled_once(spark, name):
+    text = io.StringIO()
+    with redirect_stdout(text):
+        registry.QUERIES[name](spark, SF).explain()
+    assert text.getvalue().count("Exchange hashpartitioning(product#") == 1
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = io.StringIO()
+    with redirect_stdout(text):
+        registry.QUERIES["clean_rollup"](spark, SF).explain("formatted")
+    assert "Not(EqualTo(l_returnflag,R))" in text.getvalue() and "l_tax" not in text.getvalue()
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(registry.QUERIES) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
