@@ -2,10 +2,10 @@
 
 No piece of the vocabularies this serves joins a character to a white-space marker on its right, so merges never
 leave a chunk: a run of markers with the characters up to the next one. A chunk is therefore segmented the same
-wherever it stands. Each task keeps a table of the distinct chunks it has met, segments a chunk once with the
+wherever it stands. Each Python worker keeps a table of the distinct chunks it has met, segments a chunk once with the
 library itself, and puts documents' ids together from the table by position.
 
-The table is bounded and belongs to a task. A table of all chunks of the corpus would grow with the corpus, and
+The table is bounded and belongs to a worker. A table of all chunks of the corpus would grow with the corpus, and
 joining it back would shuffle a row for every word.
 
 Null texts are encoded as empty ones (the end id alone). Rows are independent, so ties and repeated rows need no
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -30,7 +31,7 @@ from .common import text_of
 
 MARK = "▁"
 #: Entries kept by a task; when they are exceeded the table starts anew. Longer chunks are segmented but not kept.
-TABLE_ENTRIES, TABLE_CHARS = 300_000, 64
+TABLE_ENTRIES, TABLE_CHARS = 400_000, 64
 #: Documents that are worked on together.
 SLICE = 256
 
@@ -48,14 +49,14 @@ def crosses_marks(pieces) -> bool:
 
 
 class ChunkTable:
-    """Ids by chunk; a chunk is named without its first marker."""
+    """Ids by chunk, as bytes of int32; a chunk is named without its first marker."""
 
     def __init__(self, model: str):
         self.library = processor(model)
         if crosses_marks(self.library.id_to_piece(i) for i in range(self.library.get_piece_size())):
             raise ValueError("a piece crosses a white-space marker; chunks are not independent")
-        self.mark = [self.library.piece_to_id(MARK)]
-        self.table: dict[str, list[int]] = {}
+        self.mark = np.array([self.library.piece_to_id(MARK)], dtype=np.int32).tobytes()
+        self.table: dict[str, bytes] = {}
 
     @staticmethod
     def chunks(text: str) -> list[str]:
@@ -71,18 +72,23 @@ class ChunkTable:
         cut = [self.chunks(t) for t in texts]
         if len(self.table) > TABLE_ENTRIES:
             self.table.clear()
-        known = dict.fromkeys(c for c in set(chain.from_iterable(cut)) if c not in self.table)
-        known.pop("", None)
-        new = dict(zip(known, self.library.encode(list(known), num_threads=1), strict=True))
-        self.table.update((c, ids) for c, ids in new.items() if len(c) <= TABLE_CHARS)
         self.table[""] = self.mark
-        find = self.table if all(len(c) <= TABLE_CHARS for c in new) else {**self.table, **new}
-        return [np.fromiter(chain.from_iterable(map(find.__getitem__, cs)), dtype=np.int32) for cs in cut]
+        new = list(set(chain.from_iterable(cut)).difference(self.table))
+        found = dict(zip(new, (array("i", ids).tobytes() for ids in self.library.encode(new, num_threads=1)), strict=True))
+        self.table.update((c, ids) for c, ids in found.items() if len(c) <= TABLE_CHARS)
+        find = self.table if all(len(c) <= TABLE_CHARS for c in new) else {**self.table, **found}
+        return [np.frombuffer(b"".join(map(find.__getitem__, cs)), dtype=np.int32) for cs in cut]
+
+
+@lru_cache(maxsize=2)
+def chunk_table(model: str) -> ChunkTable:
+    """The table of this Python worker: later tasks of the worker find the chunks of earlier ones."""
+    return ChunkTable(model)
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], model: str, text: str, ids: str, add_end: bool = True) -> Iterator[pa.RecordBatch]:
     """The batches with column ``ids`` in place of ``text``."""
-    table, end = ChunkTable(model), np.array([processor(model).eos_id()] * add_end, dtype=np.int32)
+    table, end = chunk_table(model), np.array([processor(model).eos_id()] * add_end, dtype=np.int32)
     for whole in batches:
         for at in range(0, whole.num_rows, SLICE):
             batch = whole.slice(at, SLICE)

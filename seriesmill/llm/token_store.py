@@ -6,7 +6,7 @@ back in range, gives every sequence a global slot without a sort or a table. Slo
 sequences; a range of shards goes to each task, which writes them as files of fixed stride: slot s is in file
 s // shard_rows at byte (s % shard_rows) * 2 * length. A reader resumes at any slot by a seek.
 
-Encoded documents are written to the shared folder once, with their place in their task's stream; a stream's
+Encoded documents are written to the shared folder once, in blocks with their place in their task's stream; a stream's
 start is the sum of those before it (a number per task). A shard is written under a name of its own and then renamed, so a
 task that runs twice leaves the same whole file.
 
@@ -26,7 +26,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, staged, text_of
-from .piece_codec import SLICE, ChunkTable, processor
+from .piece_codec import SLICE, chunk_table, processor
+
+
+#: Ids at which a block of documents is full.
+BLOCK_IDS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -67,56 +71,65 @@ def slots(numbers: np.ndarray, total: int, key: int, rounds: int) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, model: str) -> DataFrame:
-    """Per document: its ids, compressed, and their place in the stream of the task that encoded them."""
+    """Blocks of documents: their ids end to end, compressed, and the block's place in the stream of the task that encoded it."""
 
     def work(batches: Iterator[pa.RecordBatch]):
         import zstandard
         from pyspark import TaskContext
 
-        part, at, table, end = TaskContext.get().partitionId(), 0, ChunkTable(model), np.array([processor(model).eos_id()])
-        press = zstandard.ZstdCompressor(level=3)
+        part, at, table, end = TaskContext.get().partitionId(), 0, chunk_table(model), np.array([processor(model).eos_id()], dtype=np.int32)
+        press = zstandard.ZstdCompressor(level=5)
         for whole in batches:
-            for lo in range(0, whole.num_rows, SLICE):
-                b = whole.slice(lo, SLICE)
-                ids = [np.concatenate([x, end]).astype("<u2") for x in table.encode(b.column(1).to_pylist())]
-                starts = at + np.cumsum([0, *map(len, ids)])
-                at = int(starts[-1])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([part] * len(ids), pa.int64()), pa.array(starts[:-1], pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([press.compress(x.tobytes()) for x in ids], pa.binary())],
-                    names=["doc_id", "part", "start", "n", "ids"],
-                )
+            lo = 0
+            while lo < whole.num_rows:
+                docs_, ids, n = [], [], 0
+                while lo < whole.num_rows and len(docs_) < SLICE and n < BLOCK_IDS:
+                    b = whole.slice(lo, SLICE // 8)
+                    found = table.encode(b.column(1).to_pylist())
+                    docs_ += b.column(0).to_pylist()
+                    ids += [np.concatenate([x, end]) for x in found]
+                    n, lo = n + sum(map(len, found)) + len(found), lo + len(found)
+                packed = press.compress(np.concatenate(ids).astype("<u2").tobytes())
+                row = [[part], [at], [docs_], [[len(x) for x in ids]], [packed]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()))], names=["part", "start", "doc_ids", "lengths", "ids"])
+                at += n
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return wanted.mapInArrow(work, "doc_id long, part long, start long, n long, ids binary")
+    return wanted.mapInArrow(work, "part long, start long, doc_ids array<long>, lengths array<long>, ids binary")
 
 
-def pieces(stored: DataFrame, layout: Layout, end: int) -> DataFrame:
-    """Each document's pieces of sequences: slot, sequence, where in the sequence, doc_id and the ids, compressed."""
-    streams = stored.groupBy("part").agg(F.max(F.col("start") + F.col("n")).alias("ids"))
+def pieces(stored: DataFrame, total: int, layout: Layout, end: int) -> DataFrame:
+    """Each block's pieces of sequences: slot, sequence, where in the sequence, the documents and the ids, compressed."""
+    length = F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x)
+    streams = stored.groupBy("part").agg(F.max(F.col("start") + length).alias("ids"))
     before = F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     bases = streams.select("part", F.coalesce(before, F.lit(0)).alias("base"))  # a row for each task of the encoding
-    total = stored.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sequences = -(-total // layout.length)
-    placed = stored.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n", "ids")
+    placed = stored.join(F.broadcast(bases), "part").select((F.col("base") + F.col("start")).alias("start"), "doc_ids", "lengths", "ids")
+    size, sequences = layout.length, -(-total // layout.length)
 
     def work(batches: Iterator[pa.RecordBatch]):
         import zstandard
 
-        press, unpress, size = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor(), layout.length
+        press, unpress = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         for b in batches:
-            out = []
-            for doc_id, start, n, packed in zip(*(b.column(k).to_pylist() for k in range(4))):
+            for start, doc_ids, lengths, packed in zip(*(b.column(k).to_pylist() for k in range(4))):
                 ids = np.frombuffer(unpress.decompress(packed), dtype="<u2")
-                if start + n == total:
+                ends = start + np.cumsum(lengths)
+                if start + len(ids) == total:
                     ids = np.concatenate([ids, np.full(sequences * size - total, end, dtype="<u2")])
                 numbers = np.arange(start // size, (start + len(ids) - 1) // size + 1)
-                for number, slot in zip(numbers.tolist(), slots(numbers, sequences, layout.key, layout.rounds).tolist()):
-                    lo, hi = max(start, number * size), min(start + len(ids), (number + 1) * size)
-                    out.append((slot, number, lo - number * size, doc_id, press.compress(ids[lo - start : hi - start].tobytes())))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)], names=["slot", "sequence", "at", "doc_id", "ids"])
+                lo, hi = np.maximum(start, numbers * size), np.minimum(start + len(ids), (numbers + 1) * size)
+                # The documents whose ids lie in [lo, hi): from the first that ends behind lo to the first that ends at or behind hi.
+                first, last = np.searchsorted(ends, lo, side="right"), np.minimum(np.searchsorted(ends, hi, side="left"), len(ends) - 1)
+                first = np.minimum(first, len(ends) - 1)
+                data = [press.compress(ids[x:y].tobytes()) for x, y in zip((lo - start).tolist(), (hi - start).tolist())]
+                columns = [
+                    pa.array(slots(numbers, sequences, layout.key, layout.rounds)), pa.array(numbers), pa.array((lo - numbers * size).astype(np.int32)),
+                    pa.array([doc_ids[x : y + 1] for x, y in zip(first.tolist(), last.tolist())], pa.list_(pa.int64())), pa.array(data, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["slot", "sequence", "at", "doc_ids", "ids"])
 
-    return placed.mapInArrow(work, "slot long, sequence long, at int, doc_id long, ids binary")
+    return placed.mapInArrow(work, "slot long, sequence long, at int, doc_ids array<long>, ids binary")
 
 
 def open_folder(path: str):
@@ -136,8 +149,12 @@ def materialise(docs: DataFrame, model: str, folder: str, layout: Layout = Layou
     The files are written when the result is.
     """
     stored = staged(encoded(docs, model), "token-ids")
-    rows = pieces(stored, layout, processor(model).eos_id()).withColumn("shard", F.floor(F.col("slot") / layout.shard_rows).cast("long"))
-    ranged = rows.repartitionByRange("shard").sortWithinPartitions("slot", "at")
+    total = stored.agg(F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x)), F.lit(0))).first()[0]
+    rows = pieces(stored, total, layout, processor(model).eos_id()).withColumn("shard", F.floor(F.col("slot") / layout.shard_rows).cast("long"))
+    # Slots are dense and even, so the ranges are known: whole shards, the same number to each task, without sampling.
+    tasks, shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (layout.length * layout.shard_rows))
+    tasks = max(1, min(tasks, shards))
+    ranged = rows.repartitionById(tasks, F.floor(F.col("shard") * tasks / max(shards, 1)).cast("int")).sortWithinPartitions("slot", "at")
 
     def work(batches: Iterator[pa.RecordBatch]):
         import uuid
@@ -161,7 +178,7 @@ def materialise(docs: DataFrame, model: str, folder: str, layout: Layout = Layou
                 system.move(name, f"{root}/{shard_name(shard)}")
 
         for b in batches:
-            for slot, sequence, doc_id, packed, of in zip(*(b.column(k).to_pylist() for k in range(5))):
+            for slot, sequence, docs_, packed, of in zip(*(b.column(k).to_pylist() for k in range(5))):
                 if not now or slot != now[0]:
                     close_sequence()
                     now = (slot, sequence, [], [])
@@ -169,7 +186,7 @@ def materialise(docs: DataFrame, model: str, folder: str, layout: Layout = Layou
                         close_shard()
                         shard, name = of, f"{root}/.{shard_name(of)}-{uuid.uuid4().hex}"
                         stream = system.open_output_stream(name)
-                now[2].append(doc_id)
+                now[2].extend(docs_)
                 now[3].append(unpress.decompress(packed))
             if done:
                 yield listed(done)
@@ -183,7 +200,7 @@ def materialise(docs: DataFrame, model: str, folder: str, layout: Layout = Layou
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=["slot", "shard", "sequence", "doc_ids", "ids_sha256"])
 
-    return ranged.select("slot", "sequence", "doc_id", "ids", "shard").mapInArrow(work, "slot long, shard long, sequence long, doc_ids array<long>, ids_sha256 string")
+    return ranged.select("slot", "sequence", "doc_ids", "ids", "shard").mapInArrow(work, "slot long, shard long, sequence long, doc_ids array<long>, ids_sha256 string")
 
 
 def read_slots(folder: str, first: int, last: int, layout: Layout = Layout()) -> Iterator[np.ndarray]:
