@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def cuts(df: DataFrame, column: str, probabilities: Sequence[float], error: float = 1e-3) -> DataFrame:
-    """One row, q0, q1, ...: the exact discrete quantiles of ``column``, nulls left out.
+def cuts(df: DataFrame, column: str, probabilities: Sequence[float], error: float = 1e-3, weight: str | None = None) -> DataFrame:
+    """One row, q0, q1, ...: the exact discrete quantiles of ``column``, nulls left out. A row counts ``weight`` times.
 
     A sketch first brackets each quantile; the rows below each bracket are counted and only the distinct values inside
     are ranked. What meets in one task is a share of about 4 * ``error`` of the distinct values, not all of them.
     """
-    values = df.select(F.col(column).alias("x")).where("x is not null")
+    values = df.select(F.col(column).alias("x"), (F.col(weight) if weight else F.lit(1)).cast("int").alias("w")).where("x is not null")
+    repeated = values.select("x", F.explode(F.array_repeat(F.lit(True), F.col("w")))) if weight else values
     ends = [p for q in probabilities for p in (max(q - 2 * error, 0.0), min(q + 2 * error, 1.0))]
-    sketch = values.agg(F.percentile_approx("x", ends, round(1 / error)).alias("ends"), F.count("*").alias("n"))
-    bracketed = values.groupBy("x").agg(F.count("*").alias("rows")).crossJoin(F.broadcast(sketch))
+    sketch = repeated.agg(F.percentile_approx("x", ends, round(1 / error)).alias("ends"), F.count("*").alias("n"))
+    bracketed = values.groupBy("x").agg(F.sum("w").alias("rows")).crossJoin(F.broadcast(sketch))
     lo = lambda i: F.element_at("ends", 2 * i + 1)
     hi = lambda i: F.element_at("ends", 2 * i + 2)
     per_quantile = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("p"), (F.col("x") < lo(i)).alias("below"), F.col("x").between(lo(i), hi(i)).alias("inside")) for i, q in enumerate(probabilities)])

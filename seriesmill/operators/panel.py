@@ -121,8 +121,9 @@ def demand_buckets(panel: DataFrame, spec: PanelSpec = MONTHLY, per_product: boo
     Deciles are over panel rows, so long series weigh more; ``per_product`` counts each series once.
     """
     out = panel.withColumn("avg_demand_quantity", F.avg(spec.v).over(spec.whole))
-    of = panel.groupBy(spec.product).agg(F.avg(spec.v).alias("avg_demand_quantity")) if per_product else out
-    deciles = cuts(of, "avg_demand_quantity", [k / 10 for k in range(1, 10)])
+    # One row per series with its number of rows says as much as all rows, and needs no shuffle of its own.
+    series = panel.groupBy(spec.product).agg(F.avg(spec.v).alias("avg_demand_quantity"), F.count("*").alias("rows"))
+    deciles = cuts(series, "avg_demand_quantity", [k / 10 for k in range(1, 10)], weight=None if per_product else "rows")
     bucket = F.when(F.col("avg_demand_quantity") <= F.col("q0"), "B1")
     for k in range(1, 9):
         bucket = bucket.when(F.col("avg_demand_quantity") <= F.col(f"q{k}"), f"B{k + 1}")
