@@ -169,3 +169,25 @@ def test_mix_edges(spark, bucket_rows):
     assert mixing.mix_documents(docs, mix).columns == docs.columns
     assert mixing.plan(docs.limit(0)).count() == 0 and mixing.mix_documents(docs.limit(0)).count() == 0
     assert mixing.plan(docs.where(F.col("source") == "zero")).first()["target"] == 0.0
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, repeated rows, and columns with the names that stages use themselves."""
+    long = "word other thing here " * 3_000
+    rows = [(1, None, None, None), (None, "some text to keep around", "en", "a"), (2, "", "en", "a"), (2, "", "en", "a"), (3, long, None, "b"), (4, long.upper(), "de", None), (5, " \n ", "en", "a")]
+    docs = spark.createDataFrame([(*r, 0, 1, 2, "s") for r in rows], "doc_id long, text string, lang string, source string, at int, fp int, size int, score string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, None, 0), (None, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, out, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        out = spark.read.parquet(f"{tmp_path}/{name}")
+        assert out.columns == docs.columns
+    found = corpus_pipeline.STAGES[-1][1](spark, out, str(tmp_path)).collect()
+    assert found and all(r.n_tokens >= 1 for r in found)
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
