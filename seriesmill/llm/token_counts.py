@@ -57,14 +57,25 @@ class PieceCounter:
 
     def of_chunk(self, chunk: str) -> int:
         """Pieces on the best path through ``chunk``, markers included."""
+        if not self.single.issuperset(chunk):
+            return self.with_unknown(chunk)
+        best, count = [0.0] + [float("-inf")] * len(chunk), [0] * (len(chunk) + 1)
+        # Matches come by their end, the longest first: the path whose last piece starts first wins a tie.
+        for last, (length, score) in self.automaton.iter(chunk):
+            start, end = last + 1 - length, last + 1
+            if (total := best[start] + score) > best[end]:
+                best[end], count[end] = total, count[start] + 1
+        return count[-1]
+
+    def with_unknown(self, chunk: str) -> int:
+        """The same for chunks with characters that have no piece of their own."""
         ends: dict[int, list[tuple[int, float]]] = {}
         for last, found in self.automaton.iter(chunk):
             ends.setdefault(last + 1, []).append(found)
         best, count, unknown = [0.0], [0], [False]
         for end in range(1, len(chunk) + 1):
-            # Longest first: the path whose last piece starts first wins a tie.
             top, pieces, was = None, 0, False
-            for length, score in sorted(ends.get(end, ()), reverse=True):
+            for length, score in ends.get(end, ()):
                 if top is None or best[end - length] + score > top:
                     top, pieces, was = best[end - length] + score, count[end - length] + 1, False
             char = chunk[end - 1]
@@ -84,16 +95,12 @@ class PieceCounter:
         for c in chunks:
             n = table.get(c)
             if n is None:
-                n = self.of_chunk(MARK + self.marked(c))
+                n = self.of_chunk(MARK + c.replace(" ", MARK))
                 if len(c) <= TABLE_CHARS:
                     table[c] = n
             total += n
         return total
 
-    @staticmethod
-    def marked(chunk: str) -> str:
-        return chunk.replace(" ", MARK)
-
 
 @lru_cache(maxsize=2)
 def piece_counter(model: str) -> PieceCounter:
