@@ -7,9 +7,10 @@ written to shared files in the order of bucket and key, with a range of buckets
 is run again from those files.
 
 Owners read their files in order and chain: a key's texts are compared by their bytes with the heads of its chain, and
-a text that equals none becomes a further head. A key that a reader meets first or last may go on in another reader's
-range, so its heads are merged in a second, small step that groups them by key and text. A key with a third of all
-rows is thus spread over many files and readers: rows of a key are ordered by row number, so ranges cut through it.
+a text that equals none becomes a further head. A key that is first or last in a file, or in a split of one, may go on
+in another, which any reader may hold, as Spark packs files by size. So its heads are merged in a second, small step
+that groups them by key and text. A key with a third of all rows is thus spread over many files and readers: rows of a
+key are ordered by row number, so ranges cut through it.
 
 Two texts are equal when they are identical after lower-casing A-Z; null counts as empty. The row with the largest
 doc_id stays (null doc_ids come last; of rows with equal doc_ids one stays, fixed when the index is written).
@@ -70,7 +71,7 @@ def index(docs: DataFrame, key: str, text: str, most_bits: int, capacity: int) -
 
 
 class Chain:
-    """The chains of one reader: rows come in the order of their hash, one after the other."""
+    """The chains of one reader: rows of a file or split come in the order of their hash, one after the other."""
 
     COLUMNS = {"at": pa.int64(), "class": pa.int64(), "hash": pa.int64(), "whole": pa.bool_(), "keep": pa.int64(), "keep_at": pa.int64(), "size": pa.int64(), "text": pa.string()}
     #: Rows of one key that are held; a longer run is handed on in parts, which the second step merges.
@@ -97,6 +98,11 @@ class Chain:
             head |= {"keep": id, "keep_at": at}
         self.rows.append((at, head))
 
+    def edge(self) -> None:
+        """A file or split ends and another may begin: the keys on both sides may go on elsewhere."""
+        self.close(last=True)
+        self.cut = True
+
     def close(self, last: bool = False) -> None:
         whole = not (self.cut or last)
         for at, h in self.rows:
@@ -119,17 +125,20 @@ def owners(pages: DataFrame) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]):
-        chain = Chain()
+        chain, split = Chain(), None
         for b in batches:
-            ats, ids, hashes = (b.column(k).to_pylist() for k in (0, 1, 3))
-            for at, id, text, hash in zip(ats, ids, b.column(2), hashes):
+            ats, ids, hashes, files, starts = (b.column(k).to_pylist() for k in (0, 1, 3, 4, 5))
+            for at, id, text, hash, *found in zip(ats, ids, b.column(2), hashes, files, starts):
+                if found != split:
+                    chain.edge()
+                    split = found
                 chain.add(at, id, text.as_py(), hash)
             yield chain.taken()
-        chain.close(last=True)
+        chain.edge()
         yield chain.taken()
 
     schema = "at long, class long, hash long, whole boolean, keep long, keep_at long, size long, text string"
-    return pages.select("at", "id", "norm", "hash").mapInArrow(read, schema)
+    return pages.select("at", "id", "norm", "hash", F.input_file_name(), F.input_file_block_start()).mapInArrow(read, schema)
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", most_bits: int = 16, capacity: int = 4_096) -> tuple[DataFrame, DataFrame]:

@@ -39,6 +39,24 @@ def test_chains_compare_bytes_and_merge_over_readers(spark):
     assert {(r.text, r.n, r.keep) for r in heads} == {(f"text {k}", 20, 57 + k) for k in range(3)}
 
 
+def test_many_files_of_one_reader(spark):
+    """Files that hold a hot key and others, cut anywhere and read several by one reader in no order of keys."""
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i % 29}") for i in range(1_000)]
+    confs = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        pages, found = exact_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert pages.rdd.getNumPartitions() < len(pages.inputFiles())
+        got = found.join(pages.select("at", "id"), "at").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((str(r.id), str(r.keep), r.size) for r in got) == plain(rows)
+    assert sum(r.kept for r in got) == len({t for _, t in rows})
+
+
 def test_long_runs_are_handed_on_in_parts(monkeypatch):
     monkeypatch.setattr(exact_dedup.Chain, "HELD", 4)
     chain = exact_dedup.Chain()
