@@ -34,11 +34,14 @@ NOT_MAIN = (
     "sidebar side widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager masthead topbar header footer colophon copyright legal comment comments reply replies disqus respond "
     "share sharing social related recommended newsletter subscribe signup login search toolbar skip hidden"
 ).split()
+#: Words that may stand beside those in a name without changing what it names.
+PLACES = "left right top bottom upper lower first second primary secondary site global page mobile desktop sticky fixed visually slot unit box block area bar panel list links link items item buttons button icons form wrap wrapper container inner outer posts articles stories section zone".split()
 
 OPAQUE = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({'|'.join(RAW)})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""")
-NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+HEADINGS = "h1 h2 h3 h4 h5 h6".split()
 WORDS = re.compile("[a-z]+")
 COMMENT = re.compile("(comment|reply)(?![a-z])")
 TITLED = ("article", "content", "entry", "post", "story")
@@ -47,13 +50,11 @@ WINDOW, SHARE, LINKED = 3, 0.1, 0.5
 
 
 def says_beside(token: str, in_main: bool) -> bool:
-    """Whether a class, id or role names something beside main text: by its first or last word ("ad-slot", "left-sidebar")."""
+    """Whether a class, id or role as a whole names something beside main text: all its words do, or say where it stands ("ad-slot", "left-sidebar")."""
     words = WORDS.findall(token)
-    if not words or words[0] in ("has", "no", "with", "without"):
+    if words and words[-1] == "header" and (in_main or words[0] in TITLED):
         return False
-    if words[-1] == "header" and (in_main or words[0] in TITLED):
-        return False
-    return words[0] in NOT_MAIN or words[-1] in NOT_MAIN
+    return any(w in NOT_MAIN for w in words) and all(w in NOT_MAIN or w in PLACES for w in words)
 
 
 def beside(name: str, attributes: str, in_main: bool) -> bool:
@@ -62,10 +63,16 @@ def beside(name: str, attributes: str, in_main: bool) -> bool:
         return True
     if not attributes or name in ("html", "body", "main"):
         return False
-    tokens = " ".join(m[1] or m[2] or m[3] or "" for m in NAMED.finditer(attributes)).lower().split()
+    given: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    tokens = f"{given.get('class', '')} {given.get('role', '')}".lower().split()
+    slugs = given.get("id", "").lower().split()
     if name == "article":
-        return any(COMMENT.match(t) for t in tokens)
-    return any(says_beside(t, in_main) for t in tokens) or bool(HIDDEN.search(attributes))
+        return any(COMMENT.match(t) for t in tokens + slugs)
+    if name not in HEADINGS and name not in INLINE:  # ids of those are made of their own words
+        tokens += slugs
+    return any(says_beside(t, in_main) for t in tokens) or "hidden" in given or given.get("aria-hidden", "").lower() == "true" or NO_DISPLAY.search(given.get("style", "")) is not None
 
 
 class Lines:

@@ -65,6 +65,24 @@ def test_main_text(page):
     assert html_extract.main_text(page) == PAGES[page]
 
 
+NAMES = {
+    "<p>See <a href='/hidden-gems'>gems</a> and <a title='The hidden cost' href=x>costs</a> in this sentence</p>": "See gems and costs in this sentence",
+    "<div class='overflow-hidden'><p>Wrapped text.</p></div>": "Wrapped text.",
+    "<section id='hidden-markov-models'><p>Models.</p></section><p>More.</p>": "Models.\nMore.",
+    "<h2 id='related-work'>Related work</h2><p>Text of it.</p><section id='search-algorithms'><p>Trees.</p></section>": "Related work\nText of it.\nTrees.",
+    "<h2 id=search>Search</h2><p>Text <a id=legal>of law</a>.</p>": "Search\nText of law.",
+    "<div class='elementor-widget'><p>Built.</p></div><div class='main-with-sidebar'><p>Main.</p></div>": "Built.\nMain.",
+    "<div aria-label='Results of the search'><p>Found.</p></div>": "Found.",
+    "<div data-x='display:none'><p>Seen.</p></div><div style='color:red; display: none'>no</div><p hidden=''>no</p><p aria-hidden=true>no<p hidden>no": "Seen.",
+    "<p>Text.</p><div class='ad-slot'>no</div><div id=left_sidebar>no</div><div class=related-posts>no</div><div role=navigation>no</div>": "Text.",
+}
+
+
+@pytest.mark.parametrize("page", NAMES)
+def test_names_are_judged_whole(page):
+    assert html_extract.main_text(page) == NAMES[page]
+
+
 def test_regions():
     assert html_extract.regions([]) == []
     assert html_extract.regions([5, 0, 7, 0, 0, 0, 9]) == [(0, 3, 12), (6, 7, 9)]
