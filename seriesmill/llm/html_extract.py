@@ -4,12 +4,14 @@ Markup is stripped into lines: a block element's text, its white space turned in
 that never hold main text (menus, page headers and footers, sidebars, notices, adverts, forms, scripts, styles, reader
 comments) leave blank lines instead. Text lengths are summed over sliding windows of lines; where a window's sum leaves
 zero text surges, where it falls back to zero it dives, and the lines between make a region. The text from the first
-to the last region that is strong enough is kept, whole. Inside an <article> or <main>, which says where the
-text is, any region is strong enough; elsewhere a region needs a share of the strongest window, and fewer than
-half of its characters in links. Headings right before the first region belong to it.
+to the last region that is strong enough is kept, whole. If the strongest window, less its links, is inside an <article>
+or <main>, these say where the text is: what is outside is left out, and any region inside is strong enough. Otherwise
+they say nothing (teasers, say), and a region needs a share of the strongest window, and fewer than half of its
+characters in links. Headings right before the first region belong to it.
 
 Null and empty pages give an empty text. Pages are independent; repeated rows and ties need no rule; unclosed
-elements end where their parent does or where main text begins.
+elements end where their parent does or where main text begins. An <article> inside a closed element that never holds
+main text goes with it, unless that is a form: whole pages are put in one.
 """
 
 from __future__ import annotations
@@ -83,15 +85,17 @@ class Lines:
         self.parts: list[str] = []
         self.linked = self.links = self.main = 0
         self.heading = False
-        self.skip: tuple[str, int] | None = None
+        #: The skipped element's name, place in the page and depth, and the depth of articles inside.
+        self.skip: tuple[str, int, int, int] | None = None
+        self.ended: set[int] | None = None
         page = OPAQUE.sub(lambda m: m[0][9:-3] if m[0].startswith("<![CDATA[") else "<wbr>" if m[0].startswith("<!--") else " ", page)
-        at = 0
+        self.page, at = page, 0
         for m in TAG.finditer(page):
             self.text(page[at : m.start()])
             at = m.end()
             close, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
             if name:
-                self.tag(bool(close), name.lower(), attributes or "")
+                self.tag(bool(close), name.lower(), attributes or "", m.start())
         self.text(page[at:])
         self.end()
 
@@ -111,16 +115,30 @@ class Lines:
         self.end()
         self.lines += [None] * WINDOW
 
-    def tag(self, close: bool, name: str, attributes: str) -> None:
+    def has_end(self, start: int) -> bool:
+        """Whether the element that starts there has an end tag of its own."""
+        if self.ended is None:
+            self.ended, opened = set(), {}
+            for m in TAG.finditer(self.page):
+                close, name = (m[1], m[2]) if m[2] else (m[4], m[5])
+                if name and not close:
+                    opened.setdefault(name.lower(), []).append(m.start())
+                elif name and opened.get(name.lower()):
+                    self.ended.add(opened[name.lower()].pop())
+        return start in self.ended
+
+    def tag(self, close: bool, name: str, attributes: str, start: int) -> None:
         starts_main = not close and name in ("article", "main") and not beside(name, attributes, True)
         if self.skip:
-            skipped, depth = self.skip
-            outer = close and name in ("body", "html", "article", "main") and name != skipped
-            if starts_main or outer or (skipped == "p" and name not in INLINE and not (close and name == "p")):
+            skipped, since, depth, articles = self.skip
+            begins = starts_main and (name == "main" or skipped == "form" or not self.has_end(since))
+            outer = close and name in ("body", "html", "article", "main") and name != skipped and not (name == "article" and articles)
+            if begins or outer or (skipped == "p" and name not in INLINE and not (close and name == "p")):
                 self.skip = None  # it ended without an end tag of its own
             else:
                 depth += (name == skipped) * (-1 if close else 1)
-                self.skip = (skipped, depth) if depth else None
+                articles += (name == "article" != skipped) * (-1 if close else 1)
+                self.skip = (skipped, since, depth, articles) if depth else None
                 return
         if name == "a":
             self.links = 0 if close else 1
@@ -130,7 +148,7 @@ class Lines:
             return
         if not close and name not in VOID and beside(name, attributes, self.main > 0):
             self.blank()
-            self.skip = (name, 1)
+            self.skip = (name, start, 1, 0)
             return
         self.end()
         if name in ("article", "main"):
@@ -158,10 +176,17 @@ def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, in
     return found
 
 
+def strongest_window(lengths: list[int]) -> int:
+    return max((strongest for *_, strongest in regions(lengths)), default=0)
+
+
 def main_text(page: str | None) -> str:
     """The page's main text, blocks joined by newlines."""
     lines = Lines(page or "").lines
     inside = any(x and x[2] for x in lines)
+    if inside:
+        within, without = ([len(x[0]) - x[1] if x and x[2] == side else 0 for x in lines] for side in (True, False))
+        inside = strongest_window(within) >= strongest_window(without)
     lengths = [len(x[0]) if x and (x[2] or not inside) else 0 for x in lines]
     found = regions(lengths)
     if not found:

@@ -83,6 +83,27 @@ def test_names_are_judged_whole(page):
     assert html_extract.main_text(page) == NAMES[page]
 
 
+BODY = "<p>" + "Long body text of the page. " * 9 + "</p>"
+TEXT = ("Long body text of the page. " * 9).strip()
+CARDS = "<article><h3>Teaser</h3><p>Read on.</p></article>" * 2
+NESTED = {
+    f"<div class=body>{BODY}</div><aside>{CARDS}</aside>": TEXT,
+    f"<div class=body>{BODY}</div><div class=related>{CARDS}</div>": TEXT,
+    f"<div class=body>{BODY}</div><section class=comments><article><p>first!</p></article><p>no</p></section>": TEXT,
+    f"<div class=body>{BODY}</div><hr><p>Next</p>{CARDS}": f"{TEXT}\nNext",
+    f"<article>{BODY}<aside>{CARDS}no</aside><p>End.</p></article><section class=comments><article>no</article></section>": f"{TEXT}\nEnd.",
+    f"<aside>unclosed<article>{BODY}</article>": TEXT,
+    f"<aside>unclosed<main>{BODY}</main><aside>no</aside>": TEXT,
+    f"<form><article>{BODY}</article></form>": TEXT,
+    f"<form><main>{BODY}</main></form>": TEXT,
+}
+
+
+@pytest.mark.parametrize("page", NESTED)
+def test_articles_beside_main_text(page):
+    assert html_extract.main_text(page) == NESTED[page]
+
+
 def test_regions():
     assert html_extract.regions([]) == []
     assert html_extract.regions([5, 0, 7, 0, 0, 0, 9]) == [(0, 3, 12), (6, 7, 9)]
