@@ -110,8 +110,8 @@ def walk_forward_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.walk_forward(X.panel(spark, sf_dir), refit_every=3, horizon=2)
 
 
-def walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = X.panel(spark, sf_dir).where("product like 'S%'")
+def walk_forward_scores(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
+    panel = X.panel(spark, sf_dir).where(series)
     out = S.walk_forward_means(panel, S.walk_forward(panel))
     return M.evaluate(out, by=["step"]).select("step", *rounded(["rmse", "mae"]))
 

@@ -49,8 +49,8 @@ def trend_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*KEYS, "time_index", "cumulative_demand", "velocity_1m", "trend_direction", *rounded([*kept, "acceleration", "relative_position"]))
 
 
-def trend_slope_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = T.trend_features(X.panel(spark, sf_dir).where("product like 'S%'"), periods=(6,), slope="ols")
+def trend_slope_ols(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
+    out = T.trend_features(X.panel(spark, sf_dir).where(series), periods=(6,), slope="ols")
     return out.where("time_index > 1").select(*KEYS, F.round("trend_strength_6m", 6).alias("trend_strength_6m"))
 
 
@@ -85,13 +85,13 @@ def ewm_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.ewm_volatility(X.panel(spark, sf_dir)).select(*KEYS, *nudged(["ewm_volatility_30", "ewm_volatility_50"]))
 
 
-def ewma_crossover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = E.ewma_crossover(X.panel(spark, sf_dir).where("product like 'S%'"))
+def ewma_crossover(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
+    out = E.ewma_crossover(X.panel(spark, sf_dir).where(series))
     return out.select(*KEYS, *nudged(["ewma_momentum", "ewma_signal", "ewma_divergence"]), "ewma_momentum_direction")
 
 
-def ewma_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = E.ewma_ratios(X.panel(spark, sf_dir).where("product like 'S%'"))
+def ewma_ratios(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
+    out = E.ewma_ratios(X.panel(spark, sf_dir).where(series))
     return out.select(*KEYS, *nudged(["value_to_ewma_ratio", "ewma_growth_rate"]))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..operators.panel import MONTHLY, class_statistics, clean_lines, complete_months, monthly_rollup
 
 SPEC = MONTHLY
+#: The series of queries whose SQL names the suppliers; whole_panel_queries has the same queries without it.
+DENSE = "product like 'S%'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

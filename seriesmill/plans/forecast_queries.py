@@ -159,20 +159,20 @@ def croston(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.croston(X.panel(spark, sf_dir)).select("product", F.round(F.col("croston") + 1e-7, 4).alias("croston"))
 
 
-def seasonal_smoothing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.seasonal_smoothing(X.panel(spark, sf_dir).where("product like 'S%'")).select("product", "position", "alpha", F.round(F.col("level") + 1e-7, 4).alias("level"))
+def seasonal_smoothing(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
+    return T.seasonal_smoothing(X.panel(spark, sf_dir).where(series)).select("product", "position", "alpha", F.round(F.col("level") + 1e-7, 4).alias("level"))
 
 
-def seasonal_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def seasonal_accuracy(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
     """Seasonal smoothing fitted before 2001, held against the months that follow."""
-    dense = X.panel(spark, sf_dir).where("product like 'S%'")
+    dense = X.panel(spark, sf_dir).where(series)
     train = dense.where("month_end < date'2001-01-01'")
     ahead = T.seasonal_forecast(train, T.seasonal_smoothing(train), 12)
     return T.forecast_accuracy(ahead, dense, ["seasonal"]).select("model", *rounded(["rmse", "mae"], 4))
 
 
-def next_month_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = X.panel(spark, sf_dir).where("product like 'S%'")
+def next_month_forecast(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
+    dense = X.panel(spark, sf_dir).where(series)
     ends = dense.groupBy("product").agg(F.max("month_end").alias("last"))
     ahead = T.future_months(ends, 3)
     return T.next_month(ahead.select("product", "month_end", "h"), ends)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import check_queries, feature_queries, forecast_queries, model_queries, panel_queries
+from . import check_queries, feature_queries, forecast_queries, model_queries, panel_queries, whole_panel_queries
 
-PARTS = (panel_queries, feature_queries, check_queries, forecast_queries, model_queries)
+PARTS = (panel_queries, feature_queries, check_queries, forecast_queries, model_queries, whole_panel_queries)
 QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
 ORACLE_SQL = {name: statement for part in PARTS for name, statement in part.ORACLE_SQL.items()}
