@@ -5,8 +5,9 @@ document lies in one chunk. Learned filters slide over a chunk, each chunk keeps
 (rectified), chunks are averaged, and a logistic unit makes one probability of the averages.
 
 It is fitted on the driver to a bounded sample: at most ``per_class`` labelled documents of each label, those with the
-least hash of their id, and at most ``train_chunks`` evenly spaced chunks of each. Scoring reads whole texts.
-Only text enters a score.
+least hash of their id, and of n chunks of each at most ``train_root`` times the root of n, evenly spaced: all chunks of
+texts up to 129 KB, a growing number of longer ones. Of rows with the same doc_id, the one with the least hash of its text
+is learned from. Scoring reads whole texts. Only text enters a score.
 
 Null and empty texts are scored as a chunk of zero bytes. Rows without a label, with another label than 0 or 1, or
 without doc_id are not learned from; a document with several labels counts with each. Without documents of both
@@ -16,6 +17,7 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -37,7 +39,8 @@ class Net:
     filters: int = 16
     chunk: int = 512
     per_class: int = 1_500
-    train_chunks: int = 4
+    train_root: int = 16
+    at_once: int = 1_024
     steps: int = 300
     batch: int = 48
     rate: float = 0.02
@@ -114,6 +117,15 @@ def scores(texts: list[bytes], model: Model, at_once: int = 64) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def strongest(chunks: np.ndarray, theta: dict[str, np.ndarray], net: Net) -> tuple[np.ndarray, np.ndarray]:
+    """Where in each chunk each filter answers most, and that answer."""
+    answers = theta["filters"][0][chunks[:, : net.hop]] + theta["bias"]
+    for j in range(1, net.width):
+        answers += theta["filters"][j][chunks[:, j : j + net.hop]]
+    place = answers.argmax(axis=1)
+    return place, np.take_along_axis(answers, place[:, None], axis=1)[:, 0]
+
+
 def fit(samples: list[tuple[np.ndarray, int]], net: Net = Net()) -> Model:
     """Fit to (chunks, label) pairs by Adam on the log loss; both labels weigh the same. The same samples give the same model."""
     labels = np.array([y for _, y in samples])
@@ -134,11 +146,7 @@ def fit(samples: list[tuple[np.ndarray, int]], net: Net = Net()) -> Model:
         chunks = np.concatenate([samples[i][0] for i in picked])
         owner = np.repeat(np.arange(len(picked)), [len(samples[i][0]) for i in picked])
         share = 1 / np.bincount(owner)[owner]
-        answers = theta["filters"][0][chunks[:, : net.hop]] + theta["bias"]
-        for j in range(1, net.width):
-            answers += theta["filters"][j][chunks[:, j : j + net.hop]]
-        place = answers.argmax(axis=1)
-        top = np.take_along_axis(answers, place[:, None], axis=1)[:, 0]
+        place, top = (np.concatenate(x) for x in zip(*(strongest(chunks[at : at + net.at_once], theta, net) for at in range(0, len(chunks), net.at_once))))
         h = np.zeros((len(picked), net.filters))
         np.add.at(h, owner, np.maximum(top, 0) * share[:, None])
         y = labels[picked]
@@ -168,13 +176,14 @@ def sample(docs: DataFrame, labels: DataFrame, net: Net = Net()) -> list[tuple[n
     order = [F.xxhash64("doc_id", F.lit(net.seed)), "doc_id"]
     few = [usable.where(F.col("y") == y).dropDuplicates().orderBy(*order).limit(net.per_class) for y in (0, 1)]
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text")).join(F.broadcast(few[0].union(few[1])), "doc_id")
+    chosen = chosen.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select("doc_id", "least.text", "y")
 
     def cut(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             out = []
             for text in b.column(1).to_pylist():
                 chunks = chunked(text, net)
-                at = np.unique(np.linspace(0, len(chunks) - 1, min(len(chunks), net.train_chunks)).round().astype(int))
+                at = np.unique(np.linspace(0, len(chunks) - 1, min(len(chunks), math.ceil(net.train_root * math.sqrt(len(chunks))))).round().astype(int))
                 out.append(chunks[at].tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(2)], names=["doc_id", "chunks", "y"])
 

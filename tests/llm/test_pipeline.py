@@ -87,6 +87,17 @@ def test_every_query_is_registered():
 # --- the classifier -----------------------------------------------------------------------------------------------------
 
 
+def test_sample_has_one_row_of_each_document_and_all_its_chunks(spark):
+    long = "some words " * 11_000
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(50)] + [(2, long), (3, None)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    net = quality_classifier.Net()
+    got = quality_classifier.sample(docs, labels, net)
+    assert len(got) == 3
+    assert max(len(chunks) for chunks, _ in got) == len(quality_classifier.chunked(long.encode(), net))
+    assert [y for _, y in got].count(1) == 1 and {len(c) for c, y in got if y == 1} == {1}
+
+
 def test_chunks_cover_every_window():
     net = quality_classifier.Net(width=4, chunk=16)
     for n in range(0, 120):
