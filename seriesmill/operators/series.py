@@ -56,7 +56,7 @@ def seasonal_smoothing(panel: DataFrame, spec: PanelSpec = PanelSpec(), season:
     def step(a: float):
         return lambda s, y: F.struct((s["level"] + a * (y - s["level"])).alias("level"), (s["sse"] + (y - s["level"]) * (y - s["level"])).alias("sse"))
 
-    tried = F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.aggregate(F.slice("ys", 2, 100_000), start, step(a)).alias("end")) for a in alphas])
+    tried = F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.aggregate(F.slice("ys", 2, F.greatest(F.size("ys") - 1, F.lit(0))), start, step(a)).alias("end")) for a in alphas])
     best = F.array_min(F.transform(tried, lambda x: F.struct(F.round(x["end"]["sse"], 6).alias("sse"), x["alpha"].alias("alpha"), x["end"]["level"].alias("level"))))
     return per.select(spec.product, "position", best.alias("b")).select(spec.product, "position", "b.alpha", "b.level")
 

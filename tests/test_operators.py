@@ -338,3 +338,11 @@ def test_streaming_rollup(spark, tmp_path):
     query.stop()
     months = merge_months(spark.createDataFrame([], "product string, month_end date, quantity double"), spark.table("closed_days"))
     assert {r.month_end: r.quantity for r in months.collect()}[dt.date(2024, 2, 29)] == 29.0
+
+
+def test_seasonal_smoothing_of_a_long_series(spark):
+    """The last values of one place of the season count, however many come before them."""
+    n = 100_060
+    days = spark.range(n).select(F.lit("a").alias("product"), F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")).alias("month_end"), F.when(F.col("id") >= n - 50, 100.0).otherwise(0.0).alias("quantity"))
+    found = series.seasonal_smoothing(days, season=1, alphas=(0.5,)).collect()
+    assert len(found) == 1 and found[0].level > 99.9
