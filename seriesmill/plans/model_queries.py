@@ -94,7 +94,7 @@ def native_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _dense(spark, sf_dir)
-    return L.permutation_importance(L.train(train, _small()["linear"], FEATURES), test, ["quantity", "month"], repeats=1)
+    return L.permutation_importance(L.train(train, _small()["linear"], FEATURES), test, list(FEATURES))
 
 
 def stacked_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -346,3 +346,10 @@ def test_seasonal_smoothing_of_a_long_series(spark):
     days = spark.range(n).select(F.lit("a").alias("product"), F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")).alias("month_end"), F.when(F.col("id") >= n - 50, 100.0).otherwise(0.0).alias("quantity"))
     found = series.seasonal_smoothing(days, season=1, alphas=(0.5,)).collect()
     assert len(found) == 1 and found[0].level > 99.9
+
+
+def test_permutation_importance_query_scores_every_feature(spark):
+    from seriesmill.plans import model_queries
+
+    found = model_queries.permutation_importance(spark, "/root/testdata/sf0.001").collect()
+    assert {r.feature for r in found} == set(model_queries.FEATURES) and any(r["std"] > 0 for r in found)
