@@ -2,14 +2,17 @@
 
 No piece of the vocabularies this serves joins a character to a white-space marker on its right, so merges never
 leave a chunk: a run of markers with the characters up to the next one. A chunk is therefore segmented the same
-wherever it stands. Each Python worker keeps a table of the distinct chunks it has met, segments a chunk once with the
-library itself, and puts documents' ids together from the table by position.
+wherever it stands. The chunks of a slice of documents are reduced to the distinct ones, those are looked up in a table
+that the Python worker keeps, new ones are segmented once with the library itself, and the documents' ids are put together
+from the distinct chunks' ids by position.
 
-The table is bounded and belongs to a worker. A table of all chunks of the corpus would grow with the corpus, and
-joining it back would shuffle a row for every word.
+The table is bounded and belongs to a worker: when it is full, chunks that only one slice has met are forgotten. A table of
+all chunks of the corpus would grow with the corpus, and joining it back would shuffle a row for every word.
 
-Null texts are encoded as empty ones (the end id alone). Rows are independent, so ties and repeated rows need no
-rule; every other column is passed through untouched.
+Null texts are encoded as empty ones (the end id alone); null lists of ids are decoded as empty ones, null ids in a list
+are skipped. Texts of any length are encoded whole; slices are cut by their characters, so a task holds few long
+texts at once. Rows are independent, so ties and repeated rows need no rule. Every other column is passed through
+untouched; one that has the name of the column to be made is an error. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,12 +20,13 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +34,28 @@ from pyspark.sql import types as T
 from .common import text_of
 
 MARK = "▁"
-#: Entries kept by a task; when they are exceeded the table starts anew. Longer chunks are segmented but not kept.
+#: Entries kept by a worker, and the characters of the longest chunk that is kept. Longer ones are segmented each time.
 TABLE_ENTRIES, TABLE_CHARS = 400_000, 64
-#: Documents that are worked on together.
-SLICE = 256
+#: Documents, and bytes of their texts, that are worked on together; a longer document is alone.
+SLICE, SLICE_BYTES = 1_024, 4 << 20
+
+
+def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices that are bounded by rows and by the bytes of column ``text``."""
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(size), 0
+    while at < batch.num_rows:
+        fits = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, side="right"))
+        behind = max(at + 1, min(fits, at + SLICE))
+        yield batch.slice(at, behind - at)
+        at = behind
+
+
+def new_column(columns: list[str], name: str) -> str:
+    """``name``, if no column has it yet."""
+    if name.lower() in (c.lower() for c in columns):
+        raise ValueError(f"there is a column {name} already; give another name")
+    return name
 
 
 @lru_cache(maxsize=2)
@@ -48,36 +70,76 @@ def crosses_marks(pieces) -> bool:
     return any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
 
 
+class Remembered:
+    """What ``find`` gives for chunks, each found once while it is remembered."""
+
+    def __init__(self, find: Callable[[list[str]], list], most: int = TABLE_ENTRIES):
+        self.find, self.most = find, most
+        self.table: dict = {}
+        #: Chunks that have been met again since the table was last full.
+        self.again: set[str] = set()
+
+    def of(self, chunks: list[str]) -> list:
+        """The findings for distinct ``chunks``, in their order."""
+        found = list(map(self.table.get, chunks))
+        places = [i for i, x in enumerate(found) if x is None]
+        if len(places) < len(chunks):
+            self.again.update(c for c, x in zip(chunks, found) if x is not None)
+        if places:
+            new = [chunks[i] for i in places]
+            for i, c, x in zip(places, new, self.find(new), strict=True):
+                found[i] = x
+                if len(c) <= TABLE_CHARS:
+                    self.table[c] = x
+        if len(self.table) > self.most:
+            self.table = {c: self.table[c] for c in self.again} if 2 * len(self.again) <= self.most else {}
+            self.again = set()
+        return found
+
+
+def cut(text: str) -> list[str]:
+    """The chunks of a text, its dummy prefix included; a chunk is named without its first marker."""
+    if not text:
+        return []
+    text = text.replace(MARK, " ")
+    if text[0] != " " and text[-1] != " " and "  " not in text:
+        return text.split(" ")
+    return [c[1:] for c in re.findall(" +[^ ]*", " " + text)]
+
+
+def distinct_chunks(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct chunks of ``texts``, which of them stands at each place, and the number of places of each text."""
+    parts = [cut(t) for t in texts]
+    coded = pa.array(list(chain.from_iterable(parts)), pa.large_string()).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False), np.fromiter(map(len, parts), np.int64, len(parts))
+
+
 class ChunkTable:
-    """Ids by chunk, as bytes of int32; a chunk is named without its first marker."""
+    """Encodes texts with ids by chunk."""
 
     def __init__(self, model: str):
         self.library = processor(model)
         if crosses_marks(self.library.id_to_piece(i) for i in range(self.library.get_piece_size())):
             raise ValueError("a piece crosses a white-space marker; chunks are not independent")
-        self.mark = np.array([self.library.piece_to_id(MARK)], dtype=np.int32).tobytes()
-        self.table: dict[str, bytes] = {}
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        """The chunks of a text, its dummy prefix included."""
-        if not text:
-            return []
-        text = text.replace(MARK, " ")
-        if text[0] != " " and text[-1] != " " and "  " not in text:
-            return text.split(" ")
-        return [c[1:] for c in re.findall(" +[^ ]*", " " + text)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.chunks(t) for t in texts]
-        if len(self.table) > TABLE_ENTRIES:
-            self.table.clear()
-        self.table[""] = self.mark
-        new = list(set(chain.from_iterable(cut)).difference(self.table))
-        found = dict(zip(new, (array("i", ids).tobytes() for ids in self.library.encode(new, num_threads=1)), strict=True))
-        self.table.update((c, ids) for c, ids in found.items() if len(c) <= TABLE_CHARS)
-        find = self.table if all(len(c) <= TABLE_CHARS for c in new) else {**self.table, **found}
-        return [np.frombuffer(b"".join(map(find.__getitem__, cs)), dtype=np.int32) for cs in cut]
+        self.mark = array("i", [self.library.piece_to_id(MARK)]).tobytes()
+        self.table = Remembered(self.segment)
+
+    def segment(self, chunks: list[str]) -> list[bytes]:
+        """Ids as bytes of int32; the library takes an empty text for one without a marker."""
+        return [array("i", ids).tobytes() if c else self.mark for c, ids in zip(chunks, self.library.encode(chunks, num_threads=1), strict=True)]
+
+    def encode(self, texts: list[str], end: list[int] = []) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+        """The ids of ``texts`` one after the other, ``end`` behind each, and how many each has."""
+        chunks, which, places = distinct_chunks(texts)
+        ids = [*self.table.of(chunks), array("i", end).tobytes()]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), dtype=np.int32), np.cumsum(lengths) - lengths
+        which = np.insert(which.astype(np.int64), np.cumsum(places), len(chunks))
+        taken = lengths[which]
+        behind = np.cumsum(taken)
+        out = flat[np.repeat(starts[which] - behind + taken, taken) + np.arange(behind[-1] if len(behind) else 0)]
+        behind = np.concatenate([[0], behind])
+        return out, np.diff(behind[np.concatenate([[0], np.cumsum(places + 1)])])
 
 
 @lru_cache(maxsize=2)
@@ -86,39 +148,51 @@ def chunk_table(model: str) -> ChunkTable:
     return ChunkTable(model)
 
 
+def lists(column: pa.ListArray) -> list[list[int]]:
+    """A column's lists, from its flat values; nulls are empty and left out."""
+    if column.values.null_count:
+        return [[i for i in v or () if i is not None] for v in column.to_pylist()]
+    flat = column.flatten().to_numpy(zero_copy_only=False).tolist()
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
+    return [flat[lo:hi] for lo, hi in zip([0, *ends], ends)]
+
+
 def encode_batches(batches: Iterator[pa.RecordBatch], model: str, text: str, ids: str, add_end: bool = True) -> Iterator[pa.RecordBatch]:
     """The batches with column ``ids`` in place of ``text``."""
-    table, end = chunk_table(model), np.array([processor(model).eos_id()] * add_end, dtype=np.int32)
+    table, end = chunk_table(model), [processor(model).eos_id()] * add_end
     for whole in batches:
-        for at in range(0, whole.num_rows, SLICE):
-            batch = whole.slice(at, SLICE)
-            place = batch.schema.get_field_index(text)
-            parts = [np.concatenate([x, end]) for x in table.encode([t or "" for t in batch.column(place).to_pylist()])]
-            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-            column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts)))
+        place = whole.schema.get_field_index(text)
+        for batch in slices(whole, place):
+            found, lengths = table.encode([t or "" for t in batch.column(place).to_pylist()], end)
+            column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(found))
             columns, names = list(batch.columns), list(batch.schema.names)
             columns[place], names[place] = column, ids
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def decode_batches(batches: Iterator[pa.RecordBatch], model: str, ids: str, text: str) -> Iterator[pa.RecordBatch]:
-    """The batches with column ``text``, the library's ``decode`` of ``ids``, at the end."""
+def decode_lists(model: str, ids: list[list[int]]) -> list[str]:
+    """The library's ``decode`` of each list."""
     library = processor(model)
+    return [library.decode(v) if v else "" for v in ids]
+
+
+def decode_batches(batches: Iterator[pa.RecordBatch], model: str, ids: str, text: str) -> Iterator[pa.RecordBatch]:
+    """The batches with column ``text``, the decoded ``ids``, at the end."""
     for batch in batches:
-        values = batch.column(batch.schema.get_field_index(ids))
-        texts = [library.decode(v) if v else "" for v in values.to_pylist()]
+        texts = decode_lists(model, lists(batch.column(batch.schema.get_field_index(ids))))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
 
 
 def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", add_end: bool = True) -> DataFrame:
     """``docs`` with the token ids of ``text`` in its place, as ``ids`` array<int>."""
+    new_column([c for c in docs.columns if c != text], ids)
     schema = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType())) if f.name == text else f for f in docs.schema])
     return docs.mapInArrow(lambda batches: encode_batches(batches, model, text, ids, add_end), schema)
 
 
 def decode(tokens: DataFrame, model: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``tokens`` with the decoded text as a further column."""
-    schema = T.StructType([*tokens.schema, T.StructField(text, T.StringType())])
+    schema = T.StructType([*tokens.schema, T.StructField(new_column(tokens.columns, text), T.StringType())])
     return tokens.mapInArrow(lambda batches: decode_batches(batches, model, ids, text), schema)
 
 
@@ -127,14 +201,14 @@ def round_trip_digests(docs: DataFrame, model: str) -> DataFrame:
     names = [str(i) for i in range(processor(model).get_piece_size())]
 
     def digests(batches):
-        for b in decode_batches(encode_batches(batches, model, "text", "ids"), model, "ids", "decoded"):
-            ids = b.column(1).to_pylist()
+        for b in encode_batches(batches, model, "text", "ids"):
+            ids = lists(b.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),
                     pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(" ".join(map(names.__getitem__, x)).encode()).hexdigest() for x in ids]),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in b.column(2).to_pylist()]),
+                    pa.array([hashlib.sha256(" ".join(map(names.__getitem__, x)).encode()).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decode_lists(model, ids)], pa.string()),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )

@@ -10,7 +10,9 @@ bytes where the vocabulary has byte pieces (else as one, with its neighbours of
 No piece reaches over a white-space marker, so a text's best path is the joined best paths of its chunks (a run of
 markers and what follows it). A Python worker keeps the counts of a bounded number of distinct chunks.
 
-Null and empty texts count 0. Rows are independent; ties and repeated rows need no rule.
+Null and empty texts count 0. Texts of any length are counted whole. Rows are independent; ties and repeated rows need no
+rule. Only the key and the text are read, so other columns may have any name; a key named n_tokens is an error. An empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -18,12 +20,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
-from .piece_codec import MARK, SLICE, TABLE_CHARS, TABLE_ENTRIES, ChunkTable, crosses_marks, processor
+from .piece_codec import MARK, Remembered, crosses_marks, distinct_chunks, new_column, processor, slices
 
 #: What an unknown character costs below the least score.
 UNKNOWN_PENALTY = 10.0
@@ -53,7 +56,7 @@ class PieceCounter:
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
         self.has_bytes = has_bytes
-        self.table: dict[str, int] = {}
+        self.table = Remembered(lambda chunks: [self.of_chunk(MARK + c.replace(" ", MARK)) for c in chunks])
 
     def of_chunk(self, chunk: str) -> int:
         """Pieces on the best path through ``chunk``, markers included."""
@@ -87,19 +90,11 @@ class PieceCounter:
             unknown.append(was)
         return count[-1]
 
-    def of_text(self, text: str) -> int:
-        table = self.table
-        if len(table) > TABLE_ENTRIES:
-            table.clear()
-        chunks, total = ChunkTable.chunks(text), 0
-        for c in chunks:
-            n = table.get(c)
-            if n is None:
-                n = self.of_chunk(MARK + c.replace(" ", MARK))
-                if len(c) <= TABLE_CHARS:
-                    table[c] = n
-            total += n
-        return total
+    def of_texts(self, texts: list[str]) -> np.ndarray:
+        chunks, which, places = distinct_chunks(texts)
+        counts = np.array(self.table.of(chunks), dtype=np.int64)
+        behind = np.concatenate([[0], np.cumsum(counts[which])])
+        return np.diff(behind[np.concatenate([[0], np.cumsum(places)])])
 
 
 @lru_cache(maxsize=2)
@@ -110,14 +105,13 @@ def piece_counter(model: str) -> PieceCounter:
 
 def count_tokens(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: ``key`` and n_tokens."""
+    new_column([key], "n_tokens")
 
     def counts(batches: Iterator[pa.RecordBatch]):
         counter = piece_counter(model)
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                b = whole.slice(at, SLICE)
-                n = pa.array([counter.of_text(t) for t in b.column(1).to_pylist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0), n], names=[key, "n_tokens"])
+            for b in slices(whole, 1):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counter.of_texts(b.column(1).to_pylist()))], names=[key, "n_tokens"])
 
     wanted = docs.select(F.col(key).cast("long").alias(key), text_of(text).alias("text"))
     return wanted.mapInArrow(counts, f"{key} long, n_tokens long")
