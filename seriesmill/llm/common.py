@@ -16,10 +16,12 @@ STAGED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that all executors share, ``spark.checkpoint.dir``. Where it is unset, only a local master gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="seriesmill-"))
     return _own_dir[0]
@@ -36,6 +38,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same, with the path, which ``remove`` takes once no plan reads it any more."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     STAGED.append(path)
@@ -50,15 +53,6 @@ def remove(spark: SparkSession, path: str) -> None:
         STAGED.remove(path)
 
 
-def without(rows: DataFrame, dropped: DataFrame, key: str, name: str) -> DataFrame:
-    """``rows`` less those whose ``key`` is in ``dropped``.
-
-    The dropped keys are written first, so that Spark knows their size: it broadcasts them below its own threshold, and
-    only above it are the rows shuffled.
-    """
-    return rows.join(staged(dropped.select(key), name), key, "left_anti")
-
-
 def text_of(column: str | Column) -> Column:
     """Null texts count as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -1,44 +1,66 @@
 """Exact deduplication by an extendible-hash index on shared files.
 
-Keys are the 64-bit hash of the normalised text. The directory has a cell for each prefix of the key; it doubles
-(cells take one more bit) while some bucket is overfull, and an overfull bucket is split between the two halves of its
-cells. Doubling ends at ``most_bits``: the directory has 2^most_bits cells at most, whatever the input. The index is
-written to shared files in the order of bucket and key, with a range of buckets to each owner task; an owner that is lost
-is run again from those files.
-
-Owners read their files in order and chain: a key's texts are compared by their bytes with the heads of its chain, and
-a text that equals none becomes a further head. A key that is first or last in a file, or in a split of one, may go on
-in another, which any reader may hold, as Spark packs files by size. So its heads are merged in a second, small step
-that groups them by key and text. A key with a third of all rows is thus spread over many files and readers: rows of a
-key are ordered by row number, so ranges cut through it.
-
-Two texts are equal when they are identical after lower-casing A-Z; null counts as empty. The row with the largest
-doc_id stays (null doc_ids come last; of rows with equal doc_ids one stays, fixed when the index is written).
-An empty table gives an empty result. Other columns may have any name: rows are carried as one struct.
+Keys are 64-bit hashes that equal texts share. The directory has a cell for each prefix of the key; it doubles (cells take
+one more bit) while some bucket holds more than ``capacity`` bytes of text, and an overfull bucket is split between the
+two halves of its cells. Its size is bounded: the capacity grows with the table where none is given, so that there are
+about EACH buckets to an owner, and there are MOST_OWNERS owners at most. Buckets are dealt to owner tasks by the
+directory, in ranges of keys and of about the same number of bytes; nothing is sampled or sorted over tasks.
+
+An owner gets its rows in order of key and chains: a key's texts are compared by their bytes with the heads of the
+key's chain, and a text that equals none becomes a further head. What it finds goes to shared files with the rows, and is
+read from there. A key whose rows hold more than ``capacity`` bytes is hot, and no directory can split it: its rows are
+dealt by row number to as many owners as it fills buckets, and the heads that these find are merged by key and text in a second,
+small step. So one key may hold any share of the rows.
+
+Two texts are equal when they are identical after lower-casing A-Z; null counts as empty. Texts of any length are compared
+whole. The row with the largest doc_id stays (null doc_ids come last; of rows with equal doc_ids one stays, fixed when the
+index is written). An empty table gives an empty result. Other columns may have any name: rows are carried as one struct.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ascii_lower, staged, text_of, without
+from .common import remove, staged, staged_at, text_of
 
+#: Bytes of text for an owner where the table has more than the shuffle's tasks would hold, owners at most, and buckets of each.
+OWNER_BYTES, MOST_OWNERS, EACH = 256 << 20, 1 << 16, 8
+#: Rows of one hot key, and bytes of them, that are chained together.
+HELD, HELD_BYTES = 65_536, 32 << 20
 
-def directory(fills: dict[int, int], most_bits: int, capacity: int) -> tuple[int, list[int]]:
-    """Bits of the directory and each cell's bucket, for the number of rows that have each ``most_bits``-bit prefix.
+
+def key_of(text: Column) -> Column:
+    """A hash that texts share if they are equal after lower-casing A-Z; ``lower`` folds more letters, and the bytes tell those apart."""
+    return F.xxhash64(F.lower(text))
+
+
+@dataclass(frozen=True)
+class Directory:
+    """The owner of each cell of ``bits`` bits, and how many owners there are."""
+
+    bits: int
+    buckets: list[int]
+    owners: list[int]
+    n_owners: int
+
+
+def buckets(fills: np.ndarray, capacity: int) -> tuple[int, list[int]]:
+    """Bits of the directory and each cell's bucket, for the bytes that have each prefix of log2(len(fills)) bits.
 
     It starts with one cell and one bucket. A bucket over ``capacity`` is split by its next bit; if its cells are already
-    of that many bits, the directory doubles first. A bucket is named by its first cell of ``most_bits`` bits.
+    of that many bits, the directory doubles first. A bucket is named by its first prefix.
     """
-    counts = np.zeros(1 << most_bits, dtype=np.int64)
-    for cell, n in fills.items():
-        counts[cell] = n
-    total = np.concatenate([[0], np.cumsum(counts)])
+    most_bits = len(fills).bit_length() - 1
+    total = np.concatenate([[0], np.cumsum(fills)])
     bits, leaves, open_ = 0, [], [(0, 0)]
     while open_:
         prefix, depth = open_.pop()
@@ -48,120 +70,170 @@ def directory(fills: dict[int, int], most_bits: int, capacity: int) -> tuple[int
             open_ += [(2 * prefix + 1, depth + 1), (2 * prefix, depth + 1)]
         else:
             leaves.append((lo, hi))
-    cells = np.zeros(1 << most_bits, dtype=np.int64)
+    cells = np.zeros(len(fills), dtype=np.int64)
     for lo, hi in leaves:
         cells[lo:hi] = lo
     return bits, cells[:: 1 << (most_bits - bits)].tolist()
 
 
-def index(docs: DataFrame, key: str, text: str, most_bits: int, capacity: int) -> DataFrame:
-    """The index on shared files: row number, the row, its id, hash and bucket, in the order of bucket and hash."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), F.xxhash64(ascii_lower(text_of(text))).alias("hash"))
-    rows = rows.withColumn("at", F.monotonically_increasing_id())
-    cell = F.shiftrightunsigned("hash", 64 - most_bits)
-    fills = rows.groupBy(cell.alias("cell")).count().collect()  # 2^most_bits rows at most
-    bits, cells = directory({r["cell"]: r["count"] for r in fills}, most_bits, capacity)
-    buckets = docs.sparkSession.createDataFrame([(i, b) for i, b in enumerate(cells)], "cell long, bucket long")
-    of_cell = F.shiftrightunsigned("hash", 64 - bits) if bits else F.lit(0).cast("long")
-    placed = rows.withColumn("cell", of_cell).join(F.broadcast(buckets), "cell")
-    # Ranges of (bucket, hash, row): owners have ranges of buckets, and one key's rows may fill several.
-    dealt = placed.repartitionByRange("bucket", "hash", "at").sortWithinPartitions("bucket", "hash", "at")
-    # Texts are kept once, as they came; their normal form is made again where it is compared.
-    return staged(dealt.select("at", "row", "id", "hash", "bucket"), "hash-index").withColumn("norm", ascii_lower(text_of(F.col("row")[text])))
-
-
-class Chain:
-    """The chains of one reader: rows of a file or split come in the order of their hash, one after the other."""
-
-    COLUMNS = {"at": pa.int64(), "class": pa.int64(), "hash": pa.int64(), "whole": pa.bool_(), "keep": pa.int64(), "keep_at": pa.int64(), "size": pa.int64(), "text": pa.string()}
-    #: Rows of one key that are held; a longer run is handed on in parts, which the second step merges.
-    HELD = 65_536
-
-    def __init__(self):
-        self.hash, self.cut, self.heads, self.rows = None, True, [], []
-        self.out = {name: [] for name in self.COLUMNS}
-
-    def add(self, at: int, id: int | None, text: str, hash: int) -> None:
-        if self.rows and hash != self.hash:
-            self.close()
-            self.cut = False
-        elif len(self.rows) >= self.HELD:
-            self.cut = True
-            self.close()
-        self.hash = hash
-        place = next((i for i, h in enumerate(self.heads) if h["text"] == text), len(self.heads))
-        if place == len(self.heads):
-            self.heads.append({"text": text, "class": at, "keep": id, "keep_at": at, "size": 0})
-        head = self.heads[place]
-        head["size"] += 1
-        if id is not None and (head["keep"] is None or id >= head["keep"]):
-            head |= {"keep": id, "keep_at": at}
-        self.rows.append((at, head))
-
-    def edge(self) -> None:
-        """A file or split ends and another may begin: the keys on both sides may go on elsewhere."""
-        self.close(last=True)
-        self.cut = True
-
-    def close(self, last: bool = False) -> None:
-        whole = not (self.cut or last)
-        for at, h in self.rows:
-            row = h | {"at": at, "hash": self.hash, "whole": whole, "text": None if whole or at != h["class"] else h["text"]}
-            for name, column in self.out.items():
-                column.append(row[name])
-        self.heads, self.rows = [], []
-
-    def taken(self) -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(self.out[name], kind) for name, kind in self.COLUMNS.items()], names=list(self.COLUMNS))
-        self.out = {name: [] for name in self.COLUMNS}
-        return batch
-
-
-def owners(pages: DataFrame) -> DataFrame:
-    """Per row of the index: its class (the row number of the chain's head) and what the reader knows of the class.
-
-    ``whole`` says that the reader has met all of the key: keep, keep_at and size are then final. Of other keys, the
-    rows that head a chain come with their text.
+def directory(fills: np.ndarray, capacity: int, n_owners: int) -> Directory:
+    """The directory for these fills, its buckets dealt to owners in ranges of about the same number of bytes."""
+    bits, cells = buckets(fills, capacity)
+    upto = np.concatenate([[0], np.cumsum(fills)])
+    share = upto[cells] / max(1, upto[-1])
+    return Directory(bits, cells, np.minimum((share * n_owners).astype(int), n_owners - 1).tolist(), n_owners)
+
+
+def prefix(bits: int) -> Column:
+    return F.shiftrightunsigned("hash", 64 - bits) if bits else F.lit(0).cast("long")
+
+
+def dealt(docs: DataFrame, key: str, text: str, capacity: int | None) -> tuple[DataFrame, list[str]]:
+    """Rows with their number, id, hash and whether the key is hot, at their owners, in order of hash; and the staged paths that these need."""
+    body = text_of(text)
+    keys, keys_path = staged_at(docs.select(key_of(body).alias("hash"), (F.octet_length(body) + 1).cast("long").alias("bytes")), "hash-keys")
+    total = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    n_owners = min(MOST_OWNERS, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // OWNER_BYTES)))
+    capacity = capacity or max(1, total // (EACH * n_owners))
+    most_bits = min(21, 3 + math.ceil(math.log2(max(1, total / capacity))))
+    cells = keys.withColumn("cell", prefix(most_bits))
+    found = cells.groupBy("cell").agg(F.sum("bytes").alias("bytes")).toArrow()  # a row for each cell
+    fills = np.zeros(1 << most_bits, dtype=np.int64)
+    fills[found.column("cell").to_numpy()] = found.column("bytes").to_numpy()
+    # At most total / capacity keys are hot, EACH for each owner; only cells that are themselves overfull can hold one.
+    spark = docs.sparkSession
+    overfull = spark.createDataFrame([(int(c),) for c in np.flatnonzero(fills > capacity)], "cell long")
+    hot = cells.join(F.broadcast(overfull), "cell").groupBy("hash", "cell").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > capacity)
+    hot, hot_path = staged_at(hot, "hot-keys")
+    remove(spark, keys_path)
+    for cell, n in hot.groupBy("cell").agg(F.sum("bytes")).collect():
+        fills[cell] -= n
+    d = directory(fills, capacity, n_owners)
+    owners = spark.createDataFrame(list(enumerate(d.owners)), "cell long, owner int")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), key_of(body).alias("hash"), body.cast("binary").alias("body"), F.monotonically_increasing_id().alias("at"))
+    placed = rows.withColumn("cell", prefix(d.bits)).join(F.broadcast(owners), "cell")
+    placed = placed.join(F.broadcast(hot.select("hash", F.ceil(F.col("bytes") / capacity).cast("int").alias("parts"))), "hash", "left")
+    spread = F.pmod(F.col("owner") + F.pmod(F.xxhash64("at"), F.col("parts")), F.lit(n_owners))
+    placed = placed.withColumn("owner", F.coalesce(spread, "owner").cast("int"))
+    pages = placed.repartitionById(n_owners, "owner").select("at", "id", "hash", F.col("parts").isNotNull().alias("hot"), "body", "row", "owner")
+    return pages.sortWithinPartitions("hash", "at"), [hot_path]
+
+
+FOUND = {"class": pa.int64(), "keep": pa.int64(), "keep_at": pa.int64(), "size": pa.int64(), "text_sha256": pa.string(), "text": pa.binary()}
+FOUND_SCHEMA = "class long, keep long, keep_at long, size long, text_sha256 string, text binary"
+
+
+@dataclass
+class Head:
+    """A text that a chain has met, and what is known of the rows that equal it."""
+
+    text: bytes
+    at: int
+    keep: int | None
+    keep_at: int
+    size: int = 0
+
+    def add(self, at: int, id: int | None) -> None:
+        self.size += 1
+        if id is not None and (self.keep is None or id >= self.keep):
+            self.keep, self.keep_at = id, at
+
+
+def chained(ats: list[int], ids: list[int | None], hashes: list[int], texts: list[bytes]) -> list[Head]:
+    """The head of each row, rows being in order of hash: a key's chain is searched by comparing bytes."""
+    out, chain, last = [], [], None
+    for at, id, hash, text in zip(ats, ids, hashes, texts, strict=True):
+        if hash != last:
+            chain, last = [], hash
+        head = next((h for h in chain if h.text == text), None)
+        if head is None:
+            head = Head(text, at, id, at)
+            chain.append(head)
+        head.add(at, id)
+        out.append(head)
+    return out
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches that end where a key ends, but for hot keys, which are cut at HELD rows or HELD_BYTES.
+
+    The rows that are held of other keys are those of the last key of a batch: ``capacity`` bytes at most.
+    """
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        hashes = b.column(2).to_numpy()
+        first = int(np.searchsorted(hashes, hashes[-1]))  # of the last key
+        joined = [*held, b.slice(0, first)] if first or (held and held[-1].column(2)[0].as_py() != hashes[-1]) else None
+        if joined is not None:
+            yield pa.concat_batches([x for x in joined if x.num_rows] or [b.slice(0, 0)])
+            held = []
+        held.append(b.slice(first))
+        if b.column(3)[b.num_rows - 1].as_py() and (sum(x.num_rows for x in held) >= HELD or sum(x.nbytes for x in held) >= HELD_BYTES):
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
+def owned(pages: DataFrame, rows: bool) -> DataFrame:
+    """What owners find: per row its class (the row number of the chain's head), keep, keep_at and size, final for keys that aren't hot.
+
+    Rows that head a chain of a hot key come with their text. With ``rows``, only those that stay, or may stay, come, with
+    the row itself.
     """
 
-    def read(batches: Iterator[pa.RecordBatch]):
-        chain, split = Chain(), None
-        for b in batches:
-            ats, ids, hashes, files, starts = (b.column(k).to_pylist() for k in (0, 1, 3, 4, 5))
-            for at, id, text, hash, *found in zip(ats, ids, b.column(2), hashes, files, starts):
-                if found != split:
-                    chain.edge()
-                    split = found
-                chain.add(at, id, text.as_py(), hash)
-            yield chain.taken()
-        chain.edge()
-        yield chain.taken()
-
-    schema = "at long, class long, hash long, whole boolean, keep long, keep_at long, size long, text string"
-    return pages.select("at", "id", "norm", "hash", F.input_file_name(), F.input_file_block_start()).mapInArrow(read, schema)
-
-
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", most_bits: int = 16, capacity: int = 4_096) -> tuple[DataFrame, DataFrame]:
-    """The index, and per row of it: at, keep (the id that stays), size and kept."""
-    pages = index(docs, key, text, most_bits, capacity)
-    met = staged(owners(pages), "chains")
-    heads = met.where("text is not null")
+    def work(batches: Iterator[pa.RecordBatch]):
+        for b in runs(batches):
+            ats, hot = b.column(0).to_pylist(), b.column(3).to_pylist()
+            texts = [t.lower() for t in b.column(4).to_pylist()]  # of bytes: A-Z only
+            heads = chained(ats, b.column(1).to_pylist(), b.column(2).to_pylist(), texts)
+            digests = {id(h): hashlib.sha256(h.text).hexdigest() for h in heads} if not rows else {}
+            found = [(h.at, h.keep, h.keep_at, h.size, digests.get(id(h)), h.text if is_hot and at == (h.keep_at if rows else h.at) else None) for at, is_hot, h in zip(ats, hot, heads)]
+            columns = [pa.array(c, k) for c, k in zip(zip(*found), FOUND.values())] if found else [pa.array([], k) for k in FOUND.values()]
+            out = pa.RecordBatch.from_arrays([*b.columns[:4], *b.columns[5:], *columns], names=["at", "id", "hash", "hot", *b.schema.names[5:], *FOUND])
+            yield out.filter(pa.array([at == h.keep_at for at, h in zip(ats, heads)], pa.bool_())) if rows else out
+
+    taken = pages.select("at", "id", "hash", "hot", "body", *["row"] * rows)
+    kinds = [f for f in taken.schema if f.name != "body"]
+    return taken.mapInArrow(work, T.StructType([*kinds, *T._parse_datatype_string(FOUND_SCHEMA).fields]))
+
+
+def index(docs: DataFrame, key: str, text: str, capacity: int | None, rows: bool) -> DataFrame:
+    """What the owners found, on shared files."""
+    pages, paths = dealt(docs, key, text, capacity)
+    met = staged(owned(pages, rows), "hash-index")
+    for path in paths:
+        remove(docs.sparkSession, path)
+    return met
+
+
+def merged(heads: DataFrame) -> DataFrame:
+    """Per text of hot keys, from the heads of all owners: best (keep and keep_at) and total."""
     best = F.max(F.struct(F.col("keep").isNotNull(), "keep", "keep_at"))
-    merged = heads.groupBy("hash", "text").agg(best.alias("best"), F.sum("size").alias("total"))
-    of_head = heads.join(merged, ["hash", "text"]).select("class", "best", "total")
-    parts = met.where("not whole").join(of_head, "class").select("at", F.col("best.keep").alias("keep"), F.col("best.keep_at").alias("keep_at"), F.col("total").alias("size"))
-    found = met.where("whole").select("at", "keep", "keep_at", "size").union(parts)
-    return pages, found.select("at", "keep", "size", (F.col("at") == F.col("keep_at")).alias("kept"))
+    return heads.groupBy("hash", "text").agg(best.alias("best"), F.sum("size").alias("total"))
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int | None = None) -> DataFrame:
+    """Per row of ``docs``: at (its number), id, keep (the id that stays), size, kept and text_sha256."""
+    met = index(docs, key, text, capacity, rows=False)
+    heads = met.where("hot and text is not null").select("class", "hash", "text", "keep", "keep_at", "size")
+    of_head = heads.join(merged(heads), ["hash", "text"]).select("class", "best", "total")
+    parts = met.where("hot").select("at", "id", "class", "text_sha256").join(of_head, "class")
+    parts = parts.select("at", "id", F.col("best.keep").alias("keep"), F.col("best.keep_at").alias("keep_at"), F.col("total").alias("size"), "text_sha256")
+    found = met.where("not hot").select("at", "id", "keep", "keep_at", "size", "text_sha256").union(parts)
+    return found.select("at", "id", "keep", "size", (F.col("at") == F.col("keep_at")).alias("kept"), "text_sha256")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept and text_sha256."""
-    pages, found = deduplicate(docs)
-    digests = pages.select("at", "id", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"))
-    return digests.join(found, "at").select(F.col("id").alias("doc_id"), F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), "kept", "text_sha256")
+    return deduplicate(docs).select(F.col("id").alias("doc_id"), F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), "kept", "text_sha256")
 
 
-def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int | None = None) -> DataFrame:
     """``docs`` with one row of each class of equal texts."""
-    pages, found = deduplicate(docs, key, text)
-    return without(pages, found.where("not kept"), "at", "duplicates").select("row.*")
+    met = index(docs, key, text, capacity, rows=True)
+    able = met.where("hot")
+    stays = able.join(merged(able).select("best.keep_at"), "keep_at", "left_semi")
+    return met.where("not hot").select("row.*").union(stays.select("row.*"))

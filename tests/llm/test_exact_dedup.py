@@ -1,7 +1,10 @@
-"""The extendible-hash index: equal texts, split buckets, colliding hashes, runs over several readers."""
+"""The extendible-hash index: equal texts, split buckets, colliding hashes, hot keys at several owners."""
 
-import itertools
+import hashlib
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from seriesmill.llm import exact_dedup
@@ -18,64 +21,86 @@ def plain(rows):
 ROWS = [(1, "Ab"), (2, "aB"), (3, None), (4, ""), (5, "É"), (6, "é"), (7, " ab"), (None, "ab"), (None, "zz"), (8, "x" * 100_000), (9, "X" * 100_000), (9, "twin"), (9, "twin")]
 
 
-@pytest.mark.parametrize("held", [65_536, 2])
-def test_groups(spark, monkeypatch, held):
+@pytest.mark.parametrize("capacity", [None, 1, 50, 10**9])
+def test_groups(spark, capacity):
     docs = spark.createDataFrame([(i, t, 0, "n") for i, t in ROWS], "doc_id long, text string, hash int, `row` string").repartition(3)
-    found = exact_dedup.report(docs).collect()
-    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in found) == plain(ROWS)
+    found = exact_dedup.deduplicate(docs, capacity=capacity).collect()
+    assert sorted((str(r.id), str(r.keep), r.size) for r in found) == plain(ROWS)
     assert sum(r.kept for r in found) == len({t for _, t in [(i, (t or "").lower() if (t or "").isascii() else t) for i, t in ROWS]})
-    assert all(r.doc_id == r.keep_id for r in found if r.kept)
-    left = exact_dedup.drop_duplicates(docs)
+    assert all(r.id == r.keep for r in found if r.kept)
+    left = exact_dedup.drop_duplicates(docs, capacity=capacity)
     assert left.columns == docs.columns and left.count() == sum(r.kept for r in found)
 
 
-def test_chains_compare_bytes_and_merge_over_readers(spark):
-    """All texts under one hash, in more readers than texts: only their bytes tell them apart."""
-    rows = [(i, i, f"text {i % 3}", 7) for i in range(60)]
-    pages = spark.createDataFrame(rows, "at long, id long, norm string, hash long").repartitionByRange(6, "at").sortWithinPartitions("at")
-    met = exact_dedup.owners(pages)
-    assert not met.where("whole").count()
-    heads = met.where("text is not null").groupBy("text").agg(F.sum("size").alias("n"), F.max("keep").alias("keep")).collect()
-    assert {(r.text, r.n, r.keep) for r in heads} == {(f"text {k}", 20, 57 + k) for k in range(3)}
-
-
-def test_many_files_of_one_reader(spark):
-    """Files that hold a hot key and others, cut anywhere and read several by one reader in no order of keys."""
-    rows = [(i, "hot" if i % 3 == 0 else f"text {i % 29}") for i in range(1_000)]
-    confs = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    before = {k: spark.conf.get(k) for k in confs}
-    try:
-        for k, v in confs.items():
-            spark.conf.set(k, v)
-        pages, found = exact_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
-        assert pages.rdd.getNumPartitions() < len(pages.inputFiles())
-        got = found.join(pages.select("at", "id"), "at").collect()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    assert sorted((str(r.id), str(r.keep), r.size) for r in got) == plain(rows)
-    assert sum(r.kept for r in got) == len({t for _, t in rows})
-
-
-def test_long_runs_are_handed_on_in_parts(monkeypatch):
-    monkeypatch.setattr(exact_dedup.Chain, "HELD", 4)
-    chain = exact_dedup.Chain()
-    for at, (hash, text) in enumerate(itertools.chain([(1, "a")] * 3, [(2, "b")] * 11, [(3, "c")] * 2, [(4, "d")])):
-        chain.add(at, at, text, hash)
-    chain.close(last=True)
-    out = chain.taken().to_pylist()
-    assert [r["whole"] for r in out] == [False] * 14 + [True] * 2 + [False]
-    assert sum(r["size"] for r in out if r["text"] == "b") == 11 and [r["size"] for r in out if r["hash"] == 3] == [2, 2]
+def test_report(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    found = exact_dedup.report(docs).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in found) == plain(ROWS)
+    assert {r.text_sha256 for r in found if r.doc_id in (1, 2)} == {hashlib.sha256(b"ab").hexdigest()}
+    assert {r.text_sha256 for r in found if r.doc_id in (3, 4)} == {hashlib.sha256(b"").hexdigest()}
+
+
+def test_capacity_changes_owners_and_not_the_result(spark):
+    """One key has over a third of the rows, and another colliding one is found by its bytes."""
+    rows = [(i, "Hot" if i % 5 < 2 else f"text {i % 229} " * (i % 7)) for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+    def owners(capacity):
+        pages, _ = exact_dedup.dealt(docs, "doc_id", "text", capacity)
+        return pages.groupBy("owner", F.lower(F.col("body").cast("string")).alias("norm")).agg(F.count("*").alias("n"), F.max("hot").alias("hot")).collect()
+
+    wide, narrow = owners(10**9), owners(200)
+    assert {r.owner for r in wide if r.norm == "hot"} != {r.owner for r in narrow if r.norm == "hot"}
+    assert not any(r.hot for r in wide) and len({r.owner for r in narrow if r.norm == "hot" and r.hot}) > 1
+    assert max(r.n for r in narrow if r.norm == "hot") < 1_200
+    for capacity in (10**9, 200):
+        got = exact_dedup.deduplicate(docs, capacity=capacity).collect()
+        assert sorted((str(r.id), str(r.keep), r.size) for r in got) == plain(rows)
+        assert sum(r.kept for r in got) == len({t.lower() for _, t in rows}) == exact_dedup.drop_duplicates(docs, capacity=capacity).count()
+
+
+def test_keys_fold_more_than_the_result(spark):
+    rows = [(1, "É"), (2, "é"), (3, "ÉA"), (4, "Éa"), (5, "İ"), (6, "i̇"), (7, "ΑΣ"), (8, "ας")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert docs.select(exact_dedup.key_of(F.col("text")).alias("h")).distinct().count() < 7
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in exact_dedup.report(docs).collect()) == plain(rows)
+
+
+def test_chains_compare_bytes():
+    heads = exact_dedup.chained(list(range(6)), [4, None, 9, 1, 9, 2], [7, 7, 7, 7, 7, 8], [b"a", b"b", b"a", b"c", b"a", b"a"])
+    assert [(h.text, h.at, h.keep, h.keep_at, h.size) for h in heads] == [(b"a", 0, 9, 4, 3), (b"b", 1, None, 1, 1), (b"a", 0, 9, 4, 3), (b"c", 3, 1, 3, 1), (b"a", 0, 9, 4, 3), (b"a", 5, 2, 5, 1)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_runs_end_with_their_key(monkeypatch, seed):
+    """However rows are cut into batches; only a hot key is cut, at HELD rows."""
+    monkeypatch.setattr(exact_dedup, "HELD", 4)
+    rng = random.Random(seed)
+    rows = sorted((rng.randint(0, 6), i) for i in range(rng.randint(0, 60)))
+    cuts = [0, *sorted(rng.randint(0, len(rows)) for _ in range(9)), len(rows)]
+    batch = lambda part: pa.RecordBatch.from_pydict({"at": [i for _, i in part], "id": [i for _, i in part], "hash": pa.array([h for h, _ in part], pa.int64()), "hot": pa.array([h == 3 for h, _ in part], pa.bool_())})
+    got = [b.to_pylist() for b in exact_dedup.runs(iter([batch(rows[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]))]
+    assert [(r["hash"], r["at"]) for b in got for r in b] == rows
+    for h in {h for h, _ in rows} - {3}:
+        assert sum(any(r["hash"] == h for r in b) for b in got) == 1
 
 
 def test_directory_doubles_only_where_needed():
-    assert exact_dedup.directory({}, 4, 10) == (0, [0])
-    bits, cells = exact_dedup.directory({0: 30, 1: 30, 15: 5}, 4, 40)
+    fills = lambda given, n=16: np.array([given.get(i, 0) for i in range(n)])
+    assert exact_dedup.buckets(fills({}), 10) == (0, [0])
+    bits, cells = exact_dedup.buckets(fills({0: 30, 1: 30, 15: 5}), 40)
     assert bits == 4 and cells[0] == 0 and cells[1] == 1 and cells[8] == cells[15] == 8
-    bits, cells = exact_dedup.directory({0: 1000}, 4, 40)
+    bits, cells = exact_dedup.buckets(fills({0: 1000}), 40)
     assert bits == 4 and len(cells) == 16
 
 
+def test_owners_have_ranges_of_buckets():
+    fills = np.ones(64, dtype=np.int64)
+    d = exact_dedup.directory(fills, 4, 5)
+    assert d.owners == sorted(d.owners) and set(d.owners) == set(range(5))
+    assert all(len({o for o, b in zip(d.owners, d.buckets) if b == x}) == 1 for x in d.buckets)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert exact_dedup.report(docs).count() == 0 and exact_dedup.drop_duplicates(docs).count() == 0
