@@ -6,11 +6,13 @@ time, cut at the total budget, so every source has run through the same share of
 
 Shuffled documents are numbered without ever gathering a source: they are cut into buckets by the hash, bucket sums
 give each bucket its start, and only a bucket is summed row by row. Buckets hold about ``bucket_rows`` rows for a
-source of any size. The global cut is found the same way: sums by bin of finish time, then one bin's rows.
+source of any size: where more rows than that share a doc_id in a source (or have none), their size and row number salt
+the hash. The global cut is found the same way: sums by bin of finish time, then one bin's rows.
 
 Null texts have size 0, null sources are a source of their own (last by code point), null doc_ids hash as their own
-word; rows with equal doc_ids in a source are put in order of size. Documents without words take nothing. An empty
-table, or one without words, gives targets of 0.
+word; rows with equal doc_ids in a source are put in order of size, unless salted. Texts of any length are counted whole.
+Documents without words take nothing. An empty table, or one without words, gives targets of 0. Only doc_id, source and
+text are read for the plan, so other columns may have any name; the mix carries rows as one struct.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, staged, text_of
+from .common import WORD, remove, staged, staged_at, text_of
 
 
 @dataclass(frozen=True)
@@ -60,19 +62,29 @@ def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     return w.select("source", "rank", "rows", "source_size", "budget", target.alias("target"))
 
 
-def ordered(rows: DataFrame, mix: Mix) -> DataFrame:
-    """``rows(id, source, size, ...)`` with source_size, target and each pass's key and finish time."""
+def salted(rows: DataFrame, mix: Mix) -> DataFrame:
+    """``rows`` with ``salt``: empty, but for rows of ids that have more than ``bucket_rows`` rows in a source."""
+    id, named = F.coalesce(F.col("id").cast("string"), F.lit("null")), F.coalesce("source", F.lit(""))
+    many = rows.groupBy(id.alias("many_id"), "has", named.alias("many_named")).count().where(F.col("count") > mix.bucket_rows)
+    many = many.select("many_id", F.col("has").alias("many_has"), "many_named", F.ceil(F.col("count") / mix.bucket_rows).alias("parts"))
+    found = rows.join(staged(many, "many-rows"), (id == F.col("many_id")) & (F.col("has") == F.col("many_has")) & (named == F.col("many_named")), "left")
+    salt = F.concat(F.lit(":"), F.col("size"), F.lit(":"), F.pmod(F.xxhash64("at"), F.col("parts")))
+    return found.withColumn("salt", F.coalesce(salt, F.lit(""))).drop("many_id", "many_has", "many_named", "parts")
+
+
+def ordered(rows: DataFrame, mix: Mix) -> tuple[DataFrame, str]:
+    """``rows(id, at, source, size)`` with source_size, target and each pass's key and finish time; and a staged path that these need."""
     sizes = rows.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("source_size"))
     wanted = targets(sizes, mix)
-    out = rows.withColumn("has", F.col("source").isNotNull()).withColumn("named", F.coalesce("source", F.lit("")))
+    out = salted(rows.withColumn("has", F.col("source").isNotNull()), mix).withColumn("named", F.coalesce("source", F.lit("")))
     small = wanted.withColumn("has", F.col("source").isNotNull()).withColumn("named", F.coalesce("source", F.lit(""))).drop("source")
     out = out.join(small, ["has", "named"])
     for p in range(1, int(-(-mix.most // 1)) + 1):
-        key = F.md5(F.concat(F.lit(f"{mix.seed}:{p}:"), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
+        key = F.md5(F.concat(F.lit(f"{mix.seed}:{p}:"), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("salt")))
         # The first 8 hex digits as a share of their range say which bucket; nb grows with the source.
         share = F.conv(F.substring(F.col(f"key{p}"), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
         out = out.withColumn(f"key{p}", key).withColumn(f"bucket{p}", F.floor(share * F.ceil(F.col("rows") / mix.bucket_rows)).cast("long"))
-    out = staged(out.drop("has", "named"), "mix-keys")
+    out, path = staged_at(out.drop("has", "named", "salt"), "mix-keys")
     for p in range(1, int(-(-mix.most // 1)) + 1):
         bucket = f"bucket{p}"
         sums = out.groupBy("rank", bucket).agg(F.sum("size").alias("words"))
@@ -81,13 +93,15 @@ def ordered(rows: DataFrame, mix: Mix) -> DataFrame:
         inside = Window.partitionBy("rank", bucket).orderBy(f"key{p}", "size").rowsBetween(Window.unboundedPreceding, 0)
         done = F.col("start") + F.sum("size").over(inside) + (p - 1) * F.col("source_size")
         out = out.join(sums, ["rank", bucket]).withColumn(f"finish{p}", F.when(F.col("target") > 0, done / F.col("target"))).drop("start", bucket)
-    return out
+    return out, path
 
 
 def mixed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """``rows(id, source, size, ...)`` with source_size, target, copies (passes that take the row) and finish times."""
+    """``rows(id, at, source, size)`` with source_size, target, copies (passes that take the row) and finish times; ``at`` numbers the rows."""
     passes = range(1, int(-(-mix.most // 1)) + 1)
-    out = staged(ordered(rows, mix), "mix-order")
+    found, path = ordered(rows, mix)
+    out = staged(found, "mix-order")
+    remove(rows.sparkSession, path)
     place = lambda p: F.struct(F.col(f"finish{p}").alias("finish"), F.col("rank"), F.lit(p).alias("pass"), F.col(f"key{p}").alias("key"), F.col("size"))
     all_passes = out.select(F.inline(F.array(*[F.struct(place(p).alias("place"), F.col("size").alias("words"), F.col("budget")) for p in passes]))).where("place.finish is not null and words > 0")
     binned = all_passes.withColumn("bin", F.floor(F.least(F.col("place.finish"), F.lit(4.0)) * mix.bins / 4).cast("long"))
@@ -104,7 +118,7 @@ def mixed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """Per row of ``docs``: doc_id, size, source_size, target and taken (words the mix takes, repeats counted)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("source"), n_words(text_of("text")).alias("size"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("at"), F.col("source").cast("string").alias("source"), n_words(text_of("text")).alias("size"))
     return mixed(rows, mix).select(F.col("id").alias("doc_id"), "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
 
 
