@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def cuts(df: DataFrame, column: str, probabilities: Sequence[float], error: float = 1e-3, weight: str | None = None) -> DataFrame:
     """One row, q0, q1, ...: the exact discrete quantiles of ``column``, nulls left out. A row counts ``weight`` times.
 
-    A sketch first brackets each quantile; the rows below each bracket are counted and only the distinct values inside
-    are ranked. What meets in one task is a share of about 4 * ``error`` of the distinct values, not all of them.
+    A sketch first brackets each quantile; the rows below each bracket are counted, and only the distinct values inside,
+    a share of about 4 * ``error`` of them, are ranked: by a window, which sorts and spills and gathers nothing. Counts
+    are exact, so a bracket that missed its quantile would be seen, and is an error.
     """
-    values = df.select(F.col(column).alias("x"), (F.col(weight) if weight else F.lit(1)).cast("int").alias("w")).where("x is not null")
-    repeated = values.select("x", F.explode(F.array_repeat(F.lit(True), F.col("w")))) if weight else values
+    values = df.select(F.col(column).alias("x"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("w")).where("x is not null")
+    repeated = values.select("x", F.explode(F.array_repeat(F.lit(True), F.col("w").cast("int")))) if weight else values
     ends = [p for q in probabilities for p in (max(q - 2 * error, 0.0), min(q + 2 * error, 1.0))]
     sketch = repeated.agg(F.percentile_approx("x", ends, round(1 / error)).alias("ends"), F.count("*").alias("n"))
     bracketed = values.groupBy("x").agg(F.sum("w").alias("rows")).crossJoin(F.broadcast(sketch))
@@ -23,13 +24,12 @@ def cuts(df: DataFrame, column: str, probabilities: Sequence[float], error: floa
     hi = lambda i: F.element_at("ends", 2 * i + 2)
     per_quantile = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("p"), (F.col("x") < lo(i)).alias("below"), F.col("x").between(lo(i), hi(i)).alias("inside")) for i, q in enumerate(probabilities)])
     sides = bracketed.select("x", "rows", "n", F.inline(per_quantile)).where("below or inside")
-    found = sides.groupBy("i").agg(
-        F.first("n").alias("n"),
-        F.first("p").alias("p"),
-        F.sum(F.when(F.col("below"), F.col("rows")).otherwise(0)).alias("before"),
-        F.array_sort(F.collect_list(F.when(F.col("inside"), F.struct("x", "rows")))).alias("near"),
-    )
+    # Rows below a bracket are one sum, of no value; those inside keep theirs.
+    steps = sides.groupBy("i", "p", "n", F.when(F.col("inside"), F.col("x")).alias("x")).agg(F.sum("rows").alias("rows"))
+    upto = Window.partitionBy("i").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     need = F.greatest(F.ceil(F.round(F.col("p") * F.col("n"), 6)), F.lit(1))
-    walk = F.aggregate("near", F.struct(F.col("before").alias("done"), F.lit(None).cast(dict(values.dtypes)["x"]).alias("x")), lambda s, e: F.when(s["done"] >= need, s).otherwise(F.struct((s["done"] + e["rows"]).alias("done"), e["x"].alias("x"))), lambda s: s["x"])
-    placed = found.select("i", walk.alias("q"))
-    return placed.agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probabilities))])
+    done = steps.withColumn("done", F.sum("rows").over(upto)).withColumn("reached", F.when(F.col("done") >= need, F.col("done")))
+    first = done.groupBy("i").agg(F.min_by(F.struct("x"), "reached").alias("at"))
+    missed = F.col("at").isNull() | F.col("at.x").isNull()
+    found = first.select("i", F.when(missed, F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(F.col("at.x")).alias("q"))
+    return found.agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probabilities))])

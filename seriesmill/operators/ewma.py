@@ -1,7 +1,8 @@
 """Exponentially weighted features.
 
 A recursion over a series has no window function; each series' rows are gathered in order as one array and folded,
-which stays in the JVM. An array holds one series (months), never the table.
+which stays in the JVM. An array holds one series, never the table. The fold runs over blocks of about as many rows as
+there are blocks, so that a long series is not copied for every row.
 """
 
 from __future__ import annotations
@@ -21,13 +22,17 @@ def fold_series(panel: DataFrame, spec: PanelSpec, start: Callable[[Column], Col
     """``panel`` with the fields of a state that runs along each series: the first row's from ``start``, each further one's from ``step(state, row)``."""
     rows = F.array_sort(F.collect_list(F.struct(F.col(spec.date).alias("_d"), F.struct(*panel.columns).alias("row"))))
     series = panel.groupBy(spec.product).agg(rows.alias("_rows")).select("_rows")
-    first = F.element_at("_rows", 1)["row"]
-    states = F.aggregate(
-        F.slice("_rows", 2, F.greatest(F.size("_rows") - 1, F.lit(0))),
-        F.array(start(first)),
-        lambda done, r: F.concat(done, F.array(step(F.element_at(done, -1), r["row"]))),
+    first = start(F.element_at("_rows", 1)["row"])
+    rest = F.size("_rows") - 1
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(rest)).cast("int"))
+    block = lambda i: F.slice("_rows", 2 + i * size, size)
+    along = lambda rows, before: F.aggregate(rows, F.slice(F.array(before), 1, 0), lambda done, r: F.concat(done, F.array(step(F.coalesce(F.try_element_at(done, F.lit(-1)), before), r["row"]))))
+    blocks = F.aggregate(
+        F.sequence(F.lit(0), F.ceil(rest / size).cast("int")),
+        F.array(F.array(first)),
+        lambda done, i: F.concat(done, F.array(along(block(i), F.element_at(F.element_at(done, -1), -1)))),
     )
-    zipped = series.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), states.alias("s"))).alias("x"))
+    zipped = series.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), F.flatten(blocks).alias("s"))).alias("x"))
     return zipped.select("x.r.row.*", "x.s.*")
 
 

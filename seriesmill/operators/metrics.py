@@ -49,9 +49,8 @@ def best_stop(scores: DataFrame, patience: int = 3, min_delta: float = 0.0, larg
     rows = scores.withColumn("s", s).withColumn("improved", before.isNull() | (F.col("s") < before - min_delta))
     rows = rows.withColumn("row", F.row_number().over(along))
     rows = rows.withColumn("since", F.col("row") - F.last(F.when(F.col("improved"), F.col("row")), True).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    stopped = F.min(F.when(F.col("since") >= patience, F.col("iteration")))
-    ends = rows.groupBy(*by).agg(F.coalesce(stopped, F.max("iteration")).alias("stop_iteration")) if by else rows.agg(F.coalesce(stopped, F.max("iteration")).alias("stop_iteration"))
-    seen = rows.join(F.broadcast(ends), list(by)) if by else rows.crossJoin(F.broadcast(ends))
-    seen = seen.where(F.col("iteration") <= F.col("stop_iteration"))
+    whole = Window.partitionBy(*by)
+    stopped = F.min(F.when(F.col("since") >= patience, F.col("iteration"))).over(whole)
+    seen = rows.withColumn("stop_iteration", F.coalesce(stopped, F.max("iteration").over(whole))).where(F.col("iteration") <= F.col("stop_iteration"))
     best = [F.max("stop_iteration").alias("stop_iteration"), F.min_by("iteration", F.struct("s", "iteration")).alias("best_iteration"), F.min_by("score", F.struct("s", "iteration")).alias("best_score")]
     return seen.groupBy(*by).agg(*best) if by else seen.agg(*best)

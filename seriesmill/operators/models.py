@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -11,9 +13,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import CATEGORIES
+from ..functions.numbering import numbered
+from ..sources.tables import stored
 from ..spec import PanelSpec
 from .metrics import best_stop, evaluate
 from .splits import folds
@@ -131,18 +134,24 @@ def native_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return rows.sparkSession.createDataFrame([(n, float(x)) for n, x in zip(names, found)], "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def shuffled(rows: DataFrame, column: str, seed: int) -> DataFrame:
-    """``rows`` with one column's values dealt to other rows: values in a seeded random order meet rows in their own, by number."""
-    spark, schema = rows.sparkSession, rows.schema
-    number = lambda df: df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    left = spark.createDataFrame(number(rows), _numbered(schema))
-    values = rows.select(F.col(column).alias("_v")).orderBy(F.rand(seed))
-    right = spark.createDataFrame(number(values), _numbered(values.schema))
-    return left.join(right, "_n").withColumn(column, F.col("_v")).drop("_n", "_v")
+def in_random_order(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with _n, their number in the order of a seeded hash of all their columns: the same however they lie in partitions."""
+    return stored(numbered(rows, [F.xxhash64(F.lit(seed), *rows.columns), *rows.columns], "_n"), "random-order")
+
 
+def dealt(ordered: DataFrame, n: int, column: str, seed: int) -> DataFrame:
+    """Rows in random order, ``n`` of them, with one column's values dealt to other rows: number i gets the value of number a * i + b, modulo n."""
+    rng = random.Random(seed)
+    a = next(x for x in iter(lambda: rng.randrange(1, max(n, 2)), None) if math.gcd(x, n) == 1)
+    values = ordered.select(F.col("_n").alias("_m"), F.col(column).alias("_v"))
+    source = F.pmod(F.col("_n").cast("decimal(38,0)") * a + rng.randrange(max(n, 1)), F.lit(max(n, 1))).cast("long")
+    return ordered.withColumn("_m", source).join(values, "_m").withColumn(column, F.col("_v")).drop("_n", "_m", "_v")
 
-def _numbered(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema, T.StructField("_n", T.LongType())])
+
+def shuffled(rows: DataFrame, column: str, seed: int) -> DataFrame:
+    """``rows`` with one column's values dealt to other rows."""
+    ordered = in_random_order(rows, seed)
+    return dealt(ordered, ordered.count(), column, seed)
 
 
 def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequence[str], repeats: int = 3, seed: int = 42, score_of: Callable[[DataFrame], float] | None = None) -> DataFrame:
@@ -150,13 +159,19 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequ
     label = model.stages[-1].getLabelCol()
     score_of = score_of or (lambda df: evaluate(df, label).first()["rmse"])
     needed = list(dict.fromkeys([*model.stages[0].getInputCols(), label]))
-    rows = rows.select(*needed).na.drop().cache()
-    try:
-        base, found = score_of(model.transform(rows)), []
-        for i, f in enumerate(features):
-            losses = [score_of(model.transform(shuffled(rows, f, seed + repeats * i + k))) - base for k in range(repeats)]
-            mean = sum(losses) / repeats
-            found.append((f, mean, (sum((x - mean) ** 2 for x in losses) / repeats) ** 0.5))
-    finally:
-        rows.unpersist()
+    ordered = in_random_order(rows.select(*needed).na.drop(), seed)
+    n, base, found = ordered.count(), score_of(model.transform(ordered.drop("_n"))), []
+    for i, f in enumerate(features):
+        losses = [score_of(model.transform(dealt(ordered, n, f, seed + repeats * i + k))) - base for k in range(repeats)]
+        mean = sum(losses) / repeats
+        found.append((f, mean, (sum((x - mean) ** 2 for x in losses) / repeats) ** 0.5))
     return rows.sparkSession.createDataFrame(found, "feature string, importance double, std double")
+
+
+def selection_scores(train_rows: DataFrame, validation: DataFrame, estimator, features: Sequence[str], selected: Sequence[str]) -> DataFrame:
+    """(features, n_features, rmse) of one model fitted with all features and one with the selected ones."""
+    label, found = estimator.getLabelCol(), []
+    for name, some in (("all", list(features)), ("selected", list(selected))):
+        model = train(train_rows, estimator, some)
+        found.append((name, len(some), evaluate(model.transform(validation), label).first()["rmse"]))
+    return train_rows.sparkSession.createDataFrame(found, "features string, n_features int, rmse double")

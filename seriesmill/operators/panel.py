@@ -115,14 +115,21 @@ def moving_averages(panel: DataFrame, spec: PanelSpec = MONTHLY, months: Sequenc
     return out.withColumns({f"ma_{n}_sales": F.avg(sold).over(by_sales.rangeBetween(-(n - 1), 0)) for n in sales}).drop("_sold")
 
 
-def demand_buckets(panel: DataFrame, spec: PanelSpec = MONTHLY, per_product: bool = False) -> DataFrame:
+def series_means(monthly: DataFrame, spec: PanelSpec = MONTHLY) -> DataFrame:
+    """(avg_demand_quantity, rows) of each series once its months are complete, from the months it has: the others count 0."""
+    rows = months_apart(F.max(spec.date), F.min(spec.date)) + 1
+    return monthly.groupBy(spec.product).agg((F.sum(spec.v) / rows).alias("avg_demand_quantity"), rows.alias("rows"))
+
+
+def demand_buckets(panel: DataFrame, spec: PanelSpec = MONTHLY, per_product: bool = False, series: DataFrame | None = None) -> DataFrame:
     """avg_demand_quantity of the series and its decile bucket, B1 to B10.
 
-    Deciles are over panel rows, so long series weigh more; ``per_product`` counts each series once.
+    Deciles are over panel rows, so long series weigh more; ``per_product`` counts each series once. One row per series with its
+    number of rows says as much as all rows: ``series`` may bring them from where they are cheaper to have.
     """
-    out = panel.withColumn("avg_demand_quantity", F.avg(spec.v).over(spec.whole))
-    # One row per series with its number of rows says as much as all rows, and needs no shuffle of its own.
-    series = panel.groupBy(spec.product).agg(F.avg(spec.v).alias("avg_demand_quantity"), F.count("*").alias("rows"))
+    out = panel.withColumn("avg_demand_quantity", F.sum(spec.v).over(spec.whole) / F.count("*").over(spec.whole))
+    if series is None:
+        series = panel.groupBy(spec.product).agg((F.sum(spec.v) / F.count("*")).alias("avg_demand_quantity"), F.count("*").alias("rows"))
     deciles = cuts(series, "avg_demand_quantity", [k / 10 for k in range(1, 10)], weight=None if per_product else "rows")
     bucket = F.when(F.col("avg_demand_quantity") <= F.col("q0"), "B1")
     for k in range(1, 9):
@@ -134,7 +141,7 @@ def add_features(monthly: DataFrame, spec: PanelSpec = MONTHLY, as_of: Column |
     """The complete feature panel: gap filling, calendar, recency, lags, target, class, moving averages and buckets."""
     panel = complete_months(monthly.select(spec.product, spec.date, spec.value), spec)
     panel = class_statistics(lags(recency(calendar(panel, spec), spec), spec), spec, as_of)
-    return demand_buckets(moving_averages(panel, spec), spec)
+    return demand_buckets(moving_averages(panel, spec), spec, series=series_means(monthly, spec))
 
 
 def long_enough(panel: DataFrame, least: int = 5) -> DataFrame:
@@ -172,6 +179,12 @@ def unpivot_days(wide: DataFrame, key: str, epoch: str = "2015-01-01", prefix: s
     return out.groupBy(key, "OrderDate").agg(F.sum("Quantity").alias("Quantity")) if total else out
 
 
-def explore_sample(df: DataFrame, rows: int = 100_000, seed: int | None = None, fraction: float | None = None) -> DataFrame:
-    """A sample to look at: a seeded share of the rows, or any ``rows`` of them."""
-    return df.sample(fraction=fraction, seed=seed) if fraction is not None else df.limit(rows)
+def explore_sample(df: DataFrame, keys: Sequence[str], rows: int = 100_000, seed: int = 1, fraction: float | None = None) -> DataFrame:
+    """A sample to look at: the ``rows`` rows, or about a share, with the least hashes of their keys and the seed.
+
+    It is the same however the rows lie in files and partitions.
+    """
+    hashed = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    if fraction is None:
+        return df.withColumn("_hash", hashed).orderBy("_hash", *keys).limit(rows).drop("_hash")
+    return df.where(F.conv(F.substring(hashed, 1, 8), 16, 10).cast("long") < F.lit(int(fraction * (1 << 32))))

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,36 +84,37 @@ def next_month(forecasts: DataFrame, ends: DataFrame, spec: PanelSpec = PanelSpe
     return forecasts.join(following, [spec.product, spec.date], "left_semi")
 
 
-def holt_winters_values(y, season: int, alpha: float, beta: float, gamma: float, horizon: int) -> list[float]:
-    """Additive Holt-Winters: level, trend and season run along the series; series of under two seasons have no season."""
-    cycle = season if len(y) >= 2 * season else 1
-    level, trend = sum(y[:cycle]) / cycle, (sum(y[cycle : 2 * cycle]) - sum(y[:cycle])) / cycle**2 if len(y) >= 2 * cycle else 0.0
-    seasonal = [v - level for v in y[:cycle]] if cycle > 1 else [0.0]
-    for t, v in enumerate(y):
-        s, before = seasonal[t % cycle], level
-        level = alpha * (v - s) + (1 - alpha) * (level + trend)
-        trend = beta * (level - before) + (1 - beta) * trend
-        seasonal[t % cycle] = gamma * (v - level) + (1 - gamma) * s if cycle > 1 else 0.0
-    return [level + h * trend + seasonal[(len(y) + h - 1) % cycle] for h in range(1, horizon + 1)]
-
-
 def holt_winters(panel: DataFrame, horizon: int, spec: PanelSpec = PanelSpec(), season: int = 12, alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2) -> DataFrame:
-    """(product, month_end, holt_winters) for the next ``horizon`` months; series are worked on in Arrow batches, one row each."""
+    """(product, month_end, holt_winters) for the next ``horizon`` months by additive Holt-Winters.
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.assign(forecast=[holt_winters_values(list(y), season, alpha, beta, gamma, horizon) for y in b["ys"]])[["key", "last", "forecast"]]
+    Level, trend and season run along the series, from the means of its first two seasons; series of under two seasons have no
+    season.
+    """
+    n = F.size("ys")
+    seasonal = n >= 2 * season
+    series = _values(panel, spec).withColumn("cycle", F.when(seasonal, season).otherwise(1))
+    c = F.col("cycle")
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    level = total(F.slice("ys", 1, c)) / c
+    trend = F.when(n >= 2 * c, (total(F.slice("ys", c + 1, c)) - total(F.slice("ys", 1, c))) / (c * c)).otherwise(0.0)
+    series = series.withColumns({"level": level, "trend": trend})
+    start = F.struct(F.col("level"), F.col("trend"), F.when(seasonal, F.transform(F.slice("ys", 1, c), lambda y: y - F.col("level"))).otherwise(F.array(F.lit(0.0))).alias("season"), F.lit(0).alias("t"))
 
-    kind = dict(panel.dtypes)[spec.product]
-    series = _values(panel, spec).select(F.col(spec.product).alias("key"), "last", "ys")
-    found = series.mapInPandas(work, f"key {kind}, last date, forecast array<double>")
-    steps = found.select(F.col("key").alias(spec.product), "last", F.posexplode("forecast").alias("h", "holt_winters"))
-    return steps.select(spec.product, F.last_day(F.add_months(F.trunc("last", "month"), F.col("h") + 1)).alias(spec.date), "holt_winters")
+    def step(s: Column, y: Column) -> Column:
+        place = F.pmod(s["t"], c)
+        own = F.get(s["season"], place)
+        now = alpha * (y - own) + (1 - alpha) * (s["level"] + s["trend"])
+        slope = beta * (now - s["level"]) + (1 - beta) * s["trend"]
+        renewed = F.when(c > 1, F.transform(s["season"], lambda x, i: F.when(i == place, gamma * (y - now) + (1 - gamma) * own).otherwise(x))).otherwise(s["season"])
+        return F.struct(now.alias("level"), slope.alias("trend"), renewed.alias("season"), (s["t"] + 1).alias("t"))
+
+    ends = series.select(spec.product, "last", c, F.aggregate("ys", start, step).alias("end"))
+    ahead = future_months(ends, horizon, spec)
+    forecast = F.col("end.level") + F.col("h") * F.col("end.trend") + F.get("end.season", F.pmod(F.col("end.t") + F.col("h") - 1, c))
+    return ahead.select(spec.product, spec.date, forecast.alias("holt_winters"))
 
 
 def forecast_accuracy(forecasts: DataFrame, actual: DataFrame, columns: Sequence[str], spec: PanelSpec = PanelSpec()) -> DataFrame:
     """(model, rmse, r2, mae, mape) of each forecast column over the months that have both."""
     rows = forecasts.join(actual.select(spec.product, spec.date, spec.v.alias("label")), [spec.product, spec.date])
     return evaluate_each(rows.na.drop(subset=list(columns)), columns)
-
-

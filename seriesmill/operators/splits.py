@@ -6,7 +6,7 @@ dates only, so features are not multiplied by the folds.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,12 +50,13 @@ def folds(panel: DataFrame, spec: PanelSpec = PanelSpec(), n_splits: int = 5, mi
     return named.select("fold", *[F.element_at("date", F.col(k).cast("int")).alias(n) for k, n in zip("abcd", ("train_from", "train_to", "test_from", "test_to"))])
 
 
-def fold_rows(panel: DataFrame, table: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """(product, date, fold, role): which rows train and test in which fold."""
+def fold_rows(panel: DataFrame, table: DataFrame, spec: PanelSpec = PanelSpec(), keep: Sequence[str] = (), roles: Sequence[str] = ("train", "test")) -> DataFrame:
+    """(product, date, fold, role) and the columns ``keep``: which rows train and test in which fold."""
     train = spec.d.between(F.col("train_from"), F.col("train_to"))
     test = spec.d.between(F.col("test_from"), F.col("test_to"))
-    joined = panel.select(spec.product, spec.date).join(F.broadcast(table), train | test)
-    return joined.select(spec.product, spec.date, "fold", F.when(train, "train").otherwise("test").alias("role"))
+    wanted = {("train",): train, ("test",): test}.get(tuple(roles), train | test)
+    joined = panel.select(spec.product, spec.date, *keep).join(F.broadcast(table), wanted)
+    return joined.select(spec.product, spec.date, "fold", F.when(train, "train").otherwise("test").alias("role"), *keep)
 
 
 def fold_metrics(scores: DataFrame) -> DataFrame:
@@ -90,3 +91,21 @@ def walk_forward_means(panel: DataFrame, steps: DataFrame, spec: PanelSpec = Pan
     known = means.join(wanted, "refit_to").select(spec.product, "step", "test_date", "prediction")
     actual = panel.select(spec.product, spec.d.alias("test_date"), spec.v.alias("label"))
     return known.join(actual, [spec.product, "test_date"])
+
+
+def walk_forward_fit(panel: DataFrame, fit: Callable[[DataFrame], object], predict: Callable[[object, DataFrame], DataFrame], spec: PanelSpec = PanelSpec(), initial: int = 24, refit_every: int = 1, horizon: int = 1) -> DataFrame:
+    """(step, then what ``predict`` gives) for the rows of each step's test date, with the model of the step's last refit.
+
+    Models are fitted by ``fit`` on all rows up to their refit date, one Spark job each; steps that share a model are predicted
+    together. The table of steps has a row per date and is read to the driver.
+    """
+    models: dict = {}
+    for s in walk_forward(panel, spec, initial, refit_every, horizon).orderBy("step").collect():
+        models.setdefault(s.refit_to, []).append((s.step, s.test_date))
+    out = None
+    for refit_to, steps in models.items():
+        model = fit(panel.where(spec.d <= F.lit(refit_to)))
+        dates = panel.sparkSession.createDataFrame(steps, f"step int, {spec.date} {dict(panel.dtypes)[spec.date]}")
+        rows = predict(model, panel.join(F.broadcast(dates), spec.date))
+        out = rows if out is None else out.unionByName(rows)
+    return out

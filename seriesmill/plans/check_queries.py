@@ -22,11 +22,11 @@ def quality_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_z_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.z_outliers(X.panel(spark, sf_dir)).withColumn("outlier_rate", F.round("outlier_rate", 6))
+    return Q.z_outliers(X.stored_panel(spark, sf_dir)).withColumn("outlier_rate", F.round("outlier_rate", 6))
 
 
 def quality_z_outliers_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.z_outliers(X.panel(spark, sf_dir), by="product").withColumn("outlier_rate", F.round("outlier_rate", 6))
+    return Q.z_outliers(X.stored_panel(spark, sf_dir), by="product").withColumn("outlier_rate", F.round("outlier_rate", 6))
 
 
 def quality_iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,33 +51,33 @@ def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.seasonality(X.panel(spark, sf_dir).where("product like 'E%'")).select(*rounded(["within_variance", "total_variance", "strength"], 4), "grade")
+    return Q.seasonality(X.stored_panel(spark, sf_dir)).select(*rounded(["within_variance", "total_variance", "strength"], 4), "grade")
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.report(X.panel(spark, sf_dir)).withColumn("value", F.round("value", 6))
+    return Q.report(X.stored_panel(spark, sf_dir)).withColumn("value", F.round("value", 6))
 
 
 def quality_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.overall(Q.report(X.panel(spark, sf_dir)))
+    return Q.overall(Q.report(X.stored_panel(spark, sf_dir)))
 
 
 def quality_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.recommendations(Q.report(X.panel(spark, sf_dir)))
+    return Q.recommendations(Q.report(X.stored_panel(spark, sf_dir)))
 
 
 def drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = S.time_cut(X.panel(spark, sf_dir))
+    rows = S.time_cut(X.stored_panel(spark, sf_dir))
     out = Q.drift(rows.where("is_train"), rows.where("not is_train"), "quantity")
     return out.select(*rounded(["train_mean", "test_mean", "train_std", "test_std", "mean_change", "std_change"]), "status")
 
 
 def time_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.time_cut(X.panel(spark, sf_dir)).groupBy("cut_date", "is_train").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity"))
+    return S.time_cut(X.stored_panel(spark, sf_dir)).groupBy("cut_date", "is_train").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity"))
 
 
 def holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    early, late = S.holdout(X.panel(spark, sf_dir), share=0.3)
+    early, late = S.holdout(X.stored_panel(spark, sf_dir), share=0.3)
     count = lambda df, role: df.agg(F.lit(role).alias("role"), F.count("*").alias("n"), F.min("month_end").alias("first"), F.max("month_end").alias("last"))
     return count(early, "train").unionByName(count(late, "validation"))
 
@@ -94,14 +94,14 @@ def folds_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = X.panel(spark, sf_dir)
+    panel = X.stored_panel(spark, sf_dir)
     return S.fold_rows(panel, S.folds(panel, **FOLDS)).groupBy("fold", "role").agg(F.count("*").alias("n"), F.countDistinct("product").alias("n_series"))
 
 
 def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of a plain forecast on every fold's test rows, then over folds: no fit, so no loop."""
     rows = X.forecasts(spark, sf_dir)
-    test = S.fold_rows(rows, S.folds(rows, **FOLDS)).where("role = 'test'").join(rows, list(KEYS))
+    test = S.fold_rows(rows, S.folds(rows, **FOLDS), keep=["label", "pred_ma4"], roles=["test"])
     scores = M.long_metrics(M.evaluate(test, prediction="pred_ma4", by=["fold"]), ["fold"])
     return S.fold_metrics(scores).select("metric", *rounded(["mean", "std"]))
 
@@ -110,8 +110,8 @@ def walk_forward_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.walk_forward(X.panel(spark, sf_dir), refit_every=3, horizon=2)
 
 
-def walk_forward_scores(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
-    panel = X.panel(spark, sf_dir).where(series)
+def walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = X.stored_panel(spark, sf_dir)
     out = S.walk_forward_means(panel, S.walk_forward(panel))
     return M.evaluate(out, by=["step"]).select("step", *rounded(["rmse", "mae"]))
 
@@ -151,7 +151,7 @@ ORACLE_SQL = {
     "quality_event_gaps": _GAPS("(select distinct event_type, cast(ts as date) as day from events)", 1, 1, "event_type", "day"),
     "quality_zero_pattern": sql("select count(*) as n_rows, count(*) filter (quantity = 0) as n_zeros, count(*) filter (quantity = 0 and b = 0) as n_zero_pairs, round(count(*) filter (quantity = 0) / count(*), 6) as zero_rate, case when count(*) filter (quantity = 0) / count(*) < 0.1 then 'Regular' when count(*) filter (quantity = 0) / count(*) < 0.3 then 'Intermittent' when count(*) filter (quantity = 0) / count(*) < 0.5 then 'Sporadic' else 'Very Sparse' end as demand_type from (select quantity, lag(quantity) over (partition by product order by month_end) as b from panel)"),
     "quality_statistics": sql("select count(quantity) as n_values, min(quantity) as min, max(quantity) as max, round(avg(quantity), 6) as mean, round(stddev_samp(quantity), 6) as stddev, round(stddev_samp(quantity) / avg(quantity), 6) as cv from panel"),
-    "quality_seasonality": sql("select round(w, 4) as within_variance, round(t, 4) as total_variance, round(greatest(0.0, 1 - w / t), 4) as strength, case when 1 - w / t > 0.4 then 'Strong' when 1 - w / t > 0.2 then 'Moderate' when 1 - w / t > 0.05 then 'Weak' else 'None' end as grade from (select avg(v) as w from (select var_samp(quantity) as v from panel where product like 'E%' group by month(month_end))), (select var_samp(quantity) as t from panel where product like 'E%')"),
+    "quality_seasonality": sql("select round(w, 4) as within_variance, round(t, 4) as total_variance, round(greatest(0.0, 1 - w / t), 4) as strength, case when 1 - w / t > 0.4 then 'Strong' when 1 - w / t > 0.2 then 'Moderate' when 1 - w / t > 0.05 then 'Weak' else 'None' end as grade from (select avg(v) as w from (select var_samp(quantity) as v from panel group by month(month_end))), (select var_samp(quantity) as t from panel)"),
     "quality_report": sql('select "check", metric, round(value, 6) as value, status from report', _REPORT),
     "quality_overall": sql("select case when bool_or(coalesce(status = 'WARNING', false)) then 'WARNING' when bool_or(coalesce(status = 'PASS', false)) then 'PASS' else 'UNKNOWN' end as overall_status from report", _REPORT),
     "quality_recommendations": sql(
@@ -174,8 +174,8 @@ ORACLE_SQL = {
     ),
     "walk_forward_steps": sql("select (t.i - 25)::int as step, t.p as test_date, k.p as train_to, r.p as refit_to from dates t join dates k on k.i = t.i - 2 join dates r on r.i = 23 + (t.i - 25) - (t.i - 25) % 3 where t.i >= 25", _DATES.format(source="panel")),
     "walk_forward_scores": sql(
-        "select (t.i - 24)::int as step, round(sqrt(avg((a.quantity - m.p) * (a.quantity - m.p))), 6) as rmse, round(avg(abs(a.quantity - m.p)), 6) as mae from dates t join dates k on k.i = t.i - 1 join means m on m.month_end = k.p join dense a on a.product = m.product and a.month_end = t.p where t.i >= 24 group by 1",
-        "dense as (from panel where product like 'S%')", _DATES.format(source="dense"),
-        "means as (select product, month_end, avg(quantity) over (partition by product order by month_end rows 3 preceding) as p from dense)",
+        "select (t.i - 24)::int as step, round(sqrt(avg((a.quantity - m.p) * (a.quantity - m.p))), 6) as rmse, round(avg(abs(a.quantity - m.p)), 6) as mae from dates t join dates k on k.i = t.i - 1 join means m on m.month_end = k.p join panel a on a.product = m.product and a.month_end = t.p where t.i >= 24 group by 1",
+        _DATES.format(source="panel"),
+        "means as (select product, month_end, avg(quantity) over (partition by product order by month_end rows 3 preceding) as p from panel)",
     ),
 }

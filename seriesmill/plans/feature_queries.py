@@ -49,8 +49,8 @@ def trend_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*KEYS, "time_index", "cumulative_demand", "velocity_1m", "trend_direction", *rounded([*kept, "acceleration", "relative_position"]))
 
 
-def trend_slope_ols(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
-    out = T.trend_features(X.panel(spark, sf_dir).where(series), periods=(6,), slope="ols")
+def trend_slope_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = T.trend_features(X.panel(spark, sf_dir), periods=(6,), slope="ols")
     return out.where("time_index > 1").select(*KEYS, F.round("trend_strength_6m", 6).alias("trend_strength_6m"))
 
 
@@ -85,13 +85,13 @@ def ewm_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.ewm_volatility(X.panel(spark, sf_dir)).select(*KEYS, *nudged(["ewm_volatility_30", "ewm_volatility_50"]))
 
 
-def ewma_crossover(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
-    out = E.ewma_crossover(X.panel(spark, sf_dir).where(series))
+def ewma_crossover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = E.ewma_crossover(X.panel(spark, sf_dir))
     return out.select(*KEYS, *nudged(["ewma_momentum", "ewma_signal", "ewma_divergence"]), "ewma_momentum_direction")
 
 
-def ewma_ratios(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
-    out = E.ewma_ratios(X.panel(spark, sf_dir).where(series))
+def ewma_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = E.ewma_ratios(X.panel(spark, sf_dir))
     return out.select(*KEYS, *nudged(["value_to_ewma_ratio", "ewma_growth_rate"]))
 
 
@@ -185,7 +185,7 @@ ORACLE_SQL = {
         "g as (select product, month_end, (row_number() over w)::int as t, sum(quantity) over w as cumulative_demand, quantity - lag(quantity) over w as velocity_1m, " + f"{_POS} as pos, "
         + ", ".join(f"{_GROWTH(p)} as g{p}, (quantity - lag(quantity, {p}) over w) / {p} as s{p}" for p in (3, 6, 12)) + f" from panel {W})",
     ),
-    "trend_slope_ols": sql(f"select product, month_end, round(s, 6) as trend_strength_6m from (select product, month_end, t, regr_slope(quantity, t) over (w rows 6 preceding) as s from (select *, row_number() over (partition by product order by month_end) as t from panel where product like 'S%') {W}) where t > 1"),
+    "trend_slope_ols": sql(f"select product, month_end, round(s, 6) as trend_strength_6m from (select product, month_end, t, regr_slope(quantity, t) over (w rows 6 preceding) as s from (select *, row_number() over (partition by product order by month_end) as t from panel) {W}) where t > 1"),
     "detrended": sql(
         "select product, month_end, " + ", ".join(f"round(t{n}, 6) as trend_{n}m, round(quantity - t{n}, 6) as detrended_{n}m, round(case when t{n} = 0 then 1.0 else quantity / nullif(t{n}, 0) end, 6) as detrended_ratio_{n}m" for n in (3, 6, 12)) + " from t",
         "t as (select *, " + ", ".join(f"avg(quantity) over (w rows between {n // 2} preceding and {n // 2} following) as t{n}" for n in (3, 6, 12)) + f" from panel {W})",
@@ -208,13 +208,13 @@ ORACLE_SQL = {
     "ewma_crossover": _FOLDED(
         "quantity as f, quantity as s, 0.0::double as g",
         "0.7::double * v.quantity + (1 - 0.7::double) * r.f, 0.3::double * v.quantity + (1 - 0.3::double) * r.s, 0.5::double * ((0.7::double * v.quantity + (1 - 0.7::double) * r.f) - (0.3::double * v.quantity + (1 - 0.3::double) * r.s)) + (1 - 0.5::double) * r.g",
-        "round(f - s + 1e-7, 4) as ewma_momentum, round(g + 1e-7, 4) as ewma_signal, round(f - s - g + 1e-7, 4) as ewma_divergence, (case when f - s > 0 then 1 when f - s < 0 then -1 else 0 end)::int as ewma_momentum_direction",
-        "(from panel where product like 'S%')",
+        "round(f - s + 1e-7, 4) + 0.0 as ewma_momentum, round(g + 1e-7, 4) + 0.0 as ewma_signal, round(f - s - g + 1e-7, 4) + 0.0 as ewma_divergence, (case when f - s > 0 then 1 when f - s < 0 then -1 else 0 end)::int as ewma_momentum_direction",
+        "(from panel)",
     ),
     "ewma_ratios": _FOLDED(
         "quantity as e", "0.3::double * v.quantity + (1 - 0.3::double) * r.e",
-        "round(case when e = 0 then 1.0 else quantity / nullif(e, 0) end + 1e-7, 4) as value_to_ewma_ratio, round((e - lag(e) over (partition by product order by n)) / nullif(lag(e) over (partition by product order by n), 0) + 1e-7, 4) as ewma_growth_rate",
-        "(from panel where product like 'S%')",
+        "round(case when e = 0 then 1.0 else quantity / nullif(e, 0) end + 1e-7, 4) + 0.0 as value_to_ewma_ratio, round((e - lag(e) over (partition by product order by n)) / nullif(lag(e) over (partition by product order by n), 0) + 1e-7, 4) + 0.0 as ewma_growth_rate",
+        "(from panel)",
     ),
     "adaptive_ewma": _FOLDED(
         "alpha, quantity as e", "v.alpha, v.alpha * v.quantity + (1 - v.alpha) * r.e", "alpha as adaptive_alpha_value, round(e + 1e-7, 4) as adaptive_ewma",

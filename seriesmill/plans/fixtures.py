@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.panel import MONTHLY, class_statistics, clean_lines, complete_months, monthly_rollup
+from ..sources.tables import stored
 
 SPEC = MONTHLY
-#: The series of queries whose SQL names the suppliers; whole_panel_queries has the same queries without it.
-DENSE = "product like 'S%'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +41,11 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_months(mixed_months(spark, sf_dir))
 
 
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as a written table, for operators that read it more than once."""
+    return stored(panel(spark, sf_dir), "panel")
+
+
 def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_months(part_months(spark, sf_dir), fill=None)
 
@@ -57,14 +61,13 @@ MODELS = ("pred_naive", "pred_ma4", "pred_snaive")
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(product, month_end, category, label, three predictions) of dense series: next month's value, by three plain rules."""
-    dense = panel(spark, sf_dir).where("product like 'S%' or product like 'E%'")
+    """(product, month_end, category, label, three predictions) of all series, written once: next month's value, by three plain rules."""
     w = SPEC.w
-    rows = class_statistics(dense).select(
+    rows = class_statistics(panel(spark, sf_dir)).select(
         "product", "month_end", F.col("product_category").alias("category"), F.lead("quantity").over(w).alias("label"),
         F.col("quantity").alias("pred_naive"), F.avg("quantity").over(SPEC.last_rows(4)).alias("pred_ma4"), F.lag("quantity", 11).over(w).alias("pred_snaive"),
     )
-    return rows.na.drop()
+    return stored(rows.na.drop(), "forecasts")
 
 
 def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +113,7 @@ forecasts as (
   select * from (
     select product, month_end, product_category as category, lead(quantity) over w as label, quantity as pred_naive,
       avg(quantity) over (w rows 3 preceding) as pred_ma4, lag(quantity, 11) over w as pred_snaive
-    from panel join classed using (product) where product like 'S%' or product like 'E%'
+    from panel join classed using (product)
     window w as (partition by product order by month_end))
   where label is not null and pred_snaive is not null),
 long as (select product, month_end, category, label, model, prediction from (unpivot forecasts on pred_naive, pred_ma4, pred_snaive into name model value prediction))

@@ -91,7 +91,7 @@ def intervals_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def intervals_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = (df.withColumn("prediction", F.col("pred_ma4")) for df in _parts(spark, sf_dir))
-    return I.bootstrap_intervals(test, list(KEYS), calibration=train).select(*KEYS, *INTERVAL)
+    return I.bootstrap_intervals(test, list(KEYS), calibration=train).select(*KEYS, *rounded(INTERVAL, 4))
 
 
 def interval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +107,9 @@ def champion_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = R.top_runs(_results(spark, sf_dir), "rmse", 2).select(F.lit("rmse").alias("metric"), "category", "model")
-    return best.union(R.top_runs(_results(spark, sf_dir), "r2", 2).select(F.lit("r2"), "category", "model"))
+    results = _results(spark, sf_dir)
+    best = R.top_runs(results, "rmse", 2).select(F.lit("rmse").alias("metric"), "category", "model")
+    return best.union(R.top_runs(results, "r2", 2).select(F.lit("r2"), "category", "model"))
 
 
 def best_per_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,27 +160,26 @@ def croston(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.croston(X.panel(spark, sf_dir)).select("product", F.round(F.col("croston") + 1e-7, 4).alias("croston"))
 
 
-def seasonal_smoothing(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
-    return T.seasonal_smoothing(X.panel(spark, sf_dir).where(series)).select("product", "position", "alpha", F.round(F.col("level") + 1e-7, 4).alias("level"))
+def seasonal_smoothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.seasonal_smoothing(X.panel(spark, sf_dir)).select("product", "position", "alpha", F.round(F.col("level") + 1e-7, 4).alias("level"))
 
 
-def seasonal_accuracy(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
+def seasonal_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal smoothing fitted before 2001, held against the months that follow."""
-    dense = X.panel(spark, sf_dir).where(series)
-    train = dense.where("month_end < date'2001-01-01'")
+    panel = X.stored_panel(spark, sf_dir)
+    train = panel.where("month_end < date'2001-01-01'")
     ahead = T.seasonal_forecast(train, T.seasonal_smoothing(train), 12)
-    return T.forecast_accuracy(ahead, dense, ["seasonal"]).select("model", *rounded(["rmse", "mae"], 4))
+    return T.forecast_accuracy(ahead, panel, ["seasonal"]).select("model", *rounded(["rmse", "mae"], 4))
 
 
-def next_month_forecast(spark: SparkSession, sf_dir: str, series: str = X.DENSE) -> DataFrame:
-    dense = X.panel(spark, sf_dir).where(series)
-    ends = dense.groupBy("product").agg(F.max("month_end").alias("last"))
+def next_month_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ends = X.panel(spark, sf_dir).groupBy("product").agg(F.max("month_end").alias("last"))
     ahead = T.future_months(ends, 3)
     return T.next_month(ahead.select("product", "month_end", "h"), ends)
 
 
 def holt_winters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.holt_winters(X.panel(spark, sf_dir), 6)
+    return T.holt_winters(X.panel(spark, sf_dir), 6).select(*KEYS, F.round(F.col("holt_winters") + 1e-7, 4).alias("holt_winters"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -204,7 +204,7 @@ _IMPORTANCE = "imp as (" + " union all ".join(f"select '{m}' as feature, '{n}' a
 _GRID = ", ".join(f"({k / 10})" for k in range(1, 10))
 
 _SMOOTH = lambda where: f"""
-dense as (from panel where product like 'S%' {where}),
+dense as (from panel where true {where}),
 placed as (select product, month_end, quantity, (row_number() over (partition by product order by month_end) - 1) % 12 as position from dense),
 ranked as (select *, row_number() over (partition by product, position order by month_end) as n from placed),
 run as (
@@ -250,6 +250,19 @@ ORACLE_SQL = {
     "importance_comparison": sql("select feature, round(max(importance) filter (model = 'label'), 6) as label, round(max(importance) filter (model = 'step'), 6) as step from imp group by 1", CLASSES, FORECASTS, _IMPORTANCE),
     "importance_selection": sql("select count(*) as n_all, count(*) filter (r <= 2 and importance >= 0.01) as n_selected, round(100 * (1 - count(*) filter (r <= 2 and importance >= 0.01) / count(*)), 6) as reduction_percent from (select *, row_number() over (order by importance desc, feature) as r from imp where model = 'label')", CLASSES, FORECASTS, _IMPORTANCE),
     "importance_summary": sql("select count(*) as n_features, round(avg(importance), 6) as mean, round(stddev_pop(importance), 6) as std, round(max(importance), 6) as max from imp", CLASSES, FORECASTS, _IMPORTANCE),
+    "holt_winters": _REC(
+        "select product, last_day((date_trunc('month', hi) + to_months(h::int))::date) as month_end, round(level + h * trend + season[(t + h - 1) % cycle + 1] + 1e-7, 4) as holt_winters from (from run qualify t = max(t) over (partition by product)) join series using (product), generate_series(1, 6) s(h)",
+        "series as (select product, hi, n, ys, cycle, list_sum(ys[1:cycle]) / cycle as level0, case when n >= 2 * cycle then (list_sum(ys[cycle + 1:2 * cycle]) - list_sum(ys[1:cycle])) / (cycle * cycle) else 0.0 end as trend0 from (select product, max(month_end) as hi, count(*) as n, list(quantity order by month_end) as ys, case when count(*) >= 24 then 12 else 1 end as cycle from panel group by 1))",
+        "run as (select product, 0::bigint as t, level0::double as level, trend0::double as trend, case when cycle > 1 then list_transform(ys[1:cycle], lambda y: y - level0) else [0.0::double] end as season from series union all select product, t + 1, now, 0.05::double * (now - level) + 0.95::double * trend, case when cycle > 1 then season[1:t % cycle] || [0.2::double * (y - now) + 0.8::double * own] || season[t % cycle + 2:cycle] else season end from (select *, 0.3::double * (y - own) + 0.7::double * (level + trend) as now from (select r.*, s.cycle, s.ys[r.t + 1] as y, r.season[r.t % s.cycle + 1] as own from run r join series s using (product) where r.t < s.n)))",
+    ),
+    "intervals_bootstrap": sql(
+        f"select product, month_end, round(lo, 4) as lower_bound, round(hi, 4) as upper_bound, {_ROUND('interval_width', 'relative_uncertainty')} from scored",
+        CLASSES, FORECASTS, _PARTS,
+        "pool as (select row_number() over (order by label - pred_ma4) - 1 as at, label - pred_ma4 as r from train)",
+        "draws as (select product, month_end, ('0x' || substr(d, (8 * j + 1)::int, 8))::bigint as u, i, j from (select product, month_end, i, md5(concat_ws('|', '1', i, product, month_end)) as d from test, generate_series(1, 25) g(i)), generate_series(0, 3) k(j))",
+        "ends as (select product, month_end, floor(us[3] / 4294967296.0::double * (select count(*) from pool))::bigint as a, floor(us[98] / 4294967296.0::double * (select count(*) from pool))::bigint as b from (select product, month_end, list_sort(list(u)) as us from draws group by 1, 2))",
+        f"spans as (select test.*, pred_ma4 as p, greatest(pred_ma4 + x.r, 0) as lo, pred_ma4 + y.r as hi from test join ends using (product, month_end) join pool x on x.at = a join pool y on y.at = b), {_WIDTH}",
+    ),
     "series_rows": sql("select product as unique_id, month_end as ds, quantity as y from gaps where quantity is not null"),
     "croston": _REC(
         "select product, round(coalesce(size / gap, 0.0) + 1e-7, 4) as croston from run qualify n = max(n) over (partition by product)",
@@ -261,5 +274,5 @@ ORACLE_SQL = {
         "select 'seasonal' as model, round(sqrt(avg((q - level) * (q - level))), 4) as rmse, round(avg(abs(q - level)), 4) as mae from (select p.quantity as q, best.level from lasts join generate_series(1, 12) s(h) on true join panel p on p.product = lasts.product and p.month_end = last_day((date_trunc('month', lasts.hi) + to_months(h::int))::date) join best on best.product = lasts.product and best.position = (lasts.n + h - 1) % 12)",
         _SMOOTH("and month_end < date '2001-01-01'"), "lasts as (select product, max(month_end) as hi, count(*) as n from dense group by 1)",
     ),
-    "next_month_forecast": sql("select product, last_day((date_trunc('month', max(month_end)) + interval 1 month)::date) as month_end, 1::int as h from panel where product like 'S%' group by 1"),
+    "next_month_forecast": sql("select product, last_day((date_trunc('month', max(month_end)) + interval 1 month)::date) as month_end, 1::int as h from panel group by 1"),
 }

@@ -1,4 +1,4 @@
-"""Queries that fit models. Fits read whole panels; sizes of models are small, as they are parameters."""
+"""Queries that fit models. Fits read all rows of whole panels; trees are few and flat, as their number and depth are parameters."""
 
 from __future__ import annotations
 
@@ -11,10 +11,12 @@ from ..operators import ensemble as N
 from ..operators import metrics as M
 from ..operators import models as L
 from ..operators import panel as P
+from ..operators import reports as R
 from ..operators import scoring, splits
 from ..sources.tables import stored
 from . import fixtures as X
-from .fixtures import sql
+from .check_queries import _DATES, _METRICS
+from .fixtures import CLASSES, sql
 
 FEATURES = ("quantity", "lag_1", "lag_2", "ma_4_month", "month")
 
@@ -31,8 +33,8 @@ def _cut(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return known.where("month_end <= date'2000-06-30'"), known.where("month_end > date'2000-06-30'")
 
 
-def _dense(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return _cut(_panel(spark, sf_dir).where("product_category in ('Smooth', 'Erratic')"))
+def _known(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return _cut(_panel(spark, sf_dir))
 
 
 def _small() -> dict[str, object]:
@@ -45,7 +47,7 @@ def _small() -> dict[str, object]:
 
 def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line through (quantity, next month's), as SQL can fit it too."""
-    rows = _panel(spark, sf_dir).where("product like 'S%'").select("product", "month_end", "quantity", L.LABEL)
+    rows = stored(P.lags(X.panel(spark, sf_dir), steps=()).select("product", "month_end", "quantity", L.LABEL), "line")
     model = L.train(rows, LinearRegression(labelCol=L.LABEL, solver="normal"), ["quantity"])
     return model.transform(rows.na.drop()).select("product", "month_end", F.round("prediction", 4).alias("prediction"))
 
@@ -57,48 +59,48 @@ def models_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best forest of a grid by random folds, on later months."""
-    train, test = _dense(spark, sf_dir)
-    model = L.train(train, RandomForestRegressor(labelCol=L.LABEL, numTrees=4, seed=42), FEATURES, {"maxDepth": [2, 4]}, n_folds=2)
+    train, test = _known(spark, sf_dir)
+    model = L.train(train, RandomForestRegressor(labelCol=L.LABEL, seed=42), FEATURES, {"maxDepth": [2, 4], "numTrees": [4, 8]})
     return M.evaluate(model.transform(test), L.LABEL)
 
 
 def model_grid_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best depth by folds that follow in time."""
-    train, test = _dense(spark, sf_dir)
+    train, test = _known(spark, sf_dir)
     best, model = L.train_in_time(train, DecisionTreeRegressor(labelCol=L.LABEL, seed=42), FEATURES, [{"maxDepth": 2}, {"maxDepth": 4}], n_splits=2, min_train=30, test=6)
     return M.evaluate(model.transform(test), L.LABEL).withColumn("max_depth", F.lit(best["maxDepth"]))
 
 
 def cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _dense(spark, sf_dir)[0]
+    rows = _known(spark, sf_dir)[0]
     fit = lambda df: L.train(df, LinearRegression(labelCol=L.LABEL), FEATURES)
     return splits.cross_validate(rows, fit, lambda model, df: M.evaluate(model.transform(df), L.LABEL).first().asDict(), n_splits=2, min_train=36, test=6)
 
 
 def boosting_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.boosting_stop(*_dense(spark, sf_dir), FEATURES, most=8, maxDepth=3)
+    return L.boosting_stop(*_known(spark, sf_dir), FEATURES, most=20, maxDepth=3)
 
 
 def forest_size_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.forest_curve(*_dense(spark, sf_dir), FEATURES, counts=(1, 2, 4, 8), maxDepth=4)
+    return L.forest_curve(*_known(spark, sf_dir), FEATURES, counts=(5, 10, 20), maxDepth=4)
 
 
 def depth_validation_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.validation_curve(*_dense(spark, sf_dir), DecisionTreeRegressor(labelCol=L.LABEL, seed=42), "maxDepth", [1, 3], FEATURES)
+    return L.validation_curve(*_known(spark, sf_dir), DecisionTreeRegressor(labelCol=L.LABEL, seed=42), "maxDepth", [1, 3], FEATURES)
 
 
 def native_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _dense(spark, sf_dir)
+    train, _ = _known(spark, sf_dir)
     return L.native_importance(L.train(train, _small()["random_forest"], FEATURES), train)
 
 
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _dense(spark, sf_dir)
+    train, test = _known(spark, sf_dir)
     return L.permutation_importance(L.train(train, _small()["linear"], FEATURES), test, list(FEATURES))
 
 
 def stacked_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _dense(spark, sf_dir)
+    train, test = _known(spark, sf_dir)
     model = N.fit_stack(train, [LinearRegression(), DecisionTreeRegressor(maxDepth=3, seed=42)], FEATURES, L.LABEL, use_features=True)
     out = model.transform(test).withColumn("average", N.simple_average(["base_0", "base_1"]))
     return M.evaluate_each(out, ["base_0", "base_1", "average", "prediction"], L.LABEL).select("model", *rounded(["rmse", "mae"], 4))
@@ -113,14 +115,80 @@ def champion_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.tag_champions(L.score(models, P.latest_month(panel)), metrics)
 
 
+def _line() -> LinearRegression:
+    return LinearRegression(labelCol=L.LABEL, solver="normal")
+
+
+def cross_validated_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross validation in time of a line through (quantity, next month's), as SQL can fit it too."""
+    rows = _known(spark, sf_dir)[0]
+    scores = lambda model, df: {k: v for k, v in M.evaluate(model.transform(df), L.LABEL).first().asDict().items() if k in ("rmse", "mae")}
+    out = splits.cross_validate(rows, lambda df: L.train(df, _line(), ["quantity"]), scores, n_splits=2, min_train=36, test=6)
+    return out.select("metric", *rounded(["mean", "std"], 4))
+
+
+def walk_forward_refits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Walk-forward validation of the same line, fitted anew every twelfth step, two months ahead of what it knows."""
+    rows = stored(P.lags(X.panel(spark, sf_dir), steps=()).select("product", "month_end", "quantity", L.LABEL).na.drop(), "line")
+    out = splits.walk_forward_fit(rows, lambda df: L.train(df, _line(), ["quantity"]), lambda model, df: model.transform(df), refit_every=12, horizon=2)
+    return M.evaluate(out, L.LABEL, by=["step"]).select("step", *rounded(["rmse", "mae"], 4))
+
+
+def importance_of_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest's own importances, the features they select, and the error with all features and with those."""
+    train, test = _known(spark, sf_dir)
+    forest = _small()["random_forest"]
+    selected = R.select_features(L.native_importance(L.train(train, forest, FEATURES), train), 0.01, 3).orderBy("rank")
+    names = [r["feature"] for r in selected.collect()]  # a row per feature
+    return L.selection_scores(train, test, forest, FEATURES, names).withColumn("names", F.lit(",".join(names)))
+
+
+def scoring_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole scoring run from daily sales: next month's demand by each class's champion and challenger, lines through one feature each."""
+    daily = X.lines(spark, sf_dir)
+    panel = P.long_enough(P.add_features(stored(P.monthly_rollup(daily, "part", "d", "q"), "months")), 6)
+    panel = stored(panel.select("product", "month_end", "product_category", L.LABEL, "quantity", "ma_4_month"), "model-panel")
+    train, test = panel.where("month_end <= date'2000-06-30'"), panel.where("month_end > date'2000-06-30'")
+    models = {k: m for name, feature in (("last", "quantity"), ("mean", "ma_4_month")) for k, m in L.train_per_category(train, {name: _line()}, [feature]).items()}
+    out = scoring.run(daily, models, scoring.validation_metrics(models, test), "part", "d", "q")
+    return out.select("product", "month_end", F.round("prediction", 4).alias("prediction"), "SalesPattern", "Model", "is_champion")
+
+
 QUERIES = {f.__name__: f for f in (
     linear_fit, models_by_category, model_grid_search, model_grid_in_time, cross_validated, boosting_early_stop, forest_size_curve, depth_validation_curve, native_importance,
-    permutation_importance, stacked_ensemble, champion_scores,
+    permutation_importance, stacked_ensemble, champion_scores, cross_validated_line, walk_forward_refits, importance_of_forest, scoring_run,
 )}
 
+_KNOWN = "known as (select * from (select product, month_end, quantity, lead(quantity) over (partition by product order by month_end) as y from panel) where y is not null)"
+
 ORACLE_SQL = {
     "linear_fit": sql(
         "select product, month_end, round(a + b * quantity, 4) as prediction from known, (select regr_intercept(y, quantity) as a, regr_slope(y, quantity) as b from known)",
-        "known as (select * from (select product, month_end, quantity, lead(quantity) over (partition by product order by month_end) as y from panel where product like 'S%') where y is not null)",
+        "known as (select * from (select product, month_end, quantity, lead(quantity) over (partition by product order by month_end) as y from panel) where y is not null)",
+    ),
+    "cross_validated_line": sql(
+        "select metric, round(avg(value), 4) as mean, round(coalesce(stddev_samp(value), 0.0), 4) as std from (unpivot (select fold, rmse, mae from scores) on rmse, mae into name metric value value) group by 1",
+        CLASSES.replace(" quantity > 0", " quantity > 0 and month_end <= date '2000-06-30'").replace("(quantity > 0", "(quantity > 0 and month_end <= date '2000-06-30'"),
+        "known as (select * from (select product, month_end, quantity, lag(quantity, 2) over w as lag_2, lead(quantity) over w as y from panel window w as (partition by product order by month_end)) join classed using (product) where total_orders >= 5 and y is not null and lag_2 is not null and month_end <= date '2000-06-30')",
+        _DATES.format(source="known"),
+        "bounds2 as (select f.fold, 36 + f.fold * step - 1 as b, 36 + f.fold * step as c, 36 + f.fold * step + 5 as d from (select greatest(1, (max(n) - 42) // 2) as step, max(n) as n from dates having max(n) >= 42), generate_series(0, 1) f(fold) where 36 + f.fold * step + 5 < n)",
+        "folds2 as (select fold, y.p as train_to, z.p as test_from, u.p as test_to from bounds2 join dates y on y.i = b join dates z on z.i = c join dates u on u.i = d)",
+        "lines2 as (select fold, any_value(test_from) as lo, any_value(test_to) as hi, regr_intercept(y, quantity) as a, regr_slope(y, quantity) as b from known join folds2 on month_end <= train_to group by 1)",
+        f"scores as (select fold, {_METRICS} from (select fold, y as label, a + b * quantity as p from known join lines2 on month_end between lo and hi) group by 1)",
+    ),
+    "walk_forward_refits": sql(
+        "select step, round(sqrt(avg((y - a - b * quantity) * (y - a - b * quantity))), 4) as rmse, round(avg(abs(y - a - b * quantity)), 4) as mae from known join steps2 on month_end = test_date join lines2 using (refit_to) group by 1",
+        _KNOWN, _DATES.format(source="known"),
+        "steps2 as (select (t.i - 25)::int as step, t.p as test_date, r.p as refit_to from dates t join dates r on r.i = 23 + (t.i - 25) - (t.i - 25) % 12 where t.i >= 25)",
+        "lines2 as (select refit_to, regr_intercept(y, quantity) as a, regr_slope(y, quantity) as b from known, (select distinct refit_to from steps2) where month_end <= refit_to group by 1)",
+    ),
+    "scoring_run": sql(
+        'select product, month_end, round(a + b * x, 4) as prediction, product_category as "SalesPattern", model as "Model", is_champion from tall join ranks using (product_category, model) where month_end = (select max(month_end) from tall)',
+        CLASSES,
+        "base as (select product, month_end, product_category, quantity as last, avg(quantity) over (w rows 3 preceding) as mean, lead(quantity) over w as y from panel join classed using (product) where product like 'P%' and total_orders >= 6 window w as (partition by product order by month_end))",
+        "tall as (from (unpivot base on last, mean into name model value x))",
+        "fits as (select product_category, model, regr_intercept(y, x) as a, regr_slope(y, x) as b from tall where y is not null and month_end <= date '2000-06-30' group by 1, 2)",
+        "errors as (select product_category, model, any_value(a) as a, any_value(b) as b, sqrt(avg((y - a - b * x) * (y - a - b * x))) as rmse from tall join fits using (product_category, model) where month_end > date '2000-06-30' and y is not null group by 1, 2)",
+        "ranks as (select *, row_number() over (partition by product_category order by rmse, model) = 1 as is_champion from errors)",
     ),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..functions.quantiles import cuts
 from ..operators import panel as P
 from ..operators import quality
 from ..sources import tables
+from ..sources.tables import stored
 from . import fixtures as X
 from .fixtures import CLASSES, sql
 
@@ -38,7 +41,7 @@ def complete_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = P.add_features(X.mixed_months(spark, sf_dir))
+    out = P.add_features(stored(X.mixed_months(spark, sf_dir), "months"))
     return out.select(*BASE_PLAIN, F.col("month").cast("int").alias("month"), F.col("year").cast("int").alias("year"), *rounded(BASE_ROUNDED))
 
 
@@ -113,11 +116,19 @@ def quantity_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unpivot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months of 1998 as columns d_1 to d_12 and back, as days of a table that starts on 2015-01-01."""
-    year = X.panel(spark, sf_dir).where("product like 'S%' and year(month_end) = 1998")
-    wide = year.withColumn("m", F.month("month_end")).groupBy("product").pivot("m", list(range(1, 13))).agg(F.sum("quantity"))
-    wide = wide.select("product", *[F.col(str(m)).alias(f"d_{m}") for m in range(1, 13)])
-    return P.unpivot_days(wide, "product")
+    """All months as columns d_n, n counted from January 1970, and back, as days from 2015-01-01 on; months outside a series are null."""
+    months = X.panel(spark, sf_dir).withColumn("m", (F.year("month_end") - 1970) * 12 + F.month("month_end"))
+    wide = months.groupBy("product").pivot("m").agg(F.sum("quantity"))
+    return P.unpivot_days(wide.select("product", *[F.col(f"`{m}`").alias(f"d_{m}") for m in wide.columns if m != "product"]), "product")
+
+
+def managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales saved as a managed table, totals by year read back from it; a second save replaces the first."""
+    daily = X.lines(spark, sf_dir).groupBy(F.col("part").alias("item_id"), F.col("d").alias("OrderDate")).agg(F.sum("q").alias("Quantity"))
+    name = f"seriesmill_daily_{uuid.uuid4().hex}"
+    for _ in range(2):
+        tables.write_managed(daily, name)
+    return spark.table(name).groupBy(F.year("OrderDate").alias("year")).agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("n_items"), F.sum("Quantity").alias("quantity"))
 
 
 def files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,12 +148,18 @@ def files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exploration_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.explore_sample(X.panel(spark, sf_dir), fraction=0.1, seed=3)
+    """A tenth of the panel's rows, by the hash of their keys."""
+    return P.explore_sample(X.panel(spark, sf_dir), ["product", "month_end"], fraction=0.1, seed=3)
+
+
+def exploration_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel's 1,000 rows with the least hashes of their keys."""
+    return P.explore_sample(X.panel(spark, sf_dir), ["product", "month_end"], rows=1_000)
 
 
 QUERIES = {f.__name__: f for f in (
     demand_class_profile, clean_rollup, clean_lines_by_priority, complete_months, base_features, class_statistics_as_of, training_rows, latest_month_rows, demand_buckets_per_series, zero_profile,
-    null_profile, correlation_matrix, intake_profile, contract_violations, load_audit, load_clean, decimal_columns, quantity_deciles, unpivot_days, files_round_trip, exploration_sample,
+    null_profile, correlation_matrix, intake_profile, contract_violations, load_audit, load_clean, decimal_columns, quantity_deciles, unpivot_days, files_round_trip, managed_table, exploration_sample, exploration_rows,
 )}
 
 _TEXT = """
@@ -199,6 +216,9 @@ ORACLE_SQL = {
     "load_clean": sql("select item_id, count(*) as n_days, sum(qty::double) as quantity from text where item_id is not null and try_cast(day as date) is not null and try_cast(qty as double) is not null group by 1", _TEXT),
     "decimal_columns": "select l_linenumber, count(*) as n, round(max(l_extendedprice::decimal(12,2)::double), 2) as highest, round(min(l_extendedprice::decimal(12,2)::double), 2) as lowest from lineitem group by 1",
     "quantity_deciles": sql("select " + ", ".join(f"quantile_disc(quantity, {k / 10}) as q{k - 1}" for k in range(1, 10)) + " from mixed"),
-    "unpivot_days": sql("select product, (date '2015-01-01' + (month(month_end) - 1)::int)::date as \"OrderDate\", quantity as \"Quantity\" from panel where product like 'S%' and year(month_end) = 1998"),
+    "unpivot_days": sql("select product, (date '2015-01-01' + ((year(month_end) - 1970) * 12 + month(month_end) - 1)::int)::date as \"OrderDate\", quantity as \"Quantity\" from (select distinct product from panel) cross join (select distinct month_end from panel) left join panel using (product, month_end)"),
+    "managed_table": sql("select year(d)::int as year, count(*) as n, count(distinct part) as n_items, sum(q) as quantity from (select part, d, sum(q) as q from lines group by 1, 2) group by 1"),
+    "exploration_sample": sql("select product, month_end, quantity from panel where ('0x' || substr(md5(concat_ws('|', '3', product, month_end)), 1, 8))::bigint < (0.1::double * 4294967296)::bigint"),
+    "exploration_rows": sql("select product, month_end, quantity from panel order by md5(concat_ws('|', '1', product, month_end)), product, month_end limit 1000"),
     "files_round_trip": sql("select format, count(*) as n, sum(q) as quantity, max(d) as last_date from lines, (values ('csv'), ('parquet'), ('json')) v(format) group by 1"),
 }

@@ -14,8 +14,11 @@ DAILY = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("O
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir; a temporary one where it is unset)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seriesmill-")
+    """A new path in the folder that all executors share, spark.checkpoint.dir. Where it is unset, only a local master gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or tempfile.mkdtemp(prefix="seriesmill-")
     return f"{root.rstrip('/')}/seriesmill/{name}-{uuid.uuid4().hex}"
 
 

@@ -6,7 +6,7 @@ from contextlib import redirect_stdout
 import __spark_entry__
 import pytest
 from seriesmill.plans import fixtures as X
-from seriesmill.plans import registry, whole_panel_queries
+from seriesmill.plans import registry
 
 from .oracle import SF, both
 
@@ -17,18 +17,11 @@ def test_oracle(spark, name):
     assert mine == theirs and mine
 
 
-@pytest.mark.parametrize("name", whole_panel_queries.SIGNED_ZEROS)
-def test_whole_panel_as_numbers(spark, name):
-    mine, theirs = both(spark, registry.QUERIES[name], whole_panel_queries.STATEMENTS[name])
-    unsigned = lambda rows: sorted((tuple(v + 0.0 if isinstance(v, float) else v for v in r) for r in rows), key=repr)
-    assert unsigned(mine) == unsigned(theirs) and mine
-
-
-def test_whole_panel_queries_have_every_series(spark):
+def test_queries_have_every_series(spark):
     everyone = {r.product for r in X.panel(spark, SF).select("product").distinct().collect()}
     assert {p[0] for p in everyone} == {"P", "S", "E"}
     for name in ("ewma_crossover", "ewma_ratios", "seasonal_smoothing", "next_month_forecast", "unpivot_days"):
-        assert {r.product for r in registry.QUERIES[f"{name}_whole_panel"](spark, SF).select("product").distinct().collect()} == everyone, name
+        assert {r.product for r in registry.QUERIES[name](spark, SF).select("product").distinct().collect()} == everyone, name
 
 
 @pytest.mark.parametrize("name", ["base_features", "ewma_recursive", "impute_linear", "quality_report", "intervals_quantile", "croston"])
