@@ -1,17 +1,26 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped into lines: a block element's text, its white space turned into single spaces, is a line. Elements
-that never hold main text (menus, page headers and footers, sidebars, notices, adverts, forms, scripts, styles, reader
-comments) leave blank lines instead. Text lengths are summed over sliding windows of lines; where a window's sum leaves
-zero text surges, where it falls back to zero it dives, and the lines between make a region. The text from the first
-to the last region that is strong enough is kept, whole. If the strongest window, less its links, is inside an <article>
-or <main>, these say where the text is: what is outside is left out, and any region inside is strong enough. Otherwise
-they say nothing (teasers, say), and a region needs a share of the strongest window, and fewer than half of its
-characters in links. Headings right before the first region belong to it.
-
-Null and empty pages give an empty text. Pages are independent; repeated rows and ties need no rule; unclosed
-elements end where their parent does or where main text begins. An <article> inside a closed element that never holds
-main text goes with it, unless that is a form: whole pages are put in one.
+Markup is stripped into lines: a block element's text, its white space turned into single spaces, is a line with a number
+of characters, of which some are in links. Sums over sliding windows of lines decide: where a window's sum leaves
+zero text surges, where it falls back to zero it dives, and the lines between make a region. A region is as strong as its
+strongest window, links left out. Regions with a tenth of the strongest one's strength are strong enough, and the text from
+the first of them to the last is kept, whole. Headings right before the first belong to it.
+
+Tags are boundaries. Elements that never hold main text by their kind or because they aren't shown (menus, asides,
+footers, forms, scripts, styles, hidden ones) count as zero: inside an <article> or <main> as one line, so that windows reach
+over them, and elsewhere as a full window, so that text dives there and at the edges of <article> and <main>. If the
+strongest window of all is inside an <article> or <main>, text outside counts as zero, too. Otherwise they say nothing
+(teasers, say), and a region with half of its characters in links is not strong.
+
+Names (class, id, role) only lower weights. A block that is named, as a whole, for something beside main text (an advert,
+a notice, reader comments) is a region of its own, whose windows count for LOWERED of their sums: it stays if it outweighs
+all else and is long in itself. ``hidden`` and the like say that an element isn't shown.
+
+Null and empty pages give an empty text. Pages of any length and any markup are read in a time in proportion to their
+length. Pages are independent; repeated rows and ties need no rule; unclosed elements end where their parent does or where
+main text begins. An <article> inside a closed element that never holds main text goes with it, unless that is a form: whole
+pages are put in one. Only the page and the key columns are read, so other columns may have any name; a key with the name
+of a column to be made is an error. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -19,6 +28,8 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,28 +38,112 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 # Element and attribute names of HTML, and words that sites put in class, id and role.
-RAW = "script style noscript template iframe svg math object canvas audio video head title textarea".split()
+RAW = "script style noscript template iframe title textarea".split()
+EMBEDDED = "svg math object canvas audio video".split()
 SKIPPED = "nav footer aside form menu button select dialog fieldset label".split()
 INLINE = "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 NOT_MAIN = (
     "ad ads adv advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notification alert popup modal overlay "
     "sidebar side widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager masthead topbar header footer colophon copyright legal comment comments reply replies disqus respond "
-    "share sharing social related recommended newsletter subscribe signup login search toolbar skip hidden"
+    "share sharing social related recommended newsletter subscribe signup login search toolbar skip"
 ).split()
 #: Words that may stand beside those in a name without changing what it names.
 PLACES = "left right top bottom upper lower first second primary secondary site global page mobile desktop sticky fixed visually slot unit box block area bar panel list links link items item buttons button icons form wrap wrapper container inner outer posts articles stories section zone".split()
+NOT_SHOWN = "hidden visually-hidden sr-only screen-reader-text d-none".split()
+HEADINGS = "h1 h2 h3 h4 h5 h6".split()
+TITLED = "article content entry post story".split()
+#: Elements whose end tag may be left out; the next of the kind ends them.
+OPTIONAL = "p li dd dt tr td th".split()
 
-OPAQUE = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({'|'.join(RAW)})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+QUOTED = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
 NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
-HEADINGS = "h1 h2 h3 h4 h5 h6".split()
 WORDS = re.compile("[a-z]+")
 COMMENT = re.compile("(comment|reply)(?![a-z])")
-TITLED = ("article", "content", "entry", "post", "story")
+ENDS = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW + EMBEDDED}
+
+#: Lines of a window; the share of the strongest region; the most of a region that may be links; the weight of a named
+#: block, and the characters its strongest window has at least.
+WINDOW, SHARE, LINKED, LOWERED, NAMED_LEAST = 3, 0.1, 0.5, 0.02, 1_000
+#: Tags whose quotes don't end; from the last on, a tag ends at its first ">".
+UNENDING = 16
+
+
+class Tag(NamedTuple):
+    close: bool
+    name: str
+    attributes: str
+
+
+def scan(page: str) -> list[str | Tag]:
+    """A page's texts and tags in order, without comments and elements that hold no text. No part is read over and over."""
+    out: list[str | Tag] = []
+    begin = at = 0
+    behind_last, trusted, unended = page.rfind(">") + 1, UNENDING, set()
+
+    def text(until: int) -> None:
+        if until > begin:
+            out.append(page[begin:until])
+
+    while 0 <= (at := page.find("<", at)) < behind_last or page.startswith("<!--", at if at >= 0 else len(page)):
+        if page.startswith("<!--", at):
+            text(at)
+            end = page.find("-->", at + 4)
+            begin = at = end + 3 if end >= 0 else len(page)
+        elif page.startswith("<![CDATA[", at):
+            text(at)
+            end = page.find("]]>", at)
+            end = end if end >= 0 else len(page)
+            out.append(page[at + 9 : end])
+            begin = at = min(end + 3, len(page))
+        elif page[at + 1 : at + 2] in ("!", "?"):
+            text(at)
+            begin = at = page.find(">", at) + 1
+        elif found := NAME.match(page, at):
+            whole = QUOTED.match(page, found.end()) if trusted else None
+            trusted -= whole is None and trusted > 0
+            end = whole.end() if whole else page.find(">", found.end()) + 1
+            if not end:
+                break
+            text(at)
+            close, name = bool(found[1]), found[2].lower()
+            begin = at = end
+            if not close and name in ENDS:
+                ended = None if name in unended else ENDS[name].search(page, end)
+                if ended:
+                    begin = at = ended.end()
+                    out.append(" ")
+                elif name in RAW:
+                    begin = at = len(page)
+                else:
+                    unended.add(name)
+            elif name not in ENDS:
+                out.append(Tag(close, name, page[found.end() : end - 1]))
+        else:
+            at += 1
+    text(len(page))
+    return out
+
+
+def ended(tokens: list[str | Tag]) -> set[int]:
+    """The places of start tags that have an end tag of their own."""
+    found, opened = set(), {}
+    for i, t in enumerate(tokens):
+        if isinstance(t, Tag):
+            if not t.close:
+                opened.setdefault(t.name, []).append(i)
+            elif opened.get(t.name):
+                found.add(opened[t.name].pop())
+    return found
 
-WINDOW, SHARE, LINKED = 3, 0.1, 0.5
+
+def given(attributes: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
 
 
 def says_beside(token: str, in_main: bool) -> bool:
@@ -59,155 +154,207 @@ def says_beside(token: str, in_main: bool) -> bool:
     return any(w in NOT_MAIN for w in words) and all(w in NOT_MAIN or w in PLACES for w in words)
 
 
-def beside(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element's name or attributes say that it holds no main text."""
-    if name in SKIPPED or (name == "header" and not in_main):
-        return True
-    if not attributes or name in ("html", "body", "main"):
+def shown(attributes: dict[str, str]) -> bool:
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or NO_DISPLAY.search(attributes.get("style", "")):
         return False
-    given: dict[str, str] = {}
-    for m in ATTRIBUTE.finditer(attributes):
-        given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-    tokens = f"{given.get('class', '')} {given.get('role', '')}".lower().split()
-    slugs = given.get("id", "").lower().split()
+    return not any(t in NOT_SHOWN for t in attributes.get("class", "").lower().split())
+
+
+def named_beside(name: str, attributes: dict[str, str], in_main: bool) -> bool:
+    """Whether a block's names say that it is beside main text. Ids of headings are made of their own words."""
+    if name in ("html", "body", "main"):
+        return False
+    tokens = f"{attributes.get('class', '')} {attributes.get('role', '')}".lower().split()
+    slugs = attributes.get("id", "").lower().split() if name not in HEADINGS else []
     if name == "article":
         return any(COMMENT.match(t) for t in tokens + slugs)
-    if name not in HEADINGS and name not in INLINE:  # ids of those are made of their own words
-        tokens += slugs
-    return any(says_beside(t, in_main) for t in tokens) or "hidden" in given or given.get("aria-hidden", "").lower() == "true" or NO_DISPLAY.search(given.get("style", "")) is not None
+    return any(says_beside(t, in_main) for t in tokens + slugs)
+
+
+class Enclosure:
+    """An element that the reader is inside of; ``closed`` says that it has an end tag of its own."""
+
+    def __init__(self, name: str, closed: bool, inline: bool = False):
+        self.name, self.closed, self.inline, self.depth, self.articles = name, closed, inline, 1, 0
+
+    def holds(self, tag: Tag, starts_main: bool) -> bool:
+        """Whether ``tag`` belongs to the element; if not, it has ended before. After its end tag, depth is 0."""
+        begins = starts_main and (tag.name == "main" or self.name == "form" or not self.closed)
+        outer = tag.close and tag.name in ("body", "html", "article", "main") and tag.name != self.name and not (tag.name == "article" and self.articles)
+        next_one = self.name in OPTIONAL and not self.closed and not tag.close and tag.name == self.name
+        if begins or outer or next_one or (self.name == "p" and tag.name not in INLINE and not (tag.close and tag.name == "p")):
+            return False
+        step = -1 if tag.close else 1
+        self.depth += step * (tag.name == self.name)
+        self.articles += step * (tag.name == "article" != self.name)
+        return True
+
+
+class Line(NamedTuple):
+    """A line's text, its characters in links, whether it is in a main element, whether a heading, and its named block (0: none)."""
+
+    text: str
+    linked: int = 0
+    main: bool = False
+    heading: bool = False
+    block: int = 0
 
 
 class Lines:
-    """The lines of a page: (text, characters in links, in main element, heading); None is a blank line."""
+    """Reads a page's lines. None stands for a blank line, an empty line in main text for what is skipped there."""
 
     def __init__(self, page: str):
-        self.lines: list[tuple[str, int, bool, bool] | None] = []
+        self.lines: list[Line | None] = []
         self.parts: list[str] = []
-        self.linked = self.links = self.main = 0
-        self.heading = False
-        #: The skipped element's name, place in the page and depth, and the depth of articles inside.
-        self.skip: tuple[str, int, int, int] | None = None
-        self.ended: set[int] | None = None
-        page = OPAQUE.sub(lambda m: m[0][9:-3] if m[0].startswith("<![CDATA[") else "<wbr>" if m[0].startswith("<!--") else " ", page)
-        self.page, at = page, 0
-        for m in TAG.finditer(page):
-            self.text(page[at : m.start()])
-            at = m.end()
-            close, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-            if name:
-                self.tag(bool(close), name.lower(), attributes or "", m.start())
-        self.text(page[at:])
+        self.linked = self.main = self.blocks = 0
+        self.link = self.heading = False
+        self.skip: Enclosure | None = None
+        self.named: Enclosure | None = None
+        tokens = scan(page)
+        self.ended = ended(tokens)
+        for place, t in enumerate(tokens):
+            if isinstance(t, Tag):
+                self.tag(place, t)
+            elif not self.skip:
+                self.parts.append(t)
+                self.linked += len(t) if self.link else 0
         self.end()
 
-    def text(self, raw: str) -> None:
-        if raw and not self.skip:
-            self.parts.append(raw)
-            self.linked += len(raw) if self.links else 0
-
     def end(self) -> None:
         """The block that was open is a line."""
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            self.lines.append((text, min(self.linked, len(text)), self.main > 0, self.heading))
+            self.lines.append(Line(text, min(self.linked, len(text)), self.main > 0, self.heading, self.blocks if self.named else 0))
         self.parts, self.linked, self.heading = [], 0, False
 
-    def blank(self) -> None:
+    def boundary(self) -> None:
         self.end()
-        self.lines += [None] * WINDOW
-
-    def has_end(self, start: int) -> bool:
-        """Whether the element that starts there has an end tag of its own."""
-        if self.ended is None:
-            self.ended, opened = set(), {}
-            for m in TAG.finditer(self.page):
-                close, name = (m[1], m[2]) if m[2] else (m[4], m[5])
-                if name and not close:
-                    opened.setdefault(name.lower(), []).append(m.start())
-                elif name and opened.get(name.lower()):
-                    self.ended.add(opened[name.lower()].pop())
-        return start in self.ended
-
-    def tag(self, close: bool, name: str, attributes: str, start: int) -> None:
-        starts_main = not close and name in ("article", "main") and not beside(name, attributes, True)
+        self.lines += [Line("", main=True)] if self.main else [None] * WINDOW
+
+    def tag(self, place: int, tag: Tag) -> None:
+        name, attributes = tag.name, given(tag.attributes) if tag.attributes and not tag.close else {}
+        starts_main = not tag.close and name in ("article", "main") and shown(attributes) and not named_beside(name, attributes, True)
         if self.skip:
-            skipped, since, depth, articles = self.skip
-            begins = starts_main and (name == "main" or skipped == "form" or not self.has_end(since))
-            outer = close and name in ("body", "html", "article", "main") and name != skipped and not (name == "article" and articles)
-            if begins or outer or (skipped == "p" and name not in INLINE and not (close and name == "p")):
-                self.skip = None  # it ended without an end tag of its own
-            else:
-                depth += (name == skipped) * (-1 if close else 1)
-                articles += (name == "article" != skipped) * (-1 if close else 1)
-                self.skip = (skipped, since, depth, articles) if depth else None
+            if self.skip.holds(tag, starts_main):
+                self.skip = self.skip if self.skip.depth else None
                 return
+            self.skip = None  # it ended without an end tag of its own
+        if self.named and (not self.named.holds(tag, starts_main) or not self.named.depth):
+            self.boundary()
+            self.named = None
         if name == "a":
-            self.links = 0 if close else 1
-        if name in INLINE and not beside(name, attributes, self.main > 0):
+            self.link = "href" in attributes
+        inline = name in INLINE
+        if not tag.close and name not in VOID and (not shown(attributes) or name in SKIPPED or (name == "header" and not self.main)):
+            if not inline:
+                self.boundary()
+            self.skip = Enclosure(name, place in self.ended, inline)
+        elif inline:
             if name == "br":
                 self.parts.append(" ")
-            return
-        if not close and name not in VOID and beside(name, attributes, self.main > 0):
-            self.blank()
-            self.skip = (name, start, 1, 0)
-            return
+        else:
+            self.block(place, tag, attributes, starts_main)
+
+    def block(self, place: int, tag: Tag, attributes: dict[str, str], starts_main: bool) -> None:
         self.end()
-        if name in ("article", "main"):
+        if tag.name in ("article", "main"):
             if starts_main and not self.main:
-                self.blank()
-            self.main = max(0, self.main + (-1 if close else 1))
-            if close and not self.main:
-                self.blank()
-        self.heading = not close and re.fullmatch("h[1-6]", name) is not None
-
-
-def regions(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:
-    """(surge, dive, strongest window's sum) of each stretch of lines over which no window's sum is zero."""
-    found, start, last, strongest = [], None, 0, 0
-    for i, n in enumerate([*lengths, *[0] * window]):
-        total = sum(lengths[max(0, i - window + 1) : i + 1])
-        if total and start is None:
-            start, strongest = i, 0
-        if n:
+                self.boundary()
+            self.main = max(0, self.main + (-1 if tag.close else 1))
+            if tag.close and not self.main:
+                self.boundary()
+        if not tag.close and not self.named and tag.name not in VOID and named_beside(tag.name, attributes, self.main > 0):
+            self.boundary()
+            self.blocks += 1
+            self.named = Enclosure(tag.name, place in self.ended)
+        self.heading = not tag.close and tag.name in HEADINGS
+
+
+def window_sums(values: list[int], window: int) -> list[int]:
+    """For each line, and as many behind the last, the sum of the ``window`` values that end there."""
+    upto = [0] * window + list(accumulate(values, initial=0)) + [sum(values)] * window
+    return [hi - lo for lo, hi in zip(upto, upto[window:])][1:]
+
+
+def regions(lengths: list[int], unlinked: list[int] | None = None, window: int = WINDOW) -> list[tuple[int, int, int]]:
+    """(surge, dive, strength) of each stretch of lines over which no window's sum of ``lengths`` is zero.
+
+    The strength is the largest window's sum of ``unlinked``, or of ``lengths`` where that isn't given.
+    """
+    found, start, last, strength = [], None, 0, 0
+    sums = window_sums(lengths, window)
+    for i, (total, strong) in enumerate(zip(sums, sums if unlinked is None else window_sums(unlinked, window))):
+        if not total:
+            if start is not None:
+                found.append((start, last + 1, strength))
+                start = None
+            continue
+        if start is None:
+            start, strength = i, 0
+        if i < len(lengths) and lengths[i]:
             last = i
-        strongest = max(strongest, total)
-        if not total and start is not None:
-            found.append((start, last + 1, strongest))
-            start = None
+        if strong > strength:
+            strength = strong
     return found
 
 
-def strongest_window(lengths: list[int]) -> int:
-    return max((strongest for *_, strongest in regions(lengths)), default=0)
+def passed_over(line: Line | None) -> bool:
+    """Whether a line is in main text, and no part of its windows: runs of such lines count as one without text."""
+    return line is not None and line.main and (line.block > 0 or not line.text)
+
+
+def kept(lines: list[Line | None]) -> list[int]:
+    """The places of the lines between the first surge and the last dive of strong regions."""
+    at = [i for i, x in enumerate(lines) if not (passed_over(x) and i and passed_over(lines[i - 1]))]
+
+    def counted(which: list[bool]) -> tuple[list[int], list[int]]:
+        taken = [lines[i] if which[i] else None for i in at]
+        return [len(x.text) if x else 0 for x in taken], [len(x.text) - x.linked if x else 0 for x in taken]
+
+    def strongest(found: list[tuple[int, int, int]]) -> int:
+        return max((strength for *_, strength in found), default=0)
+
+    plain = [x is not None and not x.block for x in lines]
+    within = [y and x.main for x, y in zip(lines, plain)]
+    lengths, unlinked = counted(within)
+    found = regions(lengths, unlinked)
+    inside = strongest(found) > 0 and strongest(found) >= strongest(regions(*counted([y and not z for y, z in zip(plain, within)])))
+    if not inside:
+        lengths, unlinked = counted(plain)
+        found = [r for r in regions(lengths, unlinked) if sum(lengths[r[0] : r[1]]) - sum(unlinked[r[0] : r[1]]) < LINKED * sum(lengths[r[0] : r[1]])]
+    counts = within if inside else plain
+    #: Where, how strong, whether of a named block.
+    weighed = [(at[lo], at[hi - 1] + 1, float(strength), False) for lo, hi, strength in found]
+    places: dict[int, list[int]] = {}
+    for i, x in enumerate(lines):
+        if x and x.block:
+            places.setdefault(x.block, []).append(i)
+    for own in places.values():
+        of = [lines[i] for i in own]
+        strength = strongest(regions([len(x.text) for x in of], [len(x.text) - x.linked for x in of]))
+        if strength >= NAMED_LEAST:
+            weighed.append((own[0], own[-1] + 1, LOWERED * strength, True))
+    least = SHARE * max((strength for _, _, strength, _ in weighed), default=0)
+    strong = [r for r in weighed if r[2] >= least and r[2] > 0]
+    if not strong:
+        return []
+    surge, dive = min(r[0] for r in strong), max(r[1] for r in strong)
+    while surge and counts[surge - 1] and lines[surge - 1].heading:
+        surge -= 1
+    blocks = {lines[lo].block for lo, _, _, named in strong if named}
+    return [i for i in range(surge, dive) if (x := lines[i]) and x.text and (counts[i] or x.block in blocks)]
 
 
 def main_text(page: str | None) -> str:
     """The page's main text, blocks joined by newlines."""
     lines = Lines(page or "").lines
-    inside = any(x and x[2] for x in lines)
-    if inside:
-        within, without = ([len(x[0]) - x[1] if x and x[2] == side else 0 for x in lines] for side in (True, False))
-        inside = strongest_window(within) >= strongest_window(without)
-    lengths = [len(x[0]) if x and (x[2] or not inside) else 0 for x in lines]
-    found = regions(lengths)
-    if not found:
-        return ""
-    top = max(strongest for *_, strongest in found)
-
-    def strong(lo: int, hi: int, strongest: int) -> bool:
-        linked = sum(x[1] for x in lines[lo:hi] if x)
-        return inside or (strongest >= SHARE * top and linked < LINKED * sum(lengths[lo:hi]))
-
-    kept = [(lo, hi) for lo, hi, strongest in found if strong(lo, hi, strongest)]
-    if not kept:
-        return ""
-    surge, dive = kept[0][0], kept[-1][1]
-    while surge and (before := lines[surge - 1]) and before[3] and lengths[surge - 1]:
-        surge -= 1
-    return "\n".join(x[0] for x, n in zip(lines[surge:dive], lengths[surge:dive]) if n)
+    return "\n".join(lines[i].text for i in kept(lines))
 
 
 def extract(pages: DataFrame, page: str = "html", text: str = "text", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """Per row of ``pages``: the key columns, the main text and n_chars, its code points."""
+    if {text, "n_chars"} & set(keys):
+        raise ValueError(f"a key is named {text} or n_chars")
 
     def work(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -216,5 +363,5 @@ def extract(pages: DataFrame, page: str = "html", text: str = "text", keys: tupl
             yield pa.RecordBatch.from_arrays(columns, names=[*keys, text, "n_chars"])
 
     wanted = pages.select(*keys, text_of(page).alias("page"))
-    kinds = ", ".join(f"`{k}` {dict(wanted.dtypes)[k]}" for k in keys)
-    return wanted.mapInArrow(work, f"{kinds}, {text} string, n_chars long")
+    kinds = ", ".join(f"`{k}` {kind}" for k, kind in wanted.dtypes[: len(keys)])
+    return wanted.mapInArrow(work, f"{kinds}, `{text}` string, n_chars long")
