@@ -58,7 +58,8 @@ def bootstrap_intervals(rows: DataFrame, keys: list[str], level: float = 0.95, r
     for end in ("_lo", "_hi"):
         out = out.join(pool.withColumnsRenamed({"_at": end, "_r": f"{end}_r"}), end, "left").drop(end)
     p = F.col(prediction)
-    out = out.withColumns({"lower_bound": F.greatest(p + F.col("_lo_r"), F.lit(0.0)), "upper_bound": p + F.col("_hi_r")}).drop("_lo_r", "_hi_r")
+    lower = F.when(F.col("_lo_r").isNotNull(), F.greatest(p + F.col("_lo_r"), F.lit(0.0)))
+    out = out.withColumns({"lower_bound": lower, "upper_bound": p + F.col("_hi_r")}).drop("_lo_r", "_hi_r")
     return with_width(out, prediction)
 
 

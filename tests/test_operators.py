@@ -353,3 +353,190 @@ def test_permutation_importance_query_scores_every_feature(spark):
 
     found = model_queries.permutation_importance(spark, "/root/testdata/sf0.001").collect()
     assert {r.feature for r in found} == set(model_queries.FEATURES) and any(r["std"] > 0 for r in found)
+
+
+# --- models against plain versions --------------------------------------------------------------------------------------
+
+
+def model_frame(spark, n=240, seed=5):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        x, z = rng.uniform(-3, 3), rng.uniform(-3, 3)
+        rows.append((f"p{i % 6}", month(i // 6), "Smooth" if i % 2 else "Lumpy", x, z, 2.0 * x + (0.5 * z * z if i % 2 else 0.0) + rng.uniform(-0.1, 0.1)))
+    return spark.createDataFrame(rows, "product string, month_end date, product_category string, x double, z double, y double").repartition(3)
+
+
+def rmse_of(rows, prediction="prediction", label="y"):
+    pairs = [(r[label], r[prediction]) for r in rows]
+    return (sum((a - b) ** 2 for a, b in pairs) / len(pairs)) ** 0.5
+
+
+def parts(df):
+    cut = F.lit(month(29))
+    return df.where(F.col("month_end") <= cut), df.where(F.col("month_end") > cut)
+
+
+def test_models_per_category_are_lines_of_their_class(spark):
+    np = pytest.importorskip("numpy")
+    from pyspark.ml.regression import LinearRegression
+
+    df = model_frame(spark)
+    models = L.train_per_category(df, {"line": LinearRegression(labelCol="y", solver="normal")}, ["x", "z"])
+    assert set(models) == {("Smooth", "line"), ("Lumpy", "line")}
+    scored = L.score(models, df).collect()
+    assert len(scored) == df.count()
+    for category in ("Smooth", "Lumpy"):
+        rows = [r for r in df.collect() if r.product_category == category]
+        a = np.array([[1, r.x, r.z] for r in rows])
+        w = np.linalg.lstsq(a, np.array([r.y for r in rows]), rcond=None)[0]
+        want = {(r.product, r.month_end): float(v) for r, v in zip(rows, a @ w)}
+        assert {(r["product"], r.month_end): r.prediction for r in scored if r.SalesPattern == category} == pytest.approx(want)
+
+
+def test_grids_pick_the_depth_that_fits(spark):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    train, test = parts(model_frame(spark))
+    tree = DecisionTreeRegressor(labelCol="y", seed=1)
+    deep = L.train(train, tree, ["x", "z"], {"maxDepth": [0, 4]}, n_folds=2)
+    assert deep.stages[-1].depth > 1
+    best, model = L.train_in_time(train, tree, ["x", "z"], [{"maxDepth": 0}, {"maxDepth": 4}], n_splits=2, min_train=10, test=4)
+    assert best == {"maxDepth": 4} and model.stages[-1].depth > 1
+    curve = {r.value: r for r in L.validation_curve(train, test, tree, "maxDepth", [0, 4], ["x", "z"]).collect()}
+    for depth, r in curve.items():
+        one = L.train(train, tree.copy({tree.maxDepth: int(depth)}), ["x", "z"])
+        assert (r.train_rmse, r.validation_rmse) == pytest.approx((rmse_of(one.transform(train).collect()), rmse_of(one.transform(test).collect())))
+    assert L.best_value(spark.createDataFrame([(1.0, 0.1, 3.0), (2.0, 0.2, 2.0)], "value double, train_rmse double, validation_rmse double")).first().best_value == 2.0
+
+
+def test_forest_and_boosting_curves(spark):
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+
+    train, test = parts(model_frame(spark))
+    forest = L.train(train, RandomForestRegressor(labelCol="y", numTrees=4, seed=3, maxDepth=3), ["x", "z"])
+    rows = forest.stages[0].transform(test)
+    rows = rows.collect()
+    got = {r.iteration: r.score for r in L.forest_curve(train, test, ["x", "z"], "y", counts=(1, 4), seed=3, maxDepth=3).collect()}
+    for n in (1, 4):
+        mean = [sum(t.predict(r.features) for t in forest.stages[-1].trees[:n]) / n for r in rows]
+        assert got[n] == pytest.approx((sum((r.y - m) ** 2 for r, m in zip(rows, mean)) / len(rows)) ** 0.5)
+    curve = [r.score for r in L.boosting_curve(train, test, ["x", "z"], "y", most=5, maxDepth=2).orderBy("iteration").collect()]
+    for n in (1, 5):
+        one = L.train(train, GBTRegressor(labelCol="y", maxIter=n, seed=42, maxDepth=2), ["x", "z"])
+        assert curve[n - 1] == pytest.approx(rmse_of(one.transform(test).collect()) ** 2)
+    stop = L.boosting_stop(train, test, ["x", "z"], label="y", most=5, maxDepth=2).first()
+    assert stop.best_score == pytest.approx(min(curve[: stop.stop_iteration]))
+
+
+def test_importances_find_the_feature_that_matters(spark):
+    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+
+    df = model_frame(spark)
+    native = L.native_importance(L.train(df, RandomForestRegressor(labelCol="y", numTrees=5, seed=1), ["x", "z"]), df).collect()
+    assert [r.feature for r in native] == ["x", "z"] and sum(r.importance for r in native) == pytest.approx(1.0)
+    line = L.train(df, LinearRegression(labelCol="y"), ["x", "z"])
+    one, two = ({r.feature: r.importance for r in L.permutation_importance(line, d, ["x", "z"]).collect()} for d in (df, df.repartition(7)))
+    assert one == pytest.approx(two) and one["x"] > 10 * abs(one["z"]) and one["x"] > 1
+    scores = {r.features: r for r in L.selection_scores(*parts(df), LinearRegression(labelCol="y"), ["x", "z"], ["x"]).collect()}
+    assert scores["all"].n_features == 2 and scores["selected"].n_features == 1 and scores["selected"].rmse < 2 * scores["all"].rmse
+
+
+def test_shuffling_depends_on_rows_alone(spark):
+    df = spark.createDataFrame([(i, i * 10) for i in range(200)], "a int, b int")
+    one, two = (sorted(map(tuple, L.shuffled(d, "b", 3).collect())) for d in (df, df.repartition(9)))
+    assert one == two and one != sorted(map(tuple, L.shuffled(df, "b", 4).collect()))
+
+
+def test_stack_is_a_line_of_base_predictions(spark):
+    np = pytest.importorskip("numpy")
+    from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+
+    df = model_frame(spark)
+    out = ensemble.fit_stack(df, [LinearRegression(), DecisionTreeRegressor(maxDepth=3, seed=1)], ["x", "z"], "y").transform(df).collect()
+    a = np.array([[1, r.base_0, r.base_1] for r in out])
+    w = np.linalg.lstsq(a, np.array([r.y for r in out]), rcond=None)[0]
+    assert [r.prediction for r in out] == pytest.approx((a @ w).tolist(), abs=1e-6)
+
+
+def test_cross_validation_and_walk_forward_with_callables(spark):
+    df = frame(spark, {"a": [float(i) for i in range(20)], "b": [2.0 * i for i in range(20)]})
+    mean = lambda rows: rows.agg(F.avg("quantity")).first()[0]
+    out = {r.metric: r for r in splits.cross_validate(df, mean, lambda m, rows: {"mean": m, "n": rows.count()}, n_splits=2, min_train=10, test=3).collect()}
+    bounds = splits.folds(df, n_splits=2, min_train=10, test=3).collect()
+    means = [1.5 * sum(range(len([i for i in range(20) if month(i) <= f.train_to]))) / len([i for i in range(20) if month(i) <= f.train_to]) for f in bounds]
+    assert out["n"]["mean"] == 6 and out["mean"]["mean"] == pytest.approx(sum(means) / len(means))
+    got = splits.walk_forward_fit(df, mean, lambda m, rows: rows.withColumn("prediction", F.lit(m)), initial=12, refit_every=3, horizon=2).collect()
+    steps = {r.step: r for r in splits.walk_forward(df, initial=12, refit_every=3, horizon=2).collect()}
+    assert len(got) == 2 * len(steps) == 14
+    for r in got:
+        known = [i for i in range(20) if month(i) <= steps[r.step].refit_to]
+        assert r.month_end == steps[r.step].test_date and r.prediction == pytest.approx(1.5 * sum(known) / len(known))
+
+
+def test_bootstrap_draws_residuals(spark):
+    """Bounds are residuals of the calibration rows, also the outermost; more rows change nothing for a row."""
+    n = 3_000
+    known = spark.createDataFrame([("k", month(i), float(10 + (1_000 if i == 7 else i % 5)), 10.0) for i in range(n)], "product string, month_end date, label double, prediction double")
+    rows = spark.createDataFrame([(f"r{i}", month(i % 40), 0.0, 50.0) for i in range(400)], "product string, month_end date, label double, prediction double")
+    out = intervals.bootstrap_intervals(rows, ["product", "month_end"], level=0.99, calibration=known).collect()
+    assert {r.upper_bound - 50 for r in out} <= {0.0, 1.0, 2.0, 3.0, 4.0, 1_000.0} and any(r.upper_bound == 1_050 for r in out)
+    few = {(r["product"], r.month_end): r.upper_bound for r in intervals.bootstrap_intervals(rows.limit(30), ["product", "month_end"], level=0.99, calibration=known).collect()}
+    assert all(few[(r["product"], r.month_end)] == r.upper_bound for r in out if (r["product"], r.month_end) in few)
+    none = intervals.bootstrap_intervals(rows.limit(2), ["product", "month_end"], calibration=known.limit(0)).collect()
+    assert len(none) == 2 and all(r.lower_bound is None and r.upper_bound is None for r in none)
+
+
+def test_long_series_are_folded_whole(spark):
+    """A fold over blocks is the plain recursion, for any length about a square."""
+    series_ = {f"s{n}": [float((i * 7) % 11) for i in range(n)] for n in (1, 2, 3, 4, 5, 9, 10, 16, 17, 26, 500)}
+    rows = [(p, dt.date(2000, 1, 1) + dt.timedelta(days=i), v) for p, vs in series_.items() for i, v in enumerate(vs)]
+    got = {}
+    for r in ewma.ewma(spark.createDataFrame(rows, "product string, month_end date, quantity double"), alphas=(0.3,)).orderBy("month_end").collect():
+        got.setdefault(r["product"], []).append(r.ewma_30)
+    for p, vs in series_.items():
+        want, state = [], None
+        for v in vs:
+            state = v if state is None else 0.3 * v + 0.7 * state
+            want.append(state)
+        assert got[p] == pytest.approx(want)
+
+
+def test_quantile_outside_its_bracket_is_an_error(spark, monkeypatch):
+    real = F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: F.transform(real(c, p, a), lambda x: x + 1_000))
+    with pytest.raises(Exception, match="outside its bracket"):
+        cuts(spark.createDataFrame([(float(i),) for i in range(100)], "x double"), "x", (0.5,)).collect()
+
+
+def test_sample_by_keys_does_not_depend_on_partitions(spark):
+    df = noise(spark, length=60)
+    for options in ({"rows": 20}, {"fraction": 0.3}):
+        one, two = (sorted(map(tuple, panel.explore_sample(d, ["product", "month_end"], **options).collect())) for d in (df, df.repartition(7)))
+        assert one == two and 0 < len(one) < df.count()
+
+
+def test_numbers_follow_the_order(spark):
+    from seriesmill.functions.numbering import numbered
+
+    df = spark.createDataFrame([((i * 37) % 501,) for i in range(501)], "x int").repartition(6)
+    assert {(r.x, r.n) for r in numbered(df, ["x"], "n").collect()} == {(i, i) for i in range(501)}
+    assert numbered(df.limit(0), ["x"], "n").count() == 0
+
+
+def scans(df):
+    import io
+    from contextlib import redirect_stdout
+
+    text = io.StringIO()
+    with redirect_stdout(text):
+        df.explain()
+    return text.getvalue().split("Initial Plan")[0].count("lineitem")
+
+
+@pytest.mark.parametrize("name", ["ensemble_strategies", "intervals_quantile", "quality_report", "drift", "base_features", "fold_metrics"])
+def test_panels_are_built_once(spark, name):
+    """Lines are scanned for one build of the panel, which is then read from a written table."""
+    from seriesmill.plans import registry
+
+    assert scans(registry.QUERIES[name](spark, "/root/testdata/sf0.001")) == 0
