@@ -4,14 +4,17 @@ Documents are encoded and laid end to end in the order of the input's files; eve
 last is filled up with the end id). A keyed Feistel permutation of the sequence numbers, walked along its cycle until it is
 back in range, gives every sequence a global slot without a sort or a table. Slots are cut into shards of ``shard_rows``
 sequences; a range of shards goes to each task, which writes them as files of fixed stride: slot s is in file
-s // shard_rows at byte (s % shard_rows) * 2 * length. A reader resumes at any slot by a seek.
+s // shard_rows at byte (s % shard_rows) * stride. A reader resumes at any slot by a seek. Ids take ``id_bytes`` bytes
+each, and a vocabulary that does not fit in them is refused.
 
 Encoded documents are written to the shared folder once, in blocks with their place in their task's stream; a stream's
 start is the sum of those before it (a number per task). A shard is written under a name of its own and then renamed, so a
-task that runs twice leaves the same whole file.
+task that runs twice leaves the same whole file, also where the store refuses to rename onto a file that is there.
+``sweep`` removes what lost tasks have left.
 
-Null texts count as empty: an end id alone. Repeated rows are documents of their own. Without documents there are no
-sequences and no files. Only doc_id and text are read, so other columns may have any name.
+Null texts count as empty: an end id alone. Texts of any length are laid out whole. Repeated rows are documents of their
+own, also with the same or a null doc_id. Without documents there are no sequences and no files. Only doc_id and text
+are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -26,11 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, staged, text_of
-from .piece_codec import SLICE, chunk_table, processor
-
-
-#: Ids at which a block of documents is full.
-BLOCK_IDS = 1 << 19
+from .piece_codec import chunk_table, processor, slices
 
 
 @dataclass(frozen=True)
@@ -39,10 +38,19 @@ class Layout:
     shard_rows: int = 4_096
     key: int = 20_240_229
     rounds: int = 6
+    id_bytes: int = 2
 
     @property
     def stride(self) -> int:
-        return 2 * self.length
+        return self.id_bytes * self.length
+
+    @property
+    def id_type(self) -> np.dtype:
+        return np.dtype(f"<u{self.id_bytes}")
+
+    def check(self, vocabulary: int) -> None:
+        if vocabulary > 1 << 8 * self.id_bytes:
+            raise ValueError(f"{vocabulary} ids do not fit in {self.id_bytes} bytes each; set Layout.id_bytes")
 
 
 def feistel(numbers: np.ndarray, bits: int, key: int, rounds: int) -> np.ndarray:
@@ -70,29 +78,22 @@ def slots(numbers: np.ndarray, total: int, key: int, rounds: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def encoded(docs: DataFrame, model: str) -> DataFrame:
+def encoded(docs: DataFrame, model: str, layout: Layout = Layout()) -> DataFrame:
     """Blocks of documents: their ids end to end, compressed, and the block's place in the stream of the task that encoded it."""
+    kinds = {"part": pa.int64(), "start": pa.int64(), "doc_ids": pa.list_(pa.int64()), "lengths": pa.list_(pa.int64()), "ids": pa.binary()}
 
     def work(batches: Iterator[pa.RecordBatch]):
         import zstandard
         from pyspark import TaskContext
 
-        part, at, table, end = TaskContext.get().partitionId(), 0, chunk_table(model), np.array([processor(model).eos_id()], dtype=np.int32)
+        part, at, table, end = TaskContext.get().partitionId(), 0, chunk_table(model), [processor(model).eos_id()]
         press = zstandard.ZstdCompressor(level=5)
         for whole in batches:
-            lo = 0
-            while lo < whole.num_rows:
-                docs_, ids, n = [], [], 0
-                while lo < whole.num_rows and len(docs_) < SLICE and n < BLOCK_IDS:
-                    b = whole.slice(lo, SLICE // 8)
-                    found = table.encode(b.column(1).to_pylist())
-                    docs_ += b.column(0).to_pylist()
-                    ids += [np.concatenate([x, end]) for x in found]
-                    n, lo = n + sum(map(len, found)) + len(found), lo + len(found)
-                packed = press.compress(np.concatenate(ids).astype("<u2").tobytes())
-                row = [[part], [at], [docs_], [[len(x) for x in ids]], [packed]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()))], names=["part", "start", "doc_ids", "lengths", "ids"])
-                at += n
+            for b in slices(whole, 1):
+                ids, lengths = table.encode(b.column(1).to_pylist(), end)
+                row = (part, at, b.column(0).to_pylist(), lengths, press.compress(ids.astype(layout.id_type).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(row, kinds.values(), strict=True)], names=list(kinds))
+                at += len(ids)
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     return wanted.mapInArrow(work, "part long, start long, doc_ids array<long>, lengths array<long>, ids binary")
@@ -113,10 +114,10 @@ def pieces(stored: DataFrame, total: int, layout: Layout, end: int) -> DataFrame
         press, unpress = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         for b in batches:
             for start, doc_ids, lengths, packed in zip(*(b.column(k).to_pylist() for k in range(4))):
-                ids = np.frombuffer(unpress.decompress(packed), dtype="<u2")
+                ids = np.frombuffer(unpress.decompress(packed), dtype=layout.id_type)
                 ends = start + np.cumsum(lengths)
                 if start + len(ids) == total:
-                    ids = np.concatenate([ids, np.full(sequences * size - total, end, dtype="<u2")])
+                    ids = np.concatenate([ids, np.full(sequences * size - total, end, dtype=layout.id_type)])
                 numbers = np.arange(start // size, (start + len(ids) - 1) // size + 1)
                 lo, hi = np.maximum(start, numbers * size), np.minimum(start + len(ids), (numbers + 1) * size)
                 # The documents whose ids lie in [lo, hi): from the first that ends behind lo to the first that ends at or behind hi.
@@ -143,12 +144,35 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
+def put(system, name: str, target: str) -> None:
+    """Rename a whole file; where another run of the task has put the same one there, drop this one."""
+    try:
+        system.move(name, target)
+    except OSError:
+        there, own = system.get_file_info([target, name])
+        if not there.is_file or there.size != own.size:
+            raise
+        system.delete_file(name)
+
+
+def sweep(folder: str) -> int:
+    """Remove what lost tasks have left in ``folder``, once the job that wrote it has ended; how many files these were."""
+    from pyarrow import fs
+
+    system, root = open_folder(folder)
+    left = [f.path for f in system.get_file_info(fs.FileSelector(root)) if f.base_name.startswith(".shard-")]
+    for path in left:
+        system.delete_file(path)
+    return len(left)
+
+
 def materialise(docs: DataFrame, model: str, folder: str, layout: Layout = Layout()) -> DataFrame:
     """Write the shards into ``folder``; per sequence: slot, shard, sequence, doc_ids it holds ids of, and ids_sha256 of its bytes.
 
     The files are written when the result is.
     """
-    stored = staged(encoded(docs, model), "token-ids")
+    layout.check(processor(model).get_piece_size())
+    stored = staged(encoded(docs, model, layout), "token-ids")
     total = stored.agg(F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x)), F.lit(0))).first()[0]
     rows = pieces(stored, total, layout, processor(model).eos_id()).withColumn("shard", F.floor(F.col("slot") / layout.shard_rows).cast("long"))
     # Slots are dense and even, so the ranges are known: whole shards, the same number to each task, without sampling.
@@ -175,7 +199,7 @@ def materialise(docs: DataFrame, model: str, folder: str, layout: Layout = Layou
         def close_shard():
             if stream:
                 stream.close()
-                system.move(name, f"{root}/{shard_name(shard)}")
+                put(system, name, f"{root}/{shard_name(shard)}")
 
         for b in batches:
             for slot, sequence, docs_, packed, of in zip(*(b.column(k).to_pylist() for k in range(5))):
@@ -210,7 +234,7 @@ def read_slots(folder: str, first: int, last: int, layout: Layout = Layout()) ->
     for slot in range(first, last):
         if (shard := slot // layout.shard_rows) != opened:
             stream, opened = system.open_input_file(f"{root}/{shard_name(shard)}"), shard
-        yield np.frombuffer(stream.read_at(layout.stride, slot % layout.shard_rows * layout.stride), dtype="<u2")
+        yield np.frombuffer(stream.read_at(layout.stride, slot % layout.shard_rows * layout.stride), dtype=layout.id_type)
 
 
 def store(docs: DataFrame, model: str, layout: Layout = Layout()) -> DataFrame:

@@ -38,5 +38,73 @@ def test_round_trip(spark, tmp_path):
     assert all((a == b).all() for a, b in zip(resumed, rows[20:40]))
 
 
+def test_several_encoding_tasks_and_a_second_run(spark, tmp_path):
+    """Offsets over encoding tasks, null and repeated doc_ids, and files that are there already."""
+    layout = token_store.Layout(length=32, shard_rows=8)
+    rows = [(None if i % 11 == 0 else i % 40, f"text {i} " * (i % 23)) for i in range(200)] + [(1, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    library = piece_codec.processor(MODEL)
+    stream = [i for r in docs.collect() for i in library.encode(r.text or "", add_eos=True)]
+    index = token_store.materialise(docs, MODEL, str(tmp_path), layout).collect()
+    again = token_store.materialise(docs, MODEL, str(tmp_path), layout).collect()
+    assert sorted(map(str, index)) == sorted(map(str, again))
+    sequences = -(-len(stream) // layout.length)
+    stream += [library.eos_id()] * (sequences * layout.length - len(stream))
+    read = list(token_store.read_slots(str(tmp_path), 0, sequences, layout))
+    for r in index:
+        assert read[r.slot].tolist() == stream[r.sequence * layout.length : (r.sequence + 1) * layout.length]
+    assert {d for r in index for d in r.doc_ids} == {d for d, _ in rows}
+
+
+def test_a_store_that_does_not_rename_onto_a_file(tmp_path):
+    from pyarrow import fs
+
+    class Strict:
+        def __init__(self, system):
+            self.system = system
+
+        def move(self, a, b):
+            if self.system.get_file_info(b).type != fs.FileType.NotFound:
+                raise OSError("exists")
+            self.system.move(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.system, name)
+
+    system = Strict(fs.LocalFileSystem())
+    for name, text in (("a", b"one"), ("b", b"one"), ("c", b"longer")):
+        (tmp_path / name).write_bytes(text)
+    token_store.put(system, f"{tmp_path}/a", f"{tmp_path}/t")
+    token_store.put(system, f"{tmp_path}/b", f"{tmp_path}/t")
+    assert (tmp_path / "t").read_bytes() == b"one" and not (tmp_path / "b").exists()
+    with pytest.raises(OSError):
+        token_store.put(system, f"{tmp_path}/c", f"{tmp_path}/t")
+
+
+def test_sweep(tmp_path):
+    for name in (".shard-00000001.bin-x", "shard-00000001.bin"):
+        (tmp_path / name).write_bytes(b"x")
+    assert token_store.sweep(str(tmp_path)) == 1 and [p.name for p in tmp_path.iterdir()] == ["shard-00000001.bin"]
+
+
+def test_ids_that_do_not_fit_are_refused(spark, tmp_path):
+    token_store.Layout().check(65_536)
+    token_store.Layout(id_bytes=4).check(70_000)
+    with pytest.raises(ValueError):
+        token_store.Layout().check(65_537)
+    with pytest.raises(ValueError):
+        token_store.materialise(spark.createDataFrame([(1, "x")], "doc_id long, text string"), MODEL, str(tmp_path), token_store.Layout(id_bytes=1))
+
+
+def test_wide_ids(spark, tmp_path):
+    layout = token_store.Layout(length=16, shard_rows=4, id_bytes=4)
+    docs = spark.createDataFrame([(i, "some words " * i) for i in range(20)], "doc_id long, text string").coalesce(1)
+    index = token_store.materialise(docs, MODEL, str(tmp_path), layout).collect()
+    read = list(token_store.read_slots(str(tmp_path), 0, len(index), layout))
+    library = piece_codec.processor(MODEL)
+    stream = [i for k in range(20) for i in library.encode("some words " * k, add_eos=True)]
+    assert [i for r in sorted(index, key=lambda r: r.sequence) for i in read[r.slot].tolist()][: len(stream)] == stream
+
+
 def test_empty(spark, tmp_path):
     assert token_store.materialise(spark.createDataFrame([], "doc_id long, text string"), MODEL, str(tmp_path)).count() == 0
