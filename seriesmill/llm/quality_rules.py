@@ -1,12 +1,15 @@
 """Host-level quality rules, in DataFrame functions only.
 
 Every document is measured and fails its base rules or not. Failures are summed by host; a host's failure rate is
-shrunk towards the rate of all hosts by a beta prior whose strength is fitted to the hosts' spread (by moments), and
-documents of hosts whose shrunk rate exceeds ``host_rate`` are rejected with those that fail themselves.
+shrunk towards the rate of all rows by a beta prior whose strength is fitted to the hosts' spread (by moments, less what
+sampling alone spreads), and documents of hosts whose shrunk rate exceeds ``host_rate`` are rejected with those that
+fail themselves.
 
 Words are runs of anything but ASCII white space. Null texts are empty and fail for want of words; null hosts are a
-host of their own. Repeated lines and windows are compared within one text; windows by their 64-bit hash. An
-empty table gives an empty result. Host counts are pre-aggregated, and the verdicts join documents' narrow rows.
+host of their own. Texts of any length are measured whole, in arrays that one text fills. Repeated lines and windows are
+compared within one text; windows by their 64-bit hash. Repeated rows count each. An empty table gives an empty result.
+Only the key, the host and the text are read, so other columns may have any name. Host counts are pre-aggregated, and the
+verdicts join documents' narrow rows.
 """
 
 from __future__ import annotations
@@ -75,13 +78,19 @@ def measured(docs: DataFrame, host: str = "source", key: str = "doc_id", text: s
 def host_verdicts(rows: DataFrame, host_rate: float = 0.5) -> DataFrame:
     """Per host of ``rows(host, base_failed)``: rows, failures, the shrunk rate and host_kept.
 
-    The prior has the mean rate of hosts, m, and strength m(1 - m) / v - 1, v being the variance of hosts' rates: at
-    least 1, and 1000 where hosts don't differ.
+    Hosts weigh as many rows as they have: of N rows in H hosts, m is the share that fails, v the weighted variance of the hosts'
+    rates, and q the sum of the squared shares of rows. Rows that fail independently alone give v / m(1 - m) an expectation of
+    (H - 1) / N, and rows of a host that all agree one of 1 - q; where between these it lies is the correlation r
+    of a host's rows. The prior's strength is 1 / r - 1: at least 1, and 1000 where hosts don't differ by more than chance.
     """
     hosts = rows.groupBy("host").agg(F.count("*").alias("n_docs"), F.count_if("base_failed").alias("n_failed"))
-    hosts = hosts.withColumn("rate", F.col("n_failed") / F.col("n_docs"))
-    m, v = F.avg("rate"), F.var_pop("rate")
-    prior = hosts.agg(m.alias("m"), F.least(F.lit(1000.0), F.greatest(F.lit(1.0), F.coalesce(F.try_divide(m * (1 - m), v) - 1, F.lit(1000.0)))).alias("strength"))
+    n, failed = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
+    sums = hosts.agg(F.count("*").alias("h"), F.sum(n).alias("n"), F.sum(n * n).alias("nn"), F.sum(failed).alias("f"), F.sum(failed * failed / n).alias("ff"))
+    sums = sums.select("h", "n", (F.col("nn") / F.col("n") / F.col("n")).alias("q"), (F.col("f") / F.col("n")).alias("m"), (F.col("ff") / F.col("n")).alias("p2"))
+    chance, spread = (F.col("h") - 1) / F.col("n"), F.try_divide(F.col("p2") - F.col("m") * F.col("m"), F.col("m") * (1 - F.col("m")))
+    r = F.try_divide(spread - chance, 1 - F.col("q") - chance)
+    strength = F.when(r > 0, F.least(F.lit(1000.0), F.greatest(F.lit(1.0), 1 / r - 1))).otherwise(F.lit(1000.0))
+    prior = sums.select("m", strength.alias("strength"))
     shrunk = (F.col("n_failed") + F.col("m") * F.col("strength")) / (F.col("n_docs") + F.col("strength"))
     out = hosts.crossJoin(F.broadcast(prior)).withColumn("shrunk_rate", shrunk)
     return out.select("host", "n_docs", "n_failed", "shrunk_rate", (F.col("shrunk_rate") <= host_rate).alias("host_kept"))

@@ -23,7 +23,9 @@ m as (
   from w join lines using (doc_id) left join covered using (doc_id)),
 b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m),
 hosts as (select source, count(*) as n, count(*) filter (base_failed) as bad from b group by 1),
-prior as (select avg(bad / n) as m, least(1000, greatest(1, coalesce(avg(bad / n) * (1 - avg(bad / n)) / nullif(var_pop(bad / n), 0) - 1, 1000))) as k from hosts),
+sums as (select count(*) as h, sum(n)::double as rows, sum(n::double * n) / sum(n) / sum(n) as q, sum(bad) / sum(n) as m, sum(bad::double * bad / n) / sum(n) as p2 from hosts),
+corr as (select m, ((p2 - m * m) / nullif(m * (1 - m), 0) - (h - 1) / rows) / nullif(1 - q - (h - 1) / rows, 0) as r from sums),
+prior as (select m, case when r > 0 then least(1000, greatest(1, 1 / r - 1)) else 1000 end as k from corr),
 verdicts as (select source, (bad + m * k) / (n + k) as shrunk_rate from hosts, prior)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and shrunk_rate <= 0.5 as kept
 from b join verdicts on b.source is not distinct from verdicts.source

@@ -125,6 +125,8 @@ def test_classifier_edges(spark):
     rows = quality_classifier.predictions(docs.drop("score"), labels).collect()
     assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows) and len({r.score for r in rows}) == 1
     assert quality_classifier.keep_good(docs, labels).columns == docs.columns
+    with pytest.raises(ValueError):
+        quality_classifier.scored(docs, quality_classifier.train(docs, labels))
     assert quality_classifier.predictions(docs.limit(0), labels.limit(0)).count() == 0
 
 
@@ -162,6 +164,78 @@ def test_bad_hosts_take_their_documents_along(spark):
     assert not judged[0].kept and not judged[0].base_failed and judged[101].kept and not judged[100].kept and judged[999].kept
 
 
+def plain_strength(hosts):
+    """The prior's strength from (rows, failures) of each host, by the definition over all pairs of a host's rows."""
+    n = sum(rows for rows, _ in hosts)
+    m = sum(bad for _, bad in hosts) / n
+    if m in (0, 1):
+        return 1000.0
+    spread = sum(rows * (bad / rows - m) ** 2 for rows, bad in hosts) / n / (m * (1 - m))
+    chance, most = (len(hosts) - 1) / n, 1 - sum((rows / n) ** 2 for rows, _ in hosts)
+    r = (spread - chance) / (most - chance) if most != chance else -1
+    return min(1000.0, max(1.0, 1 / r - 1)) if r > 0 else 1000.0
+
+
+@pytest.mark.parametrize("rows", [5, 50, 500])
+def test_hosts_that_differ_by_chance_only_are_shrunk_wholly(spark, rows):
+    rng = np.random.default_rng(rows)
+    hosts = [(int(rows), int(k)) for k in rng.binomial(rows, 0.3, 400)]
+    flat = spark.createDataFrame([(str(h), i < bad) for h, (n, bad) in enumerate(hosts) for i in range(n)], "host string, base_failed boolean")
+    got = {int(r.host): r.shrunk_rate for r in quality_rules.host_verdicts(flat).collect()}
+    k, m = plain_strength(hosts), sum(b for _, b in hosts) / (rows * len(hosts))
+    assert k > 5 * rows or k == 1000
+    assert all(got[h] == pytest.approx((bad + m * k) / (n + k), abs=1e-9) for h, (n, bad) in enumerate(hosts))
+
+
+@pytest.mark.parametrize("hosts", [[(60, 54), (60, 6), (5, 0), (1, 1)], [(7, 0)], [(7, 7), (3, 3)], [(1, 1), (1, 0)]])
+def test_prior(spark, hosts):
+    flat = spark.createDataFrame([(str(h), i < bad) for h, (n, bad) in enumerate(hosts) for i in range(n)], "host string, base_failed boolean")
+    k, m = plain_strength(hosts), sum(b for _, b in hosts) / sum(n for n, _ in hosts)
+    got = {int(r.host): r.shrunk_rate for r in quality_rules.host_verdicts(flat).collect()}
+    assert all(got[h] == pytest.approx((bad + m * k) / (n + k), abs=1e-9) for h, (n, bad) in enumerate(hosts))
+
+
+def test_the_host_rule_decides_in_sql_too(spark, tmp_path):
+    """A table in which whole hosts go: the SQL twin says the same of every document."""
+    import duckdb
+    from seriesmill.llm import sql
+
+    good = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, "short" if rate * 10 > i % 10 else good, host) for host, rate, n in (("awful", 0.8, 200), ("bad", 0.6, 60), ("fair", 0.4, 60), ("fine", 0.1, 300), (None, 0.7, 30), ("one", 1.0, 1)) for i in range(n)]
+    docs = spark.createDataFrame([(k, t, s) for k, (_, t, s) in enumerate(rows)], "doc_id long, text string, source string").coalesce(1)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = dict(con.execute(f"select doc_id, kept from ({sql.QUALITY_RULES})").fetchall())
+    got = {r.doc_id: (r.kept, r.base_failed) for r in QUERIES["op4_quality_rules"](spark, str(tmp_path)).collect()}
+    assert {k: kept for k, (kept, _) in got.items()} == want
+    assert sum(not kept and not failed for kept, failed in got.values()) > 50
+
+
+def test_native_rules_run_no_python(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    text = io.StringIO()
+    with redirect_stdout(text):
+        quality_rules.judge(spark.read.parquet(f"{SF}/documents.parquet")).explain()
+    assert not any(x in text.getvalue() for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_an_id_with_most_rows_fills_many_buckets(spark):
+    """A third of the rows without doc_id, another third with one: no bucket holds either."""
+    mix = mixing.Mix(bucket_rows=100)
+    docs = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")).alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 9).cast("int")).alias("text"), F.lit("s").alias("source"))
+    rows = docs.select(F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("at"), "source", mixing.n_words(F.col("text")).alias("size"))
+    ordered, _ = mixing.ordered(rows, mix)
+    for p in (1, 2):
+        share = F.conv(F.substring(f"key{p}", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+        assert ordered.groupBy(F.floor(share * 60)).count().agg(F.max("count")).first()[0] < 400
+    plan = mixing.plan(docs, mix)
+    assert plan.count() == 6_000 and plan.where("taken > 2 * size").count() == 0
+    assert plan.agg(F.sum("taken")).first()[0] == pytest.approx(plan.agg(F.max("target")).first()[0], abs=10)
+
+
 def test_targets_stop_at_twice_the_size(spark):
     docs = spark.createDataFrame([(i, "w " * 10, s, "t") for i, s in enumerate(["a"] * 5 + ["b"] * 100 + ["c"] * 10 + [None] * 20)], "doc_id long, text string, source string, target string")
     got = {(r.source_size, round(r.target, 6)) for r in mixing.plan(docs).collect()}
