@@ -67,8 +67,8 @@ def test_keys_fold_more_than_the_result(spark):
 
 
 def test_chains_compare_bytes():
-    heads = exact_dedup.chained(list(range(6)), [4, None, 9, 1, 9, 2], [7, 7, 7, 7, 7, 8], [b"a", b"b", b"a", b"c", b"a", b"a"])
-    assert [(h.text, h.at, h.keep, h.keep_at, h.size) for h in heads] == [(b"a", 0, 9, 4, 3), (b"b", 1, None, 1, 1), (b"a", 0, 9, 4, 3), (b"c", 3, 1, 3, 1), (b"a", 0, 9, 4, 3), (b"a", 5, 2, 5, 1)]
+    heads = exact_dedup.chained(list(range(6)), [4, None, 9, 1, 9, 2], [7, 7, 7, 7, 7, 8], [True] * 5 + [False], [b"a", b"b", b"a", b"c", b"a", b"a"])
+    assert [(h.text, h.at, h.keep, h.keep_at, h.size) for h in heads] == [(b"a", 0, 9, 4, 3), (b"b", 1, None, 1, 1), (b"a", 0, 9, 4, 3), (b"c", 3, 1, 3, 1), (b"a", 0, 9, 4, 3), (None, 5, 2, 5, 1)]
 
 
 @pytest.mark.parametrize("seed", range(6))

@@ -38,6 +38,43 @@ def test_codec_on_sample_documents(spark):
         assert r.ids == ids and r.text == library.decode(ids)
 
 
+@pytest.mark.parametrize("most", [3, 50, 10**6])
+def test_a_full_table_changes_nothing(most):
+    """Chunks that one slice only has met are forgotten first; ids are the library's whatever is remembered."""
+    import random
+
+    rng, library = random.Random(most), piece_codec.processor(MODEL)
+    table = piece_codec.ChunkTable(MODEL)
+    table.table.most = most
+    for _ in range(30):
+        texts = [" ".join(rng.choice(["the", "word", "", "x" * 80, f"n{rng.randint(0, 60)}", "é漢\n"]) for _ in range(rng.randint(0, 30))) for _ in range(8)]
+        ids, lengths = table.encode(texts, [library.eos_id()])
+        ends = lengths.cumsum()
+        for t, lo, hi in zip(texts, ends - lengths, ends):
+            assert ids[lo:hi].tolist() == library.encode(t, add_eos=True), t
+        assert len(table.table.table) <= max(most, 1)
+
+
+def test_slices_are_bounded_and_whole(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(piece_codec, "SLICE", 3)
+    monkeypatch.setattr(piece_codec, "SLICE_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"text": ["aaaa", "bbbb", None, "c" * 50, "", "d", "e", "f", "g" * 11]})
+    got = [b.column(0).to_pylist() for b in piece_codec.slices(batch, 0)]
+    assert [x for b in got for x in b] == batch.column(0).to_pylist() and ["c" * 50] in got and max(map(len, got)) == 3
+
+
+def test_null_lists_and_clashing_columns(spark):
+    tokens = spark.createDataFrame([(1, None), (2, []), (3, [450, None, 2])], "doc_id long, ids array<int>")
+    assert [r.text for r in piece_codec.decode(tokens, MODEL).orderBy("doc_id").collect()] == ["", "", piece_codec.processor(MODEL).decode([450, 2])]
+    with pytest.raises(ValueError):
+        piece_codec.encode(frame(spark, ["a"]), MODEL)
+    with pytest.raises(ValueError):
+        piece_codec.decode(tokens.withColumnRenamed("doc_id", "text"), MODEL)
+    assert piece_codec.encode(frame(spark, ["a"]), MODEL, ids="pieces").columns == ["doc_id", "pieces", "ids", "table"]
+
+
 def test_empty_table(spark):
     assert piece_codec.round_trip_digests(frame(spark, []), MODEL).count() == 0
     assert token_counts.count_tokens(frame(spark, []), MODEL).count() == 0
@@ -57,7 +94,7 @@ def test_counts_are_the_unigram_tokenizer(spark):
 
     vocabulary = [("<unk>", 0.0), *((library.id_to_piece(i), -2e9) for i in range(3, 259)), *pieces]
     tokenizer = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=True))
-    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(40).collect()]
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     texts = [t for t in [*TEXTS, *docs] if "<0x" not in (t or "")]
     got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame(spark, texts), MODEL).collect()}
     for i, t in enumerate(texts):
