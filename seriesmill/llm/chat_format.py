@@ -9,8 +9,10 @@ backslash more, so that ``<|`` never stands in a text.
 
 Rows of a conversation meet in one task, sorted by turn on disk; ties are put in order of role and text. A task holds
 a part of a conversation at a time: parts end between turns once they have ``part_chars`` characters, and tokens do
-not depend on where parts end. Null texts and roles count as empty, rows with a null conv_id are one
-conversation, null turns come first, repeated rows are turns of their own. An empty table gives an empty result.
+not depend on where parts end. Short conversations are encoded together, GROUP_CHARS characters at a time. Null texts and
+roles count as empty, rows with a null conv_id are one conversation, null turns come first, repeated rows are turns of
+their own. An empty table gives an empty result. Only conv_id, turn, role and text are read, so other columns may have any
+name.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ from .common import text_of
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 TURN = re.compile(rf"{re.escape(START)}(.*?){re.escape(SEP)}(.*?){re.escape(END)}", re.S)
 TRAINED_ROLE = "assistant"
+#: Characters, at least, of conversations that are encoded together.
+GROUP_CHARS = 200_000
 
 
 def escape(text: str) -> str:
@@ -43,6 +48,9 @@ def unescape(text: str) -> str:
 
 @lru_cache(maxsize=2)
 def tokenizer(file: str):
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(file)
@@ -103,16 +111,33 @@ def parts(batches: Iterator[pa.RecordBatch], part_chars: int) -> Iterator[tuple[
         yield now, True
 
 
+def encoded_parts(held: list[tuple[Part, bool]], t) -> pa.RecordBatch:
+    """A row of SCHEMA for each part."""
+    rendered = [render(part.turns) for part, _ in held]
+    found = t.encode_batch([text for text, _ in rendered], add_special_tokens=False)
+    sizes = [len(e) for e in found]
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.int32, sum(sizes))
+    offsets = (np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * n).reshape(-1, 2) for e, n in zip(found, sizes))
+    masks = [loss_mask(spans, of) for (_, spans), of in zip(rendered, offsets)]
+    columns = [
+        pa.array([part.conv_id for part, _ in held], pa.int64()), pa.array([part.number for part, _ in held], pa.int32()), pa.array([last for _, last in held], pa.bool_()),
+        pa.array([text for text, _ in rendered], pa.string()), pa.ListArray.from_arrays(ends, pa.array(ids)), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(masks))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["conv_id", "part", "last", "formatted", "ids", "loss"])
+
+
 def formatted(batches: Iterator[pa.RecordBatch], file: str, part_chars: int) -> Iterator[pa.RecordBatch]:
-    """A row of SCHEMA for every part."""
-    t = tokenizer(file)
+    """Rows of SCHEMA for all parts, in their order."""
+    t, held, chars = tokenizer(file), [], 0
     for part, last in parts(batches, part_chars):
-        text, spans = render(part.turns)
-        encoded = t.encode(text, add_special_tokens=False)
-        mask = loss_mask(spans, np.array(encoded.offsets, dtype=np.int64).reshape(-1, 2))
-        row = [[part.conv_id], [part.number], [last], [text], [encoded.ids], [mask.tolist()]]
-        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["conv_id", "part", "last", "formatted", "ids", "loss"])
+        held.append((part, last))
+        chars += part.chars
+        if chars >= GROUP_CHARS or len(held) >= 1_000:
+            yield encoded_parts(held, t)
+            held, chars = [], 0
+    if held:
+        yield encoded_parts(held, t)
 
 
 def by_conversation(rows: DataFrame) -> DataFrame:
@@ -135,16 +160,25 @@ class Digest:
     loss_hash: object = field(default_factory=hashlib.sha256)
     chars: int = 0
 
-    def add(self, text: str, ids: list[int], loss: list[bool], t) -> None:
+    def add(self, text: str, said: list[str]) -> None:
+        """A part's text, and what is under its loss mask, span by span."""
         self.chars += len(text)
         for m in TURN.finditer(text):
             self.turns += 1
             self.turns_hash.update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], np.array(loss, dtype=np.int8), [0]])))
-        for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            said = unescape(t.decode(ids[lo:hi], skip_special_tokens=False))
-            self.loss_chars += len(said)
-            self.loss_hash.update(said.encode())
+        for x in map(unescape, said):
+            self.loss_chars += len(x)
+            self.loss_hash.update(x.encode())
+
+
+def under_mask(batch: pa.RecordBatch, t) -> list[list[str]]:
+    """The texts of each row's runs of masked tokens. A row begins and ends outside the mask, so no run goes on in the next."""
+    ids, loss = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (4, 5))
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], loss.astype(np.int8), [0]])))
+    found = t.decode_batch([ids[lo:hi].tolist() for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist())], skip_special_tokens=False)
+    ends = np.cumsum(batch.column(4).value_lengths().to_numpy(zero_copy_only=False))
+    upto = np.searchsorted(edges[::2], ends).tolist()
+    return [found[lo:hi] for lo, hi in zip([0, *upto], upto)]
 
 
 def round_trip_digests(rows: DataFrame, file: str, part_chars: int = 1_000_000) -> DataFrame:
@@ -155,11 +189,11 @@ def round_trip_digests(rows: DataFrame, file: str, part_chars: int = 1_000_000)
     def work(batches: Iterator[pa.RecordBatch]):
         t, now, done = tokenizer(file), Digest(), []
         for b in formatted(batches, file, part_chars):
-            r = b.to_pylist()[0]
-            now.add(r["formatted"], r["ids"], r["loss"], t)
-            if r["last"]:
-                done.append((r["conv_id"], now.turns, now.turns_hash.hexdigest(), now.loss_chars, now.loss_hash.hexdigest(), now.chars))
-                now = Digest()
+            for conv_id, last, text, said in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), under_mask(b, t)):
+                now.add(text, said)
+                if last:
+                    done.append((conv_id, now.turns, now.turns_hash.hexdigest(), now.loss_chars, now.loss_hash.hexdigest(), now.chars))
+                    now = Digest()
             if len(done) >= 1_000:
                 yield listed(done)
                 done = []
