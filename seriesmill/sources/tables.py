@@ -22,13 +22,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/seriesmill/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths that ``stored`` has written and ``remove_stored`` has not removed.
+STORED: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table, for what is read again and again: fits reread files, and lost executors lose nothing."""
+    """``df`` as a written table, for what is read again and again: fits reread files, and lost executors lose nothing.
+
+    It stays until ``remove_stored``, as frames that are made from it are lazy.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_stored(spark: SparkSession) -> int:
+    """Remove all that ``stored`` has written, once no frame that was made from it is needed; how many tables these were."""
+    n = len(STORED)
+    while STORED:
+        target = spark._jvm.org.apache.hadoop.fs.Path(STORED.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return n
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = DAILY) -> DataFrame:
     """CSV with a header, read as strings by the schema's names and cast; what can't be cast is null."""
     raw = spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])).option("header", True).csv(path)

@@ -540,3 +540,13 @@ def test_panels_are_built_once(spark, name):
     from seriesmill.plans import registry
 
     assert scans(registry.QUERIES[name](spark, "/root/testdata/sf0.001")) == 0
+
+
+def test_stored_tables_are_removed(spark):
+    import os
+
+    tables.remove_stored(spark)
+    df = tables.stored(spark.range(5), "five")
+    folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    assert df.count() == 5 and os.path.isdir(folder)
+    assert tables.remove_stored(spark) == 1 and not os.path.isdir(folder) and tables.remove_stored(spark) == 0
