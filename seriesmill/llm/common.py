@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +56,17 @@ def remove(spark: SparkSession, path: str) -> None:
         STAGED.remove(path)
 
 
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for ``mapInArrow``; at its end the memory of its batches goes back, as Python workers live on between stages."""
+
+    @wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def text_of(column: str | Column) -> Column:
     """Null texts count as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import remove, staged, staged_at, text_of
+from .common import frugal, remove, staged, staged_at, text_of
 
 #: Bytes of text for an owner where the table has more than the shuffle's tasks would hold, owners at most, and buckets of each.
 OWNER_BYTES, MOST_OWNERS, EACH = 256 << 20, 1 << 16, 8
@@ -94,22 +95,22 @@ def dealt(docs: DataFrame, key: str, text: str, capacity: int | None) -> tuple[D
     keys, keys_path = staged_at(docs.select(key_of(body).alias("hash"), (F.octet_length(body) + 1).cast("long").alias("bytes")), "hash-keys")
     total = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     n_owners = min(MOST_OWNERS, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // OWNER_BYTES)))
-    capacity = capacity or max(1, total // (EACH * n_owners))
+    capacity = max(capacity or total // (EACH * n_owners), total // (EACH * MOST_OWNERS), 1)
     most_bits = min(21, 3 + math.ceil(math.log2(max(1, total / capacity))))
     cells = keys.withColumn("cell", prefix(most_bits))
     found = cells.groupBy("cell").agg(F.sum("bytes").alias("bytes")).toArrow()  # a row for each cell
     fills = np.zeros(1 << most_bits, dtype=np.int64)
     fills[found.column("cell").to_numpy()] = found.column("bytes").to_numpy()
-    # At most total / capacity keys are hot, EACH for each owner; only cells that are themselves overfull can hold one.
+    # At most total / capacity keys are hot, EACH * MOST_OWNERS whatever the table; only cells that are themselves overfull can hold one.
     spark = docs.sparkSession
-    overfull = spark.createDataFrame([(int(c),) for c in np.flatnonzero(fills > capacity)], "cell long")
+    overfull = spark.createDataFrame(pa.table({"cell": np.flatnonzero(fills > capacity).astype(np.int64)}))
     hot = cells.join(F.broadcast(overfull), "cell").groupBy("hash", "cell").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > capacity)
     hot, hot_path = staged_at(hot, "hot-keys")
     remove(spark, keys_path)
     for cell, n in hot.groupBy("cell").agg(F.sum("bytes")).collect():
         fills[cell] -= n
     d = directory(fills, capacity, n_owners)
-    owners = spark.createDataFrame(list(enumerate(d.owners)), "cell long, owner int")
+    owners = spark.createDataFrame(pa.table({"cell": np.arange(len(d.owners)), "owner": np.array(d.owners, dtype=np.int32)}))
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), key_of(body).alias("hash"), body.cast("binary").alias("body"), F.monotonically_increasing_id().alias("at"))
     placed = rows.withColumn("cell", prefix(d.bits)).join(F.broadcast(owners), "cell")
     placed = placed.join(F.broadcast(hot.select("hash", F.ceil(F.col("bytes") / capacity).cast("int").alias("parts"))), "hash", "left")
@@ -127,35 +128,45 @@ FOUND_SCHEMA = "class long, keep long, keep_at long, size long, text_sha256 stri
 class Head:
     """A text that a chain has met, and what is known of the rows that equal it."""
 
-    text: bytes
+    text: bytes | None
     at: int
     keep: int | None
     keep_at: int
     size: int = 0
+    digest: str | None = None
 
     def add(self, at: int, id: int | None) -> None:
         self.size += 1
         if id is not None and (self.keep is None or id >= self.keep):
             self.keep, self.keep_at = id, at
 
+    def close(self, digest: bool, hot: bool) -> None:
+        """No further text is compared with this one; it stays at hand where other owners have heads of its key."""
+        self.digest = hashlib.sha256(self.text).hexdigest() if digest else None
+        self.text = self.text if hot else None
 
-def chained(ats: list[int], ids: list[int | None], hashes: list[int], texts: list[bytes]) -> list[Head]:
+
+def chained(ats: Iterable[int], ids: Iterable[int | None], hashes: Iterable[int], hot: Iterable[bool], texts: Iterable[bytes], digest: bool = False) -> list[Head]:
     """The head of each row, rows being in order of hash: a key's chain is searched by comparing bytes."""
-    out, chain, last = [], [], None
-    for at, id, hash, text in zip(ats, ids, hashes, texts, strict=True):
+    out, links, last, was_hot = [], [], None, False
+    for at, id, hash, is_hot, text in zip(ats, ids, hashes, hot, texts, strict=True):
         if hash != last:
-            chain, last = [], hash
-        head = next((h for h in chain if h.text == text), None)
+            for h in links:
+                h.close(digest, was_hot)
+            links, last, was_hot = [], hash, is_hot
+        head = next((h for h in links if h.text == text), None)
         if head is None:
             head = Head(text, at, id, at)
-            chain.append(head)
+            links.append(head)
         head.add(at, id)
         out.append(head)
+    for h in links:
+        h.close(digest, was_hot)
     return out
 
 
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches that end where a key ends, but for hot keys, which are cut at HELD rows or HELD_BYTES.
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of batches, in lists that end where a key ends, but for hot keys, which are cut at HELD rows or HELD_BYTES.
 
     The rows that are held of other keys are those of the last key of a batch: ``capacity`` bytes at most.
     """
@@ -165,45 +176,53 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         hashes = b.column(2).to_numpy()
         first = int(np.searchsorted(hashes, hashes[-1]))  # of the last key
-        joined = [*held, b.slice(0, first)] if first or (held and held[-1].column(2)[0].as_py() != hashes[-1]) else None
-        if joined is not None:
-            yield pa.concat_batches([x for x in joined if x.num_rows] or [b.slice(0, 0)])
+        if first:
+            yield [*held, b.slice(0, first)]
+            held = []
+        elif held and held[-1].column(2)[0].as_py() != hashes[-1]:
+            yield held
             held = []
         held.append(b.slice(first))
         if b.column(3)[b.num_rows - 1].as_py() and (sum(x.num_rows for x in held) >= HELD or sum(x.nbytes for x in held) >= HELD_BYTES):
-            yield pa.concat_batches(held)
+            yield held
             held = []
     if held:
-        yield pa.concat_batches(held)
+        yield held
 
 
-def owned(pages: DataFrame, rows: bool) -> DataFrame:
+def owned(pages: DataFrame, rows: bool, text: str = "text") -> DataFrame:
     """What owners find: per row its class (the row number of the chain's head), keep, keep_at and size, final for keys that aren't hot.
 
     Rows that head a chain of a hot key come with their text. With ``rows``, only those that stay, or may stay, come, with
-    the row itself.
+    the row itself, and its column ``text`` is compared.
     """
 
     def work(batches: Iterator[pa.RecordBatch]):
-        for b in runs(batches):
-            ats, hot = b.column(0).to_pylist(), b.column(3).to_pylist()
-            texts = [t.lower() for t in b.column(4).to_pylist()]  # of bytes: A-Z only
-            heads = chained(ats, b.column(1).to_pylist(), b.column(2).to_pylist(), texts)
-            digests = {id(h): hashlib.sha256(h.text).hexdigest() for h in heads} if not rows else {}
-            found = [(h.at, h.keep, h.keep_at, h.size, digests.get(id(h)), h.text if is_hot and at == (h.keep_at if rows else h.at) else None) for at, is_hot, h in zip(ats, hot, heads)]
-            columns = [pa.array(c, k) for c, k in zip(zip(*found), FOUND.values())] if found else [pa.array([], k) for k in FOUND.values()]
-            out = pa.RecordBatch.from_arrays([*b.columns[:4], *b.columns[5:], *columns], names=["at", "id", "hash", "hot", *b.schema.names[5:], *FOUND])
-            yield out.filter(pa.array([at == h.keep_at for at, h in zip(ats, heads)], pa.bool_())) if rows else out
-
-    taken = pages.select("at", "id", "hash", "hot", "body", *["row"] * rows)
+        for held in runs(batches):
+            body = [(b.column(4).field(text) if rows else b.column(4)).cast(pa.binary()) for b in held]
+            texts = ((t.as_py() or b"").lower() for column in body for t in column)  # of bytes: A-Z only
+            listed = lambda k: chain.from_iterable(b.column(k).to_pylist() for b in held)  # noqa: B023, E731
+            heads = chained(listed(0), listed(1), listed(2), listed(3), texts, digest=not rows)
+            for b in held:
+                own, heads = heads[: b.num_rows], heads[b.num_rows :]
+                ats, hot = b.column(0).to_pylist(), b.column(3).to_pylist()
+                if rows:
+                    stay = pa.array([at == h.keep_at for at, h in zip(ats, own)], pa.bool_())
+                    b, own = b.filter(stay), [h for at, h in zip(ats, own) if at == h.keep_at]
+                    ats, hot = b.column(0).to_pylist(), b.column(3).to_pylist()
+                found = [(h.at, h.keep, h.keep_at, h.size, h.digest, h.text if is_hot and at == (h.keep_at if rows else h.at) else None) for at, is_hot, h in zip(ats, hot, own)]
+                columns = [pa.array(c, k) for c, k in zip(zip(*found), FOUND.values())] if found else [pa.array([], k) for k in FOUND.values()]
+                yield pa.RecordBatch.from_arrays([*b.columns[: 5 if rows else 4], *columns], names=[*b.schema.names[: 5 if rows else 4], *FOUND])
+
+    taken = pages.select("at", "id", "hash", "hot", "row" if rows else "body")
     kinds = [f for f in taken.schema if f.name != "body"]
-    return taken.mapInArrow(work, T.StructType([*kinds, *T._parse_datatype_string(FOUND_SCHEMA).fields]))
+    return taken.mapInArrow(frugal(work), T.StructType([*kinds, *T._parse_datatype_string(FOUND_SCHEMA).fields]))
 
 
 def index(docs: DataFrame, key: str, text: str, capacity: int | None, rows: bool) -> DataFrame:
     """What the owners found, on shared files."""
     pages, paths = dealt(docs, key, text, capacity)
-    met = staged(owned(pages, rows), "hash-index")
+    met = staged(owned(pages, rows, text), "hash-index")
     for path in paths:
         remove(docs.sparkSession, path)
     return met

@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import frugal, text_of
 
 MARK = "▁"
 #: Entries kept by a worker, and the characters of the longest chunk that is kept. Longer ones are segmented each time.
-TABLE_ENTRIES, TABLE_CHARS = 400_000, 64
+TABLE_ENTRIES, TABLE_CHARS = 300_000, 64
 #: Documents, and bytes of their texts, that are worked on together; a longer document is alone.
-SLICE, SLICE_BYTES = 1_024, 4 << 20
+SLICE, SLICE_BYTES = 1_024, 1 << 20
 
 
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
@@ -214,4 +214,4 @@ def round_trip_digests(docs: DataFrame, model: str) -> DataFrame:
             )
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return wanted.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return wanted.mapInArrow(frugal(digests), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -12,7 +12,7 @@ is learned from. Scoring reads whole texts. Only text enters a score.
 Null and empty texts are scored as a chunk of zero bytes. Rows without a label, with another label than 0 or 1, or
 without doc_id are not learned from; a document with several labels counts with each. Without documents of both
 labels every score is the share of label 1 (0.5 without any). Equal texts get equal scores. An empty table gives an
-empty result.
+empty result. Every other column is passed through; one that has the name of the score is an error.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import frugal, text_of
 
 
 @dataclass(frozen=True)
@@ -198,6 +198,8 @@ def train(docs: DataFrame, labels: DataFrame, net: Net = Net()) -> Model:
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a score for each row's whole text, as a further column."""
+    if score.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"there is a column {score} already; give another name")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
@@ -207,7 +209,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "scor
             found = scores([t or b"" for t in texts], shared.value)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], names=[*b.schema.names, score])
 
-    return docs.mapInArrow(work, T.StructType([*docs.schema, T.StructField(score, T.DoubleType())]))
+    return docs.mapInArrow(frugal(work), T.StructType([*docs.schema, T.StructField(score, T.DoubleType())]))
 
 
 def predictions(docs: DataFrame, labels: DataFrame, net: Net = Net(), threshold: float = 0.3) -> DataFrame:
@@ -219,5 +221,12 @@ def predictions(docs: DataFrame, labels: DataFrame, net: Net = Net(), threshold:
 
 def keep_good(docs: DataFrame, labels: DataFrame, net: Net = Net(), threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold."""
-    rows = docs.select(F.struct("*").alias("row"), F.col("text"))
-    return scored(rows, train(docs, labels, net)).where(F.col("score") >= threshold).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, net))
+
+    def work(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            texts = b.column(0).field("text").cast(pa.binary()).to_pylist()
+            yield b.filter(pa.array(scores([t or b"" for t in texts], shared.value) >= threshold))
+
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.mapInArrow(frugal(work), rows.schema).select("row.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
-    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    more = spark.createDataFrame(pa.table({"conv_id": [-1, -1], "turn": [0, 1], "role": ["user", "assistant"], "text": [said, said]}))
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
     return chat_format.round_trip_digests(rows, tokenizer("byte_bpe_50k.json"))
 

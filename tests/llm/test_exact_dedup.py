@@ -79,7 +79,7 @@ def test_runs_end_with_their_key(monkeypatch, seed):
     rows = sorted((rng.randint(0, 6), i) for i in range(rng.randint(0, 60)))
     cuts = [0, *sorted(rng.randint(0, len(rows)) for _ in range(9)), len(rows)]
     batch = lambda part: pa.RecordBatch.from_pydict({"at": [i for _, i in part], "id": [i for _, i in part], "hash": pa.array([h for h, _ in part], pa.int64()), "hot": pa.array([h == 3 for h, _ in part], pa.bool_())})
-    got = [b.to_pylist() for b in exact_dedup.runs(iter([batch(rows[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]))]
+    got = [[r for b in held for r in b.to_pylist()] for held in exact_dedup.runs(iter([batch(rows[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]))]
     assert [(r["hash"], r["at"]) for b in got for r in b] == rows
     for h in {h for h, _ in rows} - {3}:
         assert sum(any(r["hash"] == h for r in b) for b in got) == 1
