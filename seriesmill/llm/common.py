@@ -40,10 +40,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return staged_at(df, name)[0]
 
 
-def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The same, with the path, which ``remove`` takes once no plan reads it any more."""
+def staged_at(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
+    """The same, with the path, which ``remove`` takes once no plan reads it any more. ``options`` are the writer's."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

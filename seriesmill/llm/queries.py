@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, html_extract, mixing, piece_codec, quality_classifier, quality_rules, simhash, sql, token_counts, token_store
+from . import chat_format, exact_dedup, html_extract, mixing, piece_codec, quality_classifier, quality_rules, shuffle_shards, simhash, sql, token_counts, token_store
 from .common import read, staged
 
 
@@ -64,5 +64,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_chat_format, op6_piece_codec, op7_quality_classifier, op8_token_store, op9_mixing, op10_simhash)}
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shuffle_shards.report(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_chat_format, op6_piece_codec, op7_quality_classifier, op8_token_store, op9_mixing, op10_simhash, op11_sharding)}
 ORACLE_SQL = {"op2_exact_dedup": sql.EXACT_DEDUP, "op4_quality_rules": sql.QUALITY_RULES, "op9_mixing": sql.MIXING}
