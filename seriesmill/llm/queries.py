@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, html_extract, mixing, piece_codec, quality_classifier, quality_rules, shuffle_shards, simhash, sql, token_counts, token_store, whitening
+from . import chat_format, exact_dedup, html_extract, mixing, piece_codec, quality_classifier, quality_rules, shuffle_shards, simhash, sql, token_counts, token_store, turn_repair, whitening
 from .common import read, staged
 
 
@@ -72,5 +72,9 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_chat_format, op6_piece_codec, op7_quality_classifier, op8_token_store, op9_mixing, op10_simhash, op11_sharding, op12_whitening)}
-ORACLE_SQL = {"op2_exact_dedup": sql.EXACT_DEDUP, "op4_quality_rules": sql.QUALITY_RULES, "op9_mixing": sql.MIXING}
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.report(turn_repair.damage(read(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_chat_format, op6_piece_codec, op7_quality_classifier, op8_token_store, op9_mixing, op10_simhash, op11_sharding, op12_whitening, op13_turn_repair)}
+ORACLE_SQL = {"op2_exact_dedup": sql.EXACT_DEDUP, "op4_quality_rules": sql.QUALITY_RULES, "op9_mixing": sql.MIXING, "op13_turn_repair": sql.TURN_REPAIR}

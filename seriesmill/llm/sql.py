@@ -53,3 +53,62 @@ select doc_id, any_value(size) as size, any_value(source_size) as source_size, a
 from g group by doc_id
 """
 
+
+
+def _more(audit: str, cost: str | int, edit: str) -> str:
+    """An audit, twelve digits of cost and its edits, with one more edit; nulls stay null."""
+    return f"(lpad(({audit}[1:12]::bigint + {cost})::varchar, 12, '0') || {audit}[13:] || '{edit}')"
+
+
+def _step() -> str:
+    """Audits by state (nothing, system, user, assistant) after one more row, which is its initial and b (to be deleted), t (truncated) or neither."""
+    stays, mend = "row[2] <> 'b'", "(case row[2] when 't' then 3 else 0 end)"
+    n, s, u, a = (f"acc[{k}]" for k in range(1, 5))
+    dropped = [_more(x, 4, "D") for x in (n, s, u, a)]
+
+    def to(sources: list[str], initial: str, rerole: bool = True) -> str:
+        kept = ", ".join(f"case when {stays} and row[1] = '{initial}' then {_more(x, mend, 'K')} end" for x in sources)
+        return kept + "".join(f", case when {stays} then {_more(x, f'{mend} + 3', 'R')} end" for x in sources if rerole)
+
+    return f"[{dropped[0]}, least({dropped[1]}, {to([n], 's', False)}), least({dropped[2]}, {to([n, s, a], 'u')}), least({dropped[3]}, {to([u], 'a')})]"
+
+
+def _inserted(rows: str) -> str:
+    users = f"list_transform([{rows}], lambda b: [b[1], b[2], least(b[3], {', '.join(_more(f'b[{k}]', 3, 'I') for k in (1, 2, 4))}), b[4]])"
+    return f"list_transform({users}, lambda b: [b[1], b[2], b[3], least(b[4], {_more('b[3]', 3, 'I')})])[1]"
+
+
+CRC32 = "xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split({0}, ''), lambda c: ascii(c)::bigint)), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)))"
+
+TURN_REPAIR = f"""
+with k as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {CRC32.format("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind
+  from conversations),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role, case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from (select *, unnest(case when kind = 3 then [0, 1] else [0] end) from k where kind <> 0)),
+seen as (
+  select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as said,
+    row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 as again
+  from damaged),
+faults as (select *, case when said = '' then 'blank' when again then 'duplicate' when right(said, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault from seen),
+placed as (select *, left(lag(role) over w, 1) || left(role, 1) as pair, row_number() over w as place from faults window w as (partition by conv_id order by turn nulls first, role, text, again)),
+found as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal,
+    list([left(role, 1), case fault when '' then '' when 'truncated' then 't' else 'b' end] order by place) as marks, list([role, text] order by place) as lines
+  from placed group by conv_id),
+audits as (select *, list_reduce(list_concat([{_inserted("['000000000000', null, null, null]")}], marks), lambda acc, row: {_inserted(_step())}) as best from found),
+chosen as (select *, least(best[1], best[4]) as audit_of from audits),
+repaired as (
+  select *, list_reduce(list_concat([['0', '1', '']], list_transform(string_split(audit_of[13:], ''), lambda e: [e])), lambda acc, e:
+    case e[1] when '' then acc when 'D' then [acc[1], (acc[2]::bigint + 1)::varchar, acc[3]]
+      when 'K' then [case left(lines[acc[2]::bigint][1], 1) when 's' then '1' when 'u' then '2' else '3' end, (acc[2]::bigint + 1)::varchar, acc[3] || chr(10) || lines[acc[2]::bigint][1] || ':' || lines[acc[2]::bigint][2]]
+      when 'R' then [case acc[1] when '2' then '3' else '2' end, (acc[2]::bigint + 1)::varchar, acc[3] || chr(10) || case acc[1] when '2' then 'assistant:' else 'user:' end || lines[acc[2]::bigint][2]]
+      else [case acc[1] when '2' then '3' else '2' end, acc[2], acc[3] || chr(10) || case acc[1] when '2' then 'assistant:' else 'user:' end] end)[3] as said
+  from chosen)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(audit_of[1:12]::bigint, 0) as cost, coalesce(audit_of[13:], '') as audit, sha256(coalesce(said[2:], '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join repaired r on c.conv_id is not distinct from r.conv_id
+"""
