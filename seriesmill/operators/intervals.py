@@ -7,7 +7,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbering import numbered
+from ..functions.numbering import buckets, rank_index, values_at
 from ..functions.quantiles import cuts
 
 RESIDUAL = "residual"
@@ -41,25 +41,24 @@ def quantile_intervals(rows: DataFrame, level: float = 0.95, label: str = "label
 def bootstrap_intervals(rows: DataFrame, keys: list[str], level: float = 0.95, resamples: int = 100, seed: int = 1, label: str = "label", prediction: str = "prediction", calibration: DataFrame | None = None) -> DataFrame:
     """prediction plus quantiles of ``resamples`` residuals that are drawn for each row, with replacement.
 
-    Residuals are numbered in order of size. A row draws numbers by a hash of its key, the draw's number and the seed, so runs
-    agree; as the k-th of the drawn residuals is the residual with the k-th of the drawn numbers, only two numbers of a row
-    are looked up. Neither rows nor residuals pass through the driver or one task. A row without residuals has null bounds.
+    Residuals are numbered in order of size, by an index of their distinct values. A row draws numbers by a hash of its key, the
+    draw's number and the seed, so runs agree; as the k-th of the drawn residuals is the residual with the k-th of the drawn
+    numbers, only two numbers of a row are looked up. Neither rows nor residuals pass through the driver or one task, also where
+    most residuals are equal. A row without residuals has null bounds.
     """
-    known = _residuals(rows if calibration is None else calibration, label, prediction).select(F.col(RESIDUAL).alias("_r")).where("_r is not null")
-    pool = numbered(known, ["_r"], "_at")
+    index = rank_index(_residuals(rows if calibration is None else calibration, label, prediction), RESIDUAL)
     at = lambda q: max(1, min(resamples, round(q * resamples + 0.5)))
     # Four draws of 32 bits in a digest.
     digest = lambda i: F.md5(F.concat_ws("|", F.lit(str(seed)), i.cast("string"), *[F.col(k).cast("string") for k in keys]))
     four = lambda i: F.transform(F.array(*[F.substring(digest(i), 8 * j + 1, 8) for j in range(4)]), lambda x: F.conv(x, 16, 10).cast("long"))
     draws = F.array_sort(F.slice(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(-(-resamples // 4))), four)), 1, resamples))
-    out = _residuals(rows, label, prediction).crossJoin(F.broadcast(pool.agg(F.count("*").alias("_n")))).withColumn("_draws", draws)
+    out = _residuals(rows, label, prediction).crossJoin(F.broadcast(index.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("_n")))).withColumn("_draws", draws)
     number = lambda q: F.floor(F.element_at("_draws", at(q)) / F.lit(float(1 << 32)) * F.col("_n")).cast("long")
     out = out.withColumns({"_lo": number((1 - level) / 2), "_hi": number((1 + level) / 2)}).drop("_draws", "_n")
-    for end in ("_lo", "_hi"):
-        out = out.join(pool.withColumnsRenamed({"_at": end, "_r": f"{end}_r"}), end, "left").drop(end)
+    out = values_at(out, ["_lo", "_hi"], buckets(index))
     p = F.col(prediction)
-    lower = F.when(F.col("_lo_r").isNotNull(), F.greatest(p + F.col("_lo_r"), F.lit(0.0)))
-    out = out.withColumns({"lower_bound": lower, "upper_bound": p + F.col("_hi_r")}).drop("_lo_r", "_hi_r")
+    lower = F.when(F.col("_lo").isNotNull(), F.greatest(p + F.col("_lo"), F.lit(0.0)))
+    out = out.withColumns({"lower_bound": lower, "upper_bound": p + F.col("_hi")}).drop("_lo", "_hi")
     return with_width(out, prediction)
 
 

@@ -26,23 +26,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 STORED: list[str] = []
 
 
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a written table, and its path, which ``remove`` takes once no frame that was made from it is needed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table, for what is read again and again: fits reread files, and lost executors lose nothing.
 
     It stays until ``remove_stored``, as frames that are made from it are lazy.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    out, path = stored_at(df, name)
     STORED.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return out
 
 
 def remove_stored(spark: SparkSession) -> int:
     """Remove all that ``stored`` has written, once no frame that was made from it is needed; how many tables these were."""
     n = len(STORED)
     while STORED:
-        target = spark._jvm.org.apache.hadoop.fs.Path(STORED.pop())
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        remove(spark, STORED.pop())
     return n
 
 

@@ -502,11 +502,98 @@ def test_long_series_are_folded_whole(spark):
         assert got[p] == pytest.approx(want)
 
 
-def test_quantile_outside_its_bracket_is_an_error(spark, monkeypatch):
-    real = F.percentile_approx
-    monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: F.transform(real(c, p, a), lambda x: x + 1_000))
-    with pytest.raises(Exception, match="outside its bracket"):
-        cuts(spark.createDataFrame([(float(i),) for i in range(100)], "x double"), "x", (0.5,)).collect()
+def quantile(values, weights, p):
+    """The plain version: the first value, in order, that reaches the rank."""
+    total, done = sum(weights), 0
+    for x, w in sorted(zip(values, weights), key=lambda v: (v[0] != v[0], v[0] if v[0] == v[0] else 0)):
+        done += w
+        if done >= max(1, -int(-round(p * total, 6) // 1)):
+            return x
+
+
+@pytest.mark.parametrize("kind", ["double", "long", "date", "decimal(30,3)", "timestamp"])
+def test_quantiles_by_refinement(spark, monkeypatch, kind):
+    """Small histograms, so that brackets are narrowed again and again; every kind of column, hot values, very different sizes."""
+    from decimal import Decimal
+
+    from seriesmill.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "CELLS", 8)
+    monkeypatch.setattr(quantiles, "FEW", 2)
+    rng = random.Random(len(kind))
+    make = {
+        "double": lambda: rng.choice([0.0, rng.gauss(0, 1), 10 ** rng.uniform(-300, 300), -(10 ** rng.uniform(-5, 5)), float("inf"), float("-inf"), float("nan")]),
+        "long": lambda: rng.choice([0, rng.randrange(50), rng.randrange(-(2**63), 2**63), 2**60 + rng.randrange(3)]),
+        "date": lambda: dt.date(2000, 1, 1) + dt.timedelta(days=rng.choice([0, rng.randrange(400)])),
+        "decimal(30,3)": lambda: Decimal(rng.choice([0, rng.randrange(10**27), 10**26 + rng.randrange(5)])).scaleb(-3),
+        "timestamp": lambda: dt.datetime(2000, 1, 1) + dt.timedelta(microseconds=rng.choice([0, rng.randrange(10**15), 7 + rng.randrange(3)])),
+    }[kind]
+    xs, ws = [make() for _ in range(300)], [rng.choice([0, 1, 1, 5, 1000]) for _ in range(300)]
+    ps = (0.0, 0.05, 0.3, 0.5, 0.5, 0.77, 0.95, 1.0)
+    df = spark.createDataFrame([*zip(xs, ws), (None, 5)], f"x {kind}, w int").repartition(3)
+    for weight, weights in ((None, [1] * 300), ("w", ws)):
+        got = cuts(df, "x", ps, weight).first()
+        assert repr([got[f"q{i}"] for i in range(len(ps))]) == repr([quantile(xs, weights, p) for p in ps])
+
+
+def test_values_that_are_ranked_do_not_grow_with_the_table(spark, monkeypatch):
+    from seriesmill.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "CELLS", 256)
+    monkeypatch.setattr(quantiles, "FEW", 64)
+    seen, plain_bracket = [], quantiles.Bracket
+
+    class Seen(plain_bracket):
+        def __init__(self, lo, hi, before, values):
+            super().__init__(lo, hi, before, values)
+            seen.append(values)
+
+    monkeypatch.setattr(quantiles, "Bracket", Seen)
+    for n in (3_000, 30_000):
+        df = spark.range(n).select(F.when(F.col("id") % 2 == 0, 0.0).otherwise(F.pow(F.col("id").cast("double"), F.lit(1.7))).alias("x"))
+        seen.clear()
+        got = cuts(df, "x", (0.1, 0.5, 0.75, 0.99)).first()
+        assert [got.q0, got.q1] == [0.0, 0.0] and got.q2 == pytest.approx((2 * (n // 4) - 1) ** 1.7)
+        assert seen[-1] <= 64
+
+
+def test_quantiles_of_nothing_and_no_tables_left(spark):
+    import os
+
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/seriesmill"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert cuts(spark.createDataFrame([(None,)], "x double"), "x", (0.5, 1.0)).collect() == [(None, None)]
+    assert set(os.listdir(root)) == before
+
+
+def test_rank_index_has_no_hot_task(spark):
+    """Half of the values are equal: no partition of the index, and none of its buckets, has over twice the median of rows."""
+    from seriesmill.functions.numbering import buckets, rank_index, values_at
+
+    n = 40_000
+    df = spark.range(n).select(F.when(F.col("id") % 2 == 0, 0.0).otherwise(F.sin(F.col("id").cast("double"))).alias("x"))
+    index = rank_index(df, "x")
+    xs = sorted(r.x for r in df.collect())
+    want, at = {}, 0
+    for r in index.orderBy("x").collect():
+        want[r.x] = (r.rows, r.start)
+        assert r.start == at and xs[at] == r.x
+        at += r.rows
+    assert at == len(xs)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = sorted(r["count"] for r in index.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    table = buckets(index)
+    assert table.agg(F.max(F.size("at"))).first()[0] <= 257
+    rng = random.Random(1)
+    ks = [0, len(xs) - 1, *[rng.randrange(len(xs)) for _ in range(300)]]
+    rows = spark.createDataFrame([(k, k) for k in ks], "k long, v long")
+    assert all(xs[r.k] == r.v for r in values_at(rows, ["v"], table).collect())
+    gone = values_at(spark.createDataFrame([(None,), (10**9,)], "v long"), ["v"], table).collect()
+    assert [r.v for r in gone] == [None, None]
 
 
 def test_sample_by_keys_does_not_depend_on_partitions(spark):
