@@ -11,7 +11,10 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import stored
+from ..spec import PanelSpec
 from .metrics import evaluate_each
+from .splits import folds
 
 
 def simple_average(columns: Sequence[str]) -> Column:
@@ -75,16 +78,47 @@ def compare_strategies(rows: DataFrame, validation: DataFrame, columns: Sequence
     return evaluate_each(out, ["average", "weighted", "median", "best"], label, model="strategy")
 
 
+def _lower(base: Sequence, features: Sequence[str], label: str) -> Pipeline:
+    """Base models over the assembled features, each with a prediction column of its own."""
+    assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    return Pipeline(stages=[assemble, *[e.copy().setFeaturesCol("features").setLabelCol(label).setPredictionCol(f"base_{i}") for i, e in enumerate(base)]])
+
+
+def _upper(n_base: int, features: Sequence[str], label: str, meta, use_features: bool) -> Pipeline:
+    inputs = [f"base_{i}" for i in range(n_base)] + (list(features) if use_features else [])
+    combine = VectorAssembler(inputCols=inputs, outputCol="base_features", handleInvalid="skip")
+    return Pipeline(stages=[combine, (meta or LinearRegression()).copy().setFeaturesCol("base_features").setLabelCol(label).setPredictionCol("prediction")])
+
+
 def fit_stack(rows: DataFrame, base: Sequence, features: Sequence[str], label: str = "label", meta=None, use_features: bool = False, validation: DataFrame | None = None) -> PipelineModel:
     """Base models, then a linear model of their predictions, fitted on ``validation`` (by default the same rows).
 
-    The stages form one PipelineModel: each adds a column of its own.
+    The stages form one PipelineModel: each adds a column of its own. On the same rows a base model that overfits gets a large
+    weight; ``fit_stack_in_time`` has none of it.
     """
-    assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    named = [e.copy().setFeaturesCol("features").setLabelCol(label).setPredictionCol(f"base_{i}") for i, e in enumerate(base)]
-    lower = Pipeline(stages=[assemble, *named]).fit(rows)
-    inputs = [f"base_{i}" for i in range(len(base))] + (list(features) if use_features else [])
-    combine = VectorAssembler(inputCols=inputs, outputCol="base_features", handleInvalid="skip")
-    top = (meta or LinearRegression()).copy().setFeaturesCol("base_features").setLabelCol(label).setPredictionCol("prediction")
-    upper = Pipeline(stages=[combine, top]).fit(lower.transform(rows if validation is None else validation))
+    lower = _lower(base, features, label).fit(rows)
+    upper = _upper(len(base), features, label, meta, use_features).fit(lower.transform(rows if validation is None else validation))
+    return PipelineModel([*lower.stages, *upper.stages])
+
+
+def out_of_fold(rows: DataFrame, base: Sequence, features: Sequence[str], label: str = "label", spec: PanelSpec = PanelSpec(), **parameters) -> DataFrame:
+    """The rows that some fold in time tests, with fold and the predictions base_0, base_1, ... of models that were fitted before them.
+
+    ``parameters`` are those of ``splits.folds``, a row of which is a fit; folds' results are written once.
+    """
+    out = None
+    for f in folds(rows, spec, **parameters).orderBy("fold").collect():
+        part = lambda lo, hi: rows.where(spec.d.between(F.lit(lo), F.lit(hi)))
+        lower = _lower(base, features, label).fit(part(f.train_from, f.train_to))
+        tested = lower.transform(part(f.test_from, f.test_to)).select(F.lit(f.fold).alias("fold"), *rows.columns, *[f"base_{i}" for i in range(len(base))])
+        out = tested if out is None else out.unionByName(tested)
+    if out is None:
+        raise ValueError("too few dates for a fold")
+    return stored(out, "out-of-fold")
+
+
+def fit_stack_in_time(rows: DataFrame, base: Sequence, features: Sequence[str], label: str = "label", meta=None, use_features: bool = False, spec: PanelSpec = PanelSpec(), **parameters) -> PipelineModel:
+    """A stack whose top model has only seen predictions of rows later than those its base models were fitted on; the base models are then fitted on all rows."""
+    upper = _upper(len(base), features, label, meta, use_features).fit(out_of_fold(rows, base, features, label, spec, **parameters))
+    lower = _lower(base, features, label).fit(rows)
     return PipelineModel([*lower.stages, *upper.stages])

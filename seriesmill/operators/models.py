@@ -5,18 +5,21 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import CATEGORIES
 from ..functions.numbering import numbered
-from ..sources.tables import stored
+from ..sources.tables import STORED, remove, scratch_path, stored, stored_at
 from ..spec import PanelSpec
 from .metrics import best_stop, evaluate
 from .splits import folds
@@ -69,22 +72,41 @@ def train_in_time(rows: DataFrame, estimator, features: Sequence[str], grid: Seq
 
 
 def train_per_category(panel: DataFrame, models: dict[str, object], features: Sequence[str] = FEATURES, categories: Sequence[str] = CATEGORIES) -> dict[tuple[str, str], PipelineModel]:
-    """Models by (category, name); classes without usable rows have none. One grouped count says which are empty."""
+    """Models by (category, name); classes without usable rows have none.
+
+    Usable rows are written once, in a folder for each class, so that a fit reads its own class and no other.
+    """
     label = next(iter(models.values())).getLabelCol()
-    usable = panel.na.drop(subset=[label, *features])
-    present = {r["product_category"] for r in usable.groupBy("product_category").count().collect()}
-    return {(c, n): train(usable.where(F.col("product_category") == c), e, features) for c in categories if c in present for n, e in models.items()}
+    usable = panel.select(*dict.fromkeys(["product_category", label, *features])).na.drop()
+    rows, path = stored_at(usable.where(F.col("product_category").isin(*categories)), "class-rows", "product_category")
+    present = {r["product_category"] for r in rows.select("product_category").distinct().collect()}
+    found = {(c, n): train(rows.where(F.col("product_category") == c), e, features) for c in categories if c in present for n, e in models.items()}
+    remove(panel.sparkSession, path)
+    return found
 
 
 def score(models: dict[tuple[str, str], PipelineModel], panel: DataFrame, keep: Sequence[str] = ("product", "month_end")) -> DataFrame:
-    """(keep, label, prediction, SalesPattern, Model) of every model on its class's rows."""
-    out = None
-    for (category, name), model in models.items():
-        label = model.stages[-1].getLabelCol()
-        rows = model.transform(panel.where(F.col("product_category") == category))
-        rows = rows.select(*keep, F.col(label).cast("double").alias("label"), "prediction", F.lit(category).alias("SalesPattern"), F.lit(name).alias("Model"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """(keep, label, prediction, SalesPattern, Model) of every model on its class's rows, in one pass over ``panel``.
+
+    Features are assembled once for each list of them. A model is a column that is only computed on rows of its class, and a row has
+    one prediction for each name of a model; rows that lack a feature of a model have none of it.
+    """
+    label = next(iter(models.values())).stages[-1].getLabelCol()
+    lists = list(dict.fromkeys(tuple(m.stages[0].getInputCols()) for m in models.values()))
+    out = panel
+    for i, names in enumerate(lists):
+        out = VectorAssembler(inputCols=list(names), outputCol=f"_x{i}", handleInvalid="keep").transform(out)
+    whole = [reduce(lambda a, b: a & b, (F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in names)) for names in lists]
+    said: dict[str, list] = {}
+    for j, ((category, name), model) in enumerate(models.items()):
+        i = lists.index(tuple(model.stages[0].getInputCols()))
+        out = model.stages[-1].copy().setFeaturesCol(f"_x{i}").setPredictionCol(f"_p{j}").transform(out)
+        said.setdefault(name, []).append(((F.col("product_category") == category) & whole[i], F.col(f"_p{j}")))
+    # The first case that holds; predictions are never null, so a null means that there is none.
+    chosen = lambda cases: reduce(lambda c, case: c.when(*case), cases[1:], F.when(*cases[0]))
+    each = F.inline(F.array(*[F.struct(chosen(cases).alias("prediction"), F.lit(name).alias("Model")) for name, cases in said.items()]))
+    rows = out.select(*keep, F.col(label).cast("double").alias("label"), F.col("product_category").alias("SalesPattern"), each).where("prediction is not null")
+    return rows.select(*keep, "label", "prediction", "SalesPattern", "Model")
 
 
 def boosting_curve(train_rows: DataFrame, validation: DataFrame, features: Sequence[str], label: str = LABEL, most: int = 50, loss: str = "squared", seed: int = 42, **parameters) -> DataFrame:
@@ -95,23 +117,76 @@ def boosting_curve(train_rows: DataFrame, validation: DataFrame, features: Seque
     return train_rows.sparkSession.createDataFrame([(i + 1, float(x)) for i, x in enumerate(losses)], "iteration int, score double")
 
 
+def of_trees(trees: Sequence, weights: Sequence[float]) -> GBTRegressionModel:
+    """The boosted model that these regression trees make."""
+    context = SparkContext._active_spark_context
+    array = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    shares = context._gateway.new_array(context._jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        array[i], shares[i] = tree._java_obj, float(weight)
+    return GBTRegressionModel(context._jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"grown_{len(trees)}", array, shares))
+
+
+def grow_boosting(
+    train_rows: DataFrame, validation: DataFrame, features: Sequence[str], label: str = LABEL, most: int = 50, patience: int = 3, min_delta: float = 0.0, loss: str = "squared", step: float = 0.1, seed: int = 42, **parameters
+) -> tuple[GBTRegressionModel, list[float]]:
+    """Boosted trees that stop while they grow: the model, and the validation loss after each of its trees.
+
+    A tree is fitted to what the trees before it leave of the label, and no further one is grown once ``patience`` losses in a row
+    have not beaten the best by more than ``min_delta``. Assembled rows are written once; what is left of a label is computed from
+    the trees so far, as one column, when the next tree reads them.
+    """
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    rows, held = ((assembler.transform(df.where(F.col(label).isNotNull())).select("features", F.col(label).cast("double").alias("y"))) for df in (train_rows, validation))
+    (rows, path), (held, held_path) = stored_at(rows, "boosting"), stored_at(held, "boosting")
+    tree = DecisionTreeRegressor(labelCol="left", seed=seed, **parameters)
+    trees, weights, curve, best, since = [], [], [], math.inf, 0
+    error = F.col("y") - F.col("prediction")
+    while len(trees) < most and since < patience:
+        # The gradient of squared errors is twice what is left.
+        left = of_trees(trees, weights).transform(rows).select("features", (2 * error).alias("left")) if trees else rows.withColumnRenamed("y", "left")
+        trees.append(tree.fit(left))
+        weights.append(step if weights else 1.0)
+        curve.append(of_trees(trees, weights).transform(held).agg(F.avg(error * error if loss == "squared" else F.abs(error))).first()[0])
+        best, since = (curve[-1], 0) if curve[-1] < best - min_delta else (best, since + 1)
+    for p in (path, held_path):
+        remove(train_rows.sparkSession, p)
+    return of_trees(trees, weights), curve
+
+
 def boosting_stop(train_rows: DataFrame, validation: DataFrame, features: Sequence[str], patience: int = 3, min_delta: float = 0.0, **parameters) -> DataFrame:
-    """Where boosting would stop, and the best iteration until then."""
-    return best_stop(boosting_curve(train_rows, validation, features, **parameters), patience, min_delta)
+    """Where boosting stops, and the best iteration until then; no tree is grown behind the stop."""
+    _, curve = grow_boosting(train_rows, validation, features, patience=patience, min_delta=min_delta, **parameters)
+    scores = train_rows.sparkSession.createDataFrame([(i + 1, x) for i, x in enumerate(curve)], "iteration int, score double")
+    return best_stop(scores, patience, min_delta)
+
+
+def leaf_values(forest) -> DataFrame:
+    """One row: for each tree of a forest its leaves' predictions, in the order in which the forest numbers them. They come from the model's own files."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, "forest")
+    forest.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").where("nodeData.leftChild < 0")
+    leaves = nodes.groupBy("treeID").agg(F.transform(F.array_sort(F.collect_list(F.struct("nodeData.id", "nodeData.prediction"))), lambda n: n["prediction"]).alias("leaves"))
+    STORED.append(path)
+    return leaves.agg(F.transform(F.array_sort(F.collect_list(F.struct("treeID", "leaves"))), lambda t: t["leaves"]).alias("leaves"))
 
 
 def forest_curve(train_rows: DataFrame, validation: DataFrame, features: Sequence[str], label: str = LABEL, counts: Sequence[int] = (10, 20, 50, 100), seed: int = 42, **parameters) -> DataFrame:
-    """(iteration, score): validation rmse for the first n trees of one forest of ``max(counts)``."""
+    """(iteration, score): validation rmse for the first n trees of one forest of ``max(counts)``.
+
+    The forest says which leaf of each tree a row reaches, as one column; the leaves' values are one broadcast row, as large as the
+    forest. So all trees' answers are one array and the plan is the same for any number of trees.
+    """
     model = train(train_rows, RandomForestRegressor(labelCol=label, numTrees=max(counts), seed=seed, **parameters), features)
-    rows = model.stages[0].transform(validation.where(F.col(label).isNotNull()))
-    for i, tree in enumerate(model.stages[-1].trees):
-        rows = tree.setPredictionCol(f"_t{i}").transform(rows).drop(f"_t{i}_leaf")
-    wanted = []
-    for n in counts:
-        mean = sum((F.col(f"_t{i}") for i in range(n)), F.lit(0.0)) / n
-        e = F.col(label) - mean
-        wanted.append(F.sqrt(F.avg(e * e)).alias(str(n)))
-    return rows.agg(*wanted).unpivot([], [str(n) for n in counts], "iteration", "score").select(F.col("iteration").cast("int").alias("iteration"), "score")
+    forest = model.stages[-1].copy().setLeafCol("_leaf")
+    rows = forest.transform(model.stages[0].transform(validation.where(F.col(label).isNotNull())))
+    rows = rows.select(F.col(label).alias("_y"), vector_to_array("_leaf").alias("_leaf")).crossJoin(F.broadcast(leaf_values(forest)))
+    answers = F.transform("_leaf", lambda leaf, tree: F.element_at(F.element_at("leaves", tree + 1), leaf.cast("int") + 1))
+    rows = rows.select("_y", answers.alias("_answers"))
+    wanted = F.inline(F.array(*[F.struct(F.lit(n).alias("iteration"), (F.aggregate(F.slice("_answers", 1, n), F.lit(0.0), lambda a, b: a + b) / n).alias("_p")) for n in counts]))
+    error = F.col("_y") - F.col("_p")
+    return rows.select("_y", wanted).groupBy("iteration").agg(F.sqrt(F.avg(error * error)).alias("score"))
 
 
 def validation_curve(train_rows: DataFrame, validation: DataFrame, estimator, parameter: str, values: Sequence, features: Sequence[str]) -> DataFrame:
@@ -139,12 +214,18 @@ def in_random_order(rows: DataFrame, seed: int) -> DataFrame:
     return stored(numbered(rows, [F.xxhash64(F.lit(seed), *rows.columns), *rows.columns], "_n"), "random-order")
 
 
-def dealt(ordered: DataFrame, n: int, column: str, seed: int) -> DataFrame:
-    """Rows in random order, ``n`` of them, with one column's values dealt to other rows: number i gets the value of number a * i + b, modulo n."""
+def deal(n: int, seed: int) -> tuple[int, int]:
+    """A deal of n values: row number i gets the value of number a * i + b, modulo n; a has no factor of n."""
     rng = random.Random(seed)
     a = next(x for x in iter(lambda: rng.randrange(1, max(n, 2)), None) if math.gcd(x, n) == 1)
+    return a, rng.randrange(max(n, 1))
+
+
+def dealt(ordered: DataFrame, n: int, column: str, seed: int) -> DataFrame:
+    """Rows in random order, ``n`` of them, with one column's values dealt to other rows."""
+    a, b = deal(n, seed)
     values = ordered.select(F.col("_n").alias("_m"), F.col(column).alias("_v"))
-    source = F.pmod(F.col("_n").cast("decimal(38,0)") * a + rng.randrange(max(n, 1)), F.lit(max(n, 1))).cast("long")
+    source = F.pmod(F.col("_n").cast("decimal(38,0)") * a + b, F.lit(max(n, 1))).cast("long")
     return ordered.withColumn("_m", source).join(values, "_m").withColumn(column, F.col("_v")).drop("_n", "_m", "_v")
 
 
@@ -154,18 +235,38 @@ def shuffled(rows: DataFrame, column: str, seed: int) -> DataFrame:
     return dealt(ordered, ordered.count(), column, seed)
 
 
-def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequence[str], repeats: int = 3, seed: int = 42, score_of: Callable[[DataFrame], float] | None = None) -> DataFrame:
-    """(feature, importance, std): how much rmse grows when a feature's values are dealt anew, over ``repeats`` deals."""
-    label = model.stages[-1].getLabelCol()
-    score_of = score_of or (lambda df: evaluate(df, label).first()["rmse"])
-    needed = list(dict.fromkeys([*model.stages[0].getInputCols(), label]))
-    ordered = in_random_order(rows.select(*needed).na.drop(), seed)
-    n, base, found = ordered.count(), score_of(model.transform(ordered.drop("_n"))), []
-    for i, f in enumerate(features):
-        losses = [score_of(model.transform(dealt(ordered, n, f, seed + repeats * i + k))) - base for k in range(repeats)]
-        mean = sum(losses) / repeats
-        found.append((f, mean, (sum((x - mean) ** 2 for x in losses) / repeats) ** 0.5))
-    return rows.sparkSession.createDataFrame(found, "feature string, importance double, std double")
+def dealt_all(ordered: DataFrame, n: int, deals: Sequence[tuple[str, int]]) -> DataFrame:
+    """Rows in random order with _dealt: for each (column, seed) the value that its deal gives the row, as a double.
+
+    A row sends each column's value to the row that gets it, so all deals are one shuffle of values, and one of rows to meet them.
+    """
+    sent = []
+    for k, (column, seed) in enumerate(deals):
+        a, b = deal(n, seed)
+        back = pow(a, -1, n) if n > 1 else 0
+        target = F.pmod((F.col("_n").cast("decimal(38,0)") - b) * back, F.lit(max(n, 1))).cast("long")
+        sent.append(F.struct(target.alias("_n"), F.struct(F.lit(k).alias("k"), F.col(column).cast("double").alias("v")).alias("dealt")))
+    values = ordered.select(F.inline(F.array(*sent))).groupBy("_n").agg(F.transform(F.array_sort(F.collect_list("dealt")), lambda d: d["v"]).alias("_dealt"))
+    return ordered.join(values, "_n")
+
+
+def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequence[str], repeats: int = 3, seed: int = 42, metric: str = "rmse") -> DataFrame:
+    """(feature, importance, std): how much a metric worsens when a feature's values are dealt anew, over ``repeats`` deals.
+
+    Every row is scored as it is and once for each deal, and the metrics of all deals are sums of one pass.
+    """
+    label, inputs = model.stages[-1].getLabelCol(), model.stages[0].getInputCols()
+    ordered = in_random_order(rows.select(*dict.fromkeys([*inputs, label])).na.drop(), seed)
+    deals = [(f, seed + repeats * i + k) for i, f in enumerate(features) for k in range(repeats)]
+    plain = {c: F.col(c).cast("double") for c in inputs}
+    made = [F.struct(F.lit(k).alias("_deal"), *[(F.col("_dealt")[k] if c == f else v).alias(c) for c, v in plain.items()]) for k, (f, _) in enumerate([(None, 0), *deals], -1)]
+    tried = dealt_all(ordered, ordered.count(), deals).select(F.col(label).alias("_label"), F.inline(F.array(*made)))
+    scores = evaluate(model.transform(tried.withColumnRenamed("_label", label)), label, by=["_deal"]).select("_deal", F.col(metric).alias("value"))
+    base = scores.where("_deal < 0").select(F.col("value").alias("base"))
+    loss = (F.col("value") - F.col("base")) * (-1 if metric == "r2" else 1)
+    named = F.element_at(F.array(*map(F.lit, features)), F.floor(F.col("_deal") / repeats).cast("int") + 1)
+    each = scores.where("_deal >= 0").crossJoin(F.broadcast(base)).select(named.alias("feature"), loss.alias("loss"))
+    return each.groupBy("feature").agg(F.avg("loss").alias("importance"), F.stddev_pop("loss").alias("std"))
 
 
 def selection_scores(train_rows: DataFrame, validation: DataFrame, estimator, features: Sequence[str], selected: Sequence[str]) -> DataFrame:

@@ -26,10 +26,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 STORED: list[str] = []
 
 
-def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stored_at(df: DataFrame, name: str, *partition_by: str) -> tuple[DataFrame, str]:
     """``df`` as a written table, and its path, which ``remove`` takes once no frame that was made from it is needed."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

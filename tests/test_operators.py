@@ -429,6 +429,76 @@ def test_forest_and_boosting_curves(spark):
     assert stop.best_score == pytest.approx(min(curve[: stop.stop_iteration]))
 
 
+def test_boosting_stops_while_it_grows(spark):
+    """The trees are those of the library's full fit up to the stop, and there are no more of them."""
+    df = model_frame(spark)
+    noisy = df.withColumn("y", F.col("y") + 6 * F.rand(3))
+    train, test = parts(noisy)
+    full = [r.score for r in L.boosting_curve(train, test, ["x", "z"], "y", most=14, maxDepth=4).orderBy("iteration").collect()]
+    model, curve = L.grow_boosting(train, test, ["x", "z"], "y", most=14, maxDepth=4, patience=2, min_delta=0.05)
+    assert curve == pytest.approx(full[: len(curve)]) and model.getNumTrees == len(curve) < 14
+    best = [min(curve[: i + 1]) for i in range(len(curve))]
+    assert all(curve[-k] >= best[-3] - 0.05 for k in (1, 2))
+    stop = L.boosting_stop(train, test, ["x", "z"], label="y", most=14, maxDepth=4, patience=2, min_delta=0.05).first()
+    assert stop.stop_iteration == len(curve) and stop.best_score == pytest.approx(min(curve))
+
+
+def test_forest_curve_has_one_plan_for_any_number_of_trees(spark):
+    train, test = parts(model_frame(spark))
+    lengths = [len(L.forest_curve(train, test, ["x", "z"], "y", counts=counts, maxDepth=2)._jdf.queryExecution().optimizedPlan().toString()) for counts in ((2, 5), (20, 50))]
+    assert abs(lengths[0] - lengths[1]) < 100
+
+
+def test_a_stack_in_time_does_not_trust_a_model_that_overfits(spark):
+    from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+
+    df = model_frame(spark).withColumn("y", F.col("x") + F.randn(5))
+    base = [LinearRegression(), DecisionTreeRegressor(maxDepth=12, seed=1)]
+    own, in_time = ensemble.fit_stack(df, base, ["x", "z"], "y"), ensemble.fit_stack_in_time(df, base, ["x", "z"], "y", n_splits=3, min_train=15, test=6)
+    assert own.stages[-1].coefficients[1] > 0.8 and abs(in_time.stages[-1].coefficients[1]) < 0.3 and in_time.stages[-1].coefficients[0] > 0.6
+    rows = ensemble.out_of_fold(df, base, ["x", "z"], "y", n_splits=3, min_train=15, test=6)
+    bounds = {f.fold: f for f in splits.folds(df, n_splits=3, min_train=15, test=6).collect()}
+    assert all(bounds[r.fold].train_to < r.month_end for r in rows.collect()) and rows.count() > 0
+    with pytest.raises(ValueError):
+        ensemble.out_of_fold(df, base, ["x", "z"], "y", min_train=500)
+
+
+def test_scoring_is_one_pass(spark, tmp_path):
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
+    model_frame(spark).write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    holes = df.withColumn("z", F.when(F.col("x") < 2.5, F.col("z")))
+    found = L.train_per_category(df, {"line": LinearRegression(labelCol="y"), "trees": GBTRegressor(labelCol="y", maxIter=3, maxDepth=2, seed=1)}, ["x", "z"], ["Smooth", "Lumpy", "Erratic"])
+    found |= L.train_per_category(df, {"short": LinearRegression(labelCol="y")}, ["x"], ["Smooth", "Lumpy"])
+    out = L.score(found, holes)
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan") == 1
+    want = []
+    for (category, name), model in found.items():
+        rows = model.transform(holes.where(F.col("product_category") == category))
+        want += [(r["product"], r.month_end, r.y, r.prediction, category, name) for r in rows.collect()]
+    key = lambda r: (r[0], r[1], r[4], r[5], r[2])
+    got = sorted(map(tuple, out.collect()), key=key)
+    want.sort(key=key)
+    assert len(got) == len(want) > 0 and all(a[:3] == b[:3] and a[4:] == b[4:] and a[3] == pytest.approx(b[3]) for a, b in zip(got, want))
+
+
+def test_permutation_importance_is_that_of_single_deals(spark):
+    from pyspark.ml.regression import LinearRegression
+    from seriesmill.operators import metrics
+
+    df = model_frame(spark)
+    line, rows = L.train(df, LinearRegression(labelCol="y"), ["x", "z"]), df.select("x", "z", "y")
+    ordered = L.in_random_order(rows, 42)
+    n, error = ordered.count(), lambda d: metrics.evaluate(line.transform(d), "y").first()["rmse"]
+    got = {r.feature: r for r in L.permutation_importance(line, df, ["z", "x"], repeats=2).collect()}
+    for i, f in enumerate(("z", "x")):
+        losses = [error(L.dealt(ordered, n, f, 42 + 2 * i + k)) - error(rows) for k in range(2)]
+        assert (got[f].importance, got[f]["std"]) == pytest.approx((sum(losses) / 2, abs(losses[0] - losses[1]) / 2), abs=1e-9)
+    plan = L.permutation_importance(line, df, ["z", "x"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_n") <= 2 * plan.count("BroadcastNestedLoopJoin") + 2
+
+
 def test_importances_find_the_feature_that_matters(spark):
     from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 
