@@ -13,6 +13,7 @@ from ..operators import impute as I
 from ..operators import interact as N
 from ..operators import panel as P
 from ..operators import trend as T
+from ..spec import PanelSpec
 from . import fixtures as X
 from .fixtures import CLASSES, sql
 
@@ -77,6 +78,13 @@ def ewma_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.ewma(X.panel(spark, sf_dir)).select(*KEYS, *nudged([f"ewma_{n}" for n in (10, 30, 50, 70, 90)]))
 
 
+def ewma_long_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as one long series for each type, smoothed in pieces."""
+    events = X.table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
+    out = E.ewma(events, PanelSpec("event_type", "ts", "value"), (0.1, 0.5), long_series=True)
+    return out.select("event_id", *nudged(["ewma_10", "ewma_50"]))
+
+
 def ewma_two_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.ewma(X.panel(spark, sf_dir), mode="two_term").select(*KEYS, *nudged([f"ewma_{n}" for n in (10, 30, 50, 70, 90)]))
 
@@ -132,7 +140,7 @@ STRATEGIES = {
 
 QUERIES = {name: partial(imputed, strategy=s, **p) for name, (s, p) in STRATEGIES.items()} | {f.__name__: f for f in (
     impute_auto_strategy, impute_auto, impute_audit, trend_features, trend_slope_ols, detrended, lifecycle, change_points,
-    ewma_recursive, ewma_two_term, ewm_volatility, ewma_crossover, ewma_ratios, adaptive_ewma, interaction_pairs, interaction_powers_ratios, interaction_all,
+    ewma_recursive, ewma_long_events, ewma_two_term, ewm_volatility, ewma_crossover, ewma_ratios, adaptive_ewma, interaction_pairs, interaction_powers_ratios, interaction_all,
 )}
 
 _BEFORE = "last_value(quantity ignore nulls) over (w rows unbounded preceding)"
@@ -199,6 +207,14 @@ ORACLE_SQL = {
         f"c as (select product, month_end, row_number() over w as n, abs((quantity - lag(quantity) over w) / nullif(lag(quantity) over w, 0)) as m from panel {W}), h as (select *, (case when m > 0.5 then 1 else 0 end)::int as hit from c)",
     ),
     "ewma_recursive": _FOLDED(", ".join(f"quantity as e{n}" for n in _ALPHAS), ", ".join(f"{a}::double * v.quantity + (1 - {a}::double) * r.e{n}" for n, a in _ALPHAS.items()), ", ".join(f"round(e{n} + 1e-7, 4) as ewma_{n}" for n in _ALPHAS)),
+    "ewma_long_events": """
+        with recursive numbered as (select event_type, event_id, value, row_number() over (partition by event_type order by ts, value) as n from events),
+        run as (
+          select event_type, event_id, n, value as e10, value as e50 from numbered where n = 1
+          union all select v.event_type, v.event_id, v.n, 0.1::double * v.value + 0.9::double * r.e10, 0.5::double * v.value + 0.5::double * r.e50
+          from run r join numbered v on v.event_type = r.event_type and v.n = r.n + 1)
+        select event_id, round(e10 + 1e-7, 4) as ewma_10, round(e50 + 1e-7, 4) as ewma_50 from run
+    """,
     "ewma_two_term": sql("select product, month_end, " + ", ".join(f"round(coalesce({a}::double * quantity + (1 - {a}::double) * lag(quantity) over w, quantity) + 1e-7, 4) as ewma_{n}" for n, a in _ALPHAS.items()) + f" from panel {W}"),
     "ewm_volatility": _FOLDED(
         "quantity as m30, 0.0::double as v30, quantity as m50, 0.0::double as v50",

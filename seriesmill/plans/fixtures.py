@@ -51,8 +51,8 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def few_nulls(spark: SparkSession, sf_dir: str, modulus: int = 17) -> DataFrame:
-    """The suppliers' panel with about one value in ``modulus`` taken out."""
-    dense = complete_months(supplier_months(spark, sf_dir))
+    """All series with about one value in ``modulus`` taken out: sparse demand as well as dense."""
+    dense = panel(spark, sf_dir)
     hit = (F.substring("product", 2, 20).cast("long") * 7 + F.month("month_end")) % modulus == 0
     return dense.withColumn("quantity", F.when(~hit, F.col("quantity")))
 
@@ -90,7 +90,7 @@ panel as (select product, month_end, coalesce(quantity, 0.0) as quantity from ho
 gaps as (from holes where product like 'P%'),
 few as (
   select product, month_end, case when (cast(product[2:] as bigint) * 7 + month(month_end)) % 17 <> 0 then quantity end as quantity
-  from panel where product like 'S%')
+  from panel)
 """
 
 CLASSES = """

@@ -12,6 +12,7 @@ from ..operators import metrics as M
 from ..operators import reports as R
 from ..operators import series as T
 from ..operators import splits as S
+from ..operators.stumps import importances
 from . import fixtures as X
 from .check_queries import _METRICS
 from .fixtures import CLASSES, FORECASTS, MODELS, sql
@@ -29,10 +30,9 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(feature, model, importance): squared correlations with two targets stand for models' importances."""
+    """(feature, model, importance): how much of two targets trees of one split explain by each forecast."""
     rows = X.forecasts(spark, sf_dir).select(*MODELS, "label", (F.col("label") - F.col("pred_naive")).alias("step"))
-    row = rows.agg(*[F.pow(F.corr(m, t), F.lit(2)).alias(f"{t}:{m}") for t in ("label", "step") for m in MODELS])
-    return row.unpivot([], row.columns, "k", "importance").select(F.split("k", ":")[1].alias("feature"), F.split("k", ":")[0].alias("model"), "importance")
+    return importances(rows, MODELS, "label", "label").union(importances(rows, MODELS, "step", "step"))
 
 
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +200,14 @@ _ROUND = lambda *names: ", ".join(f"round({n}, 4) as {n}" for n in names)  # noq
 _WIDTH = "wide as (select *, hi - lo as interval_width, case when p > 0 then (hi - lo) / p else 1.0 end as relative_uncertainty from spans), scored as (select *, (case when relative_uncertainty < 0.1 then 1.0 when relative_uncertainty < 0.3 then 0.8 when relative_uncertainty < 0.5 then 0.6 when relative_uncertainty < 0.8 then 0.4 else 0.2 end)::double as confidence_score from wide)"
 _NORMAL = f"sd as (select stddev_samp(label - pred_ma4) as s from train), spans as (select *, pred_ma4 as p, greatest(pred_ma4 - 1.959963984540054 * s, 0) as lo, pred_ma4 + 1.959963984540054 * s as hi from test, sd), {_WIDTH}"
 _QUANT = f"qs as (select quantile_disc(label - pred_ma4, 0.025) as a, quantile_disc(label - pred_ma4, 0.975) as b from train), spans as (select *, pred_ma4 as p, greatest(pred_ma4 + a, 0) as lo, pred_ma4 + b as hi from test, qs), {_WIDTH}"
-_IMPORTANCE = "imp as (" + " union all ".join(f"select '{m}' as feature, '{n}' as model, pow(corr({m}, {t}), 2) as importance from forecasts" for n, t in (("label", "label"), ("step", "label - pred_naive")) for m in MODELS) + ")"
+_IMPORTANCE = f"""
+points as (select name as model, feature, v, count(*)::double as n, sum(y)::double as s, sum(y * y)::double as q from (
+  select name, feature, v, y - avg(y) over (partition by name, feature) as y from (
+    unpivot (select *, label - pred_naive as step from forecasts) on label, step into name name value y) base, lateral (values {", ".join(f"('{m}', base.{m})" for m in MODELS)}) f(feature, v)) group by all),
+run as (select *, sum(n) over (w rows unbounded preceding) as nl, sum(s) over (w rows unbounded preceding) as sl, sum(n) over p as nt, sum(s) over p as st, sum(q) over p as qt, lead(v) over w as after
+  from points window w as (partition by model, feature order by v), p as (partition by model, feature)),
+imp as (select model, feature, max((sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt) / (qt - st * st / nt)) as importance from run where after is not null group by 1, 2)
+"""
 _GRID = ", ".join(f"({k / 10})" for k in range(1, 10))
 
 _SMOOTH = lambda where: f"""

@@ -13,7 +13,7 @@ from ..operators import metrics as M
 from ..operators import models as L
 from ..operators import panel as P
 from ..operators import reports as R
-from ..operators import scoring, splits
+from ..operators import scoring, splits, stumps
 from ..sources.tables import stored
 from . import fixtures as X
 from .check_queries import _DATES, _METRICS
@@ -26,7 +26,7 @@ def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of all series, with the classes that were known at the cut, as a table that fits read again and again."""
     panel = P.moving_averages(P.lags(P.calendar(X.panel(spark, sf_dir)), steps=(1, 2)), sales=())
     cut = F.lit("2000-06-30").cast("date")
-    return stored(P.long_enough(P.class_statistics(panel, as_of=cut)).select("product", "month_end", "product_category", L.LABEL, *FEATURES), "model-panel")
+    return stored(P.long_enough(P.class_statistics(panel, as_of=cut)).select("product", "month_end", "product_category", L.LABEL, *FEATURES, "year"), "model-panel")
 
 
 def _cut(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -83,7 +83,7 @@ def boosting_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_size_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.forest_curve(*_known(spark, sf_dir), FEATURES, counts=(5, 10, 20), maxDepth=4)
+    return L.forest_curve(*_known(spark, sf_dir), FEATURES, counts=(10, 20, 50, 100, 200), maxDepth=4)
 
 
 def depth_validation_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +143,33 @@ def cross_validated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.cross_validate_line(rows, FEATURES, L.LABEL, n_splits=2, min_train=36, test=6).select("metric", *rounded(["mean", "std"], 4))
 
 
+#: Features with few values, on which a tree's splits are exact.
+CALENDAR = ("month", "year")
+
+
+def _stump() -> DecisionTreeRegressor:
+    return DecisionTreeRegressor(labelCol=L.LABEL, maxDepth=1, seed=42)
+
+
+def stump_grid_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether one split of the calendar is better than none, by folds that follow in time, and the chosen tree on later months, as SQL can say too."""
+    train, test = _known(spark, sf_dir)
+    best, model = L.train_in_time(train, _stump(), CALENDAR, [{"maxDepth": 0}, {"maxDepth": 1}], n_splits=2, min_train=36, test=6)
+    return M.evaluate(model.transform(test), L.LABEL).select(F.lit(best["maxDepth"]).alias("max_depth"), *rounded(["rmse", "mae"], 4))
+
+
+def stump_validation_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The errors of trees without and with one split of the calendar, on their own months and on later ones."""
+    return L.validation_curve(*_known(spark, sf_dir), _stump(), "maxDepth", [0, 1], CALENDAR).select("value", *rounded(["train_rmse", "validation_rmse"], 4))
+
+
+def stump_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of one split has all its importance in one feature; how much each feature's own best split would explain."""
+    train, _ = _known(spark, sf_dir)
+    tree = L.native_importance(L.train(train, _stump(), CALENDAR), train)
+    return tree.join(stumps.best_splits(train, CALENDAR, L.LABEL), "feature").select("feature", "importance", "cut", *rounded(["left_mean", "right_mean", "share"], 6))
+
+
 def importance_of_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forest's own importances, the features they select, and the error with all features and with those."""
     train, test = _known(spark, sf_dir)
@@ -165,12 +192,49 @@ def scoring_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     linear_fit, models_by_category, model_grid_search, model_grid_in_time, cross_validated, boosting_early_stop, forest_size_curve, depth_validation_curve, native_importance,
-    permutation_importance, stacked_ensemble, champion_scores, cross_validated_line, cross_validated_lines, walk_forward_refits, importance_of_forest, scoring_run,
+    permutation_importance, stacked_ensemble, champion_scores, cross_validated_line, cross_validated_lines, walk_forward_refits, importance_of_forest, scoring_run, stump_grid_in_time, stump_validation_curve, stump_importance,
 )}
 
 _KNOWN = "known as (select * from (select product, month_end, quantity, lead(quantity) over (partition by product order by month_end) as y from panel) where y is not null)"
 
+#: Classes as they were known at the cut.
+_CUT_CLASSES = CLASSES.replace(" quantity > 0", " quantity > 0 and month_end <= date '2000-06-30'").replace("(quantity > 0", "(quantity > 0 and month_end <= date '2000-06-30'")
+_ALL_KNOWN = "everything as (select *, month(month_end) as month, year(month_end) as year from (select product, month_end, quantity, lag(quantity, 2) over w as lag_2, lead(quantity) over w as y from panel window w as (partition by product order by month_end)) join classed using (product) where total_orders >= 5 and y is not null and lag_2 is not null), known as (from everything where month_end <= date '2000-06-30'), later as (from everything where month_end > date '2000-06-30')"
+_FOLDS = (
+    _DATES.format(source="known"),
+    "bounds2 as (select f.fold, 36 + f.fold * step - 1 as b, 36 + f.fold * step as c, 36 + f.fold * step + 5 as d from (select greatest(1, (max(n) - 42) // 2) as step, max(n) as n from dates having max(n) >= 42), generate_series(0, 1) f(fold) where 36 + f.fold * step + 5 < n)",
+    "folds2 as (select fold, y.p as train_to, z.p as test_from, u.p as test_to from bounds2 join dates y on y.i = b join dates z on z.i = c join dates u on u.i = d)",
+)
+
+
+def _split(name: str, rows: str) -> str:
+    """The best split by month or year of ``rows(g, month, year, y)`` for each g, with the mean that no split leaves."""
+    return f"""
+    {name}_v as (select g, feature, v, count(*)::double as n, sum(y)::double as s, sum(y * y)::double as q from (unpivot (select g, month::double as month, year::double as year, y from {rows}) on month, year into name feature value v) group by all),
+    {name}_r as (select *, sum(n) over (w rows unbounded preceding) as nl, sum(s) over (w rows unbounded preceding) as sl, sum(n) over p as nt, sum(s) over p as st, sum(q) over p as qt, lead(v) over w as after
+      from {name}_v window w as (partition by g, feature order by v), p as (partition by g, feature)),
+    {name}_f as (select *, (sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt) / (qt - st * st / nt) as share, (v + after) / 2 as cut, sl / nl as left_mean, (st - sl) / (nt - nl) as right_mean, st / nt as mean
+      from {name}_r where after is not null qualify row_number() over (partition by g, feature order by share desc, v) = 1),
+    {name} as (from {name}_f qualify row_number() over (partition by g order by share desc, feature) = 1)"""
+
+
+_SAID = "case when (feature = 'month' and month <= cut) or (feature = 'year' and year <= cut) then left_mean else right_mean end"
+
 ORACLE_SQL = {
+    "stump_grid_in_time": sql(
+        f"select depth as max_depth, round(sqrt(avg((y - p) * (y - p))), 4) as rmse, round(avg(abs(y - p)), 4) as mae from (select y, depth, case depth when 0 then mean else {_SAID} end as p from later, whole, chosen) group by 1",
+        _CUT_CLASSES, _ALL_KNOWN, *_FOLDS, "folded as (select fold as g, k.* from known k join folds2 on month_end <= train_to)", _split("by_fold", "folded"), "all_known as (select 0 as g, * from known)", _split("whole", "all_known"),
+        f"errors as (select fold, sqrt(avg((y - mean) * (y - mean))) as e0, sqrt(avg((y - {_SAID}) * (y - {_SAID}))) as e1 from known join folds2 on month_end between test_from and test_to join by_fold on g = fold group by 1)",
+        "chosen as (select case when avg(e0) <= avg(e1) then 0 else 1 end as depth from errors)",
+    ),
+    "stump_validation_curve": sql(
+        f"select depth::double as value, round(sqrt(avg((y - p) * (y - p)) filter (known)), 4) as train_rmse, round(sqrt(avg((y - p) * (y - p)) filter (not known)), 4) as validation_rmse from (select y, known, depth, case depth when 0 then mean else {_SAID} end as p from (select *, month_end <= date '2000-06-30' as known from everything), whole, (values (0), (1)) d(depth)) group by 1",
+        _CUT_CLASSES, _ALL_KNOWN, "all_known as (select 0 as g, * from known)", _split("whole", "all_known"),
+    ),
+    "stump_importance": sql(
+        "select f.feature, case when f.feature = w.feature then 1.0::double else 0.0::double end as importance, f.cut, round(f.left_mean, 6) as left_mean, round(f.right_mean, 6) as right_mean, round(f.share, 6) as share from whole_f f, whole w",
+        _CUT_CLASSES, _ALL_KNOWN, "all_known as (select 0 as g, * from known)", _split("whole", "all_known"),
+    ),
     "linear_fit": sql(
         "select product, month_end, round(a + b * quantity, 4) as prediction from known, (select regr_intercept(y, quantity) as a, regr_slope(y, quantity) as b from known)",
         "known as (select * from (select product, month_end, quantity, lead(quantity) over (partition by product order by month_end) as y from panel) where y is not null)",

@@ -123,12 +123,15 @@ def unpivot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily sales saved as a managed table, totals by year read back from it; a second save replaces the first."""
+    """Daily sales saved as a managed table, totals by year read back from it; a second save replaces the first, and the table goes in the end."""
     daily = X.lines(spark, sf_dir).groupBy(F.col("part").alias("item_id"), F.col("d").alias("OrderDate")).agg(F.sum("q").alias("Quantity"))
     name = f"seriesmill_daily_{uuid.uuid4().hex}"
     for _ in range(2):
         tables.write_managed(daily, name)
-    return spark.table(name).groupBy(F.year("OrderDate").alias("year")).agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("n_items"), F.sum("Quantity").alias("quantity"))
+    totals = spark.table(name).groupBy(F.year("OrderDate").alias("year")).agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("n_items"), F.sum("Quantity").alias("quantity"))
+    out = tables.stored(totals, "yearly")
+    spark.sql(f"drop table {name}")
+    return out
 
 
 def files_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
