@@ -8,10 +8,12 @@ a character without a piece of its own costs the least score of the vocabulary l
 bytes where the vocabulary has byte pieces (else as one, with its neighbours of the same kind).
 
 No piece reaches over a white-space marker, so a text's best path is the joined best paths of its chunks (a run of
-markers and what follows it). A Python worker keeps the counts of a bounded number of distinct chunks.
+markers and what follows it). A Python worker keeps the counts of a bounded number of distinct chunks. That holds for whole-number
+scores, whose sums are exact. Sums of other scores are rounded, and so decide ties, by all that comes before: the best
+score is then carried along the whole text, chunk after chunk.
 
-Null and empty texts count 0. Texts of any length are counted whole. Rows are independent; ties and repeated rows need no
-rule. Only the key and the text are read, so other columns may have any name; a key named n_tokens is an error. An empty
+Null and empty texts count 0. Texts of any length are counted whole. Rows are independent, so repeated rows and ties between rows
+need no rule. Only the key and the text are read, so other columns may have any name; a key named n_tokens is an error. An empty
 table gives an empty one.
 """
 
@@ -56,6 +58,7 @@ class PieceCounter:
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
         self.has_bytes = has_bytes
+        self.exact = all(float(s).is_integer() for _, s in pieces)
         self.table = Remembered(lambda chunks: [self.of_chunk(MARK + c.replace(" ", MARK)) for c in chunks])
 
     def of_chunk(self, chunk: str) -> int:
@@ -92,6 +95,9 @@ class PieceCounter:
 
     def of_texts(self, texts: list[str]) -> np.ndarray:
         chunks, which, places = distinct_chunks(texts)
+        if not self.exact:
+            marked, ends = [MARK + c.replace(" ", MARK) for c in chunks], np.cumsum(places)
+            return np.array([self.of_chunk("".join(marked[k] for k in which[lo:hi])) for lo, hi in zip(ends - places, ends)], dtype=np.int64)
         counts = np.array(self.table.of(chunks), dtype=np.int64)
         behind = np.concatenate([[0], np.cumsum(counts[which])])
         return np.diff(behind[np.concatenate([[0], np.cumsum(places)])])

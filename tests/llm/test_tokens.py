@@ -113,3 +113,17 @@ def test_tie_rules(seed):
     for _ in range(300):
         text = "".join(rng.choices("abcd", k=rng.randint(1, 12)))
         assert counter.of_chunk(text) == len(tokenizer.encode(text).tokens), (text, pieces)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_ties_of_fractional_scores_are_those_of_the_whole_text(seed):
+    """Rounded sums of scores depend on the text before a chunk: 60 vocabularies with one decimal place, 60 texts each."""
+    import random
+
+    rng = random.Random(seed)
+    pieces = {"▁": -1.5} | {rng.choice(["", "▁"]) + "".join(rng.choices("abc", k=rng.randint(1, 4))): -rng.randint(10, 40) / 10 for _ in range(40)}
+    tokenizer, counter = unigram(pieces.items()), token_counts.PieceCounter(pieces.items(), False)
+    texts = [" ".join("".join(rng.choices("abcd", weights=(9, 9, 9, 1), k=rng.randint(1, 9))) for _ in range(rng.randint(1, 12))) for _ in range(60)]
+    wanted = [len(tokenizer.encode("▁" + t.replace(" ", "▁")).tokens) for t in texts]
+    assert counter.of_texts(texts).tolist() == wanted
+    assert counter.of_texts([]).tolist() == []
