@@ -4,10 +4,10 @@ A document's UTF-8 bytes are cut into chunks that overlap by a filter's width le
 document lies in one chunk. Learned filters slide over a chunk, each chunk keeps each filter's largest answer
 (rectified), chunks are averaged, and a logistic unit makes one probability of the averages.
 
-It is fitted on the driver to a bounded sample: at most ``per_class`` labelled documents of each label, those with the
-least hash of their id, and of n chunks of each at most ``train_root`` times the root of n, evenly spaced: all chunks of
-texts up to 129 KB, a growing number of longer ones. Of rows with the same doc_id, the one with the least hash of its text
-is learned from. Scoring reads whole texts. Only text enters a score.
+It is fitted by one task to a bounded sample: at most ``per_class`` labelled documents of each label, those with the
+least hash of their id, and all chunks of their whole texts. Of rows with the same doc_id, the one with the least hash of its
+text is learned from. The task sends the model to the driver, and no text. Scoring reads whole texts. Only text enters a
+score.
 
 Null and empty texts are scored as a chunk of zero bytes. Rows without a label, with another label than 0 or 1, or
 without doc_id are not learned from; a document with several labels counts with each. Without documents of both
@@ -17,7 +17,7 @@ empty result. Every other column is passed through; one that has the name of the
 
 from __future__ import annotations
 
-import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -39,7 +39,6 @@ class Net:
     filters: int = 16
     chunk: int = 512
     per_class: int = 1_500
-    train_root: int = 16
     at_once: int = 1_024
     steps: int = 300
     batch: int = 48
@@ -126,8 +125,8 @@ def strongest(chunks: np.ndarray, theta: dict[str, np.ndarray], net: Net) -> tup
     return place, np.take_along_axis(answers, place[:, None], axis=1)[:, 0]
 
 
-def fit(samples: list[tuple[np.ndarray, int]], net: Net = Net()) -> Model:
-    """Fit to (chunks, label) pairs by Adam on the log loss; both labels weigh the same. The same samples give the same model."""
+def fit(samples: list[tuple[bytes, int]], net: Net = Net()) -> Model:
+    """Fit to (text, label) pairs by Adam on the log loss; both labels weigh the same. The same samples give the same model."""
     labels = np.array([y for _, y in samples])
     if len(set(labels.tolist())) < 2:
         share = min(max(labels.mean() if len(labels) else 0.5, 0.01), 0.99)
@@ -143,8 +142,9 @@ def fit(samples: list[tuple[np.ndarray, int]], net: Net = Net()) -> Model:
     by_label = [np.flatnonzero(labels == y) for y in (0, 1)]
     for step in range(1, net.steps + 1):
         picked = np.concatenate([rng.choice(x, net.batch // 2) for x in by_label])
-        chunks = np.concatenate([samples[i][0] for i in picked])
-        owner = np.repeat(np.arange(len(picked)), [len(samples[i][0]) for i in picked])
+        of_each = [chunked(samples[i][0], net) for i in picked]
+        chunks = np.concatenate(of_each)
+        owner = np.repeat(np.arange(len(picked)), [len(x) for x in of_each])
         share = 1 / np.bincount(owner)[owner]
         place, top = (np.concatenate(x) for x in zip(*(strongest(chunks[at : at + net.at_once], theta, net) for at in range(0, len(chunks), net.at_once))))
         h = np.zeros((len(picked), net.filters))
@@ -170,30 +170,24 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, net: Net = Net()) -> list[tuple[np.ndarray, int]]:
-    """The bounded training sample, in a fixed order."""
+def sample(docs: DataFrame, labels: DataFrame, net: Net = Net()) -> DataFrame:
+    """The bounded training sample: (doc_id, text, y), ``per_class`` rows of each label at most."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(~held_out(F.col("doc_id")))
     order = [F.xxhash64("doc_id", F.lit(net.seed)), "doc_id"]
     few = [usable.where(F.col("y") == y).dropDuplicates().orderBy(*order).limit(net.per_class) for y in (0, 1)]
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text")).join(F.broadcast(few[0].union(few[1])), "doc_id")
-    chosen = chosen.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select("doc_id", "least.text", "y")
+    return chosen.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select("doc_id", "least.text", "y")
 
-    def cut(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            out = []
-            for text in b.column(1).to_pylist():
-                chunks = chunked(text, net)
-                at = np.unique(np.linspace(0, len(chunks) - 1, min(len(chunks), math.ceil(net.train_root * math.sqrt(len(chunks))))).round().astype(int))
-                out.append(chunks[at].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(2)], names=["doc_id", "chunks", "y"])
 
-    rows = chosen.select("doc_id", "text", "y").mapInArrow(cut, "doc_id long, chunks binary, y int").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.y, bytes(r.chunks)))
-    return [(np.frombuffer(bytes(r.chunks), dtype=np.uint8).reshape(-1, net.chunk), r.y) for r in rows]
+def train(docs: DataFrame, labels: DataFrame, net: Net = Net()) -> Model:
+    """The model of the training sample, which one task holds and fits in a fixed order."""
 
+    def learned(batches: Iterator[pa.RecordBatch]):
+        samples = [(text, y) for b in batches for text, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(samples, net))], pa.binary())], names=["model"])
 
-def train(docs: DataFrame, labels: DataFrame, net: Net = Net()) -> Model:
-    return fit(sample(docs, labels, net), net)
+    found = sample(docs, labels, net).repartition(1).sortWithinPartitions("doc_id", "y", "text").mapInArrow(frugal(learned), "model binary").collect()
+    return pickle.loads(bytes(found[0]["model"])) if found else fit([], net)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:

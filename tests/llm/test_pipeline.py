@@ -81,7 +81,7 @@ def test_run_is_the_stages(spark, stages):
 
 
 def test_every_query_is_registered():
-    assert [re.match(r"op(\d+)_", n)[1] for n in QUERIES] == [str(n) for n in range(1, 11)]
+    assert [re.match(r"op(\d+)_", n)[1] for n in QUERIES] == [str(n) for n in range(1, 14)]
 
 
 # --- the classifier -----------------------------------------------------------------------------------------------------
@@ -92,10 +92,23 @@ def test_sample_has_one_row_of_each_document_and_all_its_chunks(spark):
     docs = spark.createDataFrame([(1, f"copy {i}") for i in range(50)] + [(2, long), (3, None)], "doc_id long, text string").repartition(5)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
     net = quality_classifier.Net()
-    got = quality_classifier.sample(docs, labels, net)
-    assert len(got) == 3
-    assert max(len(chunks) for chunks, _ in got) == len(quality_classifier.chunked(long.encode(), net))
-    assert [y for _, y in got].count(1) == 1 and {len(c) for c, y in got if y == 1} == {1}
+    got = {r.doc_id: (bytes(r.text).decode(), r.y) for r in quality_classifier.sample(docs, labels, net).collect()}
+    assert set(got) == {1, 2, 3} and got[2] == (long, 0) and got[3] == ("", 0) and got[1][0].startswith("copy ")
+    bounded = quality_classifier.sample(docs, labels, quality_classifier.Net(per_class=1)).collect()
+    assert sorted(r.y for r in bounded) == [0, 1]
+
+
+def test_every_part_of_a_long_text_is_learned_from(spark):
+    """What tells the labels apart stands in one chunk of a text of a megabyte, far behind its beginning; its bytes' filters move, those of others don't."""
+    sizes = dict(chunk=512, filters=4, batch=4, decay=0.0)
+    filler = "abcdefgh" * 125_000
+    texts = [filler[:700_000] + mark * 8 + filler[700_000:] for mark in "QZ"]
+    docs = spark.createDataFrame([(1, texts[0]), (2, texts[1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    model = quality_classifier.train(docs, labels, quality_classifier.Net(steps=5, **sizes))
+    before = quality_classifier.fit([(b"a", 0), (b"b", 1)], quality_classifier.Net(steps=0, **sizes))
+    moved = {c: bool((model.filters[:, ord(c)] != before.filters[:, ord(c)]).any()) for c in "QZ~"}
+    assert moved == {"Q": True, "Z": True, "~": False}
 
 
 def test_chunks_cover_every_window():
@@ -125,7 +138,7 @@ def test_fit_learns_a_pattern_and_is_repeatable():
     net = quality_classifier.Net(chunk=64, filters=4, steps=200, batch=16)
     noise = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8))
     text = lambda y: noise(int(rng.integers(0, 90))) + (b" sound " if y else b" worse ") + noise(int(rng.integers(0, 90)))
-    samples = [(quality_classifier.chunked(text(i % 2), net), i % 2) for i in range(120)]
+    samples = [(text(i % 2), i % 2) for i in range(120)]
     model, again = (quality_classifier.fit(samples, net) for _ in range(2))
     assert (model.filters == again.filters).all() and model.out_bias == again.out_bias
     fresh = [(text(i % 2), i % 2) for i in range(200)]
