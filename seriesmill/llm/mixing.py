@@ -7,7 +7,8 @@ time, cut at the total budget, so every source has run through the same share of
 Shuffled documents are numbered without ever gathering a source: they are cut into buckets by the hash, bucket sums
 give each bucket its start, and only a bucket is summed row by row. Buckets hold about ``bucket_rows`` rows for a
 source of any size: where more rows than that share a doc_id in a source (or have none), their size and row number salt
-the hash. The global cut is found the same way: sums by bin of finish time, then one bin's rows.
+the hash. The global cut is found the same way: sums by bin of finish time, sums by part of one bin, then
+that part's rows, about one in ``bins`` squared.
 
 Null texts have size 0, null sources are a source of their own (last by code point), null doc_ids hash as their own
 word; rows with equal doc_ids in a source are put in order of size, unless salted. Texts of any length are counted whole.
@@ -96,6 +97,14 @@ def ordered(rows: DataFrame, mix: Mix) -> tuple[DataFrame, str]:
     return out, path
 
 
+def crossing(rows: DataFrame, by: str) -> DataFrame:
+    """(by, start) of ``rows(by, words, budget, start)``: the bin whose words, on top of ``start``, first exceed the budget, and what lies before it. A row at most."""
+    up_to = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    sums = rows.groupBy(by).agg(F.sum("words").alias("words"), F.max("budget").alias("budget"), F.max("start").alias("start"))
+    done = sums.withColumn("done", F.col("start") + F.sum("words").over(up_to)).where("done > budget")
+    return done.agg(F.min_by(F.struct(by, (F.col("done") - F.col("words")).alias("start")), by).alias("x")).select("x.*").where(F.col(by).isNotNull())
+
+
 def mixed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """``rows(id, at, source, size)`` with source_size, target, copies (passes that take the row) and finish times; ``at`` numbers the rows."""
     passes = range(1, int(-(-mix.most // 1)) + 1)
@@ -104,12 +113,13 @@ def mixed(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
     remove(rows.sparkSession, path)
     place = lambda p: F.struct(F.col(f"finish{p}").alias("finish"), F.col("rank"), F.lit(p).alias("pass"), F.col(f"key{p}").alias("key"), F.col("size"))
     all_passes = out.select(F.inline(F.array(*[F.struct(place(p).alias("place"), F.col("size").alias("words"), F.col("budget")) for p in passes]))).where("place.finish is not null and words > 0")
-    binned = all_passes.withColumn("bin", F.floor(F.least(F.col("place.finish"), F.lit(4.0)) * mix.bins / 4).cast("long"))
-    up_to = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    sums = binned.groupBy("bin").agg(F.sum("words").alias("words"), F.max("budget").alias("budget")).withColumn("done", F.sum("words").over(up_to))
-    crossing = sums.where("done > budget").agg(F.min_by(F.struct("bin", (F.col("done") - F.col("words")).alias("start")), "bin").alias("x")).select("x.bin", "x.start")
+    # Finish times are cut into bins, and the bin of the cut into bins again: windows go over sums of bins, and over the rows of one bin of bins.
+    scale = F.least(F.col("place.finish"), F.lit(4.0)) * mix.bins / 4
+    binned = all_passes.withColumn("bin", F.floor(scale).cast("long")).withColumn("part", F.floor((scale - F.col("bin")) * mix.bins).cast("long"))
+    near = binned.join(F.broadcast(crossing(binned.withColumn("start", F.lit(0).cast("long")), "bin")), "bin")
+    near = near.join(F.broadcast(crossing(near, "part").withColumnRenamed("start", "begins")), "part")
     inside = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    near = binned.join(F.broadcast(crossing), "bin").withColumn("done", F.col("start") + F.sum("words").over(inside))
+    near = near.withColumn("done", F.col("begins") + F.sum("words").over(inside))
     # A row without words takes the mix's place of its finish time, too.
     first_out = near.where("done > budget").agg(F.min("place").alias("cut"))
     taken = lambda p: F.when(F.col(f"finish{p}").isNotNull() & (F.col("cut").isNull() | (place(p) < F.col("cut"))), 1).otherwise(0)
