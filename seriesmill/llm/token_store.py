@@ -10,7 +10,8 @@ each, and a vocabulary that does not fit in them is refused.
 Encoded documents are written to the shared folder once, in blocks with their place in their task's stream; a stream's
 start is the sum of those before it (a number per task). A shard is written under a name of its own and then renamed, so a
 task that runs twice leaves the same whole file, also where the store refuses to rename onto a file that is there.
-``sweep`` removes what lost tasks have left.
+``sweep`` removes what lost tasks have left. A folder without a scheme is in Spark's default file system, as what Spark itself
+writes there; workers reach it by pyarrow, and a file system that it doesn't know is an error.
 
 Null texts count as empty: an end id alone. Texts of any length are laid out whole. Repeated rows are documents of their
 own, also with the same or a null doc_id. Without documents there are no sequences and no files. Only doc_id and text
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, staged, text_of
@@ -49,6 +50,8 @@ class Layout:
         return np.dtype(f"<u{self.id_bytes}")
 
     def check(self, vocabulary: int) -> None:
+        if self.id_bytes not in (1, 2, 4, 8):
+            raise ValueError("Layout.id_bytes is 1, 2, 4 or 8")
         if vocabulary > 1 << 8 * self.id_bytes:
             raise ValueError(f"{vocabulary} ids do not fit in {self.id_bytes} bytes each; set Layout.id_bytes")
 
@@ -134,10 +137,26 @@ def pieces(stored: DataFrame, total: int, layout: Layout, end: int) -> DataFrame
 
 
 def open_folder(path: str):
-    """The file system of a folder and the folder's path in it."""
+    """The file system of a folder and the folder's path in it. Without a scheme, which tasks are always given, the session's default file system is asked."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    if ":" not in path.split("/")[0]:
+        session = SparkSession.getActiveSession()
+        if session is None:
+            raise ValueError(f"{path} does not say which file system it is in")
+        path = qualified(session, path)
+    return fs.FileSystem.from_uri(path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the file system that Spark would take it to be in: without a scheme that is the default one, not each worker's own disk.
+
+    Workers open it by pyarrow, which knows local folders, HDFS (with libhdfs), and object stores as s3, gs or abfss; s3a and s3n are its s3.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    scheme, _, rest = whole.partition(":")
+    return f"s3:{rest}" if scheme in ("s3a", "s3n") else f"file://{rest}" if scheme == "file" and not rest.startswith("//") else whole
 
 
 def shard_name(shard: int) -> str:
@@ -172,6 +191,7 @@ def materialise(docs: DataFrame, model: str, folder: str, layout: Layout = Layou
     The files are written when the result is.
     """
     layout.check(processor(model).get_piece_size())
+    folder = qualified(docs.sparkSession, folder)
     stored = staged(encoded(docs, model, layout), "token-ids")
     total = stored.agg(F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x)), F.lit(0))).first()[0]
     rows = pieces(stored, total, layout, processor(model).eos_id()).withColumn("shard", F.floor(F.col("slot") / layout.shard_rows).cast("long"))

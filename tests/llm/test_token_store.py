@@ -108,3 +108,18 @@ def test_wide_ids(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert token_store.materialise(spark.createDataFrame([], "doc_id long, text string"), MODEL, str(tmp_path)).count() == 0
+
+
+def test_folders_are_in_the_default_file_system(spark, tmp_path):
+    """A path without a scheme isn't each worker's own disk: it is where Spark's own files go."""
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert token_store.qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    try:
+        conf.set("fs.defaultFS", "hdfs://127.0.0.1:8020")
+        assert token_store.qualified(spark, "/shared/x") == "hdfs://127.0.0.1:8020/shared/x"
+        assert token_store.qualified(spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+    finally:
+        conf.set("fs.defaultFS", before)
+    with pytest.raises(ValueError):
+        token_store.Layout(id_bytes=3).check(10)
