@@ -12,9 +12,11 @@ over them, and elsewhere as a full window, so that text dives there and at the e
 strongest window of all is inside an <article> or <main>, text outside counts as zero, too. Otherwise they say nothing
 (teasers, say), and a region with half of its characters in links is not strong.
 
-Names (class, id, role) only lower weights. A block that is named, as a whole, for something beside main text (an advert,
-a notice, reader comments) is a region of its own, whose windows count for LOWERED of their sums: it stays if it outweighs
-all else and is long in itself. ``hidden`` and the like say that an element isn't shown.
+Names (class, id, role) only lower weights. A block that is named, as a whole, for something beside main text (an advert or
+a notice, say) is a region of its own, whose windows count for LOWERED of their sums: it stays if it outweighs all else
+and is long in itself. In main text, blocks named for what is mostly links (related pages, sharing) are named blocks only if at least half of
+their characters are in links. Blocks named for reader comments stay only where a page has no other region. ``hidden`` and the like say
+that an element isn't shown.
 
 Null and empty pages give an empty text. Pages of any length and any markup are read in a time in proportion to their
 length. Pages are independent; repeated rows and ties need no rule; unclosed elements end where their parent does or where
@@ -45,12 +47,16 @@ INLINE = "a abbr acronym b bdi bdo big br cite code data del dfn em font i img i
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 NOT_MAIN = (
     "ad ads adv advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notification alert popup modal overlay "
-    "sidebar side widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager masthead topbar header footer colophon copyright legal comment comments reply replies disqus respond "
+    "sidebar side widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager masthead topbar header footer colophon copyright legal comment comments commentlist reply replies disqus respond "
     "share sharing social related recommended newsletter subscribe signup login search toolbar skip"
 ).split()
+#: Those of them that name a place for links rather than what it says: such a block is judged by its links.
+OF_LINKS = "popup modal overlay share sharing social related recommended newsletter subscribe signup login search toolbar skip".split()
 #: Words that may stand beside those in a name without changing what it names.
-PLACES = "left right top bottom upper lower first second primary secondary site global page mobile desktop sticky fixed visually slot unit box block area bar panel list links link items item buttons button icons form wrap wrapper container inner outer posts articles stories section zone".split()
+PLACES = "left right top bottom upper lower first second primary secondary site global page mobile desktop sticky fixed visually slot unit box block area bar panel list links link items item buttons button icons form wrap wrapper container inner outer posts articles stories section zone user users reader readers thread policy".split()
 NOT_SHOWN = "hidden visually-hidden sr-only screen-reader-text d-none".split()
+#: Skipped elements that may stand within a sentence.
+IN_SENTENCES = "label button select".split()
 HEADINGS = "h1 h2 h3 h4 h5 h6".split()
 TITLED = "article content entry post story".split()
 #: Elements whose end tag may be left out; the next of the kind ends them.
@@ -62,6 +68,7 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([
 NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 WORDS = re.compile("[a-z]+")
 COMMENT = re.compile("(comment|reply)(?![a-z])")
+COMMENTS = re.compile("comment|repl(?:y|ies)|disqus|respond")
 ENDS = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW + EMBEDDED}
 
 #: Lines of a window; the share of the strongest region; the most of a region that may be links; the weight of a named
@@ -146,12 +153,12 @@ def given(attributes: str) -> dict[str, str]:
     return out
 
 
-def says_beside(token: str, in_main: bool) -> bool:
-    """Whether a class, id or role as a whole names something beside main text: all its words do, or say where it stands ("ad-slot", "left-sidebar")."""
+def says_beside(token: str, in_main: bool) -> list[str]:
+    """The words with which a class, id or role as a whole names something beside main text: all its words do, or say where it stands ("ad-slot", "left-sidebar")."""
     words = WORDS.findall(token)
     if words and words[-1] == "header" and (in_main or words[0] in TITLED):
-        return False
-    return any(w in NOT_MAIN for w in words) and all(w in NOT_MAIN or w in PLACES for w in words)
+        return []
+    return [w for w in words if w in NOT_MAIN] if all(w in NOT_MAIN or w in PLACES for w in words) else []
 
 
 def shown(attributes: dict[str, str]) -> bool:
@@ -160,15 +167,15 @@ def shown(attributes: dict[str, str]) -> bool:
     return not any(t in NOT_SHOWN for t in attributes.get("class", "").lower().split())
 
 
-def named_beside(name: str, attributes: dict[str, str], in_main: bool) -> bool:
-    """Whether a block's names say that it is beside main text. Ids of headings are made of their own words."""
+def named_beside(name: str, attributes: dict[str, str], in_main: bool) -> list[str]:
+    """The words with which a block's names say that it is beside main text. Ids of headings are made of their own words."""
     if name in ("html", "body", "main"):
-        return False
+        return []
     tokens = f"{attributes.get('class', '')} {attributes.get('role', '')}".lower().split()
     slugs = attributes.get("id", "").lower().split() if name not in HEADINGS else []
     if name == "article":
-        return any(COMMENT.match(t) for t in tokens + slugs)
-    return any(says_beside(t, in_main) for t in tokens + slugs)
+        return ["comment"] if any(COMMENT.match(t) for t in tokens + slugs) else []
+    return [w for t in tokens + slugs for w in says_beside(t, in_main)]
 
 
 class Enclosure:
@@ -191,7 +198,7 @@ class Enclosure:
 
 
 class Line(NamedTuple):
-    """A line's text, its characters in links, whether it is in a main element, whether a heading, and its named block (0: none)."""
+    """A line's text, its characters in links, whether it is in a main element, whether a heading, and its named block (0: none, below 0: reader comments)."""
 
     text: str
     linked: int = 0
@@ -206,7 +213,8 @@ class Lines:
     def __init__(self, page: str):
         self.lines: list[Line | None] = []
         self.parts: list[str] = []
-        self.linked = self.main = self.blocks = 0
+        self.linked = self.main = self.blocks = self.block_now = 0
+        self.of_links: list[int] = []
         self.link = self.heading = False
         self.skip: Enclosure | None = None
         self.named: Enclosure | None = None
@@ -219,12 +227,24 @@ class Lines:
                 self.parts.append(t)
                 self.linked += len(t) if self.link else 0
         self.end()
+        self.free_blocks()
+
+    def free_blocks(self) -> None:
+        """Blocks that are named for links and hold other text, for the most part, are no named blocks."""
+        total, linked = dict.fromkeys(self.of_links, 0), dict.fromkeys(self.of_links, 0)
+        for x in self.lines:
+            if x and x.block in total:
+                total[x.block] += len(x.text)
+                linked[x.block] += x.linked
+        free = {b for b in total if linked[b] < LINKED * total[b]}
+        if free:
+            self.lines = [x._replace(block=0) if x and x.block in free else x for x in self.lines]
 
     def end(self) -> None:
         """The block that was open is a line."""
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            self.lines.append(Line(text, min(self.linked, len(text)), self.main > 0, self.heading, self.blocks if self.named else 0))
+            self.lines.append(Line(text, min(self.linked, len(text)), self.main > 0, self.heading, self.block_now if self.named else 0))
         self.parts, self.linked, self.heading = [], 0, False
 
     def boundary(self) -> None:
@@ -246,7 +266,7 @@ class Lines:
             self.link = "href" in attributes
         inline = name in INLINE
         if not tag.close and name not in VOID and (not shown(attributes) or name in SKIPPED or (name == "header" and not self.main)):
-            if not inline:
+            if not inline and name not in IN_SENTENCES:
                 self.boundary()
             self.skip = Enclosure(name, place in self.ended, inline)
         elif inline:
@@ -263,9 +283,12 @@ class Lines:
             self.main = max(0, self.main + (-1 if tag.close else 1))
             if tag.close and not self.main:
                 self.boundary()
-        if not tag.close and not self.named and tag.name not in VOID and named_beside(tag.name, attributes, self.main > 0):
+        if not tag.close and not self.named and tag.name not in VOID and (words := named_beside(tag.name, attributes, self.main > 0)):
             self.boundary()
             self.blocks += 1
+            self.block_now = -self.blocks if any(COMMENTS.match(w) for w in words) else self.blocks
+            if self.main and all(w in OF_LINKS for w in words):
+                self.of_links.append(self.block_now)
             self.named = Enclosure(tag.name, place in self.ended)
         self.heading = not tag.close and tag.name in HEADINGS
 
@@ -300,7 +323,7 @@ def regions(lengths: list[int], unlinked: list[int] | None = None, window: int =
 
 def passed_over(line: Line | None) -> bool:
     """Whether a line is in main text, and no part of its windows: runs of such lines count as one without text."""
-    return line is not None and line.main and (line.block > 0 or not line.text)
+    return line is not None and line.main and (line.block != 0 or not line.text)
 
 
 def kept(lines: list[Line | None]) -> list[int]:
@@ -329,7 +352,9 @@ def kept(lines: list[Line | None]) -> list[int]:
     for i, x in enumerate(lines):
         if x and x.block:
             places.setdefault(x.block, []).append(i)
-    for own in places.values():
+    for block, own in places.items():
+        if block < 0 and found:
+            continue
         of = [lines[i] for i in own]
         strength = strongest(regions([len(x.text) for x in of], [len(x.text) - x.linked for x in of]))
         if strength >= NAMED_LEAST:

@@ -82,6 +82,16 @@ PAGES = {
     # A small named block is outweighed, wherever it stands.
     f"<article><p>{PARAGRAPH}</p><div class=ad>Buy now, buy here, buy more of it.</div><p>End.</p></article>": f"{PARAGRAPH.strip()}\nEnd.",
     f"<div><p>{PARAGRAPH}</p></div><div class=comments><p>{PARAGRAPH * 4}</p></div>": PARAGRAPH.strip(),
+    # Names for places of links say nothing of blocks that hold text; links decide there.
+    f"<article><p>{PARAGRAPH}</p><section id=social><p>{PARAGRAPH}</p></section></article>": f"{PARAGRAPH.strip()}\n{PARAGRAPH.strip()}",
+    "<article><p>First part.</p><div class=related><p>Second part.</p></div><p>End.</p></article>": "First part.\nSecond part.\nEnd.",
+    f"<article><p>{PARAGRAPH}</p><div class=related><a href=/1>One more</a> <a href=/2>Another</a></div><p>End.</p></article>": f"{PARAGRAPH.strip()}\nEnd.",
+    # Reader comments go, however they are named and however long they are beside the article.
+    f"<article><p>{PARAGRAPH}</p></article><ol class=commentlist><li>{PARAGRAPH}</li></ol>": PARAGRAPH.strip(),
+    f"<div><p>{PARAGRAPH}</p></div><div class=user-comments><p>{PARAGRAPH}</p></div>": PARAGRAPH.strip(),
+    f"<article><p>A short article of some eighty characters, which says all that it has to say.</p></article><section class=comments><p>{PARAGRAPH * 9}</p></section>": "A short article of some eighty characters, which says all that it has to say.",
+    f"<div><p>{PARAGRAPH}</p></div><div class=cookie-policy-banner><p>We use cookies.</p></div>": PARAGRAPH.strip(),
+    "<article><p>See <label>this</label> now.</p></article>": "See now.",
     # Windows reach over what is skipped inside main text, and dive at its edge.
     f"<article><p>{PARAGRAPH}</p><aside><p>a</p><p>b</p><p>c</p><p>d</p></aside><nav>n</nav><p>End.</p></article><p>Teaser</p>": f"{PARAGRAPH.strip()}\nEnd.",
     # No article, no main: the strongest windows say where the text is.
