@@ -30,12 +30,17 @@ def impute_auto_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strategy for each share of missing values."""
     out = None
     for m in (200, 29, 17, 5):
-        row = I.auto_strategy(X.few_nulls(spark, sf_dir, m)).select(F.lit(m).alias("modulus"), *rounded(["null_rate", "zero_rate"]), "strategy")
+        row = I.auto_strategy(X.few_nulls_dense(spark, sf_dir, m)).select(F.lit(m).alias("modulus"), *rounded(["null_rate", "zero_rate"]), "strategy")
         out = row if out is None else out.unionByName(row)
     return out
 
 
 def impute_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.auto_impute(X.few_nulls_dense(spark, sf_dir)).select(*KEYS, F.round("quantity", 6).alias("quantity"))
+
+
+def impute_auto_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All series: most months have no sales, so missing ones count as zero."""
     return I.auto_impute(X.few_nulls(spark, sf_dir)).select(*KEYS, F.round("quantity", 6).alias("quantity"))
 
 
@@ -139,7 +144,7 @@ STRATEGIES = {
 }
 
 QUERIES = {name: partial(imputed, strategy=s, **p) for name, (s, p) in STRATEGIES.items()} | {f.__name__: f for f in (
-    impute_auto_strategy, impute_auto, impute_audit, trend_features, trend_slope_ols, detrended, lifecycle, change_points,
+    impute_auto_strategy, impute_auto, impute_auto_sparse, impute_audit, trend_features, trend_slope_ols, detrended, lifecycle, change_points,
     ewma_recursive, ewma_long_events, ewma_two_term, ewm_volatility, ewma_crossover, ewma_ratios, adaptive_ewma, interaction_pairs, interaction_powers_ratios, interaction_all,
 )}
 
@@ -184,7 +189,8 @@ ORACLE_SQL = {
         "select modulus, round(nulls, 6) as null_rate, round(zeros, 6) as zero_rate, case when nulls < 0.01 then 'zero' when nulls < 0.05 then 'forward_fill' when zeros > 0.3 then 'zero' when nulls < 0.2 then 'forward_fill_decay' else 'seasonal' end as strategy from r",
         "r as (select modulus, count(*) filter (gone) / count(*) as nulls, count(*) filter (not gone and quantity = 0) / count(*) as zeros from (select modulus, quantity, (cast(product[2:] as bigint) * 7 + month(month_end)) % modulus = 0 as gone from panel, (values (200), (29), (17), (5)) v(modulus) where product like 'S%') group by 1)",
     ),
-    "impute_auto": _imputed(_DECAY),
+    "impute_auto": _imputed(_DECAY).replace("from few)", "from few_dense)"),
+    "impute_auto_sparse": _imputed("0.0"),
     "impute_audit": sql("select count(*) filter (quantity is null) as nulls_before, 0::bigint as nulls_after from few"),
     "trend_features": sql(
         "select product, month_end, t as time_index, cumulative_demand, velocity_1m, (case when s3 > 0 then 1 when s3 < 0 then -1 else 0 end)::int as trend_direction, "

@@ -50,13 +50,21 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_months(part_months(spark, sf_dir), fill=None)
 
 
-def few_nulls(spark: SparkSession, sf_dir: str, modulus: int = 17) -> DataFrame:
-    """All series with about one value in ``modulus`` taken out: sparse demand as well as dense."""
-    dense = panel(spark, sf_dir)
+def _thinned(dense: DataFrame, modulus: int) -> DataFrame:
     hit = (F.substring("product", 2, 20).cast("long") * 7 + F.month("month_end")) % modulus == 0
     return dense.withColumn("quantity", F.when(~hit, F.col("quantity")))
 
 
+def few_nulls(spark: SparkSession, sf_dir: str, modulus: int = 17) -> DataFrame:
+    """All series with about one value in ``modulus`` taken out: sparse demand as well as dense."""
+    return _thinned(panel(spark, sf_dir), modulus)
+
+
+def few_nulls_dense(spark: SparkSession, sf_dir: str, modulus: int = 17) -> DataFrame:
+    """The same of the suppliers' series, which sell in most months: shares of missing values alone decide on a strategy there."""
+    return _thinned(complete_months(supplier_months(spark, sf_dir)), modulus)
+
+
 MODELS = ("pred_naive", "pred_ma4", "pred_snaive")
 
 
@@ -90,7 +98,8 @@ panel as (select product, month_end, coalesce(quantity, 0.0) as quantity from ho
 gaps as (from holes where product like 'P%'),
 few as (
   select product, month_end, case when (cast(product[2:] as bigint) * 7 + month(month_end)) % 17 <> 0 then quantity end as quantity
-  from panel)
+  from panel),
+few_dense as (from few where product like 'S%')
 """
 
 CLASSES = """
