@@ -2,12 +2,13 @@
 
 No piece of the vocabularies this serves joins a character to a white-space marker on its right, so merges never
 leave a chunk: a run of markers with the characters up to the next one. A chunk is therefore segmented the same
-wherever it stands. The chunks of a slice of documents are reduced to the distinct ones, those are looked up in a table
-that the Python worker keeps, new ones are segmented once with the library itself, and the documents' ids are put together
-from the distinct chunks' ids by position.
+wherever it stands. The chunks of a slice of documents are reduced by Arrow to the distinct ones, those are looked up in a table
+that the Python worker keeps, new ones are segmented once with the library itself, and the documents' ids are taken from the
+distinct chunks' ids by position.
 
-The table is bounded and belongs to a worker: when it is full, chunks that only one slice has met are forgotten. A table of
-all chunks of the corpus would grow with the corpus, and joining it back would shuffle a row for every word.
+The table is bounded and belongs to a worker. It has two halves: when the newer one is full it becomes the older one, whose chunks move
+back when they are met again; others are forgotten when the next half is full. A table of all chunks of the corpus would grow with the
+corpus, and joining it back would shuffle a row for every word.
 
 Null texts are encoded as empty ones (the end id alone); null lists of ids are decoded as empty ones, null ids in a list
 are skipped. Texts of any length are encoded whole; slices are cut by their characters, so a task holds few long
@@ -22,7 +23,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,10 @@ from pyspark.sql import types as T
 from .common import frugal, text_of
 
 MARK = "▁"
-#: Entries kept by a worker, and the characters of the longest chunk that is kept. Longer ones are segmented each time.
+#: Entries of each half of a worker's table, and the characters of the longest chunk that is kept. Longer ones are segmented each time.
 TABLE_ENTRIES, TABLE_CHARS = 300_000, 64
 #: Documents, and bytes of their texts, that are worked on together; a longer document is alone.
-SLICE, SLICE_BYTES = 1_024, 1 << 20
+SLICE, SLICE_BYTES = 2_048, 1 << 22
 
 
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
@@ -75,43 +76,58 @@ class Remembered:
 
     def __init__(self, find: Callable[[list[str]], list], most: int = TABLE_ENTRIES):
         self.find, self.most = find, most
+        #: The newer half, and the older one.
         self.table: dict = {}
-        #: Chunks that have been met again since the table was last full.
-        self.again: set[str] = set()
+        self.older: dict = {}
 
     def of(self, chunks: list[str]) -> list:
         """The findings for distinct ``chunks``, in their order."""
         found = list(map(self.table.get, chunks))
         places = [i for i, x in enumerate(found) if x is None]
-        if len(places) < len(chunks):
-            self.again.update(c for c, x in zip(chunks, found) if x is not None)
         if places:
-            new = [chunks[i] for i in places]
-            for i, c, x in zip(places, new, self.find(new), strict=True):
-                found[i] = x
+            missed = [chunks[i] for i in places]
+            old = list(map(self.older.get, missed))
+            new = iter(self.find([c for c, x in zip(missed, old) if x is None]))
+            for i, c, x in zip(places, missed, old):
+                found[i] = x = next(new) if x is None else x
                 if len(c) <= TABLE_CHARS:
                     self.table[c] = x
-        if len(self.table) > self.most:
-            self.table = {c: self.table[c] for c in self.again} if 2 * len(self.again) <= self.most else {}
-            self.again = set()
+            if len(self.table) > self.most:
+                self.table, self.older = {}, self.table
         return found
 
 
+def plain(text: str) -> bool:
+    """Whether single spaces, and these alone, part the chunks of ``text``."""
+    return text != "" and text[0] != " " and text[-1] != " " and "  " not in text and MARK not in text
+
+
 def cut(text: str) -> list[str]:
     """The chunks of a text, its dummy prefix included; a chunk is named without its first marker."""
-    if not text:
-        return []
-    text = text.replace(MARK, " ")
-    if text[0] != " " and text[-1] != " " and "  " not in text:
-        return text.split(" ")
-    return [c[1:] for c in re.findall(" +[^ ]*", " " + text)]
+    return [c[1:] for c in re.findall(" +[^ ]*", " " + text.replace(MARK, " "))] if text else []
+
+
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size says, one run after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
 def distinct_chunks(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct chunks of ``texts``, which of them stands at each place, and the number of places of each text."""
-    parts = [cut(t) for t in texts]
-    coded = pa.array(list(chain.from_iterable(parts)), pa.large_string()).dictionary_encode()
-    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False), np.fromiter(map(len, parts), np.int64, len(parts))
+    easy = np.fromiter(map(plain, texts), bool, len(texts))
+    split = pc.split_pattern(pa.array([t for t, e in zip(texts, easy) if e], pa.large_string()), " ")
+    parts = [cut(t) for t, e in zip(texts, easy) if not e]
+    coded = pa.chunked_array([split.flatten(), pa.array(chain.from_iterable(parts), pa.large_string())]).combine_chunks().dictionary_encode()
+    which, places = coded.indices.to_numpy(zero_copy_only=False), np.zeros(len(texts), np.int64)
+    places[easy] = split.value_lengths().to_numpy(zero_copy_only=False)
+    places[~easy] = np.fromiter(map(len, parts), np.int64, len(parts))
+    if not easy.all():
+        # Plain texts were counted first: back into the order of ``texts``.
+        order = np.argsort(~easy, kind="stable")
+        starts = np.empty_like(places)
+        starts[order] = np.cumsum(places[order]) - places[order]
+        which = which[runs(starts, places)]
+    return coded.dictionary.to_pylist(), which, places
 
 
 class ChunkTable:
@@ -126,20 +142,19 @@ class ChunkTable:
 
     def segment(self, chunks: list[str]) -> list[bytes]:
         """Ids as bytes of int32; the library takes an empty text for one without a marker."""
-        return [array("i", ids).tobytes() if c else self.mark for c, ids in zip(chunks, self.library.encode(chunks, num_threads=1), strict=True)]
+        found = self.library.encode(chunks, num_threads=1)
+        flat, ends = array("i", chain.from_iterable(found)).tobytes(), accumulate(4 * len(ids) for ids in found)
+        return [flat[lo:hi] if c else self.mark for c, (lo, hi) in zip(chunks, pairwise(chain([0], ends)), strict=True)]
 
     def encode(self, texts: list[str], end: list[int] = []) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
         """The ids of ``texts`` one after the other, ``end`` behind each, and how many each has."""
         chunks, which, places = distinct_chunks(texts)
-        ids = [*self.table.of(chunks), array("i", end).tobytes()]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, starts = np.frombuffer(b"".join(ids), dtype=np.int32), np.cumsum(lengths) - lengths
-        which = np.insert(which.astype(np.int64), np.cumsum(places), len(chunks))
-        taken = lengths[which]
-        behind = np.cumsum(taken)
-        out = flat[np.repeat(starts[which] - behind + taken, taken) + np.arange(behind[-1] if len(behind) else 0)]
-        behind = np.concatenate([[0], behind])
-        return out, np.diff(behind[np.concatenate([[0], np.cumsum(places + 1)])])
+        joined = pa.array(self.table.of(chunks), pa.large_binary()).take(pa.array(which))
+        _, offsets, data = joined.buffers()
+        edges = np.frombuffer(offsets, np.int64)[np.concatenate([[0], np.cumsum(places)])] if len(joined) else np.zeros(len(texts) + 1, np.int64)
+        view, last = memoryview(data or b""), array("i", end).tobytes()
+        coded = b"".join(chain.from_iterable((view[lo:hi], last) for lo, hi in pairwise(edges.tolist())))
+        return np.frombuffer(coded, dtype=np.int32), np.diff(edges) // 4 + len(end)
 
 
 @lru_cache(maxsize=2)
