@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import as_large
 from ..functions.quantiles import cuts
 from ..spec import PanelSpec
 
@@ -90,7 +91,7 @@ def walk_forward_means(panel: DataFrame, steps: DataFrame, spec: PanelSpec = Pan
     wanted = F.broadcast(steps)
     known = means.join(wanted, "refit_to").select(spec.product, "step", "test_date", "prediction")
     actual = panel.select(spec.product, spec.d.alias("test_date"), spec.v.alias("label"))
-    return known.join(actual, [spec.product, "test_date"])
+    return known.join(as_large(actual), [spec.product, "test_date"])
 
 
 def walk_forward_fit(panel: DataFrame, fit: Callable[[DataFrame], object], predict: Callable[[object, DataFrame], DataFrame], spec: PanelSpec = PanelSpec(), initial: int = 24, refit_every: int = 1, horizon: int = 1) -> DataFrame:
