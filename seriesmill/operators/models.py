@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import CATEGORIES
+from ..functions.columns import CATEGORIES, as_large
 from ..functions.numbering import numbered
 from ..sources.tables import STORED, remove, scratch_path, stored, stored_at
 from ..spec import PanelSpec
@@ -226,7 +226,7 @@ def dealt(ordered: DataFrame, n: int, column: str, seed: int) -> DataFrame:
     a, b = deal(n, seed)
     values = ordered.select(F.col("_n").alias("_m"), F.col(column).alias("_v"))
     source = F.pmod(F.col("_n").cast("decimal(38,0)") * a + b, F.lit(max(n, 1))).cast("long")
-    return ordered.withColumn("_m", source).join(values, "_m").withColumn(column, F.col("_v")).drop("_n", "_m", "_v")
+    return ordered.withColumn("_m", source).join(as_large(values), "_m").withColumn(column, F.col("_v")).drop("_n", "_m", "_v")
 
 
 def shuffled(rows: DataFrame, column: str, seed: int) -> DataFrame:
@@ -247,7 +247,7 @@ def dealt_all(ordered: DataFrame, n: int, deals: Sequence[tuple[str, int]]) -> D
         target = F.pmod((F.col("_n").cast("decimal(38,0)") - b) * back, F.lit(max(n, 1))).cast("long")
         sent.append(F.struct(target.alias("_n"), F.struct(F.lit(k).alias("k"), F.col(column).cast("double").alias("v")).alias("dealt")))
     values = ordered.select(F.inline(F.array(*sent))).groupBy("_n").agg(F.transform(F.array_sort(F.collect_list("dealt")), lambda d: d["v"]).alias("_dealt"))
-    return ordered.join(values, "_n")
+    return ordered.join(as_large(values), "_n")
 
 
 def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequence[str], repeats: int = 3, seed: int = 42, metric: str = "rmse") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import as_large
 from ..spec import PanelSpec
 from .metrics import evaluate_each
 
@@ -64,7 +65,7 @@ def seasonal_forecast(panel: DataFrame, levels: DataFrame, horizon: int, spec: P
     """(product, month_end, seasonal): the level of each future month's place."""
     ends = panel.where(spec.v.isNotNull()).groupBy(spec.product).agg(F.max(spec.date).alias("last"), F.count("*").alias("n"))
     ahead = future_months(ends, horizon, spec).withColumn("position", ((F.col("n") + F.col("h") - 1) % season).cast("int"))
-    return ahead.join(levels, [spec.product, "position"]).select(spec.product, spec.date, F.col("level").alias("seasonal"))
+    return ahead.join(as_large(levels), [spec.product, "position"]).select(spec.product, spec.date, F.col("level").alias("seasonal"))
 
 
 def future_months(ends: DataFrame, horizon: int, spec: PanelSpec = PanelSpec()) -> DataFrame:
@@ -81,7 +82,7 @@ def horizon_of(test: DataFrame, spec: PanelSpec = PanelSpec()) -> int:
 def next_month(forecasts: DataFrame, ends: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """The forecast rows of the month after each series' last."""
     following = ends.select(spec.product, F.last_day(F.add_months(F.trunc("last", "month"), 1)).alias(spec.date))
-    return forecasts.join(following, [spec.product, spec.date], "left_semi")
+    return forecasts.join(as_large(following), [spec.product, spec.date], "left_semi")
 
 
 def holt_winters(panel: DataFrame, horizon: int, spec: PanelSpec = PanelSpec(), season: int = 12, alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2) -> DataFrame:
@@ -116,5 +117,5 @@ def holt_winters(panel: DataFrame, horizon: int, spec: PanelSpec = PanelSpec(),
 
 def forecast_accuracy(forecasts: DataFrame, actual: DataFrame, columns: Sequence[str], spec: PanelSpec = PanelSpec()) -> DataFrame:
     """(model, rmse, r2, mae, mape) of each forecast column over the months that have both."""
-    rows = forecasts.join(actual.select(spec.product, spec.date, spec.v.alias("label")), [spec.product, spec.date])
+    rows = forecasts.join(as_large(actual.select(spec.product, spec.date, spec.v.alias("label"))), [spec.product, spec.date])
     return evaluate_each(rows.na.drop(subset=list(columns)), columns)

@@ -32,7 +32,7 @@ def best_splits(rows: DataFrame, features: Sequence[str], label: str) -> DataFra
     parts = parts.select("feature", "part", *before, *[F.sum(c).over(whole).alias(f"{c}_all") for c in "nsq"], F.lead("first").over(order).alias("next_first"))
     here = Window.partitionBy("feature", "part").orderBy("v")
     up_to = here.rowsBetween(Window.unboundedPreceding, 0)
-    run = placed.withColumns({"n_here": F.sum("n").over(up_to), "s_here": F.sum("s").over(up_to), "next": F.lead("v").over(here)}).join(parts, ["feature", "part"])
+    run = placed.withColumns({"n_here": F.sum("n").over(up_to), "s_here": F.sum("s").over(up_to), "next": F.lead("v").over(here)}).join(F.broadcast(parts), ["feature", "part"])
     n, s = F.col("n_before") + F.col("n_here"), F.col("s_before") + F.col("s_here")
     m, t = F.col("n_all") - n, F.col("s_all") - s
     gain = s * s / n + t * t / m - F.col("s_all") * F.col("s_all") / F.col("n_all")
