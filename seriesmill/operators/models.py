@@ -41,17 +41,59 @@ def pipeline(estimator, features: Sequence[str]) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), estimator])
 
 
+#: How many rows a fit reads one by one, and the rows of a task of a larger fit.
+FEW_ROWS, TASK_ROWS = 2_000_000, 200_000
+#: The column that says how many rows a row stands for.
+WEIGHT = "_weight"
+
+
+def counted(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct rows of ``columns``, each with how many rows it stands for, as WEIGHT."""
+    return rows.groupBy(*dict.fromkeys(columns)).agg(F.count("*").cast("double").alias(WEIGHT))
+
+
+def in_packs(rows: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, str] | None:
+    """Packs of equal rows with their WEIGHT, written once, and their path; None for FEW_ROWS rows or less, which are fitted one by one.
+
+    Sums over rows, and so lines and trees, are the same from packs as from rows. A pack has n / FEW_ROWS rows at most (rounded up, of n rows),
+    so there are FEW_ROWS packs at most besides one for each distinct row; bootstrap samples and random folds draw packs.
+    """
+    n = rows.count()
+    if n <= FEW_ROWS:
+        return None
+    size = -(-n // FEW_ROWS)
+    packs = F.ceil(F.col(WEIGHT) / size).cast("int")
+    each = counted(rows, columns).withColumn("_packs", packs).withColumn(WEIGHT, F.col(WEIGHT) / F.col("_packs"))
+    return stored_at(each.select(*dict.fromkeys(columns), WEIGHT, F.explode(F.sequence(F.lit(1), "_packs")).alias("_pack")).drop("_pack"), "packs")
+
+
+def small_tasks(packs: DataFrame) -> DataFrame:
+    """Packs take few bytes in files, so their rows say how many tasks read them."""
+    return packs.repartition(max(packs.sparkSession.sparkContext.defaultParallelism, -(-packs.count() // TASK_ROWS)))
+
+
 def train(rows: DataFrame, estimator, features: Sequence[str] = FEATURES, grid: dict[str, Sequence] | None = None, n_folds: int = 3, parallelism: int = 2, seed: int = 42) -> PipelineModel:
-    """A fitted pipeline; with a grid, the best of random folds by rmse."""
+    """A fitted pipeline; with a grid, the best of random folds by rmse. Large tables are fitted as packs of equal rows with weights."""
     label = estimator.getLabelCol()
     usable = rows.where(F.col(label).isNotNull())
+    packs = None if estimator.isSet("weightCol") else in_packs(usable, [*features, label])
+    if packs:
+        model = fit(small_tasks(packs[0]), estimator.copy().setWeightCol(WEIGHT), features, grid, n_folds, parallelism, seed)
+        remove(rows.sparkSession, packs[1])
+        return model
+    return fit(usable, estimator, features, grid, n_folds, parallelism, seed)
+
+
+def fit(usable: DataFrame, estimator, features: Sequence[str], grid: dict[str, Sequence] | None = None, n_folds: int = 3, parallelism: int = 2, seed: int = 42) -> PipelineModel:
+    """``train`` on rows as they are."""
+    label, weight = estimator.getLabelCol(), {"weightCol": WEIGHT} if WEIGHT in usable.columns else {}
     if not grid:
         return pipeline(estimator, features).fit(usable)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     search = CrossValidator(
-        estimator=pipeline(estimator, features), estimatorParamMaps=builder.build(), evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"), numFolds=n_folds, seed=seed, parallelism=parallelism
+        estimator=pipeline(estimator, features), estimatorParamMaps=builder.build(), evaluator=RegressionEvaluator(labelCol=label, metricName="rmse", **weight), numFolds=n_folds, seed=seed, parallelism=parallelism
     )
     return search.fit(usable).bestModel
 
