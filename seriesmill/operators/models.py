@@ -175,23 +175,27 @@ def grow_boosting(
     """Boosted trees that stop while they grow: the model, and the validation loss after each of its trees.
 
     A tree is fitted to what the trees before it leave of the label, and no further one is grown once ``patience`` losses in a row
-    have not beaten the best by more than ``min_delta``. Assembled rows are written once; what is left of a label is computed from
+    have not beaten the best by more than ``min_delta``. Rows, of large tables as packs of equal ones with weights, are written once; what is left of a label is computed from
     the trees so far, as one column, when the next tree reads them.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    rows, held = ((assembler.transform(df.where(F.col(label).isNotNull())).select("features", F.col(label).cast("double").alias("y"))) for df in (train_rows, validation))
-    (rows, path), (held, held_path) = stored_at(rows, "boosting"), stored_at(held, "boosting")
-    tree = DecisionTreeRegressor(labelCol="left", seed=seed, **parameters)
+    train_rows, validation = (df.where(F.col(label).isNotNull()) for df in (train_rows, validation))
+    packs, weight = in_packs(train_rows, [*features, label]), F.col(WEIGHT)
+    rows = packs[0] if packs else train_rows.withColumn(WEIGHT, F.lit(1.0))
+    assembled = lambda df: assembler.transform(df).select("features", F.col(label).cast("double").alias("y"), WEIGHT)
+    (rows, path), (held, held_path) = stored_at(assembled(rows), "boosting"), stored_at(assembled(counted(validation, [*features, label])), "boosting")
+    rows, held = (small_tasks(rows), small_tasks(held)) if packs else (rows, held)
+    tree = DecisionTreeRegressor(labelCol="left", weightCol=WEIGHT, seed=seed, **parameters)
     trees, weights, curve, best, since = [], [], [], math.inf, 0
     error = F.col("y") - F.col("prediction")
     while len(trees) < most and since < patience:
         # The gradient of squared errors is twice what is left.
-        left = of_trees(trees, weights).transform(rows).select("features", (2 * error).alias("left")) if trees else rows.withColumnRenamed("y", "left")
+        left = of_trees(trees, weights).transform(rows).select("features", WEIGHT, (2 * error).alias("left")) if trees else rows.withColumnRenamed("y", "left")
         trees.append(tree.fit(left))
         weights.append(step if weights else 1.0)
         curve.append(of_trees(trees, weights).transform(held).agg(F.avg(error * error if loss == "squared" else F.abs(error))).first()[0])
         best, since = (curve[-1], 0) if curve[-1] < best - min_delta else (best, since + 1)
-    for p in (path, held_path):
+    for p in (path, held_path, *([packs[1]] if packs else [])):
         remove(train_rows.sparkSession, p)
     return of_trees(trees, weights), curve
 
