@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,7 +193,7 @@ def grow_boosting(
         left = of_trees(trees, weights).transform(rows).select("features", WEIGHT, (2 * error).alias("left")) if trees else rows.withColumnRenamed("y", "left")
         trees.append(tree.fit(left))
         weights.append(step if weights else 1.0)
-        curve.append(of_trees(trees, weights).transform(held).agg(F.avg(error * error if loss == "squared" else F.abs(error))).first()[0])
+        curve.append(of_trees(trees, weights).transform(held).agg(F.sum((error * error if loss == "squared" else F.abs(error)) * weight) / F.sum(weight)).first()[0])
         best, since = (curve[-1], 0) if curve[-1] < best - min_delta else (best, since + 1)
     for p in (path, held_path, *([packs[1]] if packs else [])):
         remove(train_rows.sparkSession, p)
@@ -207,6 +207,28 @@ def boosting_stop(train_rows: DataFrame, validation: DataFrame, features: Sequen
     return best_stop(scores, patience, min_delta)
 
 
+#: Trees that one fit grows at a time: a row in memory has a number for each.
+LOT = 50
+
+
+def fit_forest(train_rows: DataFrame, features: Sequence[str], label: str, n: int, seed: int, **parameters) -> PipelineModel:
+    """A forest of n trees, grown in lots of LOT, each with a seed of its own."""
+    usable = train_rows.where(F.col(label).isNotNull())
+    packs = in_packs(usable, [*features, label])
+    rows, weight = (small_tasks(packs[0]), {"weightCol": WEIGHT}) if packs else (usable, {})
+    lots = [fit(rows, RandomForestRegressor(labelCol=label, numTrees=min(LOT, n - i), seed=seed + i, **weight, **parameters), features) for i in range(0, n, LOT)]
+    if packs:
+        remove(train_rows.sparkSession, packs[1])
+    if len(lots) == 1:
+        return lots[0]
+    context, trees = SparkContext._active_spark_context, [t for m in lots for t in m.stages[-1].trees]
+    array = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    for i, tree in enumerate(trees):
+        array[i] = tree._java_obj
+    whole = RandomForestRegressionModel(context._jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(f"grown_{n}", array, len(features)))
+    return PipelineModel([lots[0].stages[0], whole])
+
+
 def leaf_values(forest) -> DataFrame:
     """One row: for each tree of a forest its leaves' predictions, in the order in which the forest numbers them. They come from the model's own files."""
     spark = SparkSession.active()
@@ -221,18 +243,19 @@ def leaf_values(forest) -> DataFrame:
 def forest_curve(train_rows: DataFrame, validation: DataFrame, features: Sequence[str], label: str = LABEL, counts: Sequence[int] = (10, 20, 50, 100), seed: int = 42, **parameters) -> DataFrame:
     """(iteration, score): validation rmse for the first n trees of one forest of ``max(counts)``.
 
-    The forest says which leaf of each tree a row reaches, as one column; the leaves' values are one broadcast row, as large as the
+    Equal rows of ``validation`` are answered once and weighed. The forest says which leaf of each tree a row reaches, as one column; the leaves' values are one broadcast row, as large as the
     forest. So all trees' answers are one array and the plan is the same for any number of trees.
     """
-    model = train(train_rows, RandomForestRegressor(labelCol=label, numTrees=max(counts), seed=seed, **parameters), features)
+    model = fit_forest(train_rows, features, label, max(counts), seed, **parameters)
     forest = model.stages[-1].copy().setLeafCol("_leaf")
-    rows = forest.transform(model.stages[0].transform(validation.where(F.col(label).isNotNull())))
-    rows = rows.select(F.col(label).alias("_y"), vector_to_array("_leaf").alias("_leaf")).crossJoin(F.broadcast(leaf_values(forest)))
+    held = small_tasks(stored(counted(validation.where(F.col(label).isNotNull()), [*features, label]), "held"))
+    rows = forest.transform(model.stages[0].transform(held))
+    rows = rows.select(F.col(label).alias("_y"), WEIGHT, vector_to_array("_leaf").alias("_leaf")).crossJoin(F.broadcast(leaf_values(forest)))
     answers = F.transform("_leaf", lambda leaf, tree: F.element_at(F.element_at("leaves", tree + 1), leaf.cast("int") + 1))
-    rows = rows.select("_y", answers.alias("_answers"))
+    rows = rows.select("_y", WEIGHT, answers.alias("_answers"))
     wanted = F.inline(F.array(*[F.struct(F.lit(n).alias("iteration"), (F.aggregate(F.slice("_answers", 1, n), F.lit(0.0), lambda a, b: a + b) / n).alias("_p")) for n in counts]))
     error = F.col("_y") - F.col("_p")
-    return rows.select("_y", wanted).groupBy("iteration").agg(F.sqrt(F.avg(error * error)).alias("score"))
+    return rows.select("_y", WEIGHT, wanted).groupBy("iteration").agg(F.sqrt(F.sum(error * error * F.col(WEIGHT)) / F.sum(WEIGHT)).alias("score"))
 
 
 def validation_curve(train_rows: DataFrame, validation: DataFrame, estimator, parameter: str, values: Sequence, features: Sequence[str]) -> DataFrame:

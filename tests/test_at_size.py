@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 from seriesmill.operators import ensemble, series, splits
 from seriesmill.operators import models as L
@@ -35,3 +38,43 @@ def test_tables_of_series_are_not_broadcast(spark, tmp_path):
         if name in ("accuracy", "seasonal", "ensemble"):
             assert "BroadcastHashJoin" not in built(df), name
     assert walked.count() == 100 * 6
+
+
+def repeated(spark):
+    """Few distinct rows, each many times."""
+    rows = spark.range(4_000).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("z"))
+    return rows.withColumn("y", F.col("x") * 3 - F.col("z") * F.col("z") + F.when(F.rand(1) < 0.5, 1.0).otherwise(0.0)).cache()
+
+
+def test_packs_of_equal_rows_fit_the_same_models(spark, monkeypatch):
+    df = repeated(spark)
+    line, tree = LinearRegression(labelCol="y", solver="normal"), DecisionTreeRegressor(labelCol="y", maxDepth=3, seed=1)
+    grow = lambda: L.grow_boosting(df, df, ["x", "z"], "y", most=4, maxDepth=2)[1]
+    one = [L.train(df, e, ["x", "z"]).stages[-1] for e in (line, tree)]
+    losses = grow()
+    monkeypatch.setattr(L, "FEW_ROWS", 300)
+    packs = L.in_packs(df, ["x", "z", "y"])[0]
+    assert packs.count() <= 300 + df.distinct().count() < df.count() / 8 and packs.agg(F.sum(L.WEIGHT)).first()[0] == df.count()
+    two = [L.train(df, e, ["x", "z"]).stages[-1] for e in (line, tree)]
+    assert two[0].coefficients.toArray() == pytest.approx(one[0].coefficients.toArray()) and two[0].intercept == pytest.approx(one[0].intercept)
+    for r in df.select("x", "z").distinct().collect():
+        assert two[1].predict(Vectors.dense(r.x, r.z)) == pytest.approx(one[1].predict(Vectors.dense(r.x, r.z)))
+    assert grow() == pytest.approx(losses)
+    deep = L.train(df, RandomForestRegressor(labelCol="y", seed=1), ["x", "z"], {"maxDepth": [0, 4], "numTrees": [3]}, n_folds=2)
+    assert max(t.depth for t in deep.stages[-1].trees) > 1
+
+
+def test_forests_grow_in_lots(spark, monkeypatch):
+    """Memory for a row is that of a lot's trees; the lots make one forest."""
+    df = repeated(spark)
+    monkeypatch.setattr(L, "LOT", 3)
+    for few in (L.FEW_ROWS, 300):
+        monkeypatch.setattr(L, "FEW_ROWS", few)
+        forest = L.fit_forest(df, ["x", "z"], "y", 8, 5, maxDepth=3)
+        trees = forest.stages[-1].trees
+        assert len(trees) == 8 and len({t.toDebugString.split("\n", 1)[1] for t in trees}) > 3
+        got = {r.iteration: r.score for r in L.forest_curve(df, df, ["x", "z"], "y", counts=(2, 8), seed=5, maxDepth=3).collect()}
+        rows = df.groupBy("x", "z", "y").count().collect()
+        for n in (2, 8):
+            error = sum(r["count"] * (r.y - sum(t.predict(Vectors.dense(r.x, r.z)) for t in trees[:n]) / n) ** 2 for r in rows)
+            assert got[n] == pytest.approx((error / df.count()) ** 0.5)
