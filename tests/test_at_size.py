@@ -8,6 +8,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import functions as F
 from seriesmill.operators import ensemble, series, splits
 from seriesmill.operators import models as L
+from seriesmill.operators import panel as panels
 
 
 def built(df):
@@ -78,3 +79,11 @@ def test_forests_grow_in_lots(spark, monkeypatch):
         for n in (2, 8):
             error = sum(r["count"] * (r.y - sum(t.predict(Vectors.dense(r.x, r.z)) for t in trees[:n]) / n) ** 2 for r in rows)
             assert got[n] == pytest.approx((error / df.count()) ** 0.5)
+
+
+def test_wide_tables_come_from_one_aggregate(spark):
+    rows = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 3.0), ("a", 12, None), ("b", 2, 0.0), (None, 12, 4.0), ("c", None, 1.0)], "k string, n int, v double")
+    wide = panels.pivot_days(rows, "k", "n", "v")
+    want = rows.groupBy("k").pivot("n", [1, 2, 12]).agg(F.sum("v")).collect()
+    assert wide.columns == ["k", "d_1", "d_2", "d_12"] and sorted(map(str, map(tuple, wide.collect()))) == sorted(map(str, map(tuple, want)))
+    assert "pivotfirst" not in built(wide)
