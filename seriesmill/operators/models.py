@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import CATEGORIES, as_large
@@ -48,23 +48,40 @@ WEIGHT = "_weight"
 
 
 def counted(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The distinct rows of ``columns``, each with how many rows it stands for, as WEIGHT."""
-    return rows.groupBy(*dict.fromkeys(columns)).agg(F.count("*").cast("double").alias(WEIGHT))
+    """The distinct rows of ``columns``, each with how many rows it stands for, as WEIGHT; rows that have a WEIGHT stand for as many."""
+    weight = F.sum(WEIGHT) if WEIGHT in rows.columns else F.count("*").cast("double")
+    return rows.groupBy(*dict.fromkeys(columns)).agg(weight.alias(WEIGHT))
 
 
-def in_packs(rows: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, str] | None:
-    """Packs of equal rows with their WEIGHT, written once, and their path; None for FEW_ROWS rows or less, which are fitted one by one.
+def in_counts(rows: DataFrame, columns: Sequence[str], *partition_by: str) -> tuple[DataFrame, str] | None:
+    """``counted`` rows, written once, and their path; None for FEW_ROWS rows or less. One pass over ``rows`` serves all fits that start from it."""
+    counts, path = stored_at(counted(rows, [*partition_by, *columns]), "counts", *partition_by)
+    if (counts.agg(F.sum(WEIGHT)).first()[0] or 0) <= FEW_ROWS:
+        remove(rows.sparkSession, path)
+        return None
+    return counts, path
+
+
+def takes_weights(estimator) -> bool:
+    """Whether an estimator can be given counted rows: it knows weights, and has none of its own."""
+    return estimator.hasParam("weightCol") and not estimator.isSet("weightCol")
+
+
+def packs_of(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a WEIGHT as packs of equal rows of ``columns``.
 
     Sums over rows, and so lines and trees, are the same from packs as from rows. A pack has n / FEW_ROWS rows at most (rounded up, of n rows),
     so there are FEW_ROWS packs at most besides one for each distinct row; bootstrap samples and random folds draw packs.
     """
-    n = rows.count()
-    if n <= FEW_ROWS:
-        return None
-    size = -(-n // FEW_ROWS)
-    packs = F.ceil(F.col(WEIGHT) / size).cast("int")
-    each = counted(rows, columns).withColumn("_packs", packs).withColumn(WEIGHT, F.col(WEIGHT) / F.col("_packs"))
-    return stored_at(each.select(*dict.fromkeys(columns), WEIGHT, F.explode(F.sequence(F.lit(1), "_packs")).alias("_pack")).drop("_pack"), "packs")
+    size = max(1, -(-int(counts.agg(F.sum(WEIGHT)).first()[0] or 0) // FEW_ROWS))
+    each = counts.withColumn("_packs", F.ceil(F.col(WEIGHT) / size).cast("int")).withColumn(WEIGHT, F.col(WEIGHT) / F.col("_packs"))
+    return each.select(*dict.fromkeys(columns), WEIGHT, F.explode(F.sequence(F.lit(1), "_packs")).alias("_pack")).drop("_pack")
+
+
+def in_packs(rows: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, str] | None:
+    """Packs of equal rows with their WEIGHT, of counts that are written once, and the path of these; None for FEW_ROWS rows or less, which are fitted one by one."""
+    found = in_counts(rows, columns)
+    return found and (packs_of(found[0], columns), found[1])
 
 
 def small_tasks(packs: DataFrame) -> DataFrame:
@@ -74,14 +91,49 @@ def small_tasks(packs: DataFrame) -> DataFrame:
 
 def train(rows: DataFrame, estimator, features: Sequence[str] = FEATURES, grid: dict[str, Sequence] | None = None, n_folds: int = 3, parallelism: int = 2, seed: int = 42) -> PipelineModel:
     """A fitted pipeline; with a grid, the best of random folds by rmse. Large tables are fitted as packs of equal rows with weights."""
-    label = estimator.getLabelCol()
+    return train_all(rows, [(estimator, features)], grid, n_folds, parallelism, seed)[0]
+
+
+def train_all(rows: DataFrame, fits: Sequence[tuple[object, Sequence[str]]], grid: dict[str, Sequence] | None = None, n_folds: int = 3, parallelism: int = 2, seed: int = 42) -> list[PipelineModel]:
+    """``train`` for each (estimator, features), which share a label: a large table is counted once for all fits. Rows with a WEIGHT are counted ones."""
+    label = fits[0][0].getLabelCol()
     usable = rows.where(F.col(label).isNotNull())
-    packs = None if estimator.isSet("weightCol") else in_packs(usable, [*features, label])
-    if packs:
-        model = fit(small_tasks(packs[0]), estimator.copy().setWeightCol(WEIGHT), features, grid, n_folds, parallelism, seed)
-        remove(rows.sparkSession, packs[1])
-        return model
-    return fit(usable, estimator, features, grid, n_folds, parallelism, seed)
+    columns = list(dict.fromkeys([*(f for _, features in fits for f in features), label]))
+    if WEIGHT in rows.columns:
+        found = stored_at(counted(usable, columns), "counts")
+    else:
+        found = in_counts(usable, columns) if all(takes_weights(e) for e, _ in fits) else None
+    if not found:
+        return [fit(usable, e, features, grid, n_folds, parallelism, seed) for e, features in fits]
+    packs = small_tasks(packs_of(found[0], columns))
+    models = [fit(packs, e.copy().setWeightCol(WEIGHT), features, grid, n_folds, parallelism, seed) for e, features in fits]
+    remove(rows.sparkSession, found[1])
+    return models
+
+
+def whole(features: Sequence[str]) -> Column:
+    """Whether a row has all features."""
+    return reduce(lambda a, b: a & b, (F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in features))
+
+
+def side_by_side(models: Sequence[PipelineModel], rows: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``rows`` with a prediction column of each model, for one pass that scores all, and the columns' names; null where a feature of the model is missing."""
+    names = [f"_said{i}" for i in range(len(models))]
+    for i, (model, name) in enumerate(zip(models, names)):
+        inputs = model.stages[0].getInputCols()
+        assembled = VectorAssembler(inputCols=inputs, outputCol=f"_x{i}", handleInvalid="keep").transform(rows)
+        said = model.stages[-1].copy().setFeaturesCol(f"_x{i}").setPredictionCol(name).transform(assembled).drop(f"_x{i}")
+        rows = said.withColumn(name, F.when(whole(inputs), F.col(name)))
+    return rows, names
+
+
+def errors(models: Sequence[PipelineModel], rows: DataFrame, label: str, by: Sequence[str] = ()) -> dict[tuple, float]:
+    """The rmse of each model, by (number of the model, *by), from one pass over rows, or over counted ones."""
+    scored, names = side_by_side(models, rows)
+    weight = F.col(WEIGHT) if WEIGHT in rows.columns else F.lit(1.0)
+    long = scored.select(*by, label, weight.alias("_n"), F.posexplode(F.array(*names)).alias("_model", "_p")).where(F.col(label).isNotNull() & F.col("_p").isNotNull())
+    error = F.col(label) - F.col("_p")
+    return {tuple(r)[:-1]: r[-1] for r in long.groupBy("_model", *by).agg(F.sqrt(F.sum(error * error * F.col("_n")) / F.sum("_n"))).collect()}
 
 
 def fit(usable: DataFrame, estimator, features: Sequence[str], grid: dict[str, Sequence] | None = None, n_folds: int = 3, parallelism: int = 2, seed: int = 42) -> PipelineModel:
@@ -99,30 +151,43 @@ def fit(usable: DataFrame, estimator, features: Sequence[str], grid: dict[str, S
 
 
 def train_in_time(rows: DataFrame, estimator, features: Sequence[str], grid: Sequence[dict], spec: PanelSpec = PanelSpec(), **fold_parameters) -> tuple[dict, PipelineModel]:
-    """The grid point with the least mean rmse over folds that follow in time, and its fit on all rows."""
+    """The grid point with the least mean rmse over folds that follow in time, and its fit on all rows.
+
+    A large table is counted by date and values once; folds and the last fit start from that. A fold's points are scored in one pass.
+    """
     label, table = estimator.getLabelCol(), folds(rows, spec, **fold_parameters).collect()
-    scores = []
-    for point in grid:
-        tried = estimator.copy({estimator.getParam(k): v for k, v in point.items()})
-        rmse = []
-        for f in table:
-            model = train(rows.where(spec.d.between(F.lit(f.train_from), F.lit(f.train_to))), tried, features)
-            rmse.append(evaluate(model.transform(rows.where(spec.d.between(F.lit(f.test_from), F.lit(f.test_to)))), label).first()["rmse"])
-        scores.append(sum(rmse) / len(rmse))
-    best = grid[scores.index(min(scores))]
-    return best, train(rows, estimator.copy({estimator.getParam(k): v for k, v in best.items()}), features)
+    found = in_counts(rows.where(F.col(label).isNotNull()), [spec.date, *features, label]) if takes_weights(estimator) else None
+    source = found[0] if found else rows
+    tried = [(estimator.copy({estimator.getParam(k): v for k, v in point.items()}), features) for point in grid]
+    scores = [[] for _ in grid]
+    for f in table:
+        models = train_all(source.where(spec.d.between(F.lit(f.train_from), F.lit(f.train_to))), tried)
+        rmse = errors(models, source.where(spec.d.between(F.lit(f.test_from), F.lit(f.test_to))), label)
+        for i in range(len(grid)):
+            scores[i].append(rmse[i,])
+    means = [sum(s) / len(s) for s in scores]
+    best = means.index(min(means))
+    model = train(source, tried[best][0], features)
+    if found:
+        remove(rows.sparkSession, found[1])
+    return grid[best], model
 
 
 def train_per_category(panel: DataFrame, models: dict[str, object], features: Sequence[str] = FEATURES, categories: Sequence[str] = CATEGORIES) -> dict[tuple[str, str], PipelineModel]:
     """Models by (category, name); classes without usable rows have none.
 
-    Usable rows are written once, in a folder for each class, so that a fit reads its own class and no other.
+    Usable rows, of large tables distinct ones with their counts, are written once, in a folder for each class, so that a fit reads its own class and no other.
     """
     label = next(iter(models.values())).getLabelCol()
-    usable = panel.select(*dict.fromkeys(["product_category", label, *features])).na.drop()
-    rows, path = stored_at(usable.where(F.col("product_category").isin(*categories)), "class-rows", "product_category")
+    usable = panel.select(*dict.fromkeys(["product_category", label, *features])).na.drop().where(F.col("product_category").isin(*categories))
+    counts = in_counts(usable, [*features, label], "product_category") if all(map(takes_weights, models.values())) else None
+    rows, path = counts or stored_at(usable, "class-rows", "product_category")
     present = {r["product_category"] for r in rows.select("product_category").distinct().collect()}
-    found = {(c, n): train(rows.where(F.col("product_category") == c), e, features) for c in categories if c in present for n, e in models.items()}
+    found = {}
+    for c in (c for c in categories if c in present):
+        own = rows.where(F.col("product_category") == c)
+        fitted = train_all(own, [(e, features) for e in models.values()]) if counts else [fit(own, e, features) for e in models.values()]
+        found |= {(c, n): model for n, model in zip(models, fitted)}
     remove(panel.sparkSession, path)
     return found
 
@@ -138,12 +203,11 @@ def score(models: dict[tuple[str, str], PipelineModel], panel: DataFrame, keep:
     out = panel
     for i, names in enumerate(lists):
         out = VectorAssembler(inputCols=list(names), outputCol=f"_x{i}", handleInvalid="keep").transform(out)
-    whole = [reduce(lambda a, b: a & b, (F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in names)) for names in lists]
     said: dict[str, list] = {}
     for j, ((category, name), model) in enumerate(models.items()):
         i = lists.index(tuple(model.stages[0].getInputCols()))
         out = model.stages[-1].copy().setFeaturesCol(f"_x{i}").setPredictionCol(f"_p{j}").transform(out)
-        said.setdefault(name, []).append(((F.col("product_category") == category) & whole[i], F.col(f"_p{j}")))
+        said.setdefault(name, []).append(((F.col("product_category") == category) & whole(lists[i]), F.col(f"_p{j}")))
     # The first case that holds; predictions are never null, so a null means that there is none.
     chosen = lambda cases: reduce(lambda c, case: c.when(*case), cases[1:], F.when(*cases[0]))
     each = F.inline(F.array(*[F.struct(chosen(cases).alias("prediction"), F.lit(name).alias("Model")) for name, cases in said.items()]))
@@ -259,12 +323,13 @@ def forest_curve(train_rows: DataFrame, validation: DataFrame, features: Sequenc
 
 
 def validation_curve(train_rows: DataFrame, validation: DataFrame, estimator, parameter: str, values: Sequence, features: Sequence[str]) -> DataFrame:
-    """(value, train_rmse, validation_rmse) for each value of a parameter."""
-    label, found = estimator.getLabelCol(), []
-    for v in values:
-        model = train(train_rows, estimator.copy({estimator.getParam(parameter): v}), features)
-        rmse = [evaluate(model.transform(df), label).first()["rmse"] for df in (train_rows, validation)]
-        found.append((float(v), *rmse))
+    """(value, train_rmse, validation_rmse) for each value of a parameter. All models are scored in one pass over the rows of both kinds."""
+    label = estimator.getLabelCol()
+    models = train_all(train_rows, [(estimator.copy({estimator.getParam(parameter): v}), features) for v in values])
+    columns = list(dict.fromkeys([*features, label]))
+    both = train_rows.select(F.lit(False).alias("_held"), *columns).unionByName(validation.select(F.lit(True).alias("_held"), *columns))
+    rmse = errors(models, both, label, ["_held"])
+    found = [(float(v), rmse.get((i, False)), rmse.get((i, True))) for i, v in enumerate(values)]
     return train_rows.sparkSession.createDataFrame(found, "value double, train_rmse double, validation_rmse double")
 
 
@@ -338,10 +403,9 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequ
     return each.groupBy("feature").agg(F.avg("loss").alias("importance"), F.stddev_pop("loss").alias("std"))
 
 
-def selection_scores(train_rows: DataFrame, validation: DataFrame, estimator, features: Sequence[str], selected: Sequence[str]) -> DataFrame:
-    """(features, n_features, rmse) of one model fitted with all features and one with the selected ones."""
-    label, found = estimator.getLabelCol(), []
-    for name, some in (("all", list(features)), ("selected", list(selected))):
-        model = train(train_rows, estimator, some)
-        found.append((name, len(some), evaluate(model.transform(validation), label).first()["rmse"]))
-    return train_rows.sparkSession.createDataFrame(found, "features string, n_features int, rmse double")
+def selection_scores(train_rows: DataFrame, validation: DataFrame, estimator, features: Sequence[str], selected: Sequence[str], model: PipelineModel | None = None) -> DataFrame:
+    """(features, n_features, rmse) of one model fitted with all features, which may be given, and one with the selected ones, scored in one pass."""
+    label, sets = estimator.getLabelCol(), [("all", list(features)), ("selected", list(selected))]
+    models = ([model] if model else []) + train_all(train_rows, [(estimator, some) for _, some in sets[bool(model) :]])
+    rmse = errors(models, validation, label)
+    return train_rows.sparkSession.createDataFrame([(name, len(some), rmse.get((i,))) for i, (name, some) in enumerate(sets)], "features string, n_features int, rmse double")

@@ -174,9 +174,12 @@ def importance_of_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forest's own importances, the features they select, and the error with all features and with those."""
     train, test = _known(spark, sf_dir)
     forest = _small()["random_forest"]
-    selected = R.select_features(L.native_importance(L.train(train, forest, FEATURES), train), 0.01, 3).orderBy("rank")
+    counts = L.in_counts(train, [*FEATURES, L.LABEL])
+    rows = counts[0] if counts else train
+    model = L.train(rows, forest, FEATURES)
+    selected = R.select_features(L.native_importance(model, train), 0.01, 3).orderBy("rank")
     names = [r["feature"] for r in selected.collect()]  # a row per feature
-    return L.selection_scores(train, test, forest, FEATURES, names).withColumn("names", F.lit(",".join(names)))
+    return L.selection_scores(rows, test, forest, FEATURES, names, model).withColumn("names", F.lit(",".join(names)))
 
 
 def scoring_run(spark: SparkSession, sf_dir: str) -> DataFrame:

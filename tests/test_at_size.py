@@ -87,3 +87,29 @@ def test_wide_tables_come_from_one_aggregate(spark):
     want = rows.groupBy("k").pivot("n", [1, 2, 12]).agg(F.sum("v")).collect()
     assert wide.columns == ["k", "d_1", "d_2", "d_12"] and sorted(map(str, map(tuple, wide.collect()))) == sorted(map(str, map(tuple, want)))
     assert "pivotfirst" not in built(wide)
+
+
+def test_a_large_table_is_counted_once_for_all_its_fits(spark, monkeypatch):
+    df = repeated(spark).withColumns({"month_end": F.last_day(F.add_months(F.lit("2000-01-31").cast("date"), F.pmod(F.hash("x", "z", "y"), F.lit(20)))), "product": F.lit("p"), "product_category": F.when(F.col("x") > 2, "Smooth").otherwise("Lumpy")})
+    tree, line = DecisionTreeRegressor(labelCol="y", maxDepth=2, seed=1), LinearRegression(labelCol="y", solver="normal")
+
+    def work():
+        curve = [tuple(r) for r in L.validation_curve(df, df.where("x > 1"), tree, "maxDepth", [0, 2], ["x", "z"]).collect()]
+        chosen = [tuple(r)[1:] for r in L.selection_scores(df, df, line, ["x", "z"], ["x"]).collect()]
+        best, model = L.train_in_time(df, tree, ["x", "z"], [{"maxDepth": 0}, {"maxDepth": 2}], n_splits=2, min_train=8, test=4)
+        classes = L.train_per_category(df, {"line": line, "tree": tree}, ["x", "z"])
+        said = [m.stages[-1].predict(Vectors.dense(x, z)) for m in (model, *(classes[k] for k in sorted(classes))) for x in (0.0, 3.0, 6.0) for z in (0.0, 4.0)]
+        return [v for row in (*curve, *chosen, said) for v in row] + [best["maxDepth"]]
+
+    one, passes, real = work(), [], L.counted
+    monkeypatch.setattr(L, "FEW_ROWS", 300)
+    monkeypatch.setattr(L, "counted", lambda rows, columns: (passes.append(1) if L.WEIGHT not in rows.columns else None) or real(rows, columns))
+    assert work() == pytest.approx(one) and len(passes) == 4
+
+
+def test_missing_features_only_count_for_models_that_have_them(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 1.0), (2.0, 1.0, 2.5), (3.0, 5.0, 2.0), (4.0, None, 9.0), (5.0, float("nan"), 7.0), (None, 1.0, 3.0)], "x double, z double, y double")
+    got = {r.features: r.rmse for r in L.selection_scores(df, df, LinearRegression(labelCol="y"), ["x", "z"], ["x"]).collect()}
+    for name, features in (("all", ["x", "z"]), ("selected", ["x"])):
+        e = L.evaluate(L.train(df, LinearRegression(labelCol="y"), features).transform(df), "y").first()
+        assert got[name] == pytest.approx(e.rmse)
