@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
-from seriesmill.operators import ensemble, series, splits
+from seriesmill.operators import ensemble, ewma, series, splits
 from seriesmill.operators import models as L
 from seriesmill.operators import panel as panels
 
@@ -113,3 +113,24 @@ def test_missing_features_only_count_for_models_that_have_them(spark):
     for name, features in (("all", ["x", "z"]), ("selected", ["x"])):
         e = L.evaluate(L.train(df, LinearRegression(labelCol="y"), features).transform(df), "y").first()
         assert got[name] == pytest.approx(e.rmse)
+
+
+def test_stacks_of_packs_are_those_of_rows(spark, monkeypatch):
+    df = repeated(spark).withColumn("month_end", F.last_day(F.add_months(F.lit("2000-01-31").cast("date"), F.pmod(F.hash("x", "z", "y"), F.lit(20)))))
+    base = [LinearRegression(solver="normal"), DecisionTreeRegressor(maxDepth=2, seed=1)]
+    points = df.select("x", "z", "y").distinct()
+
+    def said():
+        stacks = [ensemble.fit_stack(df, base, ["x", "z"], "y", use_features=True), ensemble.fit_stack_in_time(df, base, ["x", "z"], "y", n_splits=2, min_train=8, test=5)]
+        return [r.prediction for m in stacks for r in m.transform(points).orderBy("x", "z", "y").collect()]
+
+    one, read, real = said(), [], ensemble.packs_of
+    monkeypatch.setattr(L, "FEW_ROWS", 300)
+    monkeypatch.setattr(ensemble, "packs_of", lambda counts, columns: read.append(real(counts, columns)) or read[-1])
+    assert said() == pytest.approx(one, rel=1e-6) and len(read) == 2
+
+
+def test_a_fold_is_computed_once(spark):
+    df = spark.createDataFrame([("a", 1, 2.0)], "product string, month_end int, quantity double")
+    text = built(ewma.ewma(df, alphas=(0.5,)))
+    assert text.count("sequence(") == 1 and "array_sort(" not in text
