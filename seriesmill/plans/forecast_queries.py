@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import rounded
+from ..functions.columns import by_series, rounded
 from ..operators import ensemble as N
 from ..operators import intervals as I
 from ..operators import metrics as M
@@ -42,7 +42,8 @@ def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where training would stop if each series' errors over time were a score curve."""
     w = Window.partitionBy("product").orderBy("month_end")
-    curve = X.forecasts(spark, sf_dir).select("product", F.row_number().over(w).alias("iteration"), F.abs(F.col("label") - F.col("pred_ma4")).alias("score"))
+    rows = X.forecasts(spark, sf_dir)
+    curve = by_series(rows, rows.count()).select("product", F.row_number().over(w).alias("iteration"), F.abs(F.col("label") - F.col("pred_ma4")).alias("score"))
     return M.best_stop(curve, patience=4, min_delta=0.5, by=["product"]).withColumn("best_score", F.round("best_score", 6))
 
 

@@ -134,3 +134,17 @@ def test_a_fold_is_computed_once(spark):
     df = spark.createDataFrame([("a", 1, 2.0)], "product string, month_end int, quantity double")
     text = built(ewma.ewma(df, alphas=(0.5,)))
     assert text.count("sequence(") == 1 and "array_sort(" not in text
+
+
+def test_tasks_along_series_are_dealt_by_rows(spark, monkeypatch):
+    from seriesmill.functions import columns
+    from seriesmill.plans import fixtures, forecast_queries
+
+    monkeypatch.setattr(columns, "SERIES_ROWS", 500)
+    few = "/root/testdata/sf0.001"
+    n = -(-fixtures.table(spark, few, "lineitem").count() // 500)
+    assert n > 4 and fixtures.panel(spark, few).rdd.getNumPartitions() == n
+    rows = fixtures.forecasts(spark, few).count()
+    # The forecasts are read from files, and the stop of each series is found where its rows are dealt to.
+    text = built(forecast_queries.early_stop(spark, few))
+    assert "hashpartitioning(product#" in text and f", {-(-rows // 500)}), REPARTITION_BY_NUM" in text and text.count("Exchange") == 1
