@@ -48,13 +48,18 @@ def bootstrap_intervals(rows: DataFrame, keys: list[str], level: float = 0.95, r
     """
     index = rank_index(_residuals(rows if calibration is None else calibration, label, prediction), RESIDUAL)
     at = lambda q: max(1, min(resamples, round(q * resamples + 0.5)))
-    # Four draws of 32 bits in a digest.
-    digest = lambda i: F.md5(F.concat_ws("|", F.lit(str(seed)), i.cast("string"), *[F.col(k).cast("string") for k in keys]))
-    four = lambda i: F.transform(F.array(*[F.substring(digest(i), 8 * j + 1, 8) for j in range(4)]), lambda x: F.conv(x, 16, 10).cast("long"))
-    draws = F.array_sort(F.slice(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(-(-resamples // 4))), four)), 1, resamples))
-    out = _residuals(rows, label, prediction).crossJoin(F.broadcast(index.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("_n")))).withColumn("_draws", draws)
-    number = lambda q: F.floor(F.element_at("_draws", at(q)) / F.lit(float(1 << 32)) * F.col("_n")).cast("long")
-    out = out.withColumns({"_lo": number((1 - level) / 2), "_hi": number((1 + level) / 2)}).drop("_draws", "_n")
+    # Four draws of 32 bits in a digest. Their bytes sort as the numbers do, so only the draws that are looked up become numbers.
+    texts = F.concat(F.lit(""), *[F.coalesce(F.concat(F.lit("|"), F.col(k).cast("string")), F.lit("")) for k in keys])
+    digests = F.array(*[F.unhex(F.md5(F.concat(F.lit(f"{seed}|{i}"), F.col("_key")))) for i in range(1, -(-resamples // 4) + 1)])
+    four = lambda d: F.array(*[F.substring(d, 4 * j + 1, 4) for j in range(4)])
+    draws = F.sort_array(F.slice(F.flatten(F.transform(digests, four)), 1, resamples))
+    out = _residuals(rows, label, prediction).crossJoin(F.broadcast(index.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("_n")))).withColumn("_key", texts)
+    # Each draw that is looked up is picked while the sorted ones are bound, so they are sorted once a row.
+    ends = [at((1 - level) / 2), at((1 + level) / 2)]
+    picked = F.transform(F.array(draws), lambda d: F.struct(*[F.conv(F.hex(F.element_at(d, k)), 16, 10).cast("long").alias(n) for k, n in zip(ends, ("lo", "hi"))]))[0]
+    out = out.withColumn("_draws", picked)
+    number = lambda k: F.floor(F.col(f"_draws.{k}") / F.lit(float(1 << 32)) * F.col("_n")).cast("long")
+    out = out.withColumns({"_lo": number("lo"), "_hi": number("hi")}).drop("_draws", "_key", "_n")
     out = values_at(out, ["_lo", "_hi"], buckets(index))
     p = F.col(prediction)
     lower = F.when(F.col("_lo").isNotNull(), F.greatest(p + F.col("_lo"), F.lit(0.0)))

@@ -148,3 +148,28 @@ def test_tasks_along_series_are_dealt_by_rows(spark, monkeypatch):
     # The forecasts are read from files, and the stop of each series is found where its rows are dealt to.
     text = built(forecast_queries.early_stop(spark, few))
     assert "hashpartitioning(product#" in text and f", {-(-rows // 500)}), REPARTITION_BY_NUM" in text and text.count("Exchange") == 1
+
+
+def test_only_drawn_ends_become_numbers(spark):
+    import hashlib
+
+    from seriesmill.operators import intervals
+
+    known = spark.range(500).select((F.col("id") * F.col("id")).cast("double").alias("label"), F.lit(0.0).alias("prediction"))
+    rows = spark.createDataFrame([("a", 1, 0.0, 3.0), ("b", None, 0.0, 5.0), (None, None, 0.0, 7.0)], "k string, m int, label double, prediction double")
+    out = intervals.bootstrap_intervals(rows, ["k", "m"], calibration=known)
+    for r in out.collect():
+        digests = [hashlib.md5("|".join(["1", str(i), *[str(x) for x in (r.k, r.m) if x is not None]]).encode()).hexdigest() for i in range(1, 26)]
+        drawn = sorted(int(d[8 * j : 8 * j + 8], 16) for d in digests for j in range(4))
+        lo, hi = (int(drawn[k] / 2**32 * 500) ** 2 for k in (2, 97))
+        assert (r.lower_bound, r.upper_bound) == (r.prediction + lo, r.prediction + hi)
+    assert "conv(substring(" not in built(out)
+
+
+def test_features_along_series_are_one_window(spark):
+    monthly = spark.createDataFrame([("a", "2000-01-31", 2.0), ("a", "2000-04-30", 8.0), ("a", "2000-05-31", 4.0)], "product string, d string, quantity double")
+    out = panels.add_features(monthly.select("product", F.col("d").cast("date").alias("month_end"), "quantity"))
+    assert [(r.ma_3_sales, r.months_since_last_order, r.total_orders) for r in out.orderBy("month_end").collect()] == [(2.0, 0.0, 3), (2.0, 1.0, 3), (2.0, 2.0, 3), (5.0, 0.0, 3), (pytest.approx(14 / 3), 0.0, 3)]
+    # One completes the months, one runs along them, one holds for whole series.
+    plan = built(out)
+    assert plan.split("== Initial Plan ==")[-1].count("Window [") == 3
