@@ -26,12 +26,18 @@ def _before(placed: DataFrame, name: str, rows: Column) -> DataFrame:
     return sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
 
 
-def numbered(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str, tasks: int | None = None) -> DataFrame:
     """``df`` with ``name``, 0 up to its rows less one in the given order, written once.
 
-    A range sort puts the rows in order; a row's number is its place in its partition and the rows of the partitions before.
+    A range sort puts the rows in order; a row's number is its place in its partition and the rows of the partitions before. With ``tasks``
+    it has as many partitions, and rows that are equal in order are spread over them.
     """
-    placed = stored(df.orderBy(*order).withColumn(name, F.monotonically_increasing_id()), "numbered")
+    if tasks:
+        tied = df.withColumn("_tie", F.monotonically_increasing_id())
+        in_order = tied.repartitionByRange(tasks, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    else:
+        in_order = df.orderBy(*order)
+    placed = stored(in_order.withColumn(name, F.monotonically_increasing_id()), "numbered")
     starts = _before(placed, name, F.count("*"))
     own = F.col(name).bitwiseAND(F.lit((1 << PARTITION_BITS) - 1))
     return placed.join(F.broadcast(starts), _part(name) == F.col("_part")).withColumn(name, F.col("_start") + own).drop("_part", "_start")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -12,12 +10,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import CATEGORIES, as_large
+from ..functions.columns import CATEGORIES, as_large, tasks_of
+from ..functions.deals import deal, dealt_all
 from ..functions.numbering import numbered
 from ..sources.tables import STORED, remove, scratch_path, stored, stored_at
 from ..spec import PanelSpec
@@ -343,16 +342,14 @@ def native_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return rows.sparkSession.createDataFrame([(n, float(x)) for n, x in zip(names, found)], "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def in_random_order(rows: DataFrame, seed: int) -> DataFrame:
+def numbered_at_random(rows: DataFrame, seed: int) -> DataFrame:
     """``rows`` with _n, their number in the order of a seeded hash of all their columns: the same however they lie in partitions."""
-    return stored(numbered(rows, [F.xxhash64(F.lit(seed), *rows.columns), *rows.columns], "_n"), "random-order")
+    return numbered(rows, [F.xxhash64(F.lit(seed), *rows.columns), *rows.columns], "_n", tasks_of(rows.sparkSession, rows.count()))
 
 
-def deal(n: int, seed: int) -> tuple[int, int]:
-    """A deal of n values: row number i gets the value of number a * i + b, modulo n; a has no factor of n."""
-    rng = random.Random(seed)
-    a = next(x for x in iter(lambda: rng.randrange(1, max(n, 2)), None) if math.gcd(x, n) == 1)
-    return a, rng.randrange(max(n, 1))
+def in_random_order(rows: DataFrame, seed: int) -> DataFrame:
+    """``numbered_at_random``, written once."""
+    return stored(numbered_at_random(rows, seed), "random-order")
 
 
 def dealt(ordered: DataFrame, n: int, column: str, seed: int) -> DataFrame:
@@ -369,37 +366,34 @@ def shuffled(rows: DataFrame, column: str, seed: int) -> DataFrame:
     return dealt(ordered, ordered.count(), column, seed)
 
 
-def dealt_all(ordered: DataFrame, n: int, deals: Sequence[tuple[str, int]]) -> DataFrame:
-    """Rows in random order with _dealt: for each (column, seed) the value that its deal gives the row, as a double.
-
-    A row sends each column's value to the row that gets it, so all deals are one shuffle of values, and one of rows to meet them.
-    """
-    sent = []
-    for k, (column, seed) in enumerate(deals):
-        a, b = deal(n, seed)
-        back = pow(a, -1, n) if n > 1 else 0
-        target = F.pmod((F.col("_n").cast("decimal(38,0)") - b) * back, F.lit(max(n, 1))).cast("long")
-        sent.append(F.struct(target.alias("_n"), F.struct(F.lit(k).alias("k"), F.col(column).cast("double").alias("v")).alias("dealt")))
-    values = ordered.select(F.inline(F.array(*sent))).groupBy("_n").agg(F.transform(F.array_sort(F.collect_list("dealt")), lambda d: d["v"]).alias("_dealt"))
-    return ordered.join(as_large(values), "_n")
+def line_at(line: LinearRegressionModel, values: Sequence[Column]) -> Column:
+    """What a fitted line says of these values of its features, as an expression."""
+    terms = (F.lit(float(w)) * v for w, v in zip(line.coefficients.toArray(), values, strict=True))
+    return reduce(lambda a, b: a + b, terms) + F.lit(float(line.intercept))
 
 
 def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequence[str], repeats: int = 3, seed: int = 42, metric: str = "rmse") -> DataFrame:
     """(feature, importance, std): how much a metric worsens when a feature's values are dealt anew, over ``repeats`` deals.
 
-    Every row is scored as it is and once for each deal, and the metrics of all deals are sums of one pass.
+    Every row is scored as it is and once for each deal, and the metrics of all deals are sums of one pass. A line is an expression; other
+    models transform a row for each deal.
     """
-    label, inputs = model.stages[-1].getLabelCol(), model.stages[0].getInputCols()
-    ordered = in_random_order(rows.select(*dict.fromkeys([*inputs, label])).na.drop(), seed)
+    last, label, inputs = model.stages[-1], model.stages[-1].getLabelCol(), model.stages[0].getInputCols()
+    columns = list(dict.fromkeys([*inputs, label]))
+    ordered = numbered_at_random(rows.select(*columns).na.drop(), seed)
     deals = [(f, seed + repeats * i + k) for i, f in enumerate(features) for k in range(repeats)]
-    plain = {c: F.col(c).cast("double") for c in inputs}
-    made = [F.struct(F.lit(k).alias("_deal"), *[(F.col("_dealt")[k] if c == f else v).alias(c) for c, v in plain.items()]) for k, (f, _) in enumerate([(None, 0), *deals], -1)]
-    tried = dealt_all(ordered, ordered.count(), deals).select(F.col(label).alias("_label"), F.inline(F.array(*made)))
-    scores = evaluate(model.transform(tried.withColumnRenamed("_label", label)), label, by=["_deal"]).select("_deal", F.col(metric).alias("value"))
-    base = scores.where("_deal < 0").select(F.col("value").alias("base"))
+    line = isinstance(last, LinearRegressionModel)
+    made = []
+    for k, (f, _) in enumerate([(None, 0), *deals], -1):
+        values = [F.col(f"_dealt{k}" if c == f else c) for c in inputs]
+        made.append(F.struct(F.lit(k).alias("_deal"), *([line_at(last, values).alias("prediction")] if line else [v.alias(c) for c, v in zip(inputs, values)])))
+    tried = dealt_all(ordered, ordered.count(), columns, deals).select(F.col(label).alias("_label"), F.inline(F.array(*made))).withColumnRenamed("_label", label)
+    said = tried if line else model.transform(tried)
+    scores = evaluate(said, label, "prediction" if line else last.getPredictionCol(), ["_deal"]).select("_deal", F.col(metric).alias("value"))
+    whole = scores.agg(F.max(F.when(F.col("_deal") < 0, F.col("value"))).alias("base"), F.collect_list(F.struct("_deal", "value")).alias("deals"))
     loss = (F.col("value") - F.col("base")) * (-1 if metric == "r2" else 1)
     named = F.element_at(F.array(*map(F.lit, features)), F.floor(F.col("_deal") / repeats).cast("int") + 1)
-    each = scores.where("_deal >= 0").crossJoin(F.broadcast(base)).select(named.alias("feature"), loss.alias("loss"))
+    each = whole.select("base", F.inline("deals")).where("_deal >= 0").select(named.alias("feature"), loss.alias("loss"))
     return each.groupBy("feature").agg(F.avg("loss").alias("importance"), F.stddev_pop("loss").alias("std"))
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
+from seriesmill.functions import deals, numbering
 from seriesmill.operators import ensemble, ewma, series, splits
 from seriesmill.operators import models as L
 from seriesmill.operators import panel as panels
+from seriesmill.operators.metrics import evaluate
+from seriesmill.sources import tables
 
 
 def built(df):
@@ -173,3 +177,49 @@ def test_features_along_series_are_one_window(spark):
     # One completes the months, one runs along them, one holds for whole series.
     plan = built(out)
     assert plan.split("== Initial Plan ==")[-1].count("Window [") == 3
+
+
+def test_deals_of_many_blocks_are_single_deals(spark, monkeypatch):
+    """Blocks and lots that end within the table, whole numbers, a column dealt twice and one that is not dealt."""
+    monkeypatch.setattr(deals, "PLACE_BITS", 5)
+    monkeypatch.setattr(deals, "LOT_VALUES", 60)
+    df = spark.range(333).select((F.col("id") % 50).cast("int").alias("a"), (F.col("id") * 0.5).alias("b"), F.col("id").alias("c")).repartition(3)
+    ordered = L.in_random_order(df, 7)
+    assert sorted(r["_n"] for r in ordered.select("_n").collect()) == list(range(333))
+    wanted = [("b", 1), ("a", 2), ("b", 3)]
+    got = {r.c: r for r in deals.dealt_all(ordered, 333, df.columns, wanted).collect()}
+    rows = {r["_n"]: r for r in ordered.collect()}
+    assert len(got) == 333
+    for k, (column, seed) in enumerate(wanted):
+        assert {c: r[f"_dealt{k}"] for c, r in got.items()} == {r.c: r[column] for r in L.dealt(ordered, 333, column, seed).collect()}
+    assert {(r.a, r.b, r.c) for r in got.values()} == {(r.a, r.b, r.c) for r in rows.values()}
+    for n in (0, 1):
+        few = L.in_random_order(df.limit(n), 7)
+        assert [tuple(r)[3:] for r in deals.dealt_all(few, n, df.columns, wanted).collect()] == [(r.b, r.a, r.b) for r in few.collect()]
+
+
+def test_products_of_large_deals_do_not_overflow():
+    for n in (1 << 31, (1 << 31) + 11, (1 << 45) + 7):
+        a, numbers = n - 3, [0, 1, 65_536, n // 3, n - 1]
+        assert deals.times(a, np.array(numbers, np.uint64), n).tolist() == [a * i % n for i in numbers]
+
+
+def test_permutation_importance_scores_once_from_one_shuffle_of_packs(spark):
+    """Values are dealt in packs, not in a record each, and the score that all are compared with is not computed again."""
+    df = repeated(spark)
+    for estimator in (LinearRegression(labelCol="y"), DecisionTreeRegressor(labelCol="y", maxDepth=3, seed=1)):
+        model = L.train(df, estimator, ["x", "z"])
+        plan = built(L.permutation_importance(model, df, ["z", "x"]))
+        assert plan.count("MapInArrow") == 1 and "NestedLoop" not in plan and "SortMerge" not in plan
+    n, error = df.count(), lambda d: evaluate(model.transform(d), "y").first()["rmse"]
+    got = {r.feature: r.importance for r in L.permutation_importance(model, df, ["z", "x"], repeats=1).collect()}
+    ordered = L.in_random_order(df.select("x", "z", "y"), 42)
+    assert got == pytest.approx({f: error(L.dealt(ordered, n, f, 42 + i)) - error(df) for i, f in enumerate(("z", "x"))}, abs=1e-9)
+
+
+def test_equal_rows_are_numbered_in_many_tasks(spark):
+    same = spark.range(4_000).select(F.lit(1.0).alias("x"), F.lit(2.0).alias("y")).repartition(4)
+    placed = numbering.numbered(same, ["x", "y"], "_n", 4)
+    assert sorted(r["_n"] for r in placed.collect()) == list(range(4_000))
+    files = spark.read.parquet(tables.STORED[-1]).groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 4 and max(r["count"] for r in files) < 2_000
