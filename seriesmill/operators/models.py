@@ -380,7 +380,7 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequ
     """
     last, label, inputs = model.stages[-1], model.stages[-1].getLabelCol(), model.stages[0].getInputCols()
     columns = list(dict.fromkeys([*inputs, label]))
-    ordered = numbered_at_random(rows.select(*columns).na.drop(), seed)
+    ordered = numbered_at_random(stored(rows.select(*columns).na.drop(), "known"), seed)
     deals = [(f, seed + repeats * i + k) for i, f in enumerate(features) for k in range(repeats)]
     line = isinstance(last, LinearRegressionModel)
     made = []

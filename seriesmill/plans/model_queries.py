@@ -24,9 +24,9 @@ FEATURES = ("quantity", "lag_1", "lag_2", "ma_4_month", "month")
 
 def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of all series, with the classes that were known at the cut, as a table that fits read again and again."""
-    panel = P.moving_averages(P.lags(P.calendar(X.panel(spark, sf_dir)), steps=(1, 2)), sales=())
     cut = F.lit("2000-06-30").cast("date")
-    return stored(P.long_enough(P.class_statistics(panel, as_of=cut)).select("product", "month_end", "product_category", L.LABEL, *FEATURES, "year"), "model-panel")
+    panel = P.model_features(X.panel(spark, sf_dir), as_of=cut)
+    return stored(P.long_enough(panel).select("product", "month_end", "product_category", L.LABEL, *FEATURES, "year"), "model-panel")
 
 
 def _cut(df: DataFrame) -> tuple[DataFrame, DataFrame]:

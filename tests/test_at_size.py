@@ -223,3 +223,12 @@ def test_equal_rows_are_numbered_in_many_tasks(spark):
     assert sorted(r["_n"] for r in placed.collect()) == list(range(4_000))
     files = spark.read.parquet(tables.STORED[-1]).groupBy(F.input_file_name()).count().collect()
     assert len(files) == 4 and max(r["count"] for r in files) < 2_000
+
+
+def test_features_of_models_are_two_windows_of_a_series(spark, tmp_path):
+    rows = many_months(spark, tmp_path).withColumn("quantity", F.when(F.hash("product", "month_end") % 3 == 0, F.hash("month_end", "product") % 1000 / 7))
+    cut = F.lit("2001-06-30").cast("date")
+    one = panels.model_features(rows, as_of=cut)
+    each = panels.class_statistics(panels.moving_averages(panels.lags(panels.calendar(rows), steps=(1, 2)), months=(4,), sales=()), as_of=cut)
+    assert one.columns == each.columns and one.exceptAll(each).count() == each.exceptAll(one).count() == 0 and one.where("ma_4_month is null").count() > 0
+    assert built(one).count("Window [") == 2 < built(each).count("Window [")
